@@ -23,6 +23,11 @@ def parse(messages, schema, column="value"):
     return messages.select("*", F.inline(F.array(parsed)))
 
 
+def expand(messages, column):
+    """The struct's fields as the only columns."""
+    return messages.select(f"{column}.*")
+
+
 def _reject_reason(value, schema):
     usable = reduce(lambda a, b: a | b, [F.col(name).isNotNull() for name in schema.names])
     # The second parse tells broken text from text without a known field; a CASE branch is

@@ -21,7 +21,7 @@ from gaugewright.streaming.consume import await_all, consume, start_topics
 from gaugewright.streaming.state import read_state, start_latest_state
 
 # Bound of a micro-batch; the test tables fit in one.
-BATCH_BYTES = "64g"
+BATCH_BYTES = 64 * 1024**3
 
 
 def _zone_less(df, *columns):

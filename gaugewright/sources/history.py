@@ -10,9 +10,11 @@ REJECTED = "rejected"
 
 
 def _stored_schema(topic, layout):
-    return StructType(table_schema(topic, layout).fields).add(
-        "reject_reason", "string").add("reject_value", "string").add(
-        "run", "string").add("epoch", "bigint").add("kind", "string").add("ingest_date", "date")
+    added = StructType.fromDDL(
+        "reject_reason STRING, reject_value STRING, "
+        "run STRING, epoch BIGINT, kind STRING, ingest_date DATE"
+    )
+    return StructType(table_schema(topic, layout).fields + added.fields)
 
 
 def read_stored(spark, path, topic, layout=RELATIONAL):

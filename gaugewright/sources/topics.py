@@ -53,7 +53,7 @@ class FileTopics:
 
     path: str
     max_files: int | None = None
-    max_bytes: str | None = None
+    max_bytes: int | None = None
 
     def folder(self, topic):
         return f"{self.path}/{topic}"
@@ -63,7 +63,7 @@ class FileTopics:
         if self.max_files:
             reader = reader.option("maxFilesPerTrigger", str(self.max_files))
         elif self.max_bytes:
-            reader = reader.option("maxBytesPerTrigger", self.max_bytes)
+            reader = reader.option("maxBytesPerTrigger", str(self.max_bytes))
         return reader.parquet(self.folder(topic))
 
     def read(self, spark, topic):
