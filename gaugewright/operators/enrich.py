@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gaugewright.operators.joins import same_key
 from gaugewright.operators.latest import latest_by_key
 
 
@@ -28,11 +29,8 @@ def enrich_stage_scale(items, stage_scale, link="item.stageScale", strict=False)
     item without a scale.
     """
     link = F.col(link)
-    joined = items.join(
-        stage_scale.select("url", "high", "low", F.lit(True).alias("found")),
-        link == F.col("url"),
-        "left",
-    )
+    scales = stage_scale.select("url", "high", "low", F.lit(True).alias("found"))
+    joined = items.join(scales, same_key(link, F.col("url")), "left")
     found = F.coalesce("found", F.lit(False))
     if strict:
         problem = F.concat(F.lit("no stage scale document: "), F.coalesce(link, F.lit("no link")))

@@ -2,6 +2,8 @@
 
 from pyspark.sql import Window, functions as F
 
+from gaugewright.session import shared_folder
+
 # A broadcast copy of the keys' maxima may take this much memory on each executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Room for a row's fixed part in the broadcast hash table.
@@ -33,49 +35,50 @@ def distinct_on(df, keys, order_by):
     return df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")
 
 
-def latest_by_key(df, key, time, tiebreak=()):
+def latest_by_key(df, key, time, tiebreak=(), columns=None):
     """The latest row per key, in one scan and one shuffle, lazily.
 
     ``max_by`` is a partial aggregate: each task sends one row per key it saw, whatever the
     number of rows or copies of that key. Also valid on a stream in update mode. Rows with a
-    NULL key or time drop; equal times go to the largest tiebreak.
+    NULL key or time drop; equal times go to the largest tiebreak. Name the ``columns``
+    wanted: Spark does not prune the fields of an aggregated struct by itself.
     """
-    columns = df.columns
-    order = F.struct(time, *tiebreak)
+    columns = columns or df.columns
     rest = F.struct(*[c for c in columns if c != key])
     return (
         _with_key_and_time(df, key, time)
         .groupBy(key)
-        .agg(F.max_by(rest, order).alias("_row"))
+        .agg(F.max_by(rest, F.struct(time, *tiebreak)).alias("_row"))
         .select(*[F.col(key) if c == key else F.col(f"_row.{c}") for c in columns])
     )
 
 
-def latest_by_key_two_pass(df, key, time, tiebreak=(), broadcast_bytes=BROADCAST_BYTES):
+def latest_by_key_two_pass(df, key, time, tiebreak=(), columns=None,
+                           broadcast_bytes=BROADCAST_BYTES):
     """Same result with two scans, for batch jobs with few keys against many rows.
 
     The first scan reads two columns and hashes; its result, one row per key, is stored in
-    the checkpoint folder and measured. Within the bound it is broadcast, the second scan keeps
-    only the rows at their key's latest time, and next to nothing is shuffled. Above the
-    bound the one-pass form runs. The first scan happens at once, not lazily.
+    the checkpoint folder and measured. Within the bound it is broadcast, the second scan
+    keeps only the rows at their key's latest time, and next to nothing is shuffled. Above
+    the bound the one-pass form runs. The first scan happens at once, not lazily.
     """
+    shared_folder(df.sparkSession)
     usable = _with_key_and_time(df, key, time)
     maxima = grouped_max(usable, key, time, "latest_time").select(
         F.col(key).alias("latest_key"), "latest_time"
-    )
-    maxima = maxima.checkpoint()
+    ).checkpoint()
     size = maxima.agg(
-        F.count("*").alias("n"),
+        F.count("*").alias("rows"),
         F.sum(F.octet_length(F.col("latest_key").cast("string"))).alias("text"),
     ).first()
-    if (size["n"] or 0) * ROW_BYTES + (size["text"] or 0) > broadcast_bytes:
-        return latest_by_key(df, key, time, tiebreak)
+    if size["rows"] * ROW_BYTES + (size["text"] or 0) > broadcast_bytes:
+        return latest_by_key(df, key, time, tiebreak, columns)
     at_latest = usable.join(
         F.broadcast(maxima),
         (usable[key] == F.col("latest_key")) & (usable[time] == F.col("latest_time")),
         "left_semi",
     )
-    return latest_by_key(at_latest, key, time, tiebreak)
+    return latest_by_key(at_latest, key, time, tiebreak, columns)
 
 
 def _with_key_and_time(df, key, time):

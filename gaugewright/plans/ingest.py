@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gaugewright.functions.text import message_json
 from gaugewright.operators.enrich import enrich_stage_scale
 from gaugewright.operators.messages import to_messages, with_stamp
 from gaugewright.operators.unnest import (
@@ -12,28 +13,54 @@ from gaugewright.operators.unnest import (
     unnest_measures,
     with_reading,
 )
-from gaugewright.schemas import MEASUREMENTS, STATIONS
+from gaugewright.schemas import MEASUREMENTS, STATIONS, message_schema
 
 
-def _usable():
-    return F.col("scale_found") & F.col("item.measures").isNotNull()
+REJECTS_SUFFIX = "-rejects"
+
+
+def _reason():
+    """Why an item cannot give messages; NULL if it can."""
+    return (
+        F.when(F.col("item.stageScale").isNull(), "no stage scale link")
+        .when(~F.col("scale_found"), "stage scale not found")
+        .when(F.col("item.measures").isNull(), "no list of measures")
+    )
 
 
 def station_rows(documents, stage_scale, strict=False):
     """Flat, stamped station rows, one per measure, with the raw item."""
     items = enrich_stage_scale(station_items(documents), stage_scale, strict=strict)
-    rows = unnest_measures(items.where(_usable()))
-    return with_stamp(flat_station(rows))
+    found = items.where(F.col("scale_found") & F.col("item.measures").isNotNull())
+    return with_stamp(flat_station(unnest_measures(found)))
 
 
 def station_rejects(documents, stage_scale):
     """Items that give no rows because something is missing: ``reject_reason, raw``."""
     items = enrich_stage_scale(station_items(documents), stage_scale)
-    return items.where(~_usable()).select(
-        F.when(F.col("item.stageScale").isNull(), "no stage scale link")
-        .when(~F.col("scale_found"), "stage scale not found")
-        .otherwise("no list of measures").alias("reject_reason"),
-        "raw",
+    flagged = items.select(_reason().alias("reject_reason"), "raw")
+    return flagged.where(F.col("reject_reason").isNotNull())
+
+
+def station_output(documents, stage_scale):
+    """Messages and rejects together, as ``topic, key, value``, from one pass over the
+    documents. A reject goes to the topic's rejects topic, keyed by its reason."""
+    items = enrich_stage_scale(station_items(documents), stage_scale)
+    reason = _reason()
+    measures = F.when(reason.isNull(), F.col("item.measures"))
+    rows = items.select(
+        *items.columns,
+        reason.alias("reject_reason"),
+        F.posexplode_outer(measures).alias("measure_pos", "measure"),
+    ).where(F.col("reject_reason").isNotNull() | F.col("measure_pos").isNotNull())
+    rows = rows.withColumn("measures_id", F.col("measure.`@id`")).drop("measure")
+    rows = with_stamp(flat_station(rows))
+    rejected = F.col("reject_reason").isNotNull()
+    message = F.struct(*message_schema(STATIONS).names)
+    return rows.select(
+        F.when(rejected, STATIONS + REJECTS_SUFFIX).otherwise(STATIONS).alias("topic"),
+        F.when(rejected, F.col("reject_reason")).otherwise(F.col("raw")).alias("key"),
+        F.when(rejected, F.col("raw")).otherwise(message_json(message)).alias("value"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gaugewright.operators.joins import same_key
 from gaugewright.operators.latest import latest_by_key
 from gaugewright.schemas import (
     LATEST_MEASUREMENTS_COLUMNS,
@@ -10,56 +11,57 @@ from gaugewright.schemas import (
 )
 
 
+# Output name and source of the joined view's columns: s. stations, m. measurements.
+JOINED_COLUMNS = {
+    "station_id": "s.rloiid",
+    "station_notation": "s.notation",
+    "station_name": "s.label",
+    "river_name": "s.rivername",
+    "town": "s.town",
+    "latitude": "s.lat",
+    "longitude": "s.long",
+    "last_update": "m.datetime",
+    "value": "m.value",
+    "unit": "m.unit",
+    "typical_range_low": "s.typicalrangelow",
+    "typical_range_high": "s.typicalrangehigh",
+}
+
+
 def _tiebreak(df):
     return [c for c in ("sequence", "pk_id") if c in df.columns]
 
 
-def latest_measurements(history, latest=latest_by_key):
+def latest_measurements(history, latest=latest_by_key, columns=None):
     """The last ingested row per measure; ``latest`` picks the form of the operator."""
-    return latest(history, "id", "last_update", _tiebreak(history)).select(
-        *LATEST_MEASUREMENTS_COLUMNS
-    )
+    return latest(history, "id", "last_update", _tiebreak(history),
+                  columns or LATEST_MEASUREMENTS_COLUMNS)
 
 
-def latest_stations(history, latest=latest_by_key):
+def latest_stations(history, latest=latest_by_key, columns=None):
     """The last ingested row per station."""
-    return latest(history, "rloiid", "last_update", _tiebreak(history)).select(
-        *LATEST_STATIONS_COLUMNS
-    )
+    return latest(history, "rloiid", "last_update", _tiebreak(history),
+                  columns or LATEST_STATIONS_COLUMNS)
 
 
 def join_current(stations, measurements):
     """Stations with their measure's current reading; ``last_update`` is the reading's time.
 
-    One measure has one current row, but many stations may name it. Joining on the id's
-    hash as well makes Spark shuffle both sides for this join alone instead of reusing the
-    measurements' earlier shuffle, and only then can adaptive execution split a measure
-    that holds a large part of the stations. The measurements are one row per measure here.
+    A measure named by several stations gives a row for each.
     """
     s, m = stations.alias("s"), measurements.alias("m")
-    same = (F.col("s.measures_id") == F.col("m.id")) & (
-        F.xxhash64("s.measures_id") == F.xxhash64("m.id")
-    )
-    return s.join(m, same).select(
-        F.col("s.rloiid").alias("station_id"),
-        F.col("s.notation").alias("station_notation"),
-        F.col("s.label").alias("station_name"),
-        F.col("s.rivername").alias("river_name"),
-        F.col("s.town").alias("town"),
-        F.col("s.lat").alias("latitude"),
-        F.col("s.long").alias("longitude"),
-        F.col("m.datetime").alias("last_update"),
-        F.col("m.value").alias("value"),
-        F.col("m.unit").alias("unit"),
-        F.col("s.typicalrangelow").alias("typical_range_low"),
-        F.col("s.typicalrangehigh").alias("typical_range_high"),
+    return s.join(m, same_key(F.col("s.measures_id"), F.col("m.id"))).select(
+        *[F.col(column).alias(name) for name, column in JOINED_COLUMNS.items()]
     )
 
 
 def stations_measurements(stations, measurements, latest=latest_by_key):
-    """The joined view over both histories."""
+    """The joined view over both histories; only the columns it shows are aggregated."""
+    used = {side: [c[2:] for c in JOINED_COLUMNS.values() if c.startswith(side)]
+            for side in ("s.", "m.")}
     return join_current(
-        latest_stations(stations, latest), latest_measurements(measurements, latest)
+        latest_stations(stations, latest, used["s."] + ["measures_id"]),
+        latest_measurements(measurements, latest, ["id"] + used["m."]),
     )
 
 

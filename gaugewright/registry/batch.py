@@ -31,9 +31,11 @@ from gaugewright.operators.unnest import (
     with_reading,
 )
 from gaugewright.plans.ingest import (
+    REJECTS_SUFFIX,
     measurement_messages,
     measurement_rows,
     station_messages,
+    station_output,
     station_rejects,
     station_rows,
 )
@@ -160,6 +162,16 @@ def station_reject_rows(spark, sf_dir):
     return station_rejects(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
 
 
+def station_output_rows(spark, sf_dir):
+    """Messages and rejects written to their topics in one pass, and read from both."""
+    topics = FileTopics(work_path(spark, "station-output"))
+    topics.write_all(station_output(station_documents(spark, sf_dir), stage_scales(spark, sf_dir)))
+    return topics.read(spark, STATIONS).withColumn("topic", F.lit(STATIONS)).unionByName(
+        topics.read(spark, STATIONS + REJECTS_SUFFIX).withColumn(
+            "topic", F.lit(STATIONS + REJECTS_SUFFIX))
+    )
+
+
 def measurement_message_rows(spark, sf_dir):
     return measurement_messages(measurement_documents(spark, sf_dir))
 
@@ -372,6 +384,7 @@ QUERIES = {
     "station_rows": station_rows_flat,
     "station_messages": station_message_rows,
     "station_rejects": station_reject_rows,
+    "station_output": station_output_rows,
     "measurement_messages": measurement_message_rows,
     "keyed_messages": keyed_messages,
     "topic_files": topic_files,

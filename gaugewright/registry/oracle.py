@@ -173,6 +173,15 @@ _STATION_VALUE = """'{"rloiid":"' || rloiid || '","label":"' || label || '","mea
     || '","lat":' || lat || ',"long":' || long || ',"last_update":"'
     || strftime(last_update, '%Y-%m-%d %H:%M:%S.%f') || '"}'"""
 
+_STATION_CTES = f"""{_SCALES}, {_LISTED}, {_MEASURE_ROWS}, {_STATION_ROWS},
+station_messages AS (SELECT key, {_STATION_VALUE} AS value FROM station_rows),
+station_rejects AS (
+  SELECT 'stage scale not found' AS reject_reason, {_RAW_STATION} AS raw FROM listed
+  WHERE link NOT IN (SELECT url FROM scales)
+  UNION ALL SELECT CASE WHEN link IN (SELECT url FROM scales) THEN 'no list of measures'
+      ELSE 'stage scale not found' END,
+    '{{"RLOIid":"spare-' || c_custkey || '",' || body || '}}' FROM listed)"""
+
 _DOCUMENT_HISTORIES = f"""measurement_history AS (
   SELECT id, stationreference, CAST(strptime(datetime, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP)
     AS datetime, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value, unit, last_update,
@@ -236,14 +245,11 @@ ORACLES = {
           CAST(measure_pos AS INTEGER) AS measure_pos, measures_id FROM measure_rows""",
     "station_rows": f"""WITH {_SCALES}, {_LISTED}, {_MEASURE_ROWS}, {_STATION_ROWS}
         SELECT * EXCLUDE (key) FROM station_rows""",
-    "station_messages": f"""WITH {_SCALES}, {_LISTED}, {_MEASURE_ROWS}, {_STATION_ROWS}
-        SELECT key, {_STATION_VALUE} AS value FROM station_rows""",
-    "station_rejects": f"""WITH {_SCALES}, {_LISTED}
-        SELECT 'stage scale not found' AS reject_reason, {_RAW_STATION} AS raw FROM listed
-        WHERE link NOT IN (SELECT url FROM scales)
-        UNION ALL SELECT CASE WHEN link IN (SELECT url FROM scales) THEN 'no list of measures'
-            ELSE 'stage scale not found' END,
-          '{{"RLOIid":"spare-' || c_custkey || '",' || body || '}}' FROM listed""",
+    "station_messages": f"WITH {_STATION_CTES} SELECT key, value FROM station_messages",
+    "station_rejects": f"WITH {_STATION_CTES} SELECT reject_reason, raw FROM station_rejects",
+    "station_output": f"""WITH {_STATION_CTES}
+        SELECT 'stations' AS topic, key, value FROM station_messages UNION ALL
+        SELECT 'stations-rejects', reject_reason, raw FROM station_rejects""",
     "measurement_messages": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
         SELECT key, message AS value FROM measurement_messages""",
     "keyed_messages": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}

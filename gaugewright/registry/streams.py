@@ -65,8 +65,7 @@ def latest_state_stream(spark, sf_dir):
     base = work_path(spark, "state-stream")
     topics = _topics(spark, sf_dir, base, MEASUREMENTS)
     query = start_latest_state(
-        topics.read_stream(spark, MEASUREMENTS), MEASUREMENTS, f"{base}/state",
-        f"{base}/checkpoint", available_now=True,
+        spark, topics, MEASUREMENTS, f"{base}/state", f"{base}/checkpoint", available_now=True
     )
     await_all([query])
     current = latest_measurements(read_state(spark, f"{base}/state", MEASUREMENTS))

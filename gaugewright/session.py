@@ -7,17 +7,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Streaming state on executor disk, so the number of keys is not bound by the heap.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Spark finds partition sizes, join sides and skewed partitions at run time; the zone is
-# pinned because messages and tables carry zone-less UTC text. Streaming state goes to
-# RocksDB, so the number of keys is bound by executor disk and not by the heap.
+# pinned because messages and tables carry zone-less UTC text.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_STORE,
 }
 
 

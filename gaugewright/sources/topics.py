@@ -2,6 +2,8 @@
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import functions as F
+
 KAFKA_STARTING_OFFSETS = "earliest"
 
 
@@ -37,13 +39,17 @@ class KafkaTopics:
             .select("key", "value", "topic", "partition", "offset")
         )
 
+    def write_options(self):
+        return {"kafka.bootstrap.servers": self.servers, **self.extra}
+
     def write(self, messages, topic):
+        self.write_all(messages.select(F.lit(topic).alias("topic"), "key", "value"))
+
+    def write_all(self, messages):
+        """Each message goes to the topic it names."""
         (
-            messages.select("key", "value").write.format("kafka")
-            .option("kafka.bootstrap.servers", self.servers)
-            .option("topic", topic)
-            .options(**self.extra)
-            .save()
+            messages.select("topic", "key", "value").write.format("kafka")
+            .options(**self.write_options()).save()
         )
 
 
@@ -56,7 +62,7 @@ class FileTopics:
     max_bytes: int | None = None
 
     def folder(self, topic):
-        return f"{self.path}/{topic}"
+        return f"{self.path}/topic={topic}"
 
     def read_stream(self, spark, topic):
         reader = spark.readStream.schema("key STRING, value STRING")
@@ -71,3 +77,10 @@ class FileTopics:
 
     def write(self, messages, topic):
         messages.select("key", "value").write.mode("append").parquet(self.folder(topic))
+
+    def write_all(self, messages):
+        """Each message goes to the topic it names."""
+        (
+            messages.select("topic", "key", "value").write.mode("append")
+            .partitionBy("topic").parquet(self.path)
+        )

@@ -12,6 +12,19 @@ def run_id(batch):
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+def fan_out(*sinks):
+    """One sink that hands a batch to several; the batch is read from its source once."""
+    def save(messages, run, epoch):
+        kept = messages.persist()
+        try:
+            for sink in sinks:
+                sink(kept, run, epoch)
+        finally:
+            kept.unpersist()
+
+    return save
+
+
 def consume(messages, topic, sink, checkpoint, trigger=TRIGGER, available_now=False):
     """Start a query that hands each batch of messages to ``sink(batch, run, epoch)``.
 

@@ -3,6 +3,7 @@
 from gaugewright.operators.decode import accepted, decode
 from gaugewright.operators.latest import latest_by_key
 from gaugewright.schemas import TOPIC_KEYS, table_schema
+from gaugewright.session import STATE_STORE
 from gaugewright.sinks.history import write_epoch
 from gaugewright.streaming.consume import TRIGGER, run_id
 
@@ -14,13 +15,25 @@ def latest_state(messages, topic):
     return latest_by_key(accepted(decode(messages, topic)), TOPIC_KEYS[topic], "last_update", ORDER)
 
 
-def start_latest_state(messages, topic, path, checkpoint, trigger=TRIGGER, available_now=False):
-    """Write the keys that changed in each batch to a replay-safe change log."""
+def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
+                       available_now=False):
+    """Write the keys that changed in each batch to a replay-safe change log.
+
+    The query runs in a session of its own, whose state is kept on disk by RocksDB. Its
+    number of state partitions is fixed by ``spark.sql.shuffle.partitions`` at the first start.
+    """
+    session = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(name, spark.conf.get(name))
+    for name, value in STATE_STORE.items():
+        session.conf.set(name, value)
+
     def save(batch, epoch):
         write_epoch(batch, path, run_id(batch), epoch)
 
     writer = (
-        latest_state(messages, topic).writeStream.queryName(f"{topic}_state")
+        latest_state(topics.read_stream(session, topic), topic)
+        .writeStream.queryName(f"{topic}_state")
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(save)
