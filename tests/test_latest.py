@@ -1,0 +1,121 @@
+import datetime
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugewright.operators import latest as module
+from gaugewright.operators.latest import (
+    distinct_on,
+    grouped_max,
+    join_on_max,
+    latest_by_key,
+    latest_by_key_two_pass,
+)
+from tests.conftest import plan
+
+D1, D2 = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2)
+FORMS = [latest_by_key, latest_by_key_two_pass]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "k string, v int, t timestamp, s long")
+
+
+def found(df):
+    return sorted((r["k"], r["v"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_null_keys_and_times_drop(spark, form):
+    df = frame(spark, [("a", 1, D1, 1), (None, 2, D1, 2), ("b", 3, None, 3),
+                       ("c", 4, None, 4), ("c", 5, D2, 5)])
+    assert found(form(df, "k", "t", ["s"])) == [("a", 1), ("c", 5)]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_tie_goes_to_the_later_sequence(spark, form):
+    df = frame(spark, [("a", 10, D1, 4), ("a", 20, D1, 2)])
+    assert found(form(df, "k", "t", ["s"])) == [("a", 10)]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_late_arrival_with_older_time_is_ignored(spark, form):
+    df = frame(spark, [("a", 1, D2, 1), ("a", 2, D1, 2)])
+    assert found(form(df, "k", "t", ["s"])) == [("a", 1)]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_replayed_rows_give_one(spark, form):
+    df = frame(spark, [("a", 1, D1, 1)] * 3)
+    assert found(form(df, "k", "t", ["s"])) == [("a", 1)]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_columns_keep_their_order_and_can_be_chosen(spark, form):
+    df = frame(spark, [("a", 1, D1, 1)])
+    assert form(df, "k", "t", ["s"]).columns == ["k", "v", "t", "s"]
+    assert form(df, "k", "t", ["s"], ["v", "k"]).columns == ["v", "k"]
+
+
+def test_empty_input(spark):
+    for form in FORMS:
+        assert form(frame(spark, []), "k", "t", ["s"]).count() == 0
+
+
+def test_all_forms_agree_with_brute_force_under_a_hot_key(spark):
+    random.seed(3)
+    rows = []
+    for i in range(6000):
+        key = "hot" if random.random() < 0.34 else f"k{random.randrange(200)}"
+        rows.append((key, i, D1 + datetime.timedelta(minutes=random.randrange(50)), i))
+    expected = {}
+    for k, v, t, s in rows:
+        if k not in expected or (t, s) > expected[k][:2]:
+            expected[k] = (t, s, v)
+    wanted = sorted((k, v) for k, (_, _, v) in expected.items())
+    df = frame(spark, rows).repartition(4)
+    for form in FORMS:
+        assert found(form(df, "k", "t", ["s"])) == wanted
+    placed = distinct_on(df, ["k"], [F.desc("t"), F.desc("s")])
+    assert found(placed) == wanted
+
+
+def test_two_pass_broadcasts_only_within_its_bound(spark):
+    df = frame(spark, [(f"k{i}", i, D1, i) for i in range(100)])
+    within = latest_by_key_two_pass(df, "k", "t", ["s"])
+    above = latest_by_key_two_pass(df, "k", "t", ["s"], broadcast_bytes=100)
+    assert "BroadcastHashJoin" in plan(within) and "Broadcast" not in plan(above)
+    assert found(within) == found(above)
+
+
+def test_one_pass_aggregates_before_its_only_shuffle(spark):
+    text = plan(latest_by_key(frame(spark, [("a", 1, D1, 1)]), "k", "t", ["s"]))
+    assert text.count("hashpartitioning") == 1 and "partial_max_by" in text
+
+
+def test_distinct_on_limits_before_its_shuffle(spark):
+    text = plan(distinct_on(frame(spark, [("a", 1, D1, 1)]), ["k"], [F.desc("t")]))
+    assert text.count("hashpartitioning") == 1
+    assert text.index("WindowGroupLimit") < text.index("Exchange") or "Partial" in text
+
+
+def test_distinct_on_counts_null_keys_as_equal(spark):
+    df = frame(spark, [(None, 1, D1, 1), (None, 2, D2, 2), ("a", 3, D1, 3)])
+    rows = distinct_on(df, ["k"], [F.desc("t")]).collect()
+    assert sorted(r["v"] for r in rows) == [2, 3]
+
+
+def test_grouped_max_and_self_join(spark):
+    df = frame(spark, [("a", 1, D1, 1), ("a", 2, D2, 2), ("a", 3, D2, 3), (None, 4, D2, 4)])
+    assert {(r["k"], r["m"]) for r in grouped_max(df, "k", "t", "m").collect()} == {
+        ("a", D2), (None, D2)}
+    joined = join_on_max(df, "k", "t")
+    assert joined.columns == df.columns and found(joined) == [("a", 2), ("a", 3)]
+
+
+def test_broadcast_bound_counts_key_text(spark, monkeypatch):
+    monkeypatch.setattr(module, "ROW_BYTES", 0)
+    df = frame(spark, [("x" * 50, 1, D1, 1)])
+    assert "Broadcast" not in plan(latest_by_key_two_pass(df, "k", "t", broadcast_bytes=49))
+    assert "Broadcast" in plan(latest_by_key_two_pass(df, "k", "t", broadcast_bytes=50))

@@ -1,0 +1,195 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugewright.operators.latest import latest_by_key_two_pass
+from gaugewright.operators.present import add_tooltip
+from gaugewright.plans.status import map_rows, present, station_status
+from gaugewright.plans.views import (
+    latest_measurements,
+    latest_stations,
+    refresh_latest,
+    register_views,
+    stations_measurements,
+)
+from gaugewright.schemas import (
+    LATEST_MEASUREMENTS_COLUMNS,
+    LATEST_STATIONS_COLUMNS,
+    MEASUREMENTS,
+    STATIONS,
+    table_schema,
+)
+
+T = datetime.datetime
+
+
+def stations(spark, *rows):
+    """(pk, rloiid, measures_id, low, high, last_update)"""
+    return spark.createDataFrame(
+        [(pk, r, f"Station {r}", m, f"N{r}", "River", high, low, "Town", 52.0, -1.0, t, None)
+         for pk, r, m, low, high, t in rows], table_schema(STATIONS))
+
+
+def measurements(spark, *rows):
+    """(pk, id, datetime, value, last_update)"""
+    return spark.createDataFrame(
+        [(pk, i, "ref", at, value, "http://qudt.org/1.1/vocab/unit#Meter", t, None)
+         for pk, i, at, value, t in rows], table_schema(MEASUREMENTS))
+
+
+DAY1, DAY2 = T(2024, 7, 1), T(2024, 7, 2)
+
+
+def test_latest_means_latest_ingested(spark):
+    history = measurements(spark, ("1", "a", T(2024, 7, 5), 1.0, DAY1),
+                           ("2", "a", T(2024, 6, 1), 2.0, DAY2))
+    view = latest_measurements(history)
+    assert view.columns == LATEST_MEASUREMENTS_COLUMNS
+    assert [(r["id"], r["value"]) for r in view.collect()] == [("a", 2.0)]
+
+
+def test_joined_view_shows_the_time_of_the_reading(spark):
+    s = stations(spark, ("1", "s1", "a", 0.5, 1.0, DAY1))
+    m = measurements(spark, ("1", "a", T(2024, 7, 1, 12), 0.7, DAY2))
+    view = stations_measurements(s, m)
+    assert view.columns == [
+        "station_id", "station_notation", "station_name", "river_name", "town", "latitude",
+        "longitude", "last_update", "value", "unit", "typical_range_low", "typical_range_high"]
+    assert view.first()["last_update"] == T(2024, 7, 1, 12)
+
+
+def test_join_drops_the_unmatched_and_repeats_a_shared_measure(spark):
+    s = stations(spark, ("1", "s1", "a", 0.5, 1.0, DAY1), ("2", "s2", "a", 0.5, 1.0, DAY1),
+                 ("3", "s3", "x", 0.5, 1.0, DAY1), ("4", "s4", None, 0.5, 1.0, DAY1))
+    m = measurements(spark, ("1", "a", DAY1, 0.7, DAY1), ("2", "b", DAY1, 0.7, DAY1))
+    rows = stations_measurements(s, m).collect()
+    assert sorted(r["station_id"] for r in rows) == ["s1", "s2"]
+
+
+def test_station_that_is_no_longer_listed_stays(spark):
+    s = stations(spark, ("1", "old", "a", 0.5, 1.0, T(1990, 1, 1)),
+                 ("2", "new", "b", 0.5, 1.0, DAY2))
+    view = latest_stations(s)
+    assert view.columns == LATEST_STATIONS_COLUMNS and view.count() == 2
+
+
+def test_replayed_history_changes_nothing(spark):
+    s = stations(spark, ("1", "s1", "a", 0.5, 1.0, DAY1))
+    m = measurements(spark, ("1", "a", DAY1, 0.7, DAY1), ("2", "a", DAY1, 0.9, DAY2))
+    once = station_status(s, m).collect()
+    twice = station_status(s.unionByName(s), m.unionByName(m)).collect()
+    assert once == twice and len(once) == 1
+
+
+def test_two_pass_form_gives_the_same_status(spark):
+    s = stations(spark, ("1", "s1", "a", 0.5, 1.0, DAY1), ("2", "s1", "b", 0.5, 1.0, DAY2))
+    m = measurements(spark, ("1", "a", DAY1, 0.7, DAY1), ("2", "b", DAY1, 0.9, DAY2))
+    assert station_status(s, m).collect() == station_status(
+        s, m, latest=latest_by_key_two_pass).collect()
+
+
+def test_refresh_reads_previous_and_added_rows_only(spark):
+    old = measurements(spark, ("1", "a", DAY1, 0.1, DAY1), ("2", "b", DAY1, 0.2, DAY2))
+    new = measurements(spark, ("3", "a", DAY1, 0.3, DAY2), ("4", "b", DAY1, 0.4, DAY1),
+                       ("5", "c", DAY1, 0.5, DAY1))
+    rows = refresh_latest(old, new, MEASUREMENTS).collect()
+    assert {(r["id"], r["value"]) for r in rows} == {("a", 0.3), ("b", 0.2), ("c", 0.5)}
+
+
+def test_registered_views_answer_sql(spark):
+    register_views(stations(spark, ("1", "s1", "a", 0.5, 1.0, DAY1)),
+                   measurements(spark, ("1", "a", DAY1, 0.7, DAY1)))
+    assert spark.sql("SELECT STATION_ID FROM stationsmeasurements WHERE value > 0.5").count() == 1
+    assert spark.table("latest_stations").count() == spark.table("latest_measurements").count() == 1
+
+
+GREEN, BLUE, RED = [5, 163, 0], [0, 51, 255], [255, 0, 0]
+NAN = float("nan")
+
+
+@pytest.mark.parametrize("value, low, high, colour", [
+    (1.004, 0.5, 1.00, GREEN),
+    (0.5, 0.5, 1.0, GREEN),
+    (0.4, 0.5, 1.0, BLUE),
+    (0.4, 0.5, None, BLUE),
+    (0.6, 0.5, None, RED),
+    (0.6, None, 1.0, RED),
+    (None, 0.5, 1.0, RED),
+    (NAN, 0.5, 1.0, RED),
+    (0.6, NAN, 1.0, RED),
+    (1.006, 0.5, 1.0, RED),
+])
+def test_range_class(spark, value, low, high, colour):
+    s = stations(spark, ("1", "s1", "a", low, high, DAY1))
+    m = measurements(spark, ("1", "a", T(2024, 7, 1, 12), value, DAY1))
+    [row] = present(stations_measurements(s, m)).collect()
+    assert row["color"] == colour
+    assert row["last_update"] == "2024-07-01 14:00" and row["unit"] == "m"
+
+
+def test_unit_is_replaced_only_as_a_whole(spark):
+    from gaugewright.operators.present import relabel_units
+    unit = "http://qudt.org/1.1/vocab/unit#Meter"
+    rows = relabel_units(spark.createDataFrame([(unit,), ("x" + unit,), (None,)], "unit string"))
+    assert [r["unit"] for r in rows.collect()] == ["m", "x" + unit, None]
+
+
+def test_map_rows(spark):
+    s = stations(spark, ("1", "s1", "a", 0.5, None, DAY1))
+    m = measurements(spark, ("1", "a", T(2024, 7, 1, 12), 1.0, DAY1))
+    [row] = map_rows(stations_measurements(s, m)).collect()
+    assert row["position"] == [-1.0, 52.0]
+    assert row["tooltip"] == (
+        "<b>Station:</b> Station s1 (id: Ns1)<br><b>River:</b> River<br><b>Town:</b> Town<br>"
+        "<b>Updated:</b> 2024-07-01 14:00<br><b>Measurement:</b> 1 m<br>"
+        "<b>Typical range:</b> 0.5 m - null m")
+    other = add_tooltip(present(stations_measurements(s, m)), null_text="-").first()["tooltip"]
+    assert other.endswith("0.5 m - - m")
+
+
+def test_settings_reach_the_rows(spark):
+    s = stations(spark, ("1", "s1", "a", 0.5, 1.0, DAY1))
+    m = measurements(spark, ("1", "a", T(2024, 7, 1, 12), 0.7, DAY1))
+    [row] = station_status(s, m, zone="Europe/London", pattern="HH:mm", unit_labels={"x": "y"},
+                           colours={"in_range": "#010203"}).collect()
+    assert row["last_update"] == "13:00" and row["color"] == [1, 2, 3]
+    assert row["unit"].startswith("http")
+
+
+def test_hot_measure_is_split_by_adaptive_execution(spark):
+    """A third of the stations name one measure; the shuffled join splits it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = spark.range(0, 100_000, numPartitions=4)
+        s = n.select(
+            F.col("id").cast("string").alias("pk_id"), F.col("id").cast("string").alias("rloiid"),
+            F.lit("label").alias("label"),
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("m"), "id"))
+            .alias("measures_id"),
+            F.lit("n").alias("notation"), F.lit("r").alias("rivername"),
+            F.lit(1.0).alias("typicalrangehigh"), F.lit(0.5).alias("typicalrangelow"),
+            F.lit("t").alias("town"), F.lit(1.0).alias("lat"), F.lit(1.0).alias("long"),
+            F.current_timestamp().alias("last_update"), F.col("id").alias("sequence"))
+        m = n.select(
+            F.col("id").cast("string").alias("pk_id"),
+            F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("m"), "id")).alias("id"),
+            F.lit("ref").alias("stationreference"), F.current_timestamp().alias("datetime"),
+            F.lit(1.0).alias("value"), F.lit("m").alias("unit"),
+            F.current_timestamp().alias("last_update"), F.col("id").alias("sequence"))
+        view = stations_measurements(s, m)
+        assert len(view.collect()) == 100_000
+        assert "skew=true" in view._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
