@@ -1,20 +1,34 @@
 """Zone-less UTC times, local times and ingestion stamps."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 LOCAL_ZONE = "Europe/Vienna"
 DISPLAY_FORMAT = "yyyy-MM-dd HH:mm"
 
 
+def _epoch():
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+
+
 def utc_wall_clock(df, column):
     """The column as a zone-less UTC time, right under any session zone."""
     value = df[column]
     if isinstance(df.schema[column].dataType, TimestampType):
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
+        seconds = (F.unix_micros(value).cast("decimal(18, 0)") / 1_000_000).cast("decimal(18, 6)")
+        return _epoch() + F.make_dt_interval(secs=seconds)
     return value.cast("timestamp_ntz")
 
 
+def utc_instant(df, column):
+    """The column as an instant; a zone-less time is taken as UTC under any session zone."""
+    value = df[column]
+    if isinstance(df.schema[column].dataType, TimestampNTZType):
+        seconds = (value - _epoch()).cast("interval second").cast("decimal(20, 6)")
+        return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
+    return value.cast("timestamp")
+
+
 def local_time(utc, zone=LOCAL_ZONE):
     """A zone-less UTC time as zone-less local time."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
@@ -30,4 +44,4 @@ def stamp(fetched_at, sequence):
     Later rows of a fetch get later stamps, and a fetch read twice gives the same stamps,
     so a replayed row is recognisable. ``fetched_at`` may be ``current_timestamp()``.
     """
-    return F.timestamp_micros(F.unix_micros(fetched_at.cast("timestamp")) + sequence)
+    return F.timestamp_micros(F.unix_micros(fetched_at) + sequence)

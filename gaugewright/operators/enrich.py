@@ -9,11 +9,7 @@ from gaugewright.operators.latest import latest_by_key
 def stage_scale_table(documents):
     """``url, high, low`` from landed stage-scale documents, the latest fetch per URL."""
     usable = documents.where(F.col("items").isNotNull())
-    if "fetched_at" in usable.columns:
-        usable = latest_by_key(usable, "url", "fetched_at")
-    else:
-        usable = usable.dropDuplicates(["url"])
-    return usable.select(
+    return latest_by_key(usable, "url", "fetched_at", ["items"]).select(
         "url",
         F.col("items.typicalRangeHigh").alias("high"),
         F.col("items.typicalRangeLow").alias("low"),

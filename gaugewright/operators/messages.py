@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from gaugewright.functions.text import message_json
-from gaugewright.functions.times import stamp
+from gaugewright.functions.times import stamp, utc_instant
 from gaugewright.schemas import message_schema
 
 
@@ -12,7 +12,7 @@ def with_stamp(rows, fetched_at="fetched_at"):
     place = F.col("item_pos") * F.col("width")
     if "measure_pos" in rows.columns:
         place = place + F.col("measure_pos")
-    return rows.withColumn("last_update", stamp(F.col(fetched_at), place))
+    return rows.withColumn("last_update", stamp(utc_instant(rows, fetched_at), place))
 
 
 def to_messages(rows, topic, key="raw"):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gaugewright.functions.colours import hex_to_rgb, range_colour
 from gaugewright.functions.numbers import round_half_even
-from gaugewright.functions.times import utc_wall_clock
+from gaugewright.functions.times import utc_instant, utc_wall_clock
 from gaugewright.operators.decode import accepted, decode, expand, parse, rejects
 from gaugewright.operators.enrich import enrich_stage_scale
 from gaugewright.operators.latest import (
@@ -60,6 +60,7 @@ from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN
 from gaugewright.session import work_path
 from gaugewright.sinks.history import ingest_date, rewrite_by_date
 from gaugewright.sources.documents import read_documents
+from gaugewright.sources.history import read_dated
 from gaugewright.sources.topics import FileTopics
 
 REFRESH_FROM = "2024-01-16 00:00:00"
@@ -312,16 +313,13 @@ def history_by_date(spark, sf_dir):
     """History rewritten into date folders, read back for part of the dates."""
     path = work_path(spark, "by-date")
     history = measurement_history(spark, sf_dir)
-    instants = history.withColumn("last_update", F.col("last_update").cast("timestamp"))
-    rewrite_by_date(instants.withColumn("ingest_date", ingest_date()), path)
-    stored = spark.read.schema(f"{_ddl(instants)}, ingest_date DATE").parquet(path)
-    return stored.where(F.col("ingest_date") >= F.lit(REFRESH_FROM).cast("date")).select(
-        "pk_id", "id", "value", "ingest_date"
-    )
-
-
-def _ddl(df):
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    history = history.withColumns({
+        c: utc_instant(history, c) for c in ("datetime", "last_update")
+    })
+    rewrite_by_date(history.withColumn("ingest_date", ingest_date()), path)
+    stored = read_dated(spark, path, MEASUREMENTS)
+    recent = stored.where(F.col("ingest_date") >= F.lit(REFRESH_FROM).cast("date"))
+    return _zone_less(recent, "datetime", "last_update")
 
 
 # Presentation --------------------------------------------------------------------------

@@ -293,8 +293,7 @@ ORACLES = {
     "latest_joined": f"WITH {_VIEWS} SELECT * FROM joined",
     "view_read": f"WITH {_VIEWS} SELECT * FROM joined",
     "history_by_date": f"""WITH {_MEASUREMENT_HISTORY}
-        SELECT pk_id, id, value, CAST(last_update AS DATE) AS ingest_date
-        FROM measurement_history
+        SELECT *, CAST(last_update AS DATE) AS ingest_date FROM measurement_history
         WHERE CAST(last_update AS DATE) >= CAST(TIMESTAMP '{REFRESH_FROM}' AS DATE)""",
     "local_time": f"SELECT event_id AS sequence, {_local('ts')} AS last_update FROM events",
     "unit_relabel": f"""WITH {_MEASUREMENT_HISTORY}

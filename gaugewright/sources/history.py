@@ -37,6 +37,12 @@ def read_rejects(spark, path, topic, layout=RELATIONAL):
     )
 
 
+def read_dated(spark, path, topic, layout=RELATIONAL):
+    """History rewritten into date folders; a filter on ``ingest_date`` selects folders."""
+    fields = table_schema(topic, layout).fields + StructType.fromDDL("ingest_date DATE").fields
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def read_jdbc(spark, target, table):
     """A table or view of a relational database; filters and columns are pushed to it."""
     return spark.read.format("jdbc").options(**target.read_options(table)).load()

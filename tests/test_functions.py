@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gaugewright.functions.colours import hex_to_rgb
 from gaugewright.functions.numbers import nan_to_null, number_text, round_half_even
 from gaugewright.functions.text import hashed_id, message_json
-from gaugewright.functions.times import local_time_text, stamp, utc_wall_clock
+from gaugewright.functions.times import local_time_text, stamp, utc_instant, utc_wall_clock
 
 
 def one(spark, column):
@@ -63,11 +63,29 @@ def test_local_time(spark, utc, local):
 def test_utc_wall_clock_under_any_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        df = spark.range(1).select(F.timestamp_seconds(F.lit(1704067200)).alias("t"))
-        got = df.select(utc_wall_clock(df, "t").cast("string").alias("t")).first()["t"]
+        # In New York both of these are 01:30 on the day the clocks go back.
+        df = spark.range(2).select(F.timestamp_seconds(F.lit(1730611800) + F.col("id") * 3600)
+                                   .alias("t"))
+        got = {r["t"] for r in df.select(utc_wall_clock(df, "t").cast("string").alias("t"))
+               .collect()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert got == "2024-01-01 00:00:00"
+    assert got == {"2024-11-03 05:30:00", "2024-11-03 06:30:00"}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_utc_instant_under_any_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # 02:30 does not exist in New York on this day.
+        df = spark.range(1).select(
+            F.to_timestamp_ntz(F.lit("2024-03-10 02:30:00.000007")).alias("t"))
+        micros = df.select(F.unix_micros(utc_instant(df, "t")).alias("t")).first()["t"]
+        back = df.select(utc_instant(df, "t").alias("t"))
+        text = back.select(utc_wall_clock(back, "t").cast("string").alias("t")).first()["t"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert micros == 1710037800000007 and text == "2024-03-10 02:30:00.000007"
 
 
 def test_stamps_of_later_rows_are_later(spark):

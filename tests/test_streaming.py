@@ -9,7 +9,7 @@ from gaugewright.operators.decode import decode
 from gaugewright.plans.views import latest_measurements, stations_measurements
 from gaugewright.schemas import MEASUREMENTS, STATIONS
 from gaugewright.sinks.history import HistorySink, ingest_date, rewrite_by_date
-from gaugewright.sources.history import read_history, read_rejects, read_stored
+from gaugewright.sources.history import read_dated, read_history, read_rejects, read_stored
 from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, fan_out, start_topics
 from gaugewright.streaming.progress import BatchLog
@@ -182,7 +182,9 @@ def test_dates_are_read_selectively_and_rewritten(spark, place):
     assert "ingest_date" in text.split("PartitionFilters")[1].split("]")[0]
     target = str(place.path / "dates")
     rewrite_by_date(read_history(spark, place.history, MEASUREMENTS), target)
-    assert spark.read.parquet(target).select("id", "ingest_date").collect().__len__() == 2
+    dated = read_dated(spark, target, MEASUREMENTS)
+    assert [r["id"] for r in dated.where("ingest_date = '2024-01-02'").collect()] == ["b"]
+    assert dated.count() == 2
 
 
 def test_ingest_date_is_utc_in_any_session(spark):
