@@ -21,13 +21,8 @@ def hashed_id(*parts):
     The same message gets the same id when it is read again, unlike a random id.
     """
     digest = F.sha2(F.concat_ws("|", *parts), 256)
-    return F.concat_ws(
-        "-",
-        F.substring(digest, 1, 8),
-        F.substring(digest, 9, 4),
-        F.concat(F.lit("8"), F.substring(digest, 14, 3)),
-        F.concat(F.lit("8"), F.substring(digest, 18, 3)),
-        F.substring(digest, 21, 12),
+    return F.regexp_replace(
+        digest, "^(.{8})(.{4}).(.{3}).(.{3})(.{12}).*$", "$1-$2-8$3-8$4-$5"
     )
 
 

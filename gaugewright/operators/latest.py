@@ -5,7 +5,7 @@ from pyspark.sql import Window, functions as F
 from gaugewright.session import shared_folder
 
 # A broadcast copy of the keys' maxima may take this much memory on each executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
 # Room for a row's fixed part in the broadcast hash table.
 ROW_BYTES = 64
 

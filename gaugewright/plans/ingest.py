@@ -75,3 +75,10 @@ def station_messages(documents, stage_scale, key="raw", strict=False):
 
 def measurement_messages(documents, key="raw"):
     return to_messages(measurement_rows(documents), MEASUREMENTS, key)
+
+
+def measurement_output(documents, key="raw"):
+    """Messages with the topic they belong to."""
+    return measurement_messages(documents, key).select(
+        F.lit(MEASUREMENTS).alias("topic"), "key", "value"
+    )

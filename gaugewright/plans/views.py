@@ -11,7 +11,7 @@ from gaugewright.schemas import (
 )
 
 
-# Output name and source of the joined view's columns: s. stations, m. measurements.
+# Output name and source of the joined view's columns, s. stations, m. measurements.
 JOINED_COLUMNS = {
     "station_id": "s.rloiid",
     "station_notation": "s.notation",

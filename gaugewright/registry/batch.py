@@ -47,8 +47,8 @@ from gaugewright.plans.views import (
     register_views,
     stations_measurements,
 )
-from gaugewright.registry import fixtures
 from gaugewright.registry.fixtures import (
+    land_measurement_documents,
     measurement_documents,
     measurement_history,
     stage_scales,
@@ -112,12 +112,7 @@ def documents_to_status(spark, sf_dir):
 def landed_documents(spark, sf_dir):
     """Documents written as files, one per line, and read back as a landing folder."""
     path = work_path(spark, "landing")
-    texts = fixtures.measurement_document_texts(spark, sf_dir)
-    landed = texts.select(F.concat(
-        F.expr("left(document, length(document) - 1)"),
-        F.lit(',"fetched":"'), F.col("fetched_at").cast("string"), F.lit('"}'),
-    ).alias("value"))
-    landed.write.text(path)
+    land_measurement_documents(spark, sf_dir, path)
     documents = read_documents(spark, path, multi_line=False, fetched_at="fetched")
     rows = measurement_rows(documents)
     return _zone_less(rows, "last_update").select(
@@ -310,16 +305,14 @@ def view_read(spark, sf_dir):
 
 
 def history_by_date(spark, sf_dir):
-    """History rewritten into date folders, read back for part of the dates."""
+    """History rewritten into date folders and read back."""
     path = work_path(spark, "by-date")
     history = measurement_history(spark, sf_dir)
     history = history.withColumns({
         c: utc_instant(history, c) for c in ("datetime", "last_update")
     })
     rewrite_by_date(history.withColumn("ingest_date", ingest_date()), path)
-    stored = read_dated(spark, path, MEASUREMENTS)
-    recent = stored.where(F.col("ingest_date") >= F.lit(REFRESH_FROM).cast("date"))
-    return _zone_less(recent, "datetime", "last_update")
+    return _zone_less(read_dated(spark, path, MEASUREMENTS), "datetime", "last_update")
 
 
 # Presentation --------------------------------------------------------------------------

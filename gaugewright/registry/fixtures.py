@@ -87,6 +87,14 @@ def measurement_document_texts(spark, sf_dir):
     )
 
 
+def land_measurement_documents(spark, sf_dir, path):
+    """Write the documents as files, one per line, each with the time of its fetch."""
+    measurement_document_texts(spark, sf_dir).select(F.concat(
+        F.expr("left(document, length(document) - 1)"),
+        F.lit(',"fetched":"'), F.col("fetched_at").cast("string"), F.lit('"}'),
+    ).alias("value")).write.text(path)
+
+
 def measurement_documents(spark, sf_dir):
     return parse_documents(measurement_document_texts(spark, sf_dir))
 

@@ -2,7 +2,6 @@
 
 from gaugewright.functions.colours import BELOW_RANGE, IN_RANGE, OTHER
 from gaugewright.functions.times import LOCAL_ZONE
-from gaugewright.registry.batch import REFRESH_FROM
 from gaugewright.registry.fixtures import METER, STATIONS_FETCHED
 
 # The test tables as gauge data -----------------------------------------------------------
@@ -28,22 +27,16 @@ _STATION_HISTORY = """station_history AS (
     o_orderdate AS last_update, o_orderkey AS sequence
   FROM orders)"""
 
-# Latest rows as grouped maximum, self-join and distinct-on.
+# Equal times go to the larger sequence.
 _LATEST_MEASUREMENTS = """latest_measurements AS (
-  SELECT DISTINCT ON (m.id, m.last_update) m.id, m.last_update, m.stationreference,
-    m.datetime, m.value, m.unit
-  FROM measurement_history m JOIN (
-    SELECT id, max(last_update) AS latest FROM measurement_history GROUP BY id) l
-    ON m.id = l.id AND m.last_update = l.latest
-  ORDER BY m.id, m.last_update, m.sequence DESC)"""
+  SELECT id, last_update, stationreference, datetime, value, unit
+  FROM measurement_history WHERE id IS NOT NULL AND last_update IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY last_update DESC, sequence DESC) = 1)"""
 
 _LATEST_STATIONS = """latest_stations AS (
-  SELECT DISTINCT ON (s.rloiid) s.pk_id, s.rloiid, s.label, s.measures_id, s.notation,
-    s.rivername, s.typicalrangehigh, s.typicalrangelow, s.town, s.lat, s.long, s.last_update
-  FROM station_history s JOIN (
-    SELECT rloiid, max(last_update) AS latest FROM station_history GROUP BY rloiid) l
-    ON s.rloiid = l.rloiid AND s.last_update = l.latest
-  ORDER BY s.rloiid, s.sequence DESC)"""
+  SELECT * EXCLUDE (sequence)
+  FROM station_history WHERE rloiid IS NOT NULL AND last_update IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY rloiid ORDER BY last_update DESC, sequence DESC) = 1)"""
 
 _JOINED = """joined AS (
   SELECT s.rloiid AS station_id, s.notation AS station_notation, s.label AS station_name,
@@ -217,10 +210,8 @@ _RANGES = f"""ranges AS (
     event_id % 90 + 0.375::DOUBLE AS typical_range_high
   FROM events)"""
 
-_LATEST_ORDER = """SELECT DISTINCT ON (o.o_custkey) o.* FROM orders o JOIN (
-  SELECT o_custkey, max(o_orderdate) AS latest FROM orders GROUP BY o_custkey) l
-  ON o.o_custkey = l.o_custkey AND o.o_orderdate = l.latest
-ORDER BY o.o_custkey, o.o_orderkey DESC"""
+_LATEST_ORDER = """SELECT * FROM orders QUALIFY
+  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
 
 ORACLES = {
     "station_status": _STATUS,
@@ -256,6 +247,8 @@ ORACLES = {
         SELECT id AS key, message AS value FROM measurement_messages""",
     "topic_files": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
         SELECT key, message AS value FROM measurement_messages""",
+    "ingest_stream": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
+        SELECT key, message AS value FROM measurement_messages""",
     "stage_scale_latest": f"WITH {_SCALES} SELECT * FROM scales",
     "stage_scale_enrich": f"""WITH {_SCALES}
         SELECT c_custkey, 'stageScale/' || c_nationkey AS link, high, low,
@@ -276,9 +269,8 @@ ORACLES = {
           {_hashed_id("'measurements|' || user_id || '|' || event_id")} AS pk_id,
           event_id AS sequence, event_type AS unit FROM events""",
     "max_last_update": "SELECT user_id, max(ts) AS max_last_update FROM events GROUP BY user_id",
-    "latest_self_join": """SELECT o.* FROM orders o JOIN (
-        SELECT o_custkey, max(o_orderdate) AS latest FROM orders GROUP BY o_custkey) l
-        ON o.o_custkey = l.o_custkey AND o.o_orderdate = l.latest""",
+    "latest_self_join": """SELECT * FROM orders QUALIFY
+        rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) = 1""",
     "distinct_on": """SELECT DISTINCT ON (o_custkey, o_orderdate) * FROM orders
         ORDER BY o_custkey, o_orderdate, o_orderkey""",
     "latest_order": _LATEST_ORDER,
@@ -293,8 +285,7 @@ ORACLES = {
     "latest_joined": f"WITH {_VIEWS} SELECT * FROM joined",
     "view_read": f"WITH {_VIEWS} SELECT * FROM joined",
     "history_by_date": f"""WITH {_MEASUREMENT_HISTORY}
-        SELECT *, CAST(last_update AS DATE) AS ingest_date FROM measurement_history
-        WHERE CAST(last_update AS DATE) >= CAST(TIMESTAMP '{REFRESH_FROM}' AS DATE)""",
+        SELECT *, CAST(last_update AS DATE) AS ingest_date FROM measurement_history""",
     "local_time": f"SELECT event_id AS sequence, {_local('ts')} AS last_update FROM events",
     "unit_relabel": f"""WITH {_MEASUREMENT_HISTORY}
         SELECT sequence, CASE WHEN unit = '{METER}' THEN 'm' ELSE unit END AS unit

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from gaugewright.functions.times import utc_wall_clock
-from gaugewright.plans.ingest import measurement_messages, station_messages
+from gaugewright.plans.ingest import measurement_messages, measurement_output, station_messages
 from gaugewright.plans.status import station_status
 from gaugewright.plans.views import latest_measurements
 from gaugewright.registry.fixtures import (
+    land_measurement_documents,
     measurement_documents,
     stage_scales,
     station_documents,
@@ -15,9 +16,10 @@ from gaugewright.registry.fixtures import (
 from gaugewright.schemas import MEASUREMENTS, STATIONS
 from gaugewright.session import work_path
 from gaugewright.sinks.history import HistorySink
+from gaugewright.sources.documents import read_documents
 from gaugewright.sources.history import read_history, read_rejects
 from gaugewright.sources.topics import FileTopics
-from gaugewright.streaming.consume import await_all, consume, start_topics
+from gaugewright.streaming.consume import await_all, consume, start_topics, to_topics
 from gaugewright.streaming.state import read_state, start_latest_state
 
 # Bound of a micro-batch; the test tables fit in one.
@@ -46,6 +48,19 @@ def _consume(spark, topics, base, *wanted):
     return [read_history(spark, sinks[topic].path, topic) for topic in wanted]
 
 
+def ingest_stream(spark, sf_dir):
+    """A landing folder followed as a stream: documents in, messages out."""
+    base = work_path(spark, "ingest-stream")
+    land_measurement_documents(spark, sf_dir, f"{base}/landing")
+    documents = read_documents(
+        spark, f"{base}/landing", stream=True, multi_line=False, fetched_at="fetched"
+    )
+    topics = FileTopics(f"{base}/topics")
+    await_all([consume(documents, "ingest", to_topics(topics, measurement_output),
+                       f"{base}/checkpoint", available_now=True)])
+    return topics.read(spark, MEASUREMENTS)
+
+
 def history_stream(spark, sf_dir):
     """The history a stream leaves behind."""
     base = work_path(spark, "history-stream")
@@ -96,6 +111,7 @@ def rejects_stream(spark, sf_dir):
 
 
 QUERIES = {
+    "ingest_stream": ingest_stream,
     "history_stream": history_stream,
     "latest_measurements_stream": latest_measurements_stream,
     "latest_state_stream": latest_state_stream,

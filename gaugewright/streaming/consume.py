@@ -25,6 +25,12 @@ def fan_out(*sinks):
     return save
 
 
+def to_topics(topics, output):
+    """Sink for a stream of documents: ``output`` turns a batch of them into messages that
+    name their topic. A replayed batch sends its messages again, with the same stamps."""
+    return lambda documents, run, epoch: topics.write_all(output(documents))
+
+
 def consume(messages, topic, sink, checkpoint, trigger=TRIGGER, available_now=False):
     """Start a query that hands each batch of messages to ``sink(batch, run, epoch)``.
 
