@@ -5,7 +5,10 @@
     consume --topics kafka:HOST:9092 --checkpoint DIR --history DIR
     consume --topics kafka:HOST:9092 --checkpoint DIR --jdbc-url URL --jdbc-driver CLASS
     consume --topics kafka:HOST:9092 --checkpoint DIR --keyspace NAME
-    status --history DIR --output DIR
+    state --topics kafka:HOST:9092 --checkpoint DIR --state DIR
+    snapshot --history DIR --output DIR [--snapshot DIR --since DATE]
+    status --history DIR --output DIR [--snapshot DIR --since DATE]
+    status --state DIR --output DIR
 
 A database's user and password are read from JDBC_USER and JDBC_PASSWORD; settings of a
 Cassandra cluster are given to Spark as ``--conf spark.cassandra.*``.
@@ -16,15 +19,16 @@ import os
 
 from gaugewright.operators.enrich import stage_scale_table
 from gaugewright.operators.latest import latest_by_key, latest_by_key_two_pass
+from gaugewright.plans.current import current_rows, write_snapshot
 from gaugewright.plans.ingest import measurement_output, station_output
-from gaugewright.plans.status import station_status
+from gaugewright.plans.status import map_rows
+from gaugewright.plans.views import join_current
 from gaugewright.schemas import MEASUREMENTS, STATIONS
 from gaugewright.session import build_session
 from gaugewright.sinks.history import HistorySink
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
 from gaugewright.sources.documents import read_documents, read_stage_scales
-from gaugewright.sources.history import read_history
 from gaugewright.sources.topics import FileTopics, KafkaTopics
 from gaugewright.streaming.consume import (
     TRIGGER,
@@ -35,6 +39,7 @@ from gaugewright.streaming.consume import (
     to_topics,
 )
 from gaugewright.streaming.progress import BatchLog
+from gaugewright.streaming.state import read_state, start_latest_state
 
 
 def _topics(text):
@@ -63,16 +68,26 @@ def _arguments(argv):
     consumer.add_argument("--jdbc-schema")
     consumer.add_argument("--keyspace")
 
-    for streaming in (ingest, consumer):
+    state = jobs.add_parser("state")
+    state.add_argument("--state", required=True)
+
+    for streaming in (ingest, consumer, state):
         streaming.add_argument("--topics", type=_topics, required=True)
         streaming.add_argument("--checkpoint", required=True)
         streaming.add_argument("--trigger", default=TRIGGER)
         streaming.add_argument("--available-now", action="store_true")
 
+    snapshot = jobs.add_parser("snapshot")
+    snapshot.add_argument("--history", required=True)
     status = jobs.add_parser("status")
-    status.add_argument("--history", required=True)
-    status.add_argument("--output", required=True)
-    status.add_argument("--two-pass", action="store_true", help="few keys, many rows")
+    read_from = status.add_mutually_exclusive_group(required=True)
+    read_from.add_argument("--history")
+    read_from.add_argument("--state")
+    for batch in (snapshot, status):
+        batch.add_argument("--output", required=True)
+        batch.add_argument("--snapshot", help="folder of an earlier snapshot")
+        batch.add_argument("--since", help="first date to read beside the snapshot")
+        batch.add_argument("--two-pass", action="store_true", help="few keys, many rows")
     return parser.parse_args(argv)
 
 
@@ -113,18 +128,48 @@ def run_consume(spark, args):
                            available_now=args.available_now))
 
 
-def run_status(spark, args):
-    histories = [read_history(spark, f"{args.history}/{topic}", topic)
-                 for topic in (STATIONS, MEASUREMENTS)]
+def run_state(spark, args):
+    await_all([
+        start_latest_state(spark, args.topics, topic, f"{args.state}/{topic}",
+                           f"{args.checkpoint}/{topic}", args.trigger, args.available_now)
+        for topic in (STATIONS, MEASUREMENTS)
+    ])
+
+
+def _current(spark, args, topic):
+    snapshot = f"{args.snapshot}/{topic}" if args.snapshot else None
     form = latest_by_key_two_pass if args.two_pass else latest_by_key
-    station_status(*histories, latest=form).write.mode("overwrite").parquet(args.output)
+    return current_rows(spark, f"{args.history}/{topic}", topic, snapshot, args.since, form)
+
+
+def run_snapshot(spark, args):
+    for topic in (STATIONS, MEASUREMENTS):
+        write_snapshot(_current(spark, args, topic), f"{args.output}/{topic}")
+
+
+def run_status(spark, args):
+    if args.state:
+        current = [read_state(spark, f"{args.state}/{topic}", topic)
+                   for topic in (STATIONS, MEASUREMENTS)]
+    else:
+        current = [_current(spark, args, topic) for topic in (STATIONS, MEASUREMENTS)]
+    map_rows(join_current(*current)).write.mode("overwrite").parquet(args.output)
+
+
+JOBS = {
+    "ingest": run_ingest,
+    "consume": run_consume,
+    "state": run_state,
+    "snapshot": run_snapshot,
+    "status": run_status,
+}
 
 
 def main(argv=None, spark=None):
     args = _arguments(argv)
     spark = spark or build_session()
     spark.streams.addListener(BatchLog())
-    {"ingest": run_ingest, "consume": run_consume, "status": run_status}[args.job](spark, args)
+    JOBS[args.job](spark, args)
 
 
 if __name__ == "__main__":

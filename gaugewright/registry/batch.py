@@ -30,6 +30,7 @@ from gaugewright.operators.unnest import (
     unnest_measures,
     with_reading,
 )
+from gaugewright.plans.current import current_rows, write_snapshot
 from gaugewright.plans.ingest import (
     REJECTS_SUFFIX,
     measurement_messages,
@@ -41,6 +42,7 @@ from gaugewright.plans.ingest import (
 )
 from gaugewright.plans.status import map_rows, present, station_status
 from gaugewright.plans.views import (
+    join_current,
     latest_measurements,
     latest_stations,
     refresh_latest,
@@ -58,8 +60,8 @@ from gaugewright.registry.fixtures import (
 )
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN
 from gaugewright.session import work_path
-from gaugewright.sinks.history import ingest_date, rewrite_by_date
-from gaugewright.sources.documents import read_documents
+from gaugewright.sinks.history import HistorySink, ingest_date, rewrite_by_date
+from gaugewright.sources.documents import read_documents, read_items
 from gaugewright.sources.history import read_dated
 from gaugewright.sources.topics import FileTopics
 
@@ -107,6 +109,26 @@ def documents_to_status(spark, sf_dir):
     )
 
 
+def status_from_snapshot(spark, sf_dir):
+    """Status from a snapshot of the earlier half of the history and the dates since."""
+    base = work_path(spark, "snapshot")
+    sinks = {topic: HistorySink(f"{base}/{topic}", topic) for topic in (STATIONS, MEASUREMENTS)}
+    documents = measurement_documents(spark, sf_dir)
+    since = F.to_timestamp_ntz(F.lit(REFRESH_FROM))
+    earlier = documents.where(F.col("fetched_at") < since)
+    later = documents.where(F.col("fetched_at") >= since)
+    stations = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
+    sinks[STATIONS](stations, "load", 0)
+    sinks[MEASUREMENTS](measurement_messages(earlier), "load", 0)
+    for topic, sink in sinks.items():
+        write_snapshot(current_rows(spark, sink.path, topic), f"{base}/snapshot/{topic}")
+    sinks[MEASUREMENTS](measurement_messages(later), "load", 1)
+    return map_rows(join_current(*[
+        current_rows(spark, sink.path, topic, f"{base}/snapshot/{topic}", REFRESH_FROM[:10])
+        for topic, sink in sinks.items()
+    ]))
+
+
 # Sources and ingest --------------------------------------------------------------------
 
 def landed_documents(spark, sf_dir):
@@ -120,6 +142,16 @@ def landed_documents(spark, sf_dir):
     )
 
 
+def landed_items(spark, sf_dir):
+    """Items written one per line and read back; files split between any two lines."""
+    path = work_path(spark, "items")
+    items = measurement_items(measurement_documents(spark, sf_dir))
+    items.select("raw").write.text(path)
+    return flat_measurement(with_reading(measurement_items(read_items(spark, path)))).select(
+        "raw", "id", "stationreference", "datetime", "value", "unit"
+    )
+
+
 def measurement_items_flat(spark, sf_dir):
     return flat_measurement(measurement_items(measurement_documents(spark, sf_dir))).select(
         "item_pos", "id", "stationreference", "datetime", "value", "unit"
@@ -367,7 +399,9 @@ QUERIES = {
     "station_status": status,
     "station_status_two_pass": status_two_pass,
     "documents_to_status": documents_to_status,
+    "status_from_snapshot": status_from_snapshot,
     "landed_documents": landed_documents,
+    "landed_items": landed_items,
     "document_explode": measurement_items_flat,
     "not_null_filter": not_null_filter,
     "matching_items": matching_items,

@@ -310,6 +310,10 @@ ORACLES = {
     "latest_measurements_stream": _DOCUMENT_LATEST,
     "latest_state_stream": _DOCUMENT_LATEST,
     "status_stream": _DOCUMENT_STATUS,
+    "status_from_state": _DOCUMENT_STATUS,
+    "status_from_snapshot": _DOCUMENT_STATUS,
+    "landed_items": f"""WITH {_READINGS} SELECT raw, id, stationreference, datetime, value, unit
+        FROM readings WHERE event_type <> 'error'""",
     "rejects_stream": """SELECT
           CASE WHEN trim(text) = '' THEN 'empty message' ELSE 'malformed message' END
             AS reject_reason, text AS reject_value FROM documents""",

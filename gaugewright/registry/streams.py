@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from gaugewright.functions.times import utc_wall_clock
 from gaugewright.plans.ingest import measurement_messages, measurement_output, station_messages
-from gaugewright.plans.status import station_status
-from gaugewright.plans.views import latest_measurements
+from gaugewright.plans.status import map_rows, station_status
+from gaugewright.plans.views import join_current, latest_measurements
 from gaugewright.registry.fixtures import (
     land_measurement_documents,
     measurement_documents,
@@ -87,6 +87,21 @@ def latest_state_stream(spark, sf_dir):
     return _zone_less(current, "datetime", "last_update")
 
 
+def status_from_state(spark, sf_dir):
+    """The status of every station from the streaming state of both topics."""
+    base = work_path(spark, "state-status")
+    topics = _topics(spark, sf_dir, base, STATIONS, MEASUREMENTS)
+    wanted = (STATIONS, MEASUREMENTS)
+    await_all([
+        start_latest_state(spark, topics, topic, f"{base}/state/{topic}",
+                           f"{base}/checkpoints/{topic}", available_now=True)
+        for topic in wanted
+    ])
+    return map_rows(join_current(*[
+        read_state(spark, f"{base}/state/{topic}", topic) for topic in wanted
+    ]))
+
+
 def status_stream(spark, sf_dir):
     """Both topics consumed side by side, then the status of every station."""
     base = work_path(spark, "status-stream")
@@ -115,6 +130,7 @@ QUERIES = {
     "history_stream": history_stream,
     "latest_measurements_stream": latest_measurements_stream,
     "latest_state_stream": latest_state_stream,
+    "status_from_state": status_from_state,
     "status_stream": status_stream,
     "rejects_stream": rejects_stream,
 }

@@ -41,6 +41,19 @@ def read_documents(spark, path, stream=False, multi_line=True, on_bad="fail", fe
     return _read(spark, path, DOCUMENT, stream, multi_line, on_bad, fetched_at, options)
 
 
+def read_items(spark, path, stream=False, options=None):
+    """Landed items, one raw item per line, as documents of one item each.
+
+    A document is parsed by one task; items that come in bulk should land like this, since
+    such files split anywhere between lines.
+    """
+    reader = (spark.readStream if stream else spark.read).options(**(options or {}))
+    return reader.text(path).select(
+        F.array("value").alias("items"),
+        F.col("_metadata.file_modification_time").alias("fetched_at"),
+    )
+
+
 def read_stage_scales(spark, path, multi_line=True, on_bad="fail", options=None):
     """Stage-scale documents, landed with their ``url``."""
     return _read(spark, path, STAGE_SCALE_DOCUMENT, False, multi_line, on_bad, None, options)

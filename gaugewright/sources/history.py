@@ -43,6 +43,15 @@ def read_dated(spark, path, topic, layout=RELATIONAL):
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
-def read_jdbc(spark, target, table):
-    """A table or view of a relational database; filters and columns are pushed to it."""
-    return spark.read.format("jdbc").options(**target.read_options(table)).load()
+def read_jdbc(spark, target, table, split=None):
+    """A table or view of a relational database; filters and columns are pushed to it.
+
+    ``split`` is ``(column, lower, upper, parts)``: a numeric or time column to read by in
+    parallel. Without it one task reads all.
+    """
+    options = target.read_options(table)
+    if split:
+        column, lower, upper, parts = split
+        options.update(partitionColumn=column, lowerBound=str(lower), upperBound=str(upper),
+                       numPartitions=str(parts))
+    return spark.read.format("jdbc").options(**options).load()

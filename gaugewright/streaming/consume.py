@@ -31,11 +31,12 @@ def to_topics(topics, output):
     return lambda documents, run, epoch: topics.write_all(output(documents))
 
 
-def consume(messages, topic, sink, checkpoint, trigger=TRIGGER, available_now=False):
+def consume(messages, topic, sink, checkpoint, trigger=TRIGGER, available_now=False, name=None):
     """Start a query that hands each batch of messages to ``sink(batch, run, epoch)``.
 
     The checkpoint is required: a restarted query goes on where it stopped, and replays at most
-    its last batch. ``available_now`` works off what is there, in batches, and ends.
+    its last batch. ``available_now`` works off what is there, in batches, and ends. Give
+    queries on one topic in one session different names.
     """
     if not checkpoint:
         raise ValueError("a checkpoint folder is required")
@@ -45,7 +46,7 @@ def consume(messages, topic, sink, checkpoint, trigger=TRIGGER, available_now=Fa
         log.info("epoch %s: saved messages of topic %s", epoch, topic)
 
     writer = (
-        messages.writeStream.queryName(topic)
+        messages.writeStream.queryName(name or topic)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(save)

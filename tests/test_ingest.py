@@ -18,7 +18,12 @@ from gaugewright.plans.ingest import (
 )
 from gaugewright.plans.views import latest_stations
 from gaugewright.schemas import STATIONS
-from gaugewright.sources.documents import parse_documents, read_documents, read_stage_scales
+from gaugewright.sources.documents import (
+    parse_documents,
+    read_documents,
+    read_items,
+    read_stage_scales,
+)
 
 # What a failed job raises depends on where it failed.
 JOB_ERRORS = (PySparkException, Py4JJavaError)
@@ -164,6 +169,14 @@ def test_landed_lines_with_fetch_time_and_bad_document(spark, tmp_path):
         read_documents(spark, str(tmp_path), on_bad="maybe")
 
 
+def test_landed_items_one_per_line(spark, tmp_path):
+    lines = [json.dumps({"@id": i, "latestReading": {"value": 1.0}}) for i in "abc"]
+    (tmp_path / "items.json").write_text("\n".join(lines))
+    rows = measurement_rows(read_items(spark, str(tmp_path))).collect()
+    assert sorted(r["id"] for r in rows) == ["a", "b", "c"]
+    assert {r["raw"] for r in rows} == set(lines)
+
+
 def test_stage_scale_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(
         {"url": "u1", "items": {"typicalRangeHigh": 2.0, "typicalRangeLow": 1.0}}))

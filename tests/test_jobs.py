@@ -30,8 +30,15 @@ def test_documents_to_status_by_jobs(spark, tmp_path):
         "--checkpoint", tmp_path / "c2", "--available-now")
     run("consume", "--topics", topics, "--checkpoint", tmp_path / "c3", "--history",
         tmp_path / "history", "--available-now")
-    for form in ([], ["--two-pass"]):
-        run("status", "--history", tmp_path / "history", "--output", tmp_path / "out", *form)
+    run("state", "--topics", topics, "--checkpoint", tmp_path / "c4", "--state",
+        tmp_path / "state", "--available-now")
+    run("snapshot", "--history", tmp_path / "history", "--output", tmp_path / "snapshot")
+    for source in (["--history", tmp_path / "history"],
+                   ["--history", tmp_path / "history", "--two-pass"],
+                   ["--history", tmp_path / "history", "--snapshot", tmp_path / "snapshot",
+                    "--since", "2020-01-01"],
+                   ["--state", tmp_path / "state"]):
+        run("status", *source, "--output", tmp_path / "out")
         [row] = spark.read.parquet(str(tmp_path / "out")).collect()
         assert row["station_name"] == "One" and row["color"] == [0, 51, 255]
         assert row["last_update"] == "2024-07-01 14:00"

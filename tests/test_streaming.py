@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from gaugewright.operators.decode import decode
+from gaugewright.plans.current import current_rows, write_snapshot
 from gaugewright.plans.views import latest_measurements, stations_measurements
 from gaugewright.schemas import MEASUREMENTS, STATIONS
 from gaugewright.sinks.history import HistorySink, ingest_date, rewrite_by_date
@@ -207,3 +208,18 @@ def test_batches_are_logged(spark, place, caplog):
     finally:
         spark.streams.removeListener(listener)
     assert "epoch 0: saved messages of topic measurements" in caplog.text
+
+
+def test_snapshot_and_later_dates_equal_the_whole_history(spark, place):
+    day2 = message("a", 2.0).replace("2024-01-01 00", "2024-01-02 00")
+    send(spark, place.topics, message("a", 1.0), message("b", 1.5, 3))
+    place.run(spark)
+    snapshot = str(place.path / "snapshot")
+    write_snapshot(current_rows(spark, place.history, MEASUREMENTS), snapshot)
+    send(spark, place.topics, day2)
+    place.run(spark)
+    rows = current_rows(spark, place.history, MEASUREMENTS, snapshot, "2024-01-02")
+    assert sorted((r["id"], r["value"]) for r in rows.collect()) == place.latest(spark) == [
+        ("a", 2.0), ("b", 1.5)]
+    with pytest.raises(ValueError):
+        current_rows(spark, place.history, MEASUREMENTS, snapshot)

@@ -6,6 +6,7 @@ from gaugewright.schemas import MEASUREMENTS, STATIONS, create_tables, table_sch
 from gaugewright.session import shared_folder, work_path
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
+from gaugewright.sources.history import read_jdbc
 from gaugewright.sources.topics import FileTopics, KafkaTopics
 
 TEXT = '{"id":"a","value":0.5,"last_update":"2024-01-01 00:00:00.000000"}'
@@ -36,6 +37,27 @@ def test_jdbc_options_and_rows(spark):
     assert rows.count() == 1 and dict(rows.dtypes)["value"] == "double"
 
 
+def test_jdbc_read_is_split_by_a_column():
+    class Reader:
+        def __init__(self):
+            self.read, self.given = self, None
+
+        def format(self, name):
+            return self
+
+        def options(self, **given):
+            self.given = given
+            return self
+
+        def load(self):
+            return self.given
+
+    target = JdbcTarget("jdbc:postgresql://db/levels", "org.postgresql.Driver")
+    given = read_jdbc(Reader(), target, "measurements", ("PK_ID", 1, 10**9, 64))
+    assert given["partitionColumn"] == "PK_ID" and given["numPartitions"] == "64"
+    assert "partitionColumn" not in read_jdbc(Reader(), target, "measurements")
+
+
 def test_wide_column_options_and_rows(spark):
     target = KeyspaceTarget("monitoring", {"spark.cassandra.connection.host": "db"})
     assert target.options("stations") == {
