@@ -7,6 +7,8 @@ from gaugewright.operators.latest import latest_by_key
 from gaugewright.schemas import (
     LATEST_MEASUREMENTS_COLUMNS,
     LATEST_STATIONS_COLUMNS,
+    MEASUREMENTS,
+    STATIONS,
     TOPIC_KEYS,
 )
 
@@ -75,6 +77,30 @@ def register_views(stations, measurements):
     stations_measurements(stations, measurements).createOrReplaceTempView("stationsmeasurements")
 
 
+def create_views(spark, database):
+    """The three views as lasting SQL views over the database's history tables."""
+    columns = {STATIONS: LATEST_STATIONS_COLUMNS, MEASUREMENTS: LATEST_MEASUREMENTS_COLUMNS}
+    for topic, names in columns.items():
+        key = TOPIC_KEYS[topic]
+        rest = [n for n in names if n != key]
+        shown = ", ".join(n if n == key else f"latest.{n}" for n in names)
+        spark.sql(f"""
+            CREATE OR REPLACE VIEW {database}.latest_{topic} AS
+            SELECT {shown} FROM (
+                SELECT {key}, max_by(struct({", ".join(rest)}),
+                                     struct(last_update, sequence, pk_id)) AS latest
+                FROM {database}.{topic}
+                WHERE {key} IS NOT NULL AND last_update IS NOT NULL
+                GROUP BY {key})
+        """)
+    shown = ", ".join(f"{column} AS {name}" for name, column in JOINED_COLUMNS.items())
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {database}.stationsmeasurements AS
+        SELECT {shown} FROM {database}.latest_stations s JOIN {database}.latest_measurements m
+        ON s.measures_id = m.id AND xxhash64(s.measures_id) = xxhash64(m.id)
+    """)
+
+
 def refresh_latest(previous, added, topic):
     """The latest rows after new history came in, from the previous latest rows and the new
     rows only; the full history is not read again. Both have the history's columns."""

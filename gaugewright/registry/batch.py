@@ -42,6 +42,7 @@ from gaugewright.plans.ingest import (
 )
 from gaugewright.plans.status import map_rows, present, station_status
 from gaugewright.plans.views import (
+    create_views,
     join_current,
     latest_measurements,
     latest_stations,
@@ -58,9 +59,9 @@ from gaugewright.registry.fixtures import (
     station_history,
     table,
 )
-from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN
+from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, create_tables
 from gaugewright.session import work_path
-from gaugewright.sinks.history import HistorySink, ingest_date, rewrite_by_date
+from gaugewright.sinks.history import HistorySink, TableSink, ingest_date, rewrite_by_date
 from gaugewright.sources.documents import read_documents, read_items
 from gaugewright.sources.history import read_dated
 from gaugewright.sources.topics import FileTopics
@@ -347,6 +348,20 @@ def history_by_date(spark, sf_dir):
     return _zone_less(read_dated(spark, path, MEASUREMENTS), "datetime", "last_update")
 
 
+def sql_views(spark, sf_dir):
+    """History tables and lasting views in a database of the catalog."""
+    path = work_path(spark, "gauges")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    create_tables(spark, database, path)
+    stations = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
+    TableSink(database, STATIONS)(stations, "load", 0)
+    TableSink(database, MEASUREMENTS)(
+        measurement_messages(measurement_documents(spark, sf_dir)), "load", 0
+    )
+    create_views(spark, database)
+    return _zone_less(spark.table(f"{database}.stationsmeasurements"), "last_update")
+
+
 # Presentation --------------------------------------------------------------------------
 
 def local_time(spark, sf_dir):
@@ -434,6 +449,7 @@ QUERIES = {
     "view_read": view_read,
     "view_map_rows": view_map_rows,
     "history_by_date": history_by_date,
+    "sql_views": sql_views,
     "local_time": local_time,
     "unit_relabel": unit_relabel,
     "round_half_even": rounded,

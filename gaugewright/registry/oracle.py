@@ -284,6 +284,8 @@ ORACLES = {
         ORDER BY id, last_update DESC, sequence DESC""",
     "latest_joined": f"WITH {_VIEWS} SELECT * FROM joined",
     "view_read": f"WITH {_VIEWS} SELECT * FROM joined",
+    "sql_views": f"""WITH {_DOCUMENT_CTES}, {_LATEST_MEASUREMENTS}, {_LATEST_STATIONS}, {_JOINED}
+        SELECT * FROM joined""",
     "history_by_date": f"""WITH {_MEASUREMENT_HISTORY}
         SELECT *, CAST(last_update AS DATE) AS ingest_date FROM measurement_history""",
     "local_time": f"SELECT event_id AS sequence, {_local('ts')} AS last_update FROM events",

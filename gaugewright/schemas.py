@@ -93,13 +93,13 @@ def table_schema(topic, layout=RELATIONAL) -> StructType:
     return _lookup(_TABLES, "table schema", topic, layout)
 
 
-def create_tables(spark, database, location=None):
-    """Create the relational history tables as date-partitioned Parquet tables."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_tables(spark, database, location=None, layout=RELATIONAL):
+    """Create the two tables of a layout as Parquet tables; those with an ingestion stamp
+    are split by its date."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for topic in (STATIONS, MEASUREMENTS):
-        columns = _TABLES[(topic, RELATIONAL)]
-        place = f" LOCATION '{location}/{topic}'" if location else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{topic} ({columns}, ingest_date DATE) "
-            f"USING parquet PARTITIONED BY (ingest_date){place}"
-        )
+        columns, split = _TABLES[(topic, layout)], ""
+        if "last_update" in message_schema(topic, layout).names:
+            columns, split = f"{columns}, ingest_date DATE", " PARTITIONED BY (ingest_date)"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{topic} ({columns}) USING parquet{split}")

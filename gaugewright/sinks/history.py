@@ -4,8 +4,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from gaugewright.operators.decode import decode
-from gaugewright.schemas import RELATIONAL
+from gaugewright.operators.decode import accepted, decode
+from gaugewright.schemas import RELATIONAL, table_schema
 from gaugewright.sources.history import ACCEPTED, REJECTED
 
 
@@ -44,6 +44,24 @@ class HistorySink:
         )
 
 
+@dataclass(frozen=True)
+class TableSink:
+    """Append accepted rows to a history table of the catalog (see ``create_tables``).
+
+    A replayed batch appends again, which the views hide. Rejects are not kept here.
+    """
+
+    database: str
+    topic: str
+
+    def __call__(self, messages, run, epoch):
+        rows = accepted(decode(messages, self.topic))
+        (
+            rows.select(*table_schema(self.topic).names, ingest_date().alias("ingest_date"))
+            .write.mode("append").insertInto(f"{self.database}.{self.topic}")
+        )
+
+
 def rewrite_by_date(history, path):
     """Rewrite many small epoch files as few large ones per date, in a new folder.
 

@@ -2,8 +2,17 @@
 
 import pytest
 
-from gaugewright.schemas import MEASUREMENTS, STATIONS, create_tables, table_schema
+from gaugewright.plans.views import create_views
+from gaugewright.schemas import (
+    LATEST_STATIONS_COLUMNS,
+    MEASUREMENTS,
+    STATIONS,
+    WIDE_COLUMN,
+    create_tables,
+    table_schema,
+)
 from gaugewright.session import shared_folder, work_path
+from gaugewright.sinks.history import TableSink
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
 from gaugewright.sources.history import read_jdbc
@@ -77,13 +86,26 @@ def test_topics_written_by_name(spark, tmp_path):
 
 
 def test_tables_are_created_by_date(spark, tmp_path):
-    create_tables(spark, "levels", str(tmp_path))
+    create_tables(spark, "levels", str(tmp_path / "levels"))
     for topic in (STATIONS, MEASUREMENTS):
         table = spark.table(f"levels.{topic}")
         assert table.columns == table_schema(topic).names + ["ingest_date"]
-    spark.sql("INSERT INTO levels.measurements (pk_id, id, value, ingest_date) "
-              "VALUES ('1', 'a', 0.5, DATE'2024-01-01')")
-    assert spark.table("levels.measurements").where("ingest_date = '2024-01-01'").count() == 1
+    create_tables(spark, "wide", str(tmp_path / "wide"), WIDE_COLUMN)
+    assert spark.table("wide.stations").columns == table_schema(STATIONS, WIDE_COLUMN).names
+
+
+def test_table_sink_and_sql_views(spark, tmp_path):
+    station = '{"rloiid":"s","measures_id":"a","last_update":"2024-01-01 00:00:00.000000"}'
+    create_tables(spark, "gauges", str(tmp_path))
+    for topic, text in ((STATIONS, station), (MEASUREMENTS, TEXT)):
+        messages = spark.createDataFrame([(text,), ("broken",)], "value string")
+        for _ in range(2):
+            TableSink("gauges", topic)(messages, "run", 0)
+    create_views(spark, "gauges")
+    assert spark.table("gauges.measurements").where("ingest_date = '2024-01-01'").count() == 2
+    rows = spark.sql("SELECT * FROM gauges.stationsmeasurements").collect()
+    assert [(r["station_id"], r["value"]) for r in rows] == [("s", 0.5)]
+    assert spark.table("gauges.latest_stations").columns == LATEST_STATIONS_COLUMNS
 
 
 def test_unknown_table_is_an_error(spark):
