@@ -29,6 +29,11 @@ def utc_instant(df, column):
     return value.cast("timestamp")
 
 
+def utc_date(instant):
+    """The UTC date of an instant under any session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
+
+
 def local_time(utc, zone=LOCAL_ZONE):
     """A zone-less UTC time as zone-less local time."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)

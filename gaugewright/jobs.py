@@ -16,6 +16,7 @@ Cassandra cluster are given to Spark as ``--conf spark.cassandra.*``.
 
 import argparse
 import os
+from functools import partial
 
 from gaugewright.operators.enrich import stage_scale_table
 from gaugewright.operators.latest import latest_by_key, latest_by_key_two_pass
@@ -138,7 +139,9 @@ def run_state(spark, args):
 
 def _current(spark, args, topic):
     snapshot = f"{args.snapshot}/{topic}" if args.snapshot else None
-    form = latest_by_key_two_pass if args.two_pass else latest_by_key
+    form = latest_by_key
+    if args.two_pass:
+        form = partial(latest_by_key_two_pass, date="ingest_date")
     return current_rows(spark, f"{args.history}/{topic}", topic, snapshot, args.since, form)
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Window, functions as F
 
+from gaugewright.functions.times import utc_date
 from gaugewright.session import shared_folder
 
 # A broadcast copy of the keys' maxima may take this much memory on each executor.
@@ -53,7 +54,7 @@ def latest_by_key(df, key, time, tiebreak=(), columns=None):
     )
 
 
-def latest_by_key_two_pass(df, key, time, tiebreak=(), columns=None,
+def latest_by_key_two_pass(df, key, time, tiebreak=(), columns=None, date=None,
                            broadcast_bytes=BROADCAST_BYTES):
     """Same result with two scans, for batch jobs with few keys against many rows.
 
@@ -61,8 +62,12 @@ def latest_by_key_two_pass(df, key, time, tiebreak=(), columns=None,
     the checkpoint folder and measured. Within the bound it is broadcast, the second scan
     keeps only the rows at their key's latest time, and next to nothing is shuffled. Above
     the bound the one-pass form runs. The first scan happens at once, not lazily.
+
+    ``date`` names a partition column with the UTC date of ``time``. Then the second scan
+    reads only the dates on which some key was last seen, most often a small part.
     """
     shared_folder(df.sparkSession)
+    columns = columns or df.columns
     usable = _with_key_and_time(df, key, time)
     maxima = grouped_max(usable, key, time, "latest_time").select(
         F.col(key).alias("latest_key"), "latest_time"
@@ -73,6 +78,10 @@ def latest_by_key_two_pass(df, key, time, tiebreak=(), columns=None,
     ).first()
     if size["rows"] * ROW_BYTES + (size["text"] or 0) > broadcast_bytes:
         return latest_by_key(df, key, time, tiebreak, columns)
+    if date:
+        # As many rows as there are calendar days, at most.
+        days = maxima.select(utc_date("latest_time").alias("day")).distinct().collect()
+        usable = usable.where(F.col(date).isin([row["day"] for row in days]))
     at_latest = usable.join(
         F.broadcast(maxima),
         (usable[key] == F.col("latest_key")) & (usable[time] == F.col("latest_time")),

@@ -15,10 +15,10 @@ def current_rows(spark, history, topic, snapshot=None, since=None, latest=latest
     """
     if (snapshot is None) != (since is None):
         raise ValueError("a snapshot and the first date not in it go together")
-    columns = table_schema(topic).names
-    rows = read_history(spark, history, topic, since=since).select(*columns)
+    rows = read_history(spark, history, topic, since=since)
     if snapshot is None:
-        return latest(rows, TOPIC_KEYS[topic], "last_update", ["sequence", "pk_id"])
+        columns = table_schema(topic).names
+        return latest(rows, TOPIC_KEYS[topic], "last_update", ["sequence", "pk_id"], columns)
     previous = spark.read.schema(table_schema(topic)).parquet(snapshot)
     return refresh_latest(previous, rows, topic)
 

@@ -1,10 +1,12 @@
 """Batch queries."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from gaugewright.functions.colours import hex_to_rgb, range_colour
 from gaugewright.functions.numbers import round_half_even
-from gaugewright.functions.times import utc_instant, utc_wall_clock
+from gaugewright.functions.times import utc_date, utc_instant, utc_wall_clock
 from gaugewright.operators.decode import accepted, decode, expand, parse, rejects
 from gaugewright.operators.enrich import enrich_stage_scale
 from gaugewright.operators.latest import (
@@ -61,9 +63,9 @@ from gaugewright.registry.fixtures import (
 )
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, create_tables
 from gaugewright.session import work_path
-from gaugewright.sinks.history import HistorySink, TableSink, ingest_date, rewrite_by_date
+from gaugewright.sinks.history import HistorySink, TableSink, rewrite_by_date
 from gaugewright.sources.documents import read_documents, read_items
-from gaugewright.sources.history import read_dated
+from gaugewright.sources.history import read_dated, read_history
 from gaugewright.sources.topics import FileTopics
 
 REFRESH_FROM = "2024-01-16 00:00:00"
@@ -319,6 +321,15 @@ def latest_station_rows(spark, sf_dir):
     return latest_stations(station_history(spark, sf_dir))
 
 
+def latest_by_date_two_pass(spark, sf_dir):
+    """The two-pass form over a stored history, whose second scan skips dates."""
+    sink = HistorySink(work_path(spark, "stored"), MEASUREMENTS)
+    sink(measurement_messages(measurement_documents(spark, sf_dir)), "load", 0)
+    history = read_history(spark, sink.path, MEASUREMENTS)
+    form = partial(latest_by_key_two_pass, date="ingest_date")
+    return _zone_less(latest_measurements(history, form), "datetime", "last_update")
+
+
 def latest_refresh(spark, sf_dir):
     """Earlier rows as the previous state, later ones as what came in since."""
     history = measurement_history(spark, sf_dir)
@@ -344,7 +355,7 @@ def history_by_date(spark, sf_dir):
     history = history.withColumns({
         c: utc_instant(history, c) for c in ("datetime", "last_update")
     })
-    rewrite_by_date(history.withColumn("ingest_date", ingest_date()), path)
+    rewrite_by_date(history.withColumn("ingest_date", utc_date("last_update")), path)
     return _zone_less(read_dated(spark, path, MEASUREMENTS), "datetime", "last_update")
 
 
@@ -444,6 +455,7 @@ QUERIES = {
     "latest_order_two_pass": latest_order_two_pass,
     "latest_measurements": latest_measurement_rows,
     "latest_stations": latest_station_rows,
+    "latest_by_date_two_pass": latest_by_date_two_pass,
     "latest_refresh": latest_refresh,
     "latest_joined": latest_joined,
     "view_read": view_read,

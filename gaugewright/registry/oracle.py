@@ -309,6 +309,7 @@ ORACLES = {
     "history_stream": f"""WITH {_DOCUMENT_CTES}
         SELECT * EXCLUDE (sequence), CAST(last_update AS DATE) AS ingest_date
         FROM measurement_history""",
+    "latest_by_date_two_pass": _DOCUMENT_LATEST,
     "latest_measurements_stream": _DOCUMENT_LATEST,
     "latest_state_stream": _DOCUMENT_LATEST,
     "status_stream": _DOCUMENT_STATUS,

@@ -4,16 +4,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
+from gaugewright.functions.times import utc_date
 from gaugewright.operators.decode import accepted, decode
 from gaugewright.schemas import RELATIONAL, table_schema
 from gaugewright.sources.history import ACCEPTED, REJECTED
 
 
-def ingest_date(column="last_update"):
-    """UTC date of an ingestion stamp."""
-    return F.date_from_unix_date(F.floor(F.unix_seconds(column) / 86400).cast("int"))
-
-
 def write_epoch(rows, path, run, epoch, partitions=()):
     """Write a batch to its own folder, replacing what an earlier attempt left there.
 
@@ -36,7 +32,7 @@ class HistorySink:
 
     def __call__(self, messages, run, epoch):
         rows = decode(messages, self.topic, self.layout)
-        dated = ingest_date() if "last_update" in rows.columns else F.lit(None).cast("date")
+        dated = utc_date("last_update") if "last_update" in rows.columns else F.lit(None).cast("date")
         kind = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
         write_epoch(
             rows.withColumn("kind", kind).withColumn("ingest_date", dated),
@@ -57,7 +53,7 @@ class TableSink:
     def __call__(self, messages, run, epoch):
         rows = accepted(decode(messages, self.topic))
         (
-            rows.select(*table_schema(self.topic).names, ingest_date().alias("ingest_date"))
+            rows.select(*table_schema(self.topic).names, utc_date("last_update").alias("ingest_date"))
             .write.mode("append").insertInto(f"{self.database}.{self.topic}")
         )
 

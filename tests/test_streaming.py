@@ -1,15 +1,18 @@
 import datetime
 import json
 import logging
+from functools import partial
 
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from gaugewright.functions.times import utc_date
 from gaugewright.operators.decode import decode
+from gaugewright.operators.latest import latest_by_key_two_pass
 from gaugewright.plans.current import current_rows, write_snapshot
 from gaugewright.plans.views import latest_measurements, stations_measurements
 from gaugewright.schemas import MEASUREMENTS, STATIONS
-from gaugewright.sinks.history import HistorySink, ingest_date, rewrite_by_date
+from gaugewright.sinks.history import HistorySink, rewrite_by_date
 from gaugewright.sources.history import read_dated, read_history, read_rejects, read_stored
 from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, fan_out, start_topics
@@ -192,7 +195,7 @@ def test_ingest_date_is_utc_in_any_session(spark):
     rows = decode(spark.createDataFrame([(message("a", 1.0),)], "value string"), MEASUREMENTS)
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        day = rows.select(ingest_date().alias("d")).first()["d"]
+        day = rows.select(utc_date("last_update").alias("d")).first()["d"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert day == datetime.date(2024, 1, 1)
@@ -223,3 +226,24 @@ def test_snapshot_and_later_dates_equal_the_whole_history(spark, place):
         ("a", 2.0), ("b", 1.5)]
     with pytest.raises(ValueError):
         current_rows(spark, place.history, MEASUREMENTS, snapshot)
+
+
+def test_two_pass_reads_only_dates_of_latest_rows(spark, place):
+    """``old`` was last seen on the first day, ``a`` on the third; the second is skipped."""
+    days = [message(key, value).replace("2024-01-01 00", f"2024-01-0{day} 00")
+            for key, value, day in (("old", 1.0, 1), ("a", 2.0, 1), ("a", 3.0, 2), ("a", 4.0, 3))]
+    send(spark, place.topics, *days)
+    place.run(spark)
+    history = read_history(spark, place.history, MEASUREMENTS)
+    view = latest_measurements(history, partial(latest_by_key_two_pass, date="ingest_date"))
+    assert sorted((r["id"], r["value"]) for r in view.collect()) == [("a", 4.0), ("old", 1.0)]
+    filters = view._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    assert "IN (2024-01-01,2024-01-03)" in filters or "IN (2024-01-03,2024-01-01)" in filters
+
+
+def test_two_pass_with_dates_of_no_rows(spark, place):
+    send(spark, place.topics, "broken", '{"id":"a","value":1.0}')
+    place.run(spark)
+    history = read_history(spark, place.history, MEASUREMENTS)
+    view = latest_measurements(history, partial(latest_by_key_two_pass, date="ingest_date"))
+    assert view.count() == 0

@@ -1,10 +1,13 @@
 import datetime
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from gaugewright.functions.colours import BELOW_RANGE, IN_RANGE, OTHER
 from gaugewright.operators.latest import latest_by_key_two_pass
-from gaugewright.operators.present import add_tooltip
+from gaugewright.operators.present import add_tooltip, classify, relabel_units, round_columns
 from gaugewright.plans.status import map_rows, present, station_status
 from gaugewright.plans.views import (
     latest_measurements,
@@ -128,8 +131,24 @@ def test_range_class(spark, value, low, high, colour):
     assert row["last_update"] == "2024-07-01 14:00" and row["unit"] == "m"
 
 
+def test_rounded_classes_equal_numpy(spark):
+    rng = np.random.default_rng(11)
+
+    def numbers():
+        values = np.round(rng.uniform(0, 2, 5000), 3)
+        values[rng.random(5000) < 0.05] = np.nan
+        return values
+
+    frame = pd.DataFrame({"i": range(5000), "value": numbers(), "typical_range_low": numbers(),
+                          "typical_range_high": numbers()})
+    value, low, high = (frame[c].round(2) for c in frame.columns[1:])
+    in_range = (value >= low) & (value <= high)
+    expected = np.where(in_range, IN_RANGE, np.where(value < low, BELOW_RANGE, OTHER))
+    got = classify(round_columns(spark.createDataFrame(frame))).orderBy("i").toPandas()["color"]
+    assert (got.to_numpy() == expected).all()
+
+
 def test_unit_is_replaced_only_as_a_whole(spark):
-    from gaugewright.operators.present import relabel_units
     unit = "http://qudt.org/1.1/vocab/unit#Meter"
     rows = relabel_units(spark.createDataFrame([(unit,), ("x" + unit,), (None,)], "unit string"))
     assert [r["unit"] for r in rows.collect()] == ["m", "x" + unit, None]
