@@ -71,6 +71,7 @@ def _arguments(argv):
 
     state = jobs.add_parser("state")
     state.add_argument("--state", required=True)
+    state.add_argument("--partitions", type=int, help="fixed at the first start")
 
     for streaming in (ingest, consumer, state):
         streaming.add_argument("--topics", type=_topics, required=True)
@@ -132,7 +133,8 @@ def run_consume(spark, args):
 def run_state(spark, args):
     await_all([
         start_latest_state(spark, args.topics, topic, f"{args.state}/{topic}",
-                           f"{args.checkpoint}/{topic}", args.trigger, args.available_now)
+                           f"{args.checkpoint}/{topic}", args.trigger, args.available_now,
+                           args.partitions)
         for topic in (STATIONS, MEASUREMENTS)
     ])
 

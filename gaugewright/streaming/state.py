@@ -16,15 +16,17 @@ def latest_state(messages, topic):
 
 
 def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
-                       available_now=False):
+                       available_now=False, partitions=None):
     """Write the keys that changed in each batch to a replay-safe change log.
 
-    The query runs in a session of its own, whose state is kept on disk by RocksDB. Its
-    number of state partitions is fixed by ``spark.sql.shuffle.partitions`` at the first start.
+    The query runs in a session of its own, whose state is kept on disk by RocksDB. The
+    number of state ``partitions``, by default one per core, is fixed at the first start: name
+    it where executors are added later.
     """
     session = spark.newSession()
-    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.shuffle.partitions",
+                     str(partitions or spark.sparkContext.defaultParallelism))
     for name, value in STATE_STORE.items():
         session.conf.set(name, value)
 
