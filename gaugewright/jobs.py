@@ -61,6 +61,8 @@ def _arguments(argv):
     ingest.add_argument("--documents", required=True)
     ingest.add_argument("--stage-scales")
     ingest.add_argument("--lines", action="store_true", help="one document per line")
+    ingest.add_argument("--keep-bad", action="store_true",
+                        help="send bad documents to the rejects topic instead of failing")
 
     consumer = jobs.add_parser("consume")
     consumer.add_argument("--history")
@@ -109,7 +111,8 @@ def _sink(args, topic):
 
 
 def run_ingest(spark, args):
-    documents = read_documents(spark, args.documents, stream=True, multi_line=not args.lines)
+    documents = read_documents(spark, args.documents, stream=True, multi_line=not args.lines,
+                               on_bad="keep" if args.keep_bad else "fail")
     if args.topic == MEASUREMENTS:
         output = measurement_output
     else:

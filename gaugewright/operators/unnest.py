@@ -2,31 +2,35 @@
 
 from pyspark.sql import functions as F
 
-from gaugewright.schemas import MEASUREMENT_ITEM, STATION_ITEM
+from gaugewright.schemas import CORRUPT, MEASUREMENT_ITEM, STATION_ITEM
 
 
 def unnest_items(documents, item_schema, lists=None):
     """One row per element of ``items``: ``raw`` text, typed ``item``, ``item_pos``.
 
     Other document columns (such as ``fetched_at``) are kept. ``width`` is the largest number
-    of rows one item of the document can give, for a sequence over the document's rows; ``lists``
-    names the item's list that is unnested later.
+    of rows one item of the document can give, for a sequence over the document's rows;
+    ``lists`` names the item's list that is unnested later. A document without ``items`` fails
+    the job; where bad documents are kept, it gives one row with a NULL ``item`` and its text.
     """
-    parsed = documents.withColumn(
-        "entries",
-        F.transform(
-            "items",
-            lambda text: F.struct(
-                text.alias("raw"), F.from_json(text, item_schema).alias("item")
-            ),
-        ),
-    )
+    def entry(text):
+        return F.struct(text.alias("raw"), F.from_json(text, item_schema).alias("item"))
+
+    if CORRUPT in documents.columns:
+        nothing = F.from_json(F.lit(None).cast("string"), item_schema)
+        otherwise = F.array(F.struct(F.col(CORRUPT).alias("raw"), nothing.alias("item")))
+        usable = F.col("items").isNotNull() & F.col(CORRUPT).isNull()
+    else:
+        otherwise = F.raise_error(F.lit("a document has no items"))
+        usable = F.col("items").isNotNull()
+    entries = F.when(usable, F.transform("items", entry)).otherwise(otherwise)
+    parsed = documents.withColumn("entries", entries)
     if lists:
         sizes = F.transform("entries", lambda e: F.coalesce(F.size(e["item"][lists]), F.lit(0)))
         parsed = parsed.withColumn("width", F.greatest(F.array_max(sizes), F.lit(1)).cast("bigint"))
     else:
         parsed = parsed.withColumn("width", F.lit(1).cast("bigint"))
-    kept = [c for c in documents.columns if c != "items"]
+    kept = [c for c in documents.columns if c not in ("items", CORRUPT)]
     # The outer form, then a filter: for the inner form Spark infers a filter on the parsed
     # array and pushes it below the parsing, which would parse every document three times.
     return (

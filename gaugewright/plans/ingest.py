@@ -15,14 +15,15 @@ from gaugewright.operators.unnest import (
 )
 from gaugewright.schemas import MEASUREMENTS, STATIONS, message_schema
 
-
 REJECTS_SUFFIX = "-rejects"
+MALFORMED = "malformed document"
 
 
 def _reason():
     """Why an item cannot give messages; NULL if it can."""
     return (
-        F.when(F.col("item.stageScale").isNull(), "no stage scale link")
+        F.when(F.col("item").isNull(), MALFORMED)
+        .when(F.col("item.stageScale").isNull(), "no stage scale link")
         .when(~F.col("scale_found"), "stage scale not found")
         .when(F.col("item.measures").isNull(), "no list of measures")
     )
@@ -42,9 +43,21 @@ def station_rejects(documents, stage_scale):
     return flagged.where(F.col("reject_reason").isNotNull())
 
 
+def _output(rows, topic):
+    """Rows to ``topic, key, value``; those with a ``reject_reason`` go to the rejects topic,
+    keyed by their reason."""
+    rejected = F.col("reject_reason").isNotNull()
+    message = message_json(F.struct(*message_schema(topic).names))
+    return rows.select(
+        F.when(rejected, topic + REJECTS_SUFFIX).otherwise(topic).alias("topic"),
+        F.when(rejected, F.col("reject_reason")).otherwise(F.col("raw")).alias("key"),
+        F.when(rejected, F.col("raw")).otherwise(message).alias("value"),
+    )
+
+
 def station_output(documents, stage_scale):
     """Messages and rejects together, as ``topic, key, value``, from one pass over the
-    documents. A reject goes to the topic's rejects topic, keyed by its reason."""
+    documents."""
     items = enrich_stage_scale(station_items(documents), stage_scale)
     reason = _reason()
     measures = F.when(reason.isNull(), F.col("item.measures"))
@@ -54,14 +67,7 @@ def station_output(documents, stage_scale):
         F.posexplode_outer(measures).alias("measure_pos", "measure"),
     ).where(F.col("reject_reason").isNotNull() | F.col("measure_pos").isNotNull())
     rows = rows.withColumn("measures_id", F.col("measure.`@id`")).drop("measure")
-    rows = with_stamp(flat_station(rows))
-    rejected = F.col("reject_reason").isNotNull()
-    message = F.struct(*message_schema(STATIONS).names)
-    return rows.select(
-        F.when(rejected, STATIONS + REJECTS_SUFFIX).otherwise(STATIONS).alias("topic"),
-        F.when(rejected, F.col("reject_reason")).otherwise(F.col("raw")).alias("key"),
-        F.when(rejected, F.col("raw")).otherwise(message_json(message)).alias("value"),
-    )
+    return _output(with_stamp(flat_station(rows)), STATIONS)
 
 
 def measurement_rows(documents):
@@ -77,8 +83,10 @@ def measurement_messages(documents, key="raw"):
     return to_messages(measurement_rows(documents), MEASUREMENTS, key)
 
 
-def measurement_output(documents, key="raw"):
-    """Messages with the topic they belong to."""
-    return measurement_messages(documents, key).select(
-        F.lit(MEASUREMENTS).alias("topic"), "key", "value"
-    )
+def measurement_output(documents):
+    """Messages and rejects of measurement documents together, as for stations."""
+    items = measurement_items(documents)
+    malformed = F.col("item").isNull()
+    rows = items.where(malformed | F.col("item.latestReading").isNotNull())
+    rows = rows.withColumn("reject_reason", F.when(malformed, MALFORMED))
+    return _output(with_stamp(flat_measurement(rows)), MEASUREMENTS)

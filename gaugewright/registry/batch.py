@@ -36,6 +36,7 @@ from gaugewright.plans.current import current_rows, write_snapshot
 from gaugewright.plans.ingest import (
     REJECTS_SUFFIX,
     measurement_messages,
+    measurement_output,
     measurement_rows,
     station_messages,
     station_output,
@@ -54,6 +55,7 @@ from gaugewright.plans.views import (
 )
 from gaugewright.registry.fixtures import (
     land_measurement_documents,
+    measurement_document_texts,
     measurement_documents,
     measurement_history,
     stage_scales,
@@ -64,7 +66,7 @@ from gaugewright.registry.fixtures import (
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, create_tables
 from gaugewright.session import work_path
 from gaugewright.sinks.history import HistorySink, TableSink, rewrite_by_date
-from gaugewright.sources.documents import read_documents, read_items
+from gaugewright.sources.documents import parse_documents, read_documents, read_items
 from gaugewright.sources.history import read_dated, read_history
 from gaugewright.sources.topics import FileTopics
 
@@ -145,6 +147,15 @@ def landed_documents(spark, sf_dir):
     )
 
 
+def document_rejects(spark, sf_dir):
+    """Prose among the documents: kept whole, beside the messages of the good ones."""
+    good = measurement_document_texts(spark, sf_dir)
+    prose = table(spark, sf_dir, "documents").select(
+        F.col("text").alias("document"), F.lit(None).cast("timestamp_ntz").alias("fetched_at")
+    )
+    return measurement_output(parse_documents(good.unionByName(prose), on_bad="keep"))
+
+
 def landed_items(spark, sf_dir):
     """Items written one per line and read back; files split between any two lines."""
     path = work_path(spark, "items")
@@ -427,6 +438,7 @@ QUERIES = {
     "documents_to_status": documents_to_status,
     "status_from_snapshot": status_from_snapshot,
     "landed_documents": landed_documents,
+    "document_rejects": document_rejects,
     "landed_items": landed_items,
     "document_explode": measurement_items_flat,
     "not_null_filter": not_null_filter,

@@ -247,6 +247,9 @@ ORACLES = {
         SELECT id AS key, message AS value FROM measurement_messages""",
     "topic_files": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
         SELECT key, message AS value FROM measurement_messages""",
+    "document_rejects": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
+        SELECT 'measurements' AS topic, key, message AS value FROM measurement_messages
+        UNION ALL SELECT 'measurements-rejects', 'malformed document', text FROM documents""",
     "ingest_stream": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
         SELECT key, message AS value FROM measurement_messages""",
     "stage_scale_latest": f"WITH {_SCALES} SELECT * FROM scales",

@@ -2,25 +2,27 @@
 
 from pyspark.sql import functions as F
 
-from gaugewright.schemas import DOCUMENT, STAGE_SCALE_DOCUMENT
+from gaugewright.schemas import CORRUPT, DOCUMENT, STAGE_SCALE_DOCUMENT
 
-CORRUPT = "_corrupt_record"
+
+def _parsing(fields, on_bad):
+    """Schema and JSON options for documents that fail the job, or are kept, when bad."""
+    options = {"columnNameOfCorruptRecord": CORRUPT, "timeZone": "UTC"}
+    if on_bad == "fail":
+        return fields, {**options, "mode": "FAILFAST"}
+    if on_bad == "keep":
+        return f"{fields}, {CORRUPT} STRING", {**options, "mode": "PERMISSIVE"}
+    raise ValueError(f"on_bad must be 'fail' or 'keep', not {on_bad!r}")
 
 
 def _read(spark, path, fields, stream, multi_line, on_bad, fetched_at, options):
-    if on_bad not in ("fail", "keep"):
-        raise ValueError(f"on_bad must be 'fail' or 'keep', not {on_bad!r}")
     if fetched_at:
         fields += f", `{fetched_at}` TIMESTAMP"
-    if on_bad == "keep":
-        fields += f", {CORRUPT} STRING"
+    schema, parsing = _parsing(fields, on_bad)
     documents = (
-        (spark.readStream if stream else spark.read).options(**(options or {}))
-        .schema(fields)
-        .option("mode", "FAILFAST" if on_bad == "fail" else "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", str(multi_line).lower())
-        .option("timeZone", "UTC")
+        (spark.readStream if stream else spark.read)
+        .options(**{**parsing, "multiLine": str(multi_line).lower(), **(options or {})})
+        .schema(schema)
         .json(path)
     )
     if fetched_at:
@@ -34,9 +36,9 @@ def read_documents(spark, path, stream=False, multi_line=True, on_bad="fail", fe
 
     ``multi_line=True`` is one document per file, parsed by one task, as a provider sends
     it. Land many or large documents one per line with ``multi_line=False``: such files
-    split across tasks. A bad document fails the job, or with ``on_bad="keep"`` becomes a row
-    whose ``_corrupt_record`` holds it. ``fetched_at`` names a field with the fetch time;
-    without it the file's modification time counts.
+    split across tasks. A bad document fails the job; with ``on_bad="keep"`` it is a row whose
+    ``_corrupt_record`` holds its text, and ends up among the rejects. ``fetched_at`` names a
+    field with the fetch time; without it the file's modification time counts.
     """
     return _read(spark, path, DOCUMENT, stream, multi_line, on_bad, fetched_at, options)
 
@@ -59,20 +61,22 @@ def read_stage_scales(spark, path, multi_line=True, on_bad="fail", options=None)
     return _read(spark, path, STAGE_SCALE_DOCUMENT, False, multi_line, on_bad, None, options)
 
 
-def parse_documents(texts, column="document"):
-    """Documents already held as text in a column, for example in a table; other columns stay.
-
-    A document that is not JSON fails the job.
-    """
+def parse_documents(texts, column="document", on_bad="fail"):
+    """Documents already held as text in a column, for example in a table; other columns stay."""
+    schema, parsing = _parsing(DOCUMENT, on_bad)
     kept = [c for c in texts.columns if c != column]
-    return texts.select(
-        *kept, F.from_json(column, DOCUMENT, {"mode": "FAILFAST"}).alias("_doc")
-    ).select(*kept, "_doc.items")
+    parsed = texts.withColumn("_doc", F.from_json(column, schema, parsing))
+    if on_bad == "fail":
+        return parsed.select(*kept, "_doc.items")
+    # Blank texts and documents without items are bad as well.
+    bad = F.when(F.col("_doc.items").isNull(), F.coalesce(F.col(column), F.lit("")))
+    return parsed.select(*kept, "_doc.items", F.coalesce(f"_doc.{CORRUPT}", bad).alias(CORRUPT))
 
 
 def parse_stage_scales(texts, column="document"):
-    """Stage-scale documents held as text in a column; other columns stay."""
+    """Stage-scale documents held as text in a column; other columns stay. A text that is
+    not JSON fails the job."""
     kept = [c for c in texts.columns if c != column]
-    return texts.select(
-        *kept, F.from_json(column, STAGE_SCALE_DOCUMENT, {"mode": "FAILFAST"}).alias("_doc")
-    ).select(*kept, "_doc.url", "_doc.items")
+    schema, parsing = _parsing(STAGE_SCALE_DOCUMENT, "fail")
+    # Expanded by a generator, so that filters on the fields do not parse again.
+    return texts.select(*kept, F.inline(F.array(F.from_json(column, schema, parsing))))

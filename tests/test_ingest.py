@@ -10,6 +10,7 @@ from gaugewright.operators.enrich import stage_scale_table
 from gaugewright.operators.unnest import matching, measurement_items
 from gaugewright.plans.ingest import (
     measurement_messages,
+    measurement_output,
     measurement_rows,
     station_messages,
     station_output,
@@ -131,10 +132,31 @@ def test_matching_raw_attributes(spark):
     assert [r["item"]["@id"] for r in rows] == ["a"]
 
 
-def test_documents_without_items_give_no_rows(spark):
-    texts = spark.createDataFrame([("{}",), ('{"items":null}',), ('{"items":[]}',)],
-                                  "document string").withColumn("fetched_at", F.current_timestamp())
-    assert measurement_rows(parse_documents(texts)).count() == 0
+def test_a_document_without_items_fails_the_job(spark):
+    def rows(text):
+        texts = spark.createDataFrame([(text,)], "document string").withColumn(
+            "fetched_at", F.current_timestamp())
+        return measurement_rows(parse_documents(texts)).count()
+
+    assert rows('{"items":[]}') == 0
+    for text in ("{}", '{"items":null}'):
+        with pytest.raises(JOB_ERRORS, match="no items"):
+            rows(text)
+
+
+@pytest.mark.parametrize("text", ["broken", "", "{}", '{"items":null}', '{"items":[1', "[]"])
+def test_bad_documents_can_be_kept_as_rejects(spark, scales, text):
+    good = json.dumps({"items": [dict(TWO, latestReading={"value": 1.0})]})
+    texts = spark.createDataFrame([(good,), (text,)], "document string").withColumn(
+        "fetched_at", F.current_timestamp())
+    docs = parse_documents(texts, on_bad="keep")
+    for output, topic, messages in ((station_output(docs, scales), "stations", 2),
+                                    (measurement_output(docs), "measurements", 1)):
+        assert output.where(F.col("topic") == topic).count() == messages
+        bad = output.where(F.col("topic") == f"{topic}-rejects").collect()
+        assert [(r["key"], r["value"]) for r in bad] == [("malformed document", text)]
+    assert measurement_rows(docs).count() == 1
+    assert station_rejects(docs, scales).count() == 1
 
 
 def test_a_broken_document_fails_the_job(spark):
@@ -162,7 +184,8 @@ def test_landed_lines_with_fetch_time_and_bad_document(spark, tmp_path):
                           fetched_at="fetched")
     rows = measurement_rows(kept).collect()
     assert [str(r["last_update"]) for r in rows] == ["2024-01-01 00:00:05"]
-    assert [r["_corrupt_record"] for r in kept.collect() if r["_corrupt_record"]] == ["{broken"]
+    bad = measurement_output(kept).where("topic = 'measurements-rejects'").collect()
+    assert [r["value"] for r in bad] == ["{broken"]
     with pytest.raises(JOB_ERRORS):
         read_documents(spark, str(tmp_path), multi_line=False).collect()
     with pytest.raises(ValueError):

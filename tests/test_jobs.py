@@ -3,6 +3,7 @@ import json
 import pytest
 
 from gaugewright.jobs import main
+from gaugewright.sources.topics import FileTopics
 
 
 def land(folder, name, document):
@@ -44,6 +45,19 @@ def test_documents_to_status_by_jobs(spark, tmp_path):
         assert row["last_update"] == "2024-07-01 14:00"
 
 
+def test_bad_documents_are_kept_on_request(spark, tmp_path):
+    land(tmp_path / "measurements", "1.json", {"items": [
+        {"@id": "a", "latestReading": {"dateTime": "2024-07-01T12:00:00Z", "value": 0.4}}]})
+    (tmp_path / "measurements" / "2.json").write_text("<html>no service</html>")
+    main(["ingest", "measurements", "--documents", f"{tmp_path}/measurements", "--topics",
+          f"file:{tmp_path}/topics", "--checkpoint", f"{tmp_path}/c", "--available-now",
+          "--keep-bad"], spark)
+    topics = FileTopics(f"{tmp_path}/topics")
+    assert topics.read(spark, "measurements").count() == 1
+    [bad] = topics.read(spark, "measurements-rejects").collect()
+    assert bad["value"] == "<html>no service</html>"
+
+
 def test_wrong_arguments(spark, tmp_path):
     for words in (["consume", "--topics", "nowhere", "--checkpoint", "c"],
                   ["consume", "--topics", "file:x", "--checkpoint", "c"],
