@@ -6,7 +6,7 @@ from gaugewright.functions.times import utc_date
 from gaugewright.session import shared_folder
 
 # A broadcast copy of the keys' maxima may take this much memory on each executor.
-BROADCAST_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 # Room for a row's fixed part in the broadcast hash table.
 ROW_BYTES = 64
 

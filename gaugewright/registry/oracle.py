@@ -196,7 +196,8 @@ _DOCUMENT_STATUS = f"WITH {_DOCUMENT_CTES}, {_LATEST_MEASUREMENTS}, {_LATEST_STA
 
 _DECODED = f"WITH {_DOCUMENT_CTES} SELECT * EXCLUDE (sequence) FROM measurement_history"
 
-_DOCUMENT_LATEST = f"WITH {_DOCUMENT_CTES}, {_LATEST_MEASUREMENTS} SELECT * FROM latest_measurements"
+_DOCUMENT_LATEST = f"""WITH {_DOCUMENT_CTES}, {_LATEST_MEASUREMENTS}
+    SELECT * FROM latest_measurements"""
 
 
 def _hashed_id(text):
@@ -307,7 +308,8 @@ ORACLES = {
         SELECT sequence, {_rgb('hex')} AS color FROM coloured""",
     "position": f"""WITH {_VIEWS} SELECT station_id, [longitude, latitude] AS position
         FROM joined""",
-    "tooltip": f"WITH {_VIEWS}, {_PRESENTED} SELECT station_id, {_TOOLTIP} AS tooltip FROM presented",
+    "tooltip": f"""WITH {_VIEWS}, {_PRESENTED}
+        SELECT station_id, {_TOOLTIP} AS tooltip FROM presented""",
     "table_rows": f"WITH {_VIEWS}, {_PRESENTED} SELECT * FROM presented",
     "history_stream": f"""WITH {_DOCUMENT_CTES}
         SELECT * EXCLUDE (sequence), CAST(last_update AS DATE) AS ingest_date

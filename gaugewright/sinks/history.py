@@ -32,7 +32,8 @@ class HistorySink:
 
     def __call__(self, messages, run, epoch):
         rows = decode(messages, self.topic, self.layout)
-        dated = utc_date("last_update") if "last_update" in rows.columns else F.lit(None).cast("date")
+        stamped = "last_update" in rows.columns
+        dated = utc_date("last_update") if stamped else F.lit(None).cast("date")
         kind = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
         write_epoch(
             rows.withColumn("kind", kind).withColumn("ingest_date", dated),
@@ -51,11 +52,10 @@ class TableSink:
     topic: str
 
     def __call__(self, messages, run, epoch):
-        rows = accepted(decode(messages, self.topic))
-        (
-            rows.select(*table_schema(self.topic).names, utc_date("last_update").alias("ingest_date"))
-            .write.mode("append").insertInto(f"{self.database}.{self.topic}")
+        rows = accepted(decode(messages, self.topic)).select(
+            *table_schema(self.topic).names, utc_date("last_update").alias("ingest_date")
         )
+        rows.write.mode("append").insertInto(f"{self.database}.{self.topic}")
 
 
 def rewrite_by_date(history, path):

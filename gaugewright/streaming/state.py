@@ -47,10 +47,12 @@ def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
 
 def read_state(spark, path, topic):
     """The current row per key, from the change log."""
-    changes = spark.read.schema(table_schema(topic)).parquet(path)
-    return latest_by_key(changes, TOPIC_KEYS[topic], "last_update", ORDER)
+    schema = table_schema(topic)
+    changes = spark.read.schema(schema).parquet(path)
+    return latest_by_key(changes, TOPIC_KEYS[topic], "last_update", ORDER, schema.names)
 
 
 def compact_state(spark, path, topic, target):
-    """The current rows as a new, short change log in ``target``; further runs may write there."""
+    """The current rows as a new, short change log in ``target``. Stop the query first, and
+    start it again on its checkpoint with ``target`` as its path."""
     write_epoch(read_state(spark, path, topic), target, "compacted", 0)

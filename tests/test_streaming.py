@@ -5,13 +5,14 @@ from functools import partial
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from gaugewright.functions.times import utc_date
 from gaugewright.operators.decode import decode
 from gaugewright.operators.latest import latest_by_key_two_pass
 from gaugewright.plans.current import current_rows, write_snapshot
 from gaugewright.plans.views import latest_measurements, stations_measurements
-from gaugewright.schemas import MEASUREMENTS, STATIONS
+from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, table_schema
 from gaugewright.sinks.history import HistorySink, rewrite_by_date
 from gaugewright.sources.history import read_dated, read_history, read_rejects, read_stored
 from gaugewright.sources.topics import FileTopics
@@ -93,6 +94,14 @@ def test_new_checkpoint_loses_nothing_and_the_view_hides_replays(spark, place):
     assert place.latest(spark) == [("a", 1.0), ("b", 2.0), ("c", 3.0)]
 
 
+def test_wide_column_layout_is_stored_without_dates(spark, place):
+    send(spark, place.topics, message("a", 1.0), "broken")
+    place.run(spark, HistorySink(place.history, MEASUREMENTS, WIDE_COLUMN))
+    [row] = read_history(spark, place.history, MEASUREMENTS, WIDE_COLUMN).collect()
+    assert row["datetime"] == "2024-01-01T00:00:00Z" and row["ingest_date"] is None
+    assert read_rejects(spark, place.history, MEASUREMENTS, WIDE_COLUMN).count() == 1
+
+
 def test_out_of_order_messages(spark, place):
     send(spark, place.topics, message("a", 2.0, 9))
     send(spark, place.topics, message("a", 1.0, 3))
@@ -157,7 +166,7 @@ def test_fan_out_hands_a_batch_to_every_sink(spark, place):
 def test_state_follows_out_of_order_and_tied_messages_over_restarts(spark, place):
     state, checkpoint = str(place.path / "state"), str(place.path / "state-checkpoint")
 
-    def run():
+    def run(state=state):
         await_all([start_latest_state(spark, place.topics, MEASUREMENTS, state, checkpoint,
                                       available_now=True)])
         rows = read_state(spark, state, MEASUREMENTS).collect()
@@ -172,9 +181,32 @@ def test_state_follows_out_of_order_and_tied_messages_over_restarts(spark, place
     assert place.latest(spark) == [("a", 3.0), ("b", 1.0)]
     short = str(place.path / "short")
     compact_state(spark, state, MEASUREMENTS, short)
-    rows = read_state(spark, short, MEASUREMENTS).collect()
+    current = read_state(spark, short, MEASUREMENTS)
+    assert current.columns == table_schema(MEASUREMENTS).names
+    rows = current.collect()
     assert sorted((r["id"], r["value"]) for r in rows) == [("a", 3.0), ("b", 1.0)]
 
+    # The query goes on with the short log.
+    send(spark, place.topics, message("b", 5.0, 9))
+    assert run(short) == [("a", 3.0), ("b", 5.0)]
+
+
+def test_a_large_date_is_rewritten_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 200_000, numPartitions=8).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.when(F.col("id") % 100 > 0, "2024-01-01").otherwise("2024-01-02").cast("date")
+        .alias("ingest_date"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        rewrite_by_date(rows, str(tmp_path / "dates"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {d: len(list((tmp_path / "dates" / f"ingest_date=2024-01-0{d}").glob("*.parquet")))
+             for d in (1, 2)}
+    assert files[1] > 2 and files[2] == 1
+    assert spark.read.parquet(str(tmp_path / "dates")).count() == 200_000
+
 
 def test_dates_are_read_selectively_and_rewritten(spark, place):
     later = message("b", 2.0).replace("2024-01-01 00", "2024-01-02 00")
