@@ -1,7 +1,7 @@
 """Jobs for ``spark-submit``: ingest landed documents, consume topics, show the status.
 
     ingest stations --documents DIR --stage-scales DIR --topics kafka:HOST:9092 --checkpoint DIR
-    ingest measurements --documents DIR --topics file:DIR --checkpoint DIR
+    ingest measurements --documents DIR --topics file:DIR --checkpoint DIR --match status=Active
     consume --topics kafka:HOST:9092 --checkpoint DIR --history DIR
     consume --topics kafka:HOST:9092 --checkpoint DIR --jdbc-url URL --jdbc-driver CLASS
     consume --topics kafka:HOST:9092 --checkpoint DIR --keyspace NAME
@@ -61,6 +61,8 @@ def _arguments(argv):
     ingest.add_argument("--documents", required=True)
     ingest.add_argument("--stage-scales")
     ingest.add_argument("--lines", action="store_true", help="one document per line")
+    ingest.add_argument("--match", action="append", default=[], metavar="ATTRIBUTE=VALUE",
+                        help="only items with this raw attribute; may be given more than once")
     ingest.add_argument("--keep-bad", action="store_true",
                         help="send bad documents to the rejects topic instead of failing")
 
@@ -113,15 +115,15 @@ def _sink(args, topic):
 def run_ingest(spark, args):
     documents = read_documents(spark, args.documents, stream=True, multi_line=not args.lines,
                                on_bad="keep" if args.keep_bad else "fail")
-    if args.topic == MEASUREMENTS:
-        output = measurement_output
-    else:
-        if not args.stage_scales:
-            raise SystemExit("stations need --stage-scales")
-
-        def output(batch):
-            scales = read_stage_scales(spark, args.stage_scales, multi_line=not args.lines)
-            return station_output(batch, stage_scale_table(scales))
+    wanted = dict(pair.split("=", 1) for pair in args.match)
+    if args.topic == STATIONS and not args.stage_scales:
+        raise SystemExit("stations need --stage-scales")
+
+    def output(batch):
+        if args.topic == MEASUREMENTS:
+            return measurement_output(batch, wanted)
+        scales = read_stage_scales(spark, args.stage_scales, multi_line=not args.lines)
+        return station_output(batch, stage_scale_table(scales), wanted)
 
     await_all([consume(documents, args.topic, to_topics(args.topics, output), args.checkpoint,
                        args.trigger, args.available_now)])

@@ -65,10 +65,12 @@ def with_reading(items):
 def matching(items, wanted):
     """Optional equality filter on raw attributes, e.g. ``{"status": "Active"}``.
 
-    The provider normally applies these before delivery; it is for landed files that hold more.
+    The provider normally applies these before delivery; it is for landed files that hold
+    more. What could not be parsed stays, to be reported.
     """
     for name, value in wanted.items():
-        items = items.where(F.get_json_object("raw", f"$['{name}']") == F.lit(value))
+        attribute = F.get_json_object("raw", f"$['{name}']")
+        items = items.where(F.col("item").isNull() | (attribute == F.lit(value)))
     return items
 
 

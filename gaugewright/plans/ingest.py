@@ -8,6 +8,7 @@ from gaugewright.operators.messages import to_messages, with_stamp
 from gaugewright.operators.unnest import (
     flat_measurement,
     flat_station,
+    matching,
     measurement_items,
     station_items,
     unnest_measures,
@@ -55,10 +56,11 @@ def _output(rows, topic):
     )
 
 
-def station_output(documents, stage_scale):
+def station_output(documents, stage_scale, wanted=None):
     """Messages and rejects together, as ``topic, key, value``, from one pass over the
-    documents."""
-    items = enrich_stage_scale(station_items(documents), stage_scale)
+    documents. ``wanted`` selects items by raw attributes."""
+    items = matching(station_items(documents), wanted or {})
+    items = enrich_stage_scale(items, stage_scale)
     reason = _reason()
     measures = F.when(reason.isNull(), F.col("item.measures"))
     rows = items.select(
@@ -83,9 +85,9 @@ def measurement_messages(documents, key="raw"):
     return to_messages(measurement_rows(documents), MEASUREMENTS, key)
 
 
-def measurement_output(documents):
+def measurement_output(documents, wanted=None):
     """Messages and rejects of measurement documents together, as for stations."""
-    items = measurement_items(documents)
+    items = matching(measurement_items(documents), wanted or {})
     malformed = F.col("item").isNull()
     rows = items.where(malformed | F.col("item.latestReading").isNotNull())
     rows = rows.withColumn("reject_reason", F.when(malformed, MALFORMED))

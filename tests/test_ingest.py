@@ -144,6 +144,16 @@ def test_a_document_without_items_fails_the_job(spark):
             rows(text)
 
 
+def test_output_of_wanted_items_keeps_malformed_documents(spark, scales):
+    items = [dict(TWO, status="Active"), dict(AGAIN, status="Closed"), AGAIN]
+    texts = spark.createDataFrame([(json.dumps({"items": items}),), ("broken",)],
+                                  "document string").withColumn("fetched_at", F.current_timestamp())
+    docs = parse_documents(texts, on_bad="keep")
+    rows = station_output(docs, scales, {"status": "Active"}).collect()
+    assert sorted(r["topic"] for r in rows) == ["stations", "stations", "stations-rejects"]
+    assert station_output(docs, scales).where("topic = 'stations'").count() == 4
+
+
 @pytest.mark.parametrize("text", ["broken", "", "{}", '{"items":null}', '{"items":[1', "[]"])
 def test_bad_documents_can_be_kept_as_rejects(spark, scales, text):
     good = json.dumps({"items": [dict(TWO, latestReading={"value": 1.0})]})

@@ -13,8 +13,10 @@ def land(folder, name, document):
 
 def test_documents_to_status_by_jobs(spark, tmp_path):
     land(tmp_path / "stations", "1.json", {"items": [
-        {"RLOIid": "s1", "label": "One", "stageScale": "u1", "measures": [{"@id": "a"}]},
-        {"RLOIid": "s2", "label": "Two", "stageScale": "gone", "measures": [{"@id": "a"}]}]})
+        {"RLOIid": "s1", "label": "One", "status": "Active", "stageScale": "u1", "measures": [{"@id": "a"}]},
+        {"RLOIid": "s2", "label": "Two", "status": "Active", "stageScale": "gone",
+         "measures": [{"@id": "a"}]},
+        {"RLOIid": "s3", "label": "Three", "stageScale": "u1", "measures": [{"@id": "a"}]}]})
     land(tmp_path / "scales", "1.json",
          {"url": "u1", "items": {"typicalRangeHigh": 1.0, "typicalRangeLow": 0.5}})
     land(tmp_path / "measurements", "1.json", {"items": [
@@ -26,7 +28,7 @@ def test_documents_to_status_by_jobs(spark, tmp_path):
     topics = f"file:{tmp_path}/topics"
     run("ingest", "stations", "--documents", tmp_path / "stations", "--stage-scales",
         tmp_path / "scales", "--topics", topics, "--checkpoint", tmp_path / "c1",
-        "--available-now")
+        "--match", "status=Active", "--available-now")
     run("ingest", "measurements", "--documents", tmp_path / "measurements", "--topics", topics,
         "--checkpoint", tmp_path / "c2", "--available-now")
     run("consume", "--topics", topics, "--checkpoint", tmp_path / "c3", "--history",
