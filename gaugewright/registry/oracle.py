@@ -211,7 +211,8 @@ _RANGES = f"""ranges AS (
     event_id % 90 + 0.375::DOUBLE AS typical_range_high
   FROM events)"""
 
-_LATEST_ORDER = """SELECT * FROM orders QUALIFY
+_LATEST_ORDER = """SELECT * FROM orders
+  WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL QUALIFY
   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
 
 ORACLES = {
@@ -273,7 +274,8 @@ ORACLES = {
           {_hashed_id("'measurements|' || user_id || '|' || event_id")} AS pk_id,
           event_id AS sequence, event_type AS unit FROM events""",
     "max_last_update": "SELECT user_id, max(ts) AS max_last_update FROM events GROUP BY user_id",
-    "latest_self_join": """SELECT * FROM orders QUALIFY
+    "latest_self_join": """SELECT * FROM orders
+        WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL QUALIFY
         rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) = 1""",
     "distinct_on": """SELECT DISTINCT ON (o_custkey, o_orderdate) * FROM orders
         ORDER BY o_custkey, o_orderdate, o_orderkey""",

@@ -19,6 +19,33 @@ def duck(sf_dir):
     return connection
 
 
+# What a table holds in the skewed copy: a third of its rows on one key, thousands of copies
+# of one row, and NULL keys or times.
+_SKEWED = {
+    "events": """SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS user_id)
+        FROM events
+        UNION ALL SELECT e.* FROM events e, range(3000) WHERE event_id = 500
+        UNION ALL SELECT * REPLACE (NULL AS ts) FROM events
+        WHERE event_id < 50 AND event_type = 'error'""",
+    "orders": """SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END
+        AS o_custkey) FROM orders
+        UNION ALL SELECT o.* FROM orders o, range(3000) WHERE o_orderkey = 500
+        UNION ALL SELECT * REPLACE (NULL AS o_custkey) FROM orders WHERE o_orderkey < 50""",
+    "customer": """SELECT * REPLACE (CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE c_nationkey END
+        AS c_nationkey) FROM customer""",
+    "supplier": """SELECT * REPLACE (CASE WHEN s_suppkey % 3 = 0 THEN 3 ELSE s_nationkey END
+        AS s_nationkey) FROM supplier""",
+}
+
+
+def write_skewed(sf_dir, target):
+    """A copy of the tables with hot keys, copies and NULLs."""
+    connection = duck(sf_dir)
+    for name in TABLES:
+        rows = _SKEWED.get(name, f"SELECT * FROM {name}")
+        connection.execute(f"COPY ({rows}) TO '{target}/{name}.parquet' (FORMAT parquet)")
+
+
 def _plain(value):
     if isinstance(value, float) and math.isnan(value):
         return "NaN"

@@ -13,7 +13,8 @@ def land(folder, name, document):
 
 def test_documents_to_status_by_jobs(spark, tmp_path):
     land(tmp_path / "stations", "1.json", {"items": [
-        {"RLOIid": "s1", "label": "One", "status": "Active", "stageScale": "u1", "measures": [{"@id": "a"}]},
+        {"RLOIid": "s1", "label": "One", "status": "Active", "stageScale": "u1",
+         "measures": [{"@id": "a"}]},
         {"RLOIid": "s2", "label": "Two", "status": "Active", "stageScale": "gone",
          "measures": [{"@id": "a"}]},
         {"RLOIid": "s3", "label": "Three", "stageScale": "u1", "measures": [{"@id": "a"}]}]})

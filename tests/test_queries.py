@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 from gaugewright.registry import batch
-from tests.compare import differences, duck
+from tests.compare import differences, duck, write_skewed
 from tests.conftest import plan
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -24,6 +24,19 @@ def test_query_equals_sql(spark, duckdb_tables, name):
     assert differences(result, duckdb_tables, driver.oracle_sql()[name]) is None
 
 
+@pytest.fixture(scope="module")
+def skewed_dir(tmp_path_factory):
+    target = str(tmp_path_factory.mktemp("skewed"))
+    write_skewed(SF_DIR, target)
+    return target
+
+
+@pytest.mark.parametrize("name", sorted(set(batch.QUERIES) & set(driver.oracle_sql())))
+def test_query_equals_sql_on_hot_keys_copies_and_nulls(spark, skewed_dir, name):
+    result = batch.QUERIES[name](spark, skewed_dir)
+    assert differences(result, duck(skewed_dir), driver.oracle_sql()[name]) is None
+
+
 def test_only_the_random_id_has_no_sql(spark):
     assert set(driver.queries()) - set(driver.oracle_sql()) == {"surrogate_id_random"}
     rows = batch.surrogate_id_random(spark, SF_DIR).collect()
