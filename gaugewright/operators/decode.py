@@ -67,14 +67,15 @@ def decode(messages, topic, layout=RELATIONAL, ids="hashed"):
     position = [c for c in ("partition", "offset") if c in messages.columns]
     texts = messages.select(F.col("value").cast("string").alias("_text"), *position)
     columns = {f.name: f.dataType for f in table.fields}
-    reason = _reject_reason(F.col("_text"), schema)
-    return parse(texts, schema, "_text").select(
+    rows = parse(texts, schema, "_text").select(
         row_id.alias(id_column),
         *[F.col(n).cast(columns[n]).alias(n) for n in schema.names],
         *([sequence.cast("bigint").alias("sequence")] if "sequence" in columns else []),
-        reason.alias("reject_reason"),
-        F.when(reason.isNotNull(), F.col("_text")).alias("reject_value"),
+        _reject_reason(F.col("_text"), schema).alias("reject_reason"),
+        "_text",
     )
+    rejected = F.col("reject_reason").isNotNull()
+    return rows.withColumn("reject_value", F.when(rejected, F.col("_text"))).drop("_text")
 
 
 def accepted(decoded):
