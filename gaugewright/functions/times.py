@@ -40,7 +40,12 @@ def local_time(utc, zone=LOCAL_ZONE):
 
 
 def local_time_text(utc, zone=LOCAL_ZONE, pattern=DISPLAY_FORMAT):
-    return F.date_format(local_time(utc, zone), pattern)
+    """Local time as text. Patterns other than the default are formatted in the session's
+    zone, which should be UTC: elsewhere a local time may not exist."""
+    local = local_time(utc, zone)
+    if pattern == DISPLAY_FORMAT:
+        return F.substring(local.cast("string"), 1, len(DISPLAY_FORMAT))
+    return F.date_format(local, pattern)
 
 
 def stamp(fetched_at, sequence):

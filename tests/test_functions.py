@@ -59,6 +59,21 @@ def test_local_time(spark, utc, local):
     assert one(spark, local_time_text(F.to_timestamp_ntz(F.lit(utc)))) == local
 
 
+def test_local_time_that_the_session_zone_skips(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        text = one(spark, local_time_text(F.to_timestamp_ntz(F.lit("2024-03-10 01:30:00"))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert text == "2024-03-10 02:30"
+
+
+def test_local_time_in_another_pattern(spark):
+    text = one(spark, local_time_text(F.to_timestamp_ntz(F.lit("2024-07-01 12:00:00")),
+                                      "Europe/London", "dd.MM.yyyy HH:mm:ss"))
+    assert text == "01.07.2024 13:00:00"
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
 def test_utc_wall_clock_under_any_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
