@@ -1,0 +1,68 @@
+import base64
+import hashlib
+from array import array
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gaugewright.llm.byte_bpe import Codec, decode_documents, encode_documents, merge, read_ranks
+from gaugewright.llm.queries import op3_byte_bpe
+from tests.llm.rows import AWKWARD, documents
+
+RANKS = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+CODEC = Codec(RANKS, public_tokenizers.PATTERN)
+TIKTOKEN = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+
+
+def test_ranks_file():
+    assert RANKS[base64.b64decode("IQ==")] == 0 and len(RANKS) == 50256
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=80))
+def test_ids_equal_the_library(text):
+    ids = CODEC.encode(text)
+    assert list(array("I", ids)) == TIKTOKEN.encode_ordinary(text)
+    assert CODEC.decode(ids) == text.encode()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aabst he", min_size=1, max_size=200).map(lambda t: t.replace(" ", "a")))
+def test_merges_of_repeats_equal_the_library(text):
+    assert merge(text.encode(), RANKS) == TIKTOKEN.encode_ordinary(text)
+
+
+def test_a_very_long_match():
+    text = "ab" * 40_000
+    assert merge(text.encode(), RANKS) == TIKTOKEN.encode_ordinary(text)
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark, AWKWARD)
+    rows = encode_documents(docs, RANKS, public_tokenizers.PATTERN).collect()
+    got = sorted((repr(r["doc_id"]), r["n_tokens"], list(r["ids"])) for r in rows)
+    expected = [(repr(i), TIKTOKEN.encode_ordinary(t or "")) for i, t, _ in AWKWARD]
+    assert got == sorted((i, len(ids), ids) for i, ids in expected)
+    decoded = decode_documents(encode_documents(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    assert sorted(bytes(r["decoded"]) for r in decoded.collect()) == sorted((t or "").encode() for _, t, _ in AWKWARD)
+    assert encode_documents(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_query_equals_the_library(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = op3_byte_bpe(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        text = texts[row["doc_id"]]
+        ids = TIKTOKEN.encode_ordinary(text)
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(array("I", ids).tobytes()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.fixture
+def sf_dir():
+    return "/root/testdata/sf0.001"
