@@ -9,6 +9,7 @@ from gaugewright.llm.exact_dedup import exact_groups
 from gaugewright.llm.mixing import mix_report
 from gaugewright.llm.quality import quality_report
 from gaugewright.llm.simhash import near_groups
+from gaugewright.llm.suffix_dedup import without_repeats
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -17,6 +18,10 @@ def table(spark, sf_dir, name, *columns):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return without_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), digests=True)
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text")).drop("row_key")
 
@@ -41,6 +46,7 @@ def op10_mixing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
