@@ -72,22 +72,23 @@ def group_rows(rows, key, order, counters=COUNTERS):
     """For each row of ``rows`` its group's first row and size.
 
     ``rows`` is a staged table; its column ``key`` is not NULL, and the struct ``order`` is unique
-    within a group. Returns the columns of ``rows`` with ``first`` (the smallest ``order``) and ``size``.
+    within a group. Returns the columns of ``rows`` with ``group_first`` (the smallest ``order``) and
+    ``group_size``.
     """
     heavy = stage(heavy_values(rows, key, counters), "heavy")
     hot_rows = rows.join(F.broadcast(heavy.select(F.col("value").alias(key))), key, "left_semi")
     winners = stage(
-        hot_rows.groupBy(key).agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("size")),
+        hot_rows.groupBy(key).agg(F.min(order).alias("group_first"), F.count(F.lit(1)).alias("group_size")),
         "winners",
     )
     hot = rows.join(F.broadcast(winners), key)
     rest = rows.join(F.broadcast(winners.select(key)), key, "left_anti")
     group = Window.partitionBy(key)
     cold = rest.withColumns({
-        "first": F.min(order).over(group),
-        "size": F.count(F.lit(1)).over(group),
+        "group_first": F.min(order).over(group),
+        "group_size": F.count(F.lit(1)).over(group),
     })
-    return hot.select(*rows.columns, "first", "size").unionByName(cold)
+    return hot.select(*rows.columns, "group_first", "group_size").unionByName(cold)
 
 
 def exact_groups(docs, doc_id="doc_id", text="text", counters=COUNTERS):
@@ -101,9 +102,9 @@ def exact_groups(docs, doc_id="doc_id", text="text", counters=COUNTERS):
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key", "row")
     return group_rows(rows, "text_sha256", order, counters).select(
         "doc_id",
-        F.col("first.doc_id").alias("keep_id"),
-        F.col("size").alias("group_size"),
-        (F.col("first.row") == F.col("row")).alias("kept"),
+        F.col("group_first.doc_id").alias("keep_id"),
+        "group_size",
+        (F.col("group_first.row") == F.col("row")).alias("kept"),
         "text_sha256",
         "row_key",
     )

@@ -16,6 +16,22 @@ FROM digests
 WINDOW same AS (PARTITION BY text_sha256)
 """
 
+WARC = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), captures AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest)
+              ELSE page_id END AS response
+    FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM captures
+"""
+
 ORACLES = {
     "op2_exact_dedup": EXACT_DEDUP,
+    "op9_warc_index": WARC,
 }

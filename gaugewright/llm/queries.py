@@ -6,10 +6,12 @@ import public_tokenizers
 
 from gaugewright.llm.byte_bpe import encode_documents, read_ranks
 from gaugewright.llm.exact_dedup import exact_groups
+from gaugewright.llm.html_text import main_text
 from gaugewright.llm.mixing import mix_report
 from gaugewright.llm.quality import quality_report
 from gaugewright.llm.simhash import near_groups
 from gaugewright.llm.suffix_dedup import without_repeats
+from gaugewright.llm.warc import archive_and_read_back
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -32,6 +34,10 @@ def op3_byte_bpe(spark, sf_dir):
     return encode_documents(docs, ranks, public_tokenizers.PATTERN, digests=True)
 
 
+def op4_html_text(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op5_quality_rules(spark, sf_dir):
     return quality_report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -41,6 +47,11 @@ def op7_simhash_near_dedup(spark, sf_dir):
     return near_groups(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_warc_index(spark, sf_dir):
+    captures = archive_and_read_back(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_mixing(spark, sf_dir):
     return mix_report(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
@@ -49,7 +60,9 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_html_text": op4_html_text,
     "op5_quality_rules": op5_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_warc_index": op9_warc_index,
     "op10_mixing": op10_mixing,
 }

@@ -1,0 +1,97 @@
+import pytest
+
+from gaugewright.llm.html_text import importance, main_text, page_text, style_nodes
+from gaugewright.llm.queries import op4_html_text
+
+SHAPES = {
+    "<article><h1>T</h1><p>a&amp;b  c<br>d</p></article>": "T\na&b c d",
+    "<body><nav><ul><li><a href=/>Home</a></ul></nav><div class='ad'>Buy</div><article><p>Text</article>"
+    "<footer>&copy; x</footer>": "Text",
+    "<p><b>one.<br><p>two <i>t</i>hree<p>four": "one.\ntwo three\nfour",
+    "<main><script>var t='</p>'; if (a<b) x()</script><style>p{}</style><p>x</p><!-- <p>no</p> --></main>": "x",
+    "<article><p>x<aside>side</aside><p>y<section class='comments'><article><p>rude</article></section></article>": "x\ny",
+    "<form><input value=q><article><p>in a form</article><button>Go</button></form>": "in a form",
+    "<nav><a>left open<article><p>kept</article>": "kept",
+    "<article><header><h1>Title</h1></header><p>x</p><footer>by me</footer></article>": "Title\nx",
+    "<article><table><tr><td>a<td>b<tr><td>c</table></article>": "a\nb\nc",
+    "<article>&lt;tag&gt; &#233;&nbsp;&eacute; 1 < 2 & 3</article>": "<tag> é é 1 < 2 & 3",
+    "<article><p hidden>h</p><p style='display: none'>n</p><p>shown</p></article>": "shown",
+    "<body class='has-sidebar menu'><main><p class=intro>x</main>": "x",
+    "<article><span class=ad>buy</span>text <em>more</em></article>": "text more",
+    "<article><textarea>t</textarea><select><option>o</select><noscript>js</noscript>z</article>": "z",
+    "<ARTICLE><P>UP</P></ARTICLE>": "UP",
+    "plain text without tags": "plain text without tags",
+    "<article><p title='a>b'>x</p><p title=\"open>y</p></article>": "x\ny",
+    "<div id=cookie-notice>We use cookies</div><div class=post-content><p>Body</p></div>": "Body",
+    "": "", "<": "<", "<!-- open": "",
+}
+
+
+@pytest.mark.parametrize("html", SHAPES)
+def test_shapes(html):
+    assert page_text(html) == SHAPES[html]
+
+
+def test_null_and_very_long_pages():
+    assert page_text(None) == ""
+    text = page_text("<article>" + "<p>word " * 100_000)
+    assert text.count("\n") == 99_999
+    assert page_text("<div>" * 50_000 + "deep") == "deep"
+    assert page_text("<a " * 20_000 + "'") is not None
+
+
+def test_importance():
+    assert importance(1.0, 0.0, 0.0) >= 0.5 > importance(0.0, 1.0, 0.0)
+    assert importance(0.5, 1.0, 0.0) >= 0.5 > importance(0.5, 0.0, 0.0)
+    assert importance(0.5, 1.0, 0.9) < 0.5
+
+
+def site(n, host="site.example.org"):
+    """Pages whose template has no telling names."""
+    return [(i, f"http://{host}/{i}",
+             f"<body><div class=alpha>Welcome to the site</div><div class=beta><p>Story {i} tells of {i * 7}.</p></div>"
+             f"<div class=gamma><a href=/>one</a> <a href=/2>two {i}</a></div></body>") for i in range(n)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(
+        [(*r, "h", [1], "t", 3.0) for r in rows],
+        "page_id long, url string, html string, host string, low array<int>, text string, weight double")
+
+
+def test_the_host_decides_on_blocks_without_telling_names(spark):
+    rows = site(40) + [(100, "http://lone.example.org/", site(1)[0][2]), (101, None, None), (102, "odd", "<p>x"),
+                       (100, "http://lone.example.org/", site(1)[0][2])]
+    texts = {}
+    got = main_text(frame(spark, rows).repartition(3)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        texts[r["page_id"]] = r["text"]
+        assert r["n_chars"] == len(r["text"])
+    assert all(texts[i] == f"Story {i} tells of {i * 7}." for i in range(40))
+    assert "Welcome" in texts[100] and texts[101] == "" and texts[102] == "x"
+    nodes = style_nodes(frame(spark, rows)).collect()
+    assert {r["host"] for r in nodes} == {"site.example.org"} and len(nodes) == 3
+    assert main_text(frame(spark, [])).count() == 0
+
+
+def test_copies_on_one_host_keep_their_article(spark):
+    page = "<nav>menu</nav><article><p>The same article.</p></article><footer>f</footer>"
+    rows = [(i, f"http://copies.example.org/{i}", page) for i in range(50)]
+    assert {r["text"] for r in main_text(frame(spark, rows)).collect()} == {"The same article."}
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_the_articles(spark, sf):
+    """The pages of the test tables have one article element each, of h1 and p blocks."""
+    import html
+    import re
+
+    rows = {r["page_id"]: r for r in op4_html_text(spark, f"/root/testdata/{sf}").collect()}
+    pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").collect()
+    assert len(rows) == len(pages)
+    for page in pages:
+        article = re.search(r"<article>(.*?)</article>", page["html"], re.S)[1]
+        blocks = [html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))) for b in re.split(r"</?(?:p|h1)>", article)]
+        want = "\n".join(" ".join(b.split()) for b in blocks if b.split())
+        assert rows[page["page_id"]]["text"] == want
