@@ -3,7 +3,7 @@
 Each match of the split pattern is merged by itself. A segment tree over its byte positions holds
 the leftmost pair of lowest rank; a merge changes the pairs of the two live neighbours only, which
 are point updates of logarithmic cost, so a match of any length is merged in O(n log n).
-Merged matches are remembered up to a fixed number of bytes in each task.
+Merged matches are remembered up to a fixed number of bytes in each worker.
 
 Defined cases: a NULL text counts as empty and gives no ids. Special tokens are ordinary text.
 Repeated rows are encoded alike, each by itself. One pass without a shuffle.
@@ -13,11 +13,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from array import array
 
 import pyarrow as pa
 
-REMEMBERED_BYTES = 32 << 20
+# Of matches and their ids, in each Python worker; tasks that run in one worker share them.
+REMEMBERED_BYTES = 160 << 20
 # Above every rank.
 NO_PAIR = 1 << 62
 
@@ -94,7 +96,7 @@ class _Merged(dict):
             self.clear()
             self.held = 0
         if len(ids) <= 1 << 12:
-            self.held += 4 * len(match) + len(ids) + 200
+            self.held += len(match) + len(ids) + 220
             self[match] = ids
         return ids
 
@@ -119,18 +121,33 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, array("I", ids)))
 
 
+_codecs = {}
+
+
+def _codec(shared, pattern):
+    """The worker's codec for a broadcast vocabulary; a new vocabulary replaces it."""
+    key = (shared.value["id"], pattern)
+    if key not in _codecs:
+        _codecs.clear()
+        _codecs[key] = Codec(shared.value["ranks"], pattern)
+    return _codecs[key]
+
+
+def _shared(spark, ranks):
+    return spark.sparkContext.broadcast({"id": uuid.uuid4().hex, "ranks": ranks})
+
+
 def encode_documents(docs, ranks, pattern, doc_id="doc_id", text="text", digests=False):
     """One row per document: doc_id, n_tokens and ids, or with ``digests`` the SHA-256 of the ids
     and of the bytes that decoding them gives.
 
     ``ranks`` is a vocabulary of fixed size and is broadcast.
     """
-    spark = docs.sparkSession
     kind = docs.select(doc_id).schema[0].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(ranks)
+    shared = _shared(docs.sparkSession, ranks)
 
     def encode(batches):
-        codec = Codec(shared.value, pattern)
+        codec = _codec(shared, pattern)
         for batch in batches:
             ids = [codec.encode(t or "") for t in batch.column(1).to_pylist()]
             columns = [batch.column(0), pa.array([len(i) // 4 for i in ids], pa.int64())]
