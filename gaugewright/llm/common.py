@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from gaugewright.session import work_path
 
+# Rows of an Arrow batch. Spark's own 10,000 long texts would not fit into a worker.
+BATCH_ROWS = 1000
+
 # The contract's white space and words, as regular expressions.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,6 +22,14 @@ def stage(df, purpose):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df, function, schema):
+    """``mapInArrow`` in batches of at most ``BATCH_ROWS`` rows, a setting of the session that stays."""
+    setting, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(setting)) <= BATCH_ROWS:
+        conf.set(setting, BATCH_ROWS)
+    return df.mapInArrow(function, schema)
+
+
 def free_name(df, wanted):
     """``wanted``, with underscores added until no column of ``df`` has that name."""
     taken = {c.lower() for c in df.columns}

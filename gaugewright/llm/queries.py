@@ -7,10 +7,12 @@ import public_tokenizers
 from gaugewright.llm.byte_bpe import encode_documents, read_ranks
 from gaugewright.llm.exact_dedup import exact_groups
 from gaugewright.llm.html_text import main_text
+from gaugewright.llm.language import languages
 from gaugewright.llm.mixing import mix_report
 from gaugewright.llm.quality import quality_report
 from gaugewright.llm.simhash import near_groups
 from gaugewright.llm.suffix_dedup import without_repeats
+from gaugewright.llm.toxicity import toxicity
 from gaugewright.llm.warc import archive_and_read_back
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -42,11 +44,20 @@ def op5_quality_rules(spark, sf_dir):
     return quality_report(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_language(spark, sf_dir):
+    return languages(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op7_simhash_near_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return near_groups(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity(
+        table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op9_warc_index(spark, sf_dir):
     captures = archive_and_read_back(table(spark, sf_dir, "pages", "page_id", "url", "html"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -62,7 +73,9 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_html_text": op4_html_text,
     "op5_quality_rules": op5_quality_rules,
+    "op6_language": op6_language,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_warc_index": op9_warc_index,
     "op10_mixing": op10_mixing,
 }
