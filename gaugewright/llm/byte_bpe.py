@@ -18,6 +18,8 @@ from array import array
 
 import pyarrow as pa
 
+from gaugewright.llm.common import map_batches
+
 # Of matches and their ids, in each Python worker; tasks that run in one worker share them.
 REMEMBERED_BYTES = 160 << 20
 # Above every rank.
@@ -162,7 +164,7 @@ def encode_documents(docs, ranks, pattern, doc_id="doc_id", text="text", digests
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids"])
 
     out = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>"
-    return docs.select(doc_id, text).mapInArrow(encode, f"doc_id {kind}, n_tokens long, {out}")
+    return map_batches(docs.select(doc_id, text), encode, f"doc_id {kind}, n_tokens long, {out}")
 
 
 def decode_documents(encoded, ranks, ids="ids"):

@@ -24,7 +24,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gaugewright.llm.common import stage
+from gaugewright.llm.common import map_batches, stage
 
 MIN_PAGES = 5
 PRESENTATION_WEIGHT = 0.7
@@ -265,9 +265,9 @@ def style_nodes(pages, url="url", html="html"):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, kinds)], ["host", "node", "weight", "content", "chars", "links"])
 
-    found = (
-        pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("host <> ''")
-        .mapInArrow(rows, "host string, node long, weight double, content long, chars long, links long"))
+    found = map_batches(
+        pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("host <> ''"), rows,
+        "host string, node long, weight double, content long, chars long, links long")
     contents = found.groupBy("host", "node", "content").agg(
         F.count(F.lit(1)).alias("n"), F.first("weight").alias("weight"),
         F.sum("chars").alias("chars"), F.sum("links").alias("links"))
@@ -309,5 +309,5 @@ def main_text(pages, page_id="page_id", url="url", html="html"):
                  pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     kind = slim.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "low", "high").mapInArrow(
-        extract, f"page_id {kind}, url string, text string, n_chars long")
+    return map_batches(
+        joined.select("page_id", "url", "html", "low", "high"), extract, f"page_id {kind}, url string, text string, n_chars long")

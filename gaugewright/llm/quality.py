@@ -16,6 +16,8 @@ from collections import Counter
 
 import pyarrow as pa
 
+from gaugewright.llm.common import map_batches
+
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 
@@ -139,7 +141,7 @@ def quality_report(docs, doc_id="doc_id", text="text"):
 
     fields = [f"doc_id {kind}", *[f"{c} long" for c in counts], "base_failed boolean", "kept boolean",
               *[f"{c} long" for c in extra]]
-    return docs.select(doc_id, text).mapInArrow(report, ", ".join(fields))
+    return map_batches(docs.select(doc_id, text), report, ", ".join(fields))
 
 
 def good_documents(docs, text="text"):
@@ -150,4 +152,4 @@ def good_documents(docs, text="text"):
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             yield batch.filter(pa.array([measure(t)["kept"] for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(passing, docs.schema)
+    return map_batches(docs, passing, docs.schema)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gaugewright.llm.common import keep_keys, row_key, stage
+from gaugewright.llm.common import keep_keys, map_batches, row_key, stage
 from gaugewright.operators.joins import same_key
 
 SHINGLE = 4
@@ -197,7 +197,8 @@ def simhash_rows(docs, doc_id="doc_id", text="text", shingle=SHINGLE):
                 [batch.column(0), batch.column(2), column], ["doc_id", "row_key", "fingerprint"])
 
     keyed = docs.select(doc_id, text, row_key(F.col(doc_id), F.col(text)).alias("row_key"))
-    return stage(keyed.mapInArrow(prints, f"doc_id {kind}, row_key string, fingerprint long"), "fingerprints")
+    return stage(
+        map_batches(keyed, prints, f"doc_id {kind}, row_key string, fingerprint long"), "fingerprints")
 
 
 def near_groups(docs, doc_id="doc_id", text="text", shingle=SHINGLE, radius=RADIUS):

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gaugewright.llm.common import stage, utf8
+from gaugewright.llm.common import map_batches, stage, utf8
 from gaugewright.operators.joins import same_key
 
 LENGTH = 400
@@ -342,7 +342,7 @@ def _contexts(length):
 
 def repeated_spans(texts, length=LENGTH, gram=GRAM, large=LARGE):
     """A staged table (t1, t2, spans) of the repeated byte ranges of ``texts`` (t1, t2, text)."""
-    anchors = stage(texts.select("t1", "t2", "text").mapInArrow(_anchors(length, gram), ANCHORS), "anchors")
+    anchors = stage(map_batches(texts.select("t1", "t2", "text"), _anchors(length, gram), ANCHORS), "anchors")
     twice = anchors.groupBy(F.col("hash").alias("again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stage(anchors.join(twice, same_key(F.col("hash"), F.col("again")), "left_semi"), "shared")
     classes = stage(
@@ -360,8 +360,8 @@ def repeated_spans(texts, length=LENGTH, gram=GRAM, large=LARGE):
         .groupBy("t1", "t2").agg(F.collect_list("r").alias("runs")))
     once = texts.select("t1", "t2", "text").dropDuplicates(["t1", "t2"])
     contexts = stage(
-        once.join(mixed, ["t1", "t2"]).select("text", "t1", "t2", "runs").mapInArrow(
-            _contexts(length),
+        map_batches(
+            once.join(mixed, ["t1", "t2"]).select("text", "t1", "t2", "runs"), _contexts(length),
             "hash long, t1 long, t2 int, s int, off int, n long, classes long, context binary"), "contexts")
     few = (
         contexts.where(F.col("classes") <= large).repartition("hash").sortWithinPartitions("hash")
@@ -430,6 +430,6 @@ def without_repeats(docs, doc_id="doc_id", text="text", length=LENGTH, digests=F
             yield pa.RecordBatch.from_arrays(columns, names)
 
     out = "kept_sha256 string" if digests else "kept binary, spans array<array<int>>"
-    return (
-        docs.join(spans, ["t1", "t2"], "left").select("doc_id", "text", "spans")
-        .mapInArrow(cut_out, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {out}"))
+    return map_batches(
+        docs.join(spans, ["t1", "t2"], "left").select("doc_id", "text", "spans"), cut_out,
+        f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, {out}")

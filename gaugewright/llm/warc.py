@@ -29,7 +29,7 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gaugewright.llm.common import stage
+from gaugewright.llm.common import map_batches, stage
 from gaugewright.llm.exact_dedup import group_rows
 from gaugewright.session import work_path
 
@@ -164,8 +164,8 @@ def write_archive(pages, folder=None, page_id="page_id", url="url", html="html",
     slim = stage(pages.select(
         F.monotonically_increasing_id().alias("row"), F.col(page_id).cast("long").alias("page_id"),
         F.col(url).alias("url"), F.col(html).alias("html")), "pages")
-    manifest = decided(slim).mapInArrow(
-        _writer(folder, file_bytes),
+    manifest = map_batches(
+        decided(slim), _writer(folder, file_bytes),
         "key string, page_id long, row long, file string, offset long, length long, kind string")
     return folder, stage(manifest, "manifest")
 
@@ -214,8 +214,8 @@ def build_index(folder, manifest, block_lines=BLOCK_LINES):
     """
     lines = manifest.repartitionByRange("key", F.col("page_id").asc_nulls_first(), "row").sortWithinPartitions(
         "key", F.col("page_id").asc_nulls_first(), "row")
-    root = stage(lines.mapInArrow(
-        _index_writer(folder, block_lines), "first string, file string, offset long, length long"), "index")
+    root = stage(map_batches(
+        lines, _index_writer(folder, block_lines), "first string, file string, offset long, length long"), "index")
     return sorted(tuple(r) for r in root.collect())
 
 
@@ -331,8 +331,8 @@ def look_up(keys, folder, root):
     sorted_keys = (
         keys.select("key", "page_id").distinct().repartitionByRange("key", F.col("page_id").asc_nulls_first())
         .sortWithinPartitions("key", F.col("page_id").asc_nulls_first()))
-    return sorted_keys.mapInArrow(
-        _captures(folder, root),
+    return map_batches(
+        sorted_keys, _captures(folder, root),
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
