@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gaugewright.llm import quality
+
 EXACT_DEDUP = r"""
 WITH digests AS (
     SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
@@ -31,7 +33,57 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM captures
 """
 
+QUALITY = rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), worded AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM texts
+), windows AS (
+    SELECT row, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS three
+    FROM (SELECT row, words, unnest(range(1, len(words) - 1)) AS i FROM worded WHERE len(words) >= 3)
+), again AS (
+    SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, three) > 1
+), repeated AS (
+    SELECT row, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY row
+), split AS (
+    SELECT row, unnest(string_split(text, chr(10))) AS line FROM texts
+), lines AS (
+    SELECT row, line,
+           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+           length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+           length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
+           len(regexp_extract_all(line, '{quality.SHOUT}')) AS shouts,
+           len(regexp_extract_all(line, '{quality.SEPARATOR}')) AS separators,
+           regexp_matches(line, '{quality.BOILERPLATE}') AS furniture
+    FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), judged AS (
+    SELECT row, chars,
+           100 * symbols > {quality.MAX_SYMBOL_PERCENT} * n OR 100 * shouts > {quality.MAX_SHOUT_PERCENT} * n
+           OR separators >= {quality.MIN_SEPARATORS} AND 100 * separators >= {quality.MIN_SEPARATOR_PERCENT} * n
+           OR n <= {quality.MAX_BOILERPLATE_WORDS} AND furniture AS failed
+    FROM lines
+), summed AS (
+    SELECT row, count(*) FILTER (failed) AS n_removed_lines, coalesce(sum(chars) FILTER (NOT failed), 0) AS kept_word_chars
+    FROM judged GROUP BY row
+), doubled AS (
+    SELECT row, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY row
+), measured AS (
+    SELECT doc_id, len(words) AS n_words,
+           length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+           length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(doubled.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
+           coalesce(n_removed_lines, 0) AS n_removed_lines,
+           coalesce(kept_word_chars, 0)::BIGINT AS kept_word_chars
+    FROM worded LEFT JOIN repeated USING (row) LEFT JOIN doubled USING (row) LEFT JOIN summed USING (row)
+), based AS (
+    SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed
+    FROM measured
+)
+SELECT *, NOT base_failed AND 100 * kept_word_chars >= {quality.MIN_KEPT_PERCENT} * word_chars AS kept FROM based
+"""
+
 ORACLES = {
     "op2_exact_dedup": EXACT_DEDUP,
+    "op5_quality_rules": QUALITY,
     "op9_warc_index": WARC,
 }

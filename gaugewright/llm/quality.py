@@ -50,22 +50,18 @@ def line_fails(line):
     raw = line.encode()
     n = len(raw.split())
     symbols = len(raw) - len(raw.translate(None, SYMBOLS))
-    if 100 * symbols > MAX_SYMBOL_PERCENT * n and not _is_menu(line, n):
+    separators = len(_separator.findall(line))
+    if separators >= MIN_SEPARATORS and 100 * separators >= MIN_SEPARATOR_PERCENT * n:
+        return "navigation"
+    if 100 * symbols > MAX_SYMBOL_PERCENT * n:
         return "punctuation"
     if ("!" in line or "?" in line) and 100 * len(_shout.findall(line)) > MAX_SHOUT_PERCENT * n:
         return "punctuation"
-    if _is_menu(line, n):
-        return "navigation"
     if n <= MAX_BOILERPLATE_WORDS and _boilerplate.search(line):
         return "boilerplate"
     return None
 
 
-def _is_menu(line, n):
-    separators = len(_separator.findall(line))
-    return separators >= MIN_SEPARATORS and 100 * separators >= MIN_SEPARATOR_PERCENT * n
-
-
 def _word_chars(text, raw):
     return len(text) - (len(raw) - len(raw.translate(None, SPACES)))
 

@@ -127,8 +127,8 @@ MACHINE = (
 # What the machine puts out, as features, with their prior weights. A directed insult that came before its
 # target has been counted as plain already.
 PATTERNS = {
-    INSULT: 2.0, INSULT + ">": 2.5, INSULT + "-": 0.5, INSULT + "\"": 0.7, INSULT + "-\"": 0.3,
-    THREAT: 1.0, THREAT + ">": 2.5, THREAT + "-": 0.2, THREAT + "\"": 0.3, THREAT + "-\"": 0.1,
+    INSULT: 4.5, INSULT + ">": 6.0, INSULT + "-": 1.0, INSULT + "\"": 1.5, INSULT + "-\"": 0.5,
+    THREAT: 2.0, THREAT + ">": 5.0, THREAT + "-": 0.5, THREAT + "\"": 0.5, THREAT + "-\"": 0.2,
 }
 _NUMBER = {pattern: i for i, pattern in enumerate(PATTERNS)}
 PRIOR = np.array([*PATTERNS.values(), -3.5])  # and the score of a text without patterns

@@ -1,0 +1,83 @@
+from collections import Counter
+
+import pytest
+
+from gaugewright.llm.oracle import ORACLES
+from gaugewright.llm.quality import clean_text, good_documents, line_fails, measure, quality_report, repeated_words
+from gaugewright.llm.queries import QUERIES
+from tests.compare import differences, duck
+from tests.llm.rows import AWKWARD, LINE, documents
+
+# LINE repeated is one long repetition; these sentences differ.
+PROSE = "\n".join(
+    f"Sentence number {i} says that {a} and {b} were seen near bridge {i * 7} on day {i * 3}."
+    for i, (a, b) in enumerate(zip("herons otters swans trout eels mice".split(), "boats crowds clouds reeds logs nets".split())))
+
+
+def test_lines():
+    assert line_fails("Home | News | Sport | Weather | Contact") == "navigation"
+    assert line_fails("a > b > c > d") == "navigation"
+    assert line_fails("word%%% other### third$$$") == "punctuation"
+    assert line_fails("READ!! THIS!! NOW!!") == "punctuation"
+    assert line_fails("All Rights Reserved 2020") == "boilerplate"
+    assert line_fails("We accept cookies and click here") == "boilerplate"
+    assert line_fails("The river rose by four feet overnight, and 20% of it stayed!") is None
+    assert line_fails("He told them to click here, " + "and they went on to read the rest of it " * 3) is None
+    assert line_fails("a b c | d") is None
+
+
+def test_counts():
+    m = measure("One two\x0bthree é#\n\nOne two\x0bthree é#\n \nx y")
+    assert (m["n_words"], m["word_chars"], m["n_symbols"], m["n_dup_lines"]) == (9, 29, 2, 1)
+    assert m["n_repeat_words"] == 8 and m["base_failed"] and not m["kept"]
+    assert repeated_words("a a a a".split()) == 4
+    assert repeated_words("a b c d a b c".split()) == 6
+    assert repeated_words("a b".split()) == 0
+
+
+def test_verdicts():
+    assert measure(PROSE)["kept"]
+    menu = "\n".join(["Home | News | Sport | Weather | Contact | About | Help"] * 1)
+    assert measure(PROSE + "\n" + menu)["kept"]
+    assert clean_text(PROSE + "\n" + menu) == PROSE
+    junk = "\n".join(f"q{i}%%% w{i}### e{i}*** r{i}$$$ t{i}&&& y{i}%%%" for i in range(30))
+    assert not measure(PROSE[:200] + "\n" + junk)["kept"]
+    assert not measure(junk)["base_failed"] and not measure(junk)["kept"]
+    assert measure("")["base_failed"] and measure(None)["base_failed"]
+
+
+def test_awkward_rows(spark):
+    rows = AWKWARD + [(50, PROSE, "a"), (50, PROSE, "a"), (51, PROSE, None)]
+    docs = documents(spark, rows)
+    report = quality_report(docs).collect()
+    assert Counter((r["doc_id"], r["kept"], r["n_words"]) for r in report) == Counter(
+        (i, measure(t)["kept"], measure(t)["n_words"]) for i, t, _ in rows)
+    kept = good_documents(docs)
+    assert kept.schema == docs.schema
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter({50: 2, 51: 1})
+    assert quality_report(docs.limit(0)).count() == 0 and good_documents(docs.limit(0)).count() == 0
+
+
+def test_sql_on_awkward_rows(spark, tmp_path):
+    rows = AWKWARD + [(50, PROSE, "a"), (52, "a | b | c | d\n" + LINE, "a"), (53, "é!! x?? y!!\n\x0b\n" * 30, "a")]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    result = QUERIES["op5_quality_rules"](spark, str(tmp_path))
+    assert differences(result, connection, ORACLES["op5_quality_rules"]) is None
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, sf):
+    sf_dir = f"/root/testdata/{sf}"
+    assert differences(QUERIES["op5_quality_rules"](spark, sf_dir), duck(sf_dir), ORACLES["op5_quality_rules"]) is None
+
+
+def test_good_documents_stay_and_junk_goes(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    rows = QUERIES["op5_quality_rules"](spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id")
+    counts = Counter((r["quality"], r["kept"]) for r in rows.where("NOT base_failed").collect())
+    assert counts[1, True] >= 0.98 * (counts[1, True] + counts[1, False])
+    assert counts[0, False] >= 0.9 * (counts[0, True] + counts[0, False])

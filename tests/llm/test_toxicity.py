@@ -1,0 +1,109 @@
+import random
+
+import numpy as np
+
+from gaugewright.llm.queries import op8_toxicity
+from gaugewright.llm.toxicity import (
+    END, INSULT, NEGATION, OTHER, PATTERNS, PRIOR, REPORT, TARGET, Grammar, Scorer, Transducer, clause_patterns, fit,
+    fit_weights, score, toxicity,
+)
+from tests.llm.rows import AWKWARD, documents
+
+NAMES = list(PATTERNS)
+
+
+def found(clause):
+    return [NAMES[p] for p in clause_patterns(clause)]
+
+
+def test_composition():
+    double = Transducer(0, lambda s, x: (s + 1, x.upper() if s % 2 else x))
+    swap = Transducer("a", lambda s, x: ("a", {"x": "y", "X": "z"}.get(x, x)))
+    machine, state, out = double.then(swap), None, []
+    state = machine.start
+    for symbol in "xxq":
+        state, put = machine.step(state, symbol)
+        out.append(put)
+    assert out == ["y", "z", "q"] and state == (3, "a")
+
+
+def test_patterns_of_clauses():
+    assert found(OTHER + INSULT) == [INSULT]
+    assert found(TARGET + OTHER + INSULT) == [INSULT + ">"]
+    assert found(INSULT + OTHER + TARGET) == [INSULT, INSULT + ">"]
+    assert found(NEGATION + OTHER + INSULT) == [INSULT + "-"]
+    assert found(NEGATION + OTHER * 5 + INSULT) == [INSULT]
+    assert found(REPORT + OTHER + INSULT) == [INSULT + '"']
+    assert found(OTHER * 4) == []
+
+
+def test_matched_clauses_score_not_isolated_words():
+    scorer = Scorer(Grammar())
+    direct, plain = scorer.score("you are an idiot"), scorer.score("the idiot")
+    negated, reported = scorer.score("you are not an idiot"), scorer.score("she said idiot")
+    assert direct > plain > reported > scorer.score("a clear day") and plain > negated
+    assert scorer.score("you went. the idiot") == plain  # clauses are apart
+    assert scorer.score(None) == scorer.score("") == scorer.score("12 ?!")
+    assert Grammar().symbols("(idiot),you") == INSULT + END + TARGET
+    assert Scorer(Grammar(["blor", "zig$"])).score("blorfing") > 0.15
+    assert Grammar(["zig$"]).symbols("zigzag") == OTHER
+
+
+def corpus(n=600, seed=3):
+    """Every tenth text is toxic: it has a word of a stem that no other text has."""
+    chance = random.Random(seed)
+
+    def word():
+        return "".join(chance.choice("aeioubdfgklmnrst") for _ in range(chance.randint(2, 9)))
+
+    rows = []
+    for i in range(n):
+        words = [word() for _ in range(chance.randint(5, 60))]
+        toxic = i % 10 == 0
+        if toxic:
+            for _ in range(2):
+                words.insert(chance.randint(0, len(words)), "grumx" + word())
+        rows.append((i, " ".join(words), int(toxic)))
+    return rows
+
+
+def test_stems_are_learned_from_labels(spark):
+    rows = corpus()
+    docs = documents(spark, [(i, t, "a") for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 4] + [(1, None), (None, 1)], "doc_id long, toxic int")
+    grammar = fit(docs.select("doc_id", "text"), labels)
+    assert any("grumx".startswith(g) for g in grammar.learned)
+    scores = {r["doc_id"]: r["score"] for r in score(docs, grammar).collect()}
+    assert min(scores[i] for i, _, y in rows if y) >= 0.3 > max(scores[i] for i, _, y in rows if not y)
+
+
+def test_weights_stay_near_the_prior_without_data():
+    none = np.zeros((0, len(PRIOR)))
+    assert np.allclose(fit_weights(none, np.zeros(0), np.zeros(0)), PRIOR)
+
+
+def test_awkward_rows(spark):
+    docs = documents(spark, AWKWARD + [(70, "you idiot " * 50_000, "a")])
+    labels = spark.createDataFrame([(1, 0), (70, 1), (70, 1), (70, 0)], "doc_id long, toxic int")
+    rows = toxicity(docs, labels).collect()
+    assert len(rows) == len(AWKWARD) + 1
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    assert next(r for r in rows if r["doc_id"] == 70)["predicted"] == 1
+    assert {r["predicted"] for r in rows if r["doc_id"] in (3, 4, 5)} == {0}
+    assert toxicity(docs.limit(0), labels.limit(0)).count() == 0
+    assert toxicity(docs, labels.limit(0)).count() == len(rows)
+
+
+def test_held_out_documents(spark):
+    import zlib
+
+    sf_dir = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    rows = op8_toxicity(spark, sf_dir).join(labels, "doc_id").join(docs, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    # In tables this small too few texts of other languages are labelled toxic to learn their words.
+    held = [r for r in rows if r["held_out"] and r["lang"] == "en"]
+    toxic = [r["predicted"] for r in held if r["toxic"]]
+    clean = [r["predicted"] for r in held if not r["toxic"]]
+    assert sum(toxic) >= 0.8 * len(toxic) and sum(clean) <= 0.02 * len(clean)
