@@ -10,8 +10,10 @@
 3. *Suffix sort.* Where a hash has several classes, one run of each brings its bytes. The suffixes at its
    window starts are mergesorted, compared by prefix polynomial hashes: a binary search finds the
    common extension in O(log length). Neighbours that agree over ``length`` bytes are verified byte by
-   byte; where the check fails, the suffixes are sorted by their bytes. Hashes with more than
-   ``LARGE`` classes are too many for one task: their windows are counted by 128-bit digest instead.
+   byte; where the check fails, the suffixes are sorted by their bytes. A hash with more than
+   ``LARGE`` classes is too much for one task: its runs are cut into pieces, whose windows share all but a few
+   bytes, and go by the hash of what they share; classes are formed again, and sorted again. What is still too
+   large then, texts that differ just outside such a shared string, has its windows counted by 128-bit digest.
 4. The spans come back to the texts by a key of the text, are merged and cut out.
 
 Defined cases: a NULL text counts as empty. Texts shorter than ``length`` keep all bytes. Repeated rows
@@ -301,6 +303,41 @@ def _sorted_spans(length):
     return spans
 
 
+PIECES = "hash long, c1 long, c2 long, t1 long, t2 int, s int, off int, n long, context binary"
+
+
+def _pieces(length):
+    """Runs -> pieces of windows whose anchors lie equally far on, by the hash of the bytes that all windows
+    of the piece share. Equal windows fall into pieces of one hash, also where a text's end cuts a piece short."""
+    import xxhash
+
+    width = max(1, length // 16)
+
+    def pieces(batches):
+        for batch in batches:
+            out = [[] for _ in range(9)]
+            for t1, t2, s, off, n, context in zip(*(
+                    batch.column(batch.schema.get_field_index(c)).to_pylist()
+                    for c in ("t1", "t2", "s", "off", "n", "context"))):
+                last = len(context) - length
+                for number in range((off - last) // width, off // width + 1):
+                    far = number * width  # windows whose anchor is far .. far + width - 1 bytes on
+                    first, final = max(0, off - far - width + 1), min(last, off - far)
+                    shared = context[off - far:off - far - width + 1 + length]
+                    part = context[first:final + length]
+                    digest = xxhash.xxh3_128_digest(part, off - first)
+                    row = (xxhash.xxh3_64_intdigest(shared, far) - (1 << 63), int.from_bytes(digest[:8], "little", signed=True),
+                           int.from_bytes(digest[8:], "little", signed=True), t1, t2, s + first, off - first, n, part)
+                    for column, value in zip(out, row):
+                        column.append(value)
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(out, kinds)],
+                ["hash", "c1", "c2", "t1", "t2", "s", "off", "n", "context"])
+
+    return pieces
+
+
 def _window_digests(length):
     import xxhash
 
@@ -363,19 +400,46 @@ def repeated_spans(texts, length=LENGTH, gram=GRAM, large=LARGE):
         map_batches(
             once.join(mixed, ["t1", "t2"]).select("text", "t1", "t2", "runs"), _contexts(length),
             "hash long, t1 long, t2 int, s int, off int, n long, classes long, context binary"), "contexts")
-    few = (
-        contexts.where(F.col("classes") <= large).repartition("hash").sortWithinPartitions("hash")
-        .mapInArrow(_sorted_spans(length), SPANS))
-    windows = contexts.where(F.col("classes") > large).mapInArrow(
-        _window_digests(length), "t1 long, t2 int, a int, n long, w1 long, w2 long")
+    spans = whole.unionByName(_sorted(contexts.where(F.col("classes") <= large), length))
+    spans = spans.unionByName(_large(contexts.where(F.col("classes") > large), length, large)).distinct()
+    return stage(
+        spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+
+
+def _sorted(contexts, length):
+    return (
+        contexts.repartition("hash").sortWithinPartitions("hash").mapInArrow(_sorted_spans(length), SPANS))
+
+
+def _large(contexts, length, large):
+    """Spans of runs whose anchor hash has too many classes for one task."""
+    pieces = stage(map_batches(contexts, _pieces(length), PIECES), "pieces")
+    size = F.octet_length("context")
+    classes = stage(
+        pieces.groupBy("hash", "c1", "c2").agg(
+            F.sum("n").alias("n"), F.min(F.struct("t1", "t2", "s")).alias("run")), "classes")
+    again = classes.where("n > 1").select(F.col("hash").alias("h"), F.col("c1").alias("d1"), F.col("c2").alias("d2"))
+    whole = pieces.where("n = 1").join(
+        again, same_key(F.col("hash"), F.col("h")) & (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2")),
+        "left_semi").select("t1", "t2", F.col("s").alias("a"), (F.col("s") + size).cast("int").alias("b"))
+    counts = classes.groupBy(F.col("hash").alias("again")).agg(
+        F.count(F.lit(1)).alias("classes"), F.count_if(F.col("n") == 1).alias("single"))
+    mixed = classes.join(
+        counts.where("classes > 1 AND single > 0"), same_key(F.col("hash"), F.col("again"))
+    ).select(F.struct("hash", "run.t1", "run.t2", "run.s").alias("one"), F.col("n").alias("total"), "classes")
+    chosen = stage(
+        pieces.withColumn("one", F.struct("hash", "t1", "t2", "s")).join(mixed, "one")
+        .select("hash", "t1", "t2", "s", "off", F.col("total").alias("n"), "classes", "context"), "contexts")
+    few = _sorted(chosen.where(F.col("classes") <= large), length)
+    windows = map_batches(
+        chosen.where(F.col("classes") > large), _window_digests(length),
+        "t1 long, t2 int, a int, n long, w1 long, w2 long")
     often = windows.groupBy(F.col("w1").alias("v1"), F.col("w2").alias("v2")).agg(
         F.count(F.lit(1)).alias("times")).where("times > 1")
     many = windows.where("n = 1").join(
         often, same_key(F.col("w1"), F.col("v1")) & (F.col("w2") == F.col("v2")), "left_semi")
     many = many.select("t1", "t2", "a", (F.col("a") + length).cast("int").alias("b"))
-    spans = whole.unionByName(few).unionByName(many).distinct()
-    return stage(
-        spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+    return whole.unionByName(few).unionByName(many)
 
 
 def merged(spans):
