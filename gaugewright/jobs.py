@@ -3,33 +3,39 @@
     ingest stations --documents DIR --stage-scales DIR --topics kafka:HOST:9092 --checkpoint DIR
     ingest measurements --documents DIR --topics file:DIR --checkpoint DIR --match status=Active
     consume --topics kafka:HOST:9092 --checkpoint DIR --history DIR
-    consume --topics kafka:HOST:9092 --checkpoint DIR --jdbc-url URL --jdbc-driver CLASS
-    consume --topics kafka:HOST:9092 --checkpoint DIR --keyspace NAME
-    state --topics kafka:HOST:9092 --checkpoint DIR --state DIR
-    snapshot --history DIR --output DIR [--snapshot DIR --since DATE]
-    status --history DIR --output DIR [--snapshot DIR --since DATE]
+    consume --topics kafka:HOST:9092 --checkpoint DIR --rejects DIR --jdbc-url URL --jdbc-driver CLASS
+    consume --topics kafka:HOST:9092 --checkpoint DIR --rejects DIR --keyspace NAME
+    consume --topics kafka:HOST:9092 --checkpoint DIR --rejects DIR --database NAME
+    state --topics kafka:HOST:9092 --checkpoint DIR --state DIR --partitions N
+    compact --history DIR | --state DIR
+    snapshot --history DIR --output DIR [--snapshot DIR]
+    status --history DIR --output DIR [--snapshot DIR]
     status --state DIR --output DIR
+    status --database NAME --output DIR
+    status --jdbc-url URL --jdbc-driver CLASS --output DIR
+    views --database NAME
 
 A database's user and password are read from JDBC_USER and JDBC_PASSWORD; settings of a
-Cassandra cluster are given to Spark as ``--conf spark.cassandra.*``.
+Cassandra cluster are given to Spark as ``--conf spark.cassandra.*``. Options of a broker are given
+as ``--topic-option kafka.security.protocol=SASL_SSL``.
 """
 
 import argparse
 import os
-from functools import partial
 
-from gaugewright.operators.enrich import stage_scale_table
-from gaugewright.operators.latest import latest_by_key, latest_by_key_two_pass
-from gaugewright.plans.current import current_rows, write_snapshot
+from gaugewright.operators.latest import latest_by_key
+from gaugewright.plans.current import current_rows, two_pass_by_date, write_snapshot
 from gaugewright.plans.ingest import measurement_output, station_output
+from gaugewright.plans.scales import StageScales
 from gaugewright.plans.status import map_rows
-from gaugewright.plans.views import join_current
-from gaugewright.schemas import MEASUREMENTS, STATIONS
+from gaugewright.plans.views import create_views, join_current, stations_measurements
+from gaugewright.schemas import MEASUREMENTS, STATIONS, create_tables
 from gaugewright.session import build_session
-from gaugewright.sinks.history import HistorySink
+from gaugewright.sinks.history import HistorySink, TableSink, compact_history
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
-from gaugewright.sources.documents import read_documents, read_stage_scales
+from gaugewright.sources.documents import read_documents, read_items
+from gaugewright.sources.history import read_jdbc
 from gaugewright.sources.topics import FileTopics, KafkaTopics
 from gaugewright.streaming.consume import (
     TRIGGER,
@@ -40,18 +46,31 @@ from gaugewright.streaming.consume import (
     to_topics,
 )
 from gaugewright.streaming.progress import BatchLog
-from gaugewright.streaming.state import read_state, start_latest_state
+from gaugewright.streaming.state import COMPACT_EVERY, compact_state, read_state, start_latest_state
 
 
 def _topics(text):
     kind, _, place = text.partition(":")
-    if kind == "kafka" and place:
-        return KafkaTopics(place)
-    if kind == "file" and place:
-        return FileTopics(place)
+    if kind in ("kafka", "file") and place:
+        return kind, place
     raise argparse.ArgumentTypeError("topics are kafka:SERVERS or file:FOLDER")
 
 
+def _pair(text):
+    name, sign, value = text.partition("=")
+    if not sign or not name:
+        raise argparse.ArgumentTypeError("write NAME=VALUE")
+    return name, value
+
+
+def _database_arguments(parser):
+    parser.add_argument("--database", help="catalog database of history tables")
+    parser.add_argument("--jdbc-url")
+    parser.add_argument("--jdbc-driver")
+    parser.add_argument("--jdbc-schema")
+    parser.add_argument("--connections", type=int, default=8, help="of a database at once")
+
+
 def _arguments(argv):
     parser = argparse.ArgumentParser(prog="gaugewright")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -60,41 +79,113 @@ def _arguments(argv):
     ingest.add_argument("topic", choices=[STATIONS, MEASUREMENTS])
     ingest.add_argument("--documents", required=True)
     ingest.add_argument("--stage-scales")
-    ingest.add_argument("--lines", action="store_true", help="one document per line")
-    ingest.add_argument("--match", action="append", default=[], metavar="ATTRIBUTE=VALUE",
+    layout = ingest.add_mutually_exclusive_group()
+    layout.add_argument("--lines", action="store_true", help="one document per line")
+    layout.add_argument("--items", action="store_true", help="one item per line")
+    ingest.add_argument("--fetched-at", help="field of a document, or item, with its fetch time")
+    ingest.add_argument("--scales-fetched-at", help="the same of stage-scale documents")
+    ingest.add_argument("--match", action="append", default=[], type=_pair, metavar="ATTRIBUTE=VALUE",
                         help="only items with this raw attribute; may be given more than once")
+    ingest.add_argument("--key", default="raw", help="message key: raw item, or a message field")
+    ingest.add_argument("--strict", action="store_true", help="fail on a station without stage scale")
     ingest.add_argument("--keep-bad", action="store_true",
-                        help="send bad documents to the rejects topic instead of failing")
+                        help="send bad documents and items to the rejects topic instead of failing")
+    bound = ingest.add_mutually_exclusive_group()
+    bound.add_argument("--max-files", type=int, help="of a batch")
+    bound.add_argument("--max-bytes", help="of a batch, such as 10g")
 
     consumer = jobs.add_parser("consume")
     consumer.add_argument("--history")
-    consumer.add_argument("--jdbc-url")
-    consumer.add_argument("--jdbc-driver")
-    consumer.add_argument("--jdbc-schema")
     consumer.add_argument("--keyspace")
+    consumer.add_argument("--rejects", help="folder for what other targets than --history cannot hold")
+    _database_arguments(consumer)
 
     state = jobs.add_parser("state")
     state.add_argument("--state", required=True)
     state.add_argument("--partitions", type=int, help="fixed at the first start")
+    state.add_argument("--compact-every", type=int, default=COMPACT_EVERY, metavar="EPOCHS")
 
     for streaming in (ingest, consumer, state):
         streaming.add_argument("--topics", type=_topics, required=True)
+        streaming.add_argument("--topic-option", action="append", default=[], type=_pair,
+                               metavar="NAME=VALUE", help="of the broker; may be given more than once")
         streaming.add_argument("--checkpoint", required=True)
         streaming.add_argument("--trigger", default=TRIGGER)
         streaming.add_argument("--available-now", action="store_true")
+    for reading in (consumer, state):
+        reading.add_argument("--max-offsets", type=int, help="of a batch (kafka)")
+        reading.add_argument("--min-partitions", type=int, help="tasks that read a batch (kafka)")
+        reading.add_argument("--max-files", type=int, help="of a batch (file)")
+
+    compact = jobs.add_parser("compact")
+    stored = compact.add_mutually_exclusive_group(required=True)
+    stored.add_argument("--history")
+    stored.add_argument("--state")
+    compact.add_argument("--drop", action="store_true",
+                         help="delete history epochs that an older generation holds")
 
     snapshot = jobs.add_parser("snapshot")
     snapshot.add_argument("--history", required=True)
     status = jobs.add_parser("status")
-    read_from = status.add_mutually_exclusive_group(required=True)
-    read_from.add_argument("--history")
-    read_from.add_argument("--state")
+    status.add_argument("--history")
+    status.add_argument("--state")
+    _database_arguments(status)
     for batch in (snapshot, status):
         batch.add_argument("--output", required=True)
         batch.add_argument("--snapshot", help="folder of an earlier snapshot")
-        batch.add_argument("--since", help="first date to read beside the snapshot")
-        batch.add_argument("--two-pass", action="store_true", help="few keys, many rows")
-    return parser.parse_args(argv)
+        batch.add_argument("--one-pass", action="store_true",
+                           help="nearly as many keys as rows: sort instead of scanning twice")
+
+    views = jobs.add_parser("views")
+    views.add_argument("--database", required=True)
+
+    args = parser.parse_args(argv)
+    _check(parser, args)
+    return args
+
+
+def _check(parser, args):
+    """Refuse combinations in which an option would have no effect."""
+    if args.job == "status":
+        sources = [s for s in ("history", "state", "database", "jdbc_url") if getattr(args, s)]
+        if len(sources) != 1:
+            parser.error("name one of --history, --state, --database, --jdbc-url")
+        if args.snapshot and not args.history:
+            parser.error("--snapshot goes with --history")
+        if args.one_pass and args.state:
+            parser.error("--state is read in one pass already")
+    if args.job == "compact" and args.drop and args.state:
+        parser.error("--state drops what is old by itself")
+    if args.job == "ingest":
+        if args.topic == STATIONS and not args.stage_scales:
+            parser.error("stations need --stage-scales")
+        if args.topic == MEASUREMENTS and (args.stage_scales or args.scales_fetched_at or args.strict):
+            parser.error("--stage-scales, --scales-fetched-at and --strict are for stations")
+    if args.job == "consume":
+        others = [o for o in ("jdbc_url", "keyspace", "database") if getattr(args, o)]
+        if not others and not args.history:
+            parser.error("name at least one of --history, --jdbc-url, --keyspace, --database")
+        if others and not args.rejects:
+            parser.error("--rejects names a folder for what these targets cannot hold")
+        if args.rejects and not others:
+            parser.error("--history holds its rejects itself")
+    if hasattr(args, "topics"):
+        kind, place = args.topics
+        limits = {n: getattr(args, n, None) for n in ("max_offsets", "min_partitions", "max_files")}
+        if kind == "kafka":
+            if limits["max_files"] and args.job != "ingest":
+                parser.error("--max-files is for file topics")
+            args.topics = KafkaTopics(place, limits["max_offsets"], limits["min_partitions"],
+                                      dict(args.topic_option))
+        else:
+            if limits["max_offsets"] or limits["min_partitions"] or args.topic_option:
+                parser.error("--max-offsets, --min-partitions and --topic-option are for kafka topics")
+            args.topics = FileTopics(place, None if args.job == "ingest" else limits["max_files"])
+
+
+def _jdbc(args):
+    return JdbcTarget(args.jdbc_url, args.jdbc_driver, os.environ.get("JDBC_USER"),
+                      os.environ.get("JDBC_PASSWORD"), args.jdbc_schema, args.connections)
 
 
 def _sink(args, topic):
@@ -102,35 +193,43 @@ def _sink(args, topic):
     if args.history:
         sinks.append(HistorySink(f"{args.history}/{topic}", topic))
     if args.jdbc_url:
-        target = JdbcTarget(args.jdbc_url, args.jdbc_driver, os.environ.get("JDBC_USER"),
-                            os.environ.get("JDBC_PASSWORD"), args.jdbc_schema)
-        sinks.append(JdbcSink(target, topic))
+        sinks.append(JdbcSink(_jdbc(args), topic, f"{args.rejects}/jdbc/{topic}"))
     if args.keyspace:
-        sinks.append(WideColumnSink(KeyspaceTarget(args.keyspace), topic))
-    if not sinks:
-        raise SystemExit("name at least one of --history, --jdbc-url, --keyspace")
+        sinks.append(WideColumnSink(KeyspaceTarget(args.keyspace), topic, f"{args.rejects}/keyspace/{topic}"))
+    if args.database:
+        sinks.append(TableSink(args.database, topic, f"{args.rejects}/database/{topic}"))
     return sinks[0] if len(sinks) == 1 else fan_out(*sinks)
 
 
+def _documents(spark, args):
+    on_bad = "keep" if args.keep_bad else "fail"
+    bounds = {"maxFilesPerTrigger": args.max_files, "maxBytesPerTrigger": args.max_bytes}
+    options = {name: str(value) for name, value in bounds.items() if value}
+    if args.items:
+        return read_items(spark, args.documents, True, on_bad, args.fetched_at, options)
+    return read_documents(spark, args.documents, True, not args.lines, on_bad, args.fetched_at, options)
+
+
 def run_ingest(spark, args):
-    documents = read_documents(spark, args.documents, stream=True, multi_line=not args.lines,
-                               on_bad="keep" if args.keep_bad else "fail")
-    wanted = dict(pair.split("=", 1) for pair in args.match)
-    if args.topic == STATIONS and not args.stage_scales:
-        raise SystemExit("stations need --stage-scales")
+    wanted = dict(args.match)
+    scales = None
+    if args.topic == STATIONS:
+        scales = StageScales(spark, args.stage_scales, f"{args.checkpoint}/stage-scales",
+                             multi_line=not (args.lines or args.items), fetched_at=args.scales_fetched_at)
 
     def output(batch):
         if args.topic == MEASUREMENTS:
-            return measurement_output(batch, wanted)
-        scales = read_stage_scales(spark, args.stage_scales, multi_line=not args.lines)
-        return station_output(batch, stage_scale_table(scales), wanted)
+            return measurement_output(batch, wanted, args.key)
+        return station_output(batch, scales.current(), wanted, args.key, args.strict)
 
-    await_all([consume(documents, args.topic, to_topics(args.topics, output), args.checkpoint,
-                       args.trigger, args.available_now)])
+    await_all([consume(_documents(spark, args), args.topic, to_topics(args.topics, output),
+                       args.checkpoint, args.trigger, args.available_now)])
 
 
 def run_consume(spark, args):
     sinks = {topic: _sink(args, topic) for topic in (STATIONS, MEASUREMENTS)}
+    if args.database:
+        create_tables(spark, args.database)
     await_all(start_topics(spark, args.topics, sinks, args.checkpoint, trigger=args.trigger,
                            available_now=args.available_now))
 
@@ -139,39 +238,61 @@ def run_state(spark, args):
     await_all([
         start_latest_state(spark, args.topics, topic, f"{args.state}/{topic}",
                            f"{args.checkpoint}/{topic}", args.trigger, args.available_now,
-                           args.partitions)
+                           args.partitions, args.compact_every)
         for topic in (STATIONS, MEASUREMENTS)
     ])
 
 
-def _current(spark, args, topic):
-    snapshot = f"{args.snapshot}/{topic}" if args.snapshot else None
-    form = latest_by_key
-    if args.two_pass:
-        form = partial(latest_by_key_two_pass, date="ingest_date")
-    return current_rows(spark, f"{args.history}/{topic}", topic, snapshot, args.since, form)
+def run_compact(spark, args):
+    for topic in (STATIONS, MEASUREMENTS):
+        if args.state:
+            compact_state(spark, f"{args.state}/{topic}", topic)
+        else:
+            compact_history(spark, f"{args.history}/{topic}", topic, drop=args.drop)
+
+
+def _form(args):
+    return latest_by_key if args.one_pass else two_pass_by_date
 
 
 def run_snapshot(spark, args):
     for topic in (STATIONS, MEASUREMENTS):
-        write_snapshot(_current(spark, args, topic), f"{args.output}/{topic}")
+        write_snapshot(spark, f"{args.history}/{topic}", topic, f"{args.output}/{topic}",
+                       args.snapshot and f"{args.snapshot}/{topic}", _form(args))
 
 
-def run_status(spark, args):
+def _joined(spark, args):
+    topics = (STATIONS, MEASUREMENTS)
     if args.state:
-        current = [read_state(spark, f"{args.state}/{topic}", topic)
-                   for topic in (STATIONS, MEASUREMENTS)]
+        return join_current(*[read_state(spark, f"{args.state}/{t}", t) for t in topics])
+    if args.history:
+        return join_current(*[
+            current_rows(spark, f"{args.history}/{t}", t, args.snapshot and f"{args.snapshot}/{t}", _form(args))
+            for t in topics])
+    if args.database:
+        histories = [spark.table(f"{args.database}.{t}") for t in topics]
     else:
-        current = [_current(spark, args, topic) for topic in (STATIONS, MEASUREMENTS)]
-    map_rows(join_current(*current)).write.mode("overwrite").parquet(args.output)
+        histories = [read_jdbc(spark, _jdbc(args), t) for t in topics]
+    return stations_measurements(*histories, latest=_form(args))
+
+
+def run_status(spark, args):
+    map_rows(_joined(spark, args)).write.mode("overwrite").parquet(args.output)
+
+
+def run_views(spark, args):
+    create_tables(spark, args.database)
+    create_views(spark, args.database)
 
 
 JOBS = {
     "ingest": run_ingest,
     "consume": run_consume,
     "state": run_state,
+    "compact": run_compact,
     "snapshot": run_snapshot,
     "status": run_status,
+    "views": run_views,
 }
 
 

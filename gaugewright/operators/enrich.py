@@ -30,5 +30,8 @@ def enrich_stage_scale(items, stage_scale, link="item.stageScale", strict=False)
     found = F.coalesce("found", F.lit(False))
     if strict:
         problem = F.concat(F.lit("no stage scale document: "), F.coalesce(link, F.lit("no link")))
-        found = F.when(F.col("found"), F.lit(True)).otherwise(F.raise_error(problem))
+        found = F.when(F.col("found"), F.lit(True))
+        if "bad" in items.columns:  # kept as a reject for another reason
+            found = found.when(F.col("bad").isNotNull(), F.lit(False))
+        found = found.otherwise(F.raise_error(problem))
     return joined.withColumn("scale_found", found).drop("url", "found")

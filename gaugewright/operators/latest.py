@@ -7,8 +7,9 @@ from gaugewright.session import shared_folder
 
 # A broadcast copy of the keys' maxima may take this much memory on each executor.
 BROADCAST_BYTES = 128 * 1024 * 1024
-# Room for a row's fixed part in the broadcast hash table.
-ROW_BYTES = 64
+# What a row takes in the broadcast hash table beside its key's text, which is held twice: in
+# the lookup key (text and time) and in the row. Two rows' fixed parts, and the pointer array.
+ROW_BYTES = 140
 
 
 def grouped_max(df, key, column, alias="max_value"):
@@ -76,7 +77,7 @@ def latest_by_key_two_pass(df, key, time, tiebreak=(), columns=None, date=None,
         F.count("*").alias("rows"),
         F.sum(F.octet_length(F.col("latest_key").cast("string"))).alias("text"),
     ).first()
-    if size["rows"] * ROW_BYTES + (size["text"] or 0) > broadcast_bytes:
+    if broadcast_estimate(size["rows"], size["text"] or 0) > broadcast_bytes:
         return latest_by_key(df, key, time, tiebreak, columns)
     if date:
         # As many rows as there are calendar days, at most.
@@ -90,5 +91,10 @@ def latest_by_key_two_pass(df, key, time, tiebreak=(), columns=None, date=None,
     return latest_by_key(at_latest, key, time, tiebreak, columns)
 
 
+def broadcast_estimate(rows, text_bytes):
+    """Bytes of the hash table of ``rows`` keys whose texts take ``text_bytes`` together."""
+    return rows * ROW_BYTES + 2 * text_bytes
+
+
 def _with_key_and_time(df, key, time):
     return df.where(F.col(key).isNotNull() & F.col(time).isNotNull())

@@ -5,39 +5,85 @@ from pyspark.sql import functions as F
 from gaugewright.schemas import CORRUPT, MEASUREMENT_ITEM, STATION_ITEM
 
 
+BAD_DOCUMENT = "malformed document"
+BAD_ITEM = "malformed item"
+
+
 def unnest_items(documents, item_schema, lists=None):
-    """One row per element of ``items``: ``raw`` text, typed ``item``, ``item_pos``.
+    """One row per element of ``items``: ``raw`` text, typed ``item``, ``bad``, ``item_pos``.
 
     Other document columns (such as ``fetched_at``) are kept. ``width`` is the largest number
     of rows one item of the document can give, for a sequence over the document's rows;
-    ``lists`` names the item's list that is unnested later. A document without ``items`` fails
-    the job; where bad documents are kept, it gives one row with a NULL ``item`` and its text.
+    ``lists`` names the item's list that is unnested later. A document without ``items``, or
+    an item that is not of the schema, fails the job. Where bad documents are kept, each gives
+    a row with a NULL ``item``, its whole text, and in ``bad`` what is wrong.
     """
-    def entry(text):
-        return F.struct(text.alias("raw"), F.from_json(text, item_schema).alias("item"))
-
-    if CORRUPT in documents.columns:
-        nothing = F.from_json(F.lit(None).cast("string"), item_schema)
-        otherwise = F.array(F.struct(F.col(CORRUPT).alias("raw"), nothing.alias("item")))
+    keep = CORRUPT in documents.columns
+    if keep:
+        otherwise = F.array(F.struct(F.col(CORRUPT).alias("raw"), F.lit(True).alias("whole")))
         usable = F.col("items").isNotNull() & F.col(CORRUPT).isNull()
     else:
         otherwise = F.raise_error(F.lit("a document has no items"))
         usable = F.col("items").isNotNull()
-    entries = F.when(usable, F.transform("items", entry)).otherwise(otherwise)
-    parsed = documents.withColumn("entries", entries)
+    kept = [c for c in documents.columns if c not in ("items", CORRUPT)]
+    texts = documents.select(*kept, F.when(usable, F.transform(
+        "items", lambda text: F.struct(text.alias("raw"), F.lit(False).alias("whole"))
+    )).otherwise(otherwise).alias("texts"))
     if lists:
-        sizes = F.transform("entries", lambda e: F.coalesce(F.size(e["item"][lists]), F.lit(0)))
-        parsed = parsed.withColumn("width", F.greatest(F.array_max(sizes), F.lit(1)).cast("bigint"))
+        entries = _with_width(texts, kept, item_schema, lists)
     else:
-        parsed = parsed.withColumn("width", F.lit(1).cast("bigint"))
-    kept = [c for c in documents.columns if c not in ("items", CORRUPT)]
-    # The outer form, then a filter: for the inner form Spark infers a filter on the parsed
-    # array and pushes it below the parsing, which would parse every document three times.
-    return (
-        parsed.select(*kept, "width", F.posexplode_outer("entries").alias("item_pos", "entry"))
-        .where(F.col("item_pos").isNotNull())
-        .select(*kept, "width", "item_pos", "entry.raw", "entry.item")
+        entries = _one_by_one(texts, kept, item_schema)
+    bad = (
+        F.when(F.col("whole"), BAD_DOCUMENT)
+        .when(F.col("parsed").isNull() | F.col(f"parsed.{CORRUPT}").isNotNull(), BAD_ITEM)
     )
+    item = F.col("parsed").dropFields(CORRUPT)
+    if not keep:
+        text = F.concat(F.lit(f"{BAD_ITEM}: "), F.coalesce("raw", F.lit("null")))
+        item = F.when(bad.isNotNull(), F.raise_error(text)).otherwise(item)
+    else:
+        item = F.when(bad.isNull(), item)
+    return entries.select(
+        *kept, "width", "item_pos", "raw", item.alias("item"), bad.alias("bad")
+    )
+
+
+def _typed(text, item_schema):
+    """The item, with its text in the corrupt field if a part of it is not of the schema."""
+    return F.from_json(text, f"{item_schema}, `{CORRUPT}` STRING",
+                       {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def _exploded(entries, kept, column):
+    # The outer form, then a filter: for the inner form Spark infers a filter on the array and
+    # pushes it below what makes the array, which would parse every document again.
+    return entries.select(
+        *kept, F.posexplode_outer(column).alias("item_pos", "entry")
+    ).where(F.col("item_pos").isNotNull())
+
+
+def _one_by_one(texts, kept, item_schema):
+    """Items are parsed after they are split off, in generated code, and large documents can be
+    spread before. The generator over one element keeps filters from parsing again."""
+    rows = _exploded(texts, kept, "texts").select(
+        *kept, "item_pos", "entry.raw", "entry.whole")
+    return rows.select(
+        *rows.columns, F.lit(1).cast("bigint").alias("width"),
+        F.inline(F.array(F.struct(
+            F.when(~F.col("whole"), _typed(F.col("raw"), item_schema)).alias("parsed")))),
+    )
+
+
+def _with_width(texts, kept, item_schema, lists):
+    """Items are parsed within their document, whose rows need the longest list."""
+    entries = texts.select(*kept, F.transform("texts", lambda t: F.struct(
+        t["raw"].alias("raw"), t["whole"].alias("whole"),
+        F.when(~t["whole"], _typed(t["raw"], item_schema)).alias("parsed"),
+    )).alias("entries"))
+    sizes = F.transform("entries", lambda e: F.coalesce(F.size(e["parsed"][lists]), F.lit(0)))
+    width = F.greatest(F.array_max(sizes), F.lit(1)).cast("bigint")
+    return _exploded(entries.withColumn("width", width), [*kept, "width"], "entries").select(
+        *kept, "width", "item_pos", "entry.raw", "entry.whole", "entry.parsed")
 
 
 def station_items(documents):
@@ -70,14 +116,14 @@ def matching(items, wanted):
     """
     for name, value in wanted.items():
         attribute = F.get_json_object("raw", f"$['{name}']")
-        items = items.where(F.col("item").isNull() | (attribute == F.lit(value)))
+        items = items.where(F.col("bad").isNotNull() | (attribute == F.lit(value)))
     return items
 
 
 def flat_station(rows):
     """Station message fields from an item with its measure and stage scale."""
     return rows.select(
-        *[c for c in rows.columns if c not in ("item", "measures_id", "high", "low")],
+        *[c for c in rows.columns if c not in ("item", "bad", "measures_id", "high", "low")],
         F.col("item.RLOIid").alias("rloiid"),
         F.col("item.label").alias("label"),
         "measures_id",
@@ -94,7 +140,7 @@ def flat_station(rows):
 def flat_measurement(rows):
     """Measurement message fields from an item."""
     return rows.select(
-        *[c for c in rows.columns if c != "item"],
+        *[c for c in rows.columns if c not in ("item", "bad")],
         F.col("item.`@id`").alias("id"),
         F.col("item.stationReference").alias("stationreference"),
         F.col("item.latestReading.dateTime").alias("datetime"),

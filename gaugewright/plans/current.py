@@ -1,28 +1,42 @@
 """Current rows without reading the whole history: a snapshot and what came in since."""
 
-from gaugewright.operators.latest import latest_by_key
+from gaugewright.operators.latest import latest_by_key, latest_by_key_two_pass
 from gaugewright.plans.views import refresh_latest
 from gaugewright.schemas import TOPIC_KEYS, table_schema
+from gaugewright.sources.epochs import open_log, read_epochs, write_epochs
 from gaugewright.sources.history import read_history
 
+ORDER = ["sequence", "pk_id"]
 
-def current_rows(spark, history, topic, snapshot=None, since=None, latest=latest_by_key):
+
+def current_rows(spark, history, topic, snapshot=None, latest=latest_by_key, log=None):
     """The latest row per key with all columns of the topic's table.
 
-    ``snapshot`` is a folder ``write_snapshot`` wrote; then only the history's date folders from
-    ``since`` on are read. A row belongs to the date of its stamp, so choose ``since`` early
-    enough for messages that were consumed late.
+    ``snapshot`` is a folder ``write_snapshot`` wrote. It knows the epochs it was made of, and only
+    the others are read, however late their messages were consumed. ``log`` fixes the state of the
+    history that is read, by default the present one.
     """
-    if (snapshot is None) != (since is None):
-        raise ValueError("a snapshot and the first date not in it go together")
-    rows = read_history(spark, history, topic, since=since)
+    log = log or open_log(spark, history)
+    columns = table_schema(topic).names
     if snapshot is None:
-        columns = table_schema(topic).names
-        return latest(rows, TOPIC_KEYS[topic], "last_update", ["sequence", "pk_id"], columns)
-    previous = spark.read.schema(table_schema(topic)).parquet(snapshot)
-    return refresh_latest(previous, rows, topic)
+        rows = read_history(spark, history, topic, log=log)
+        return latest(rows, TOPIC_KEYS[topic], "last_update", ORDER, columns)
+    previous = spark.read.schema(table_schema(topic)).parquet(f"{snapshot}/rows")
+    seen = read_epochs(spark, f"{snapshot}/epochs")
+    added = read_history(spark, history, topic, log=log, without=seen)
+    return refresh_latest(previous, added, topic, latest)
+
+
+def write_snapshot(spark, history, topic, path, snapshot=None, latest=latest_by_key):
+    """Keep the current rows, and which epochs they come from, in a new folder."""
+    log = open_log(spark, history)
+    rows = current_rows(spark, history, topic, snapshot, latest, log)
+    rows.write.mode("errorifexists").parquet(f"{path}/rows")
+    seen = read_epochs(spark, f"{snapshot}/epochs") if snapshot else frozenset()
+    write_epochs(spark, seen | log.epochs, f"{path}/epochs")
 
 
-def write_snapshot(current, path):
-    """Keep current rows for later; each snapshot gets a folder of its own."""
-    current.write.mode("errorifexists").parquet(path)
+def two_pass_by_date(df, key, time, tiebreak=(), columns=None):
+    """The two-pass form for rows with their history's ``ingest_date``."""
+    date = "ingest_date" if "ingest_date" in df.columns else None
+    return latest_by_key_two_pass(df, key, time, tiebreak, columns, date=date)

@@ -31,7 +31,8 @@ JOINED_COLUMNS = {
 
 
 def _tiebreak(df):
-    return [c for c in ("sequence", "pk_id") if c in df.columns]
+    """Present columns that order equal stamps; databases give their names in other cases."""
+    return [c for name in ("sequence", "pk_id") for c in df.columns if c.lower() == name]
 
 
 def latest_measurements(history, latest=latest_by_key, columns=None):
@@ -101,8 +102,8 @@ def create_views(spark, database):
     """)
 
 
-def refresh_latest(previous, added, topic):
+def refresh_latest(previous, added, topic, latest=latest_by_key):
     """The latest rows after new history came in, from the previous latest rows and the new
     rows only; the full history is not read again. Both have the history's columns."""
     rows = previous.unionByName(added.select(*previous.columns))
-    return latest_by_key(rows, TOPIC_KEYS[topic], "last_update", _tiebreak(rows))
+    return latest(rows, TOPIC_KEYS[topic], "last_update", _tiebreak(rows), previous.columns)

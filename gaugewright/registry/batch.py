@@ -2,7 +2,7 @@
 
 from functools import partial
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from gaugewright.functions.colours import hex_to_rgb, range_colour
 from gaugewright.functions.numbers import round_half_even
@@ -32,7 +32,7 @@ from gaugewright.operators.unnest import (
     unnest_measures,
     with_reading,
 )
-from gaugewright.plans.current import current_rows, write_snapshot
+from gaugewright.plans.current import current_rows, two_pass_by_date, write_snapshot
 from gaugewright.plans.ingest import (
     REJECTS_SUFFIX,
     measurement_messages,
@@ -65,7 +65,7 @@ from gaugewright.registry.fixtures import (
 )
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, create_tables
 from gaugewright.session import work_path
-from gaugewright.sinks.history import HistorySink, TableSink, rewrite_by_date
+from gaugewright.sinks.history import HistorySink, TableSink, compact_history, rewrite_by_date
 from gaugewright.sources.documents import parse_documents, read_documents, read_items
 from gaugewright.sources.history import read_dated, read_history
 from gaugewright.sources.topics import FileTopics
@@ -95,16 +95,36 @@ def _with_range(spark, sf_dir):
 # Whole plans ---------------------------------------------------------------------------
 
 def status(spark, sf_dir):
+    """By the form that batch jobs use: no sort of the whole history."""
+    return station_status(
+        station_history(spark, sf_dir), measurement_history(spark, sf_dir),
+        latest=latest_by_key_two_pass,
+    )
+
+
+def status_one_pass(spark, sf_dir):
+    """By the lazy form, as views and streams use it."""
     return station_status(station_history(spark, sf_dir), measurement_history(spark, sf_dir))
 
 
-def status_two_pass(spark, sf_dir):
+def status_missing(spark, sf_dir):
+    """Readings and ranges that are NULL or NaN, through the whole presentation."""
+    measurements = measurement_history(spark, sf_dir)
+    stations = station_history(spark, sf_dir)
     return station_status(
-        station_history(spark, sf_dir), measurement_history(spark, sf_dir),
-        latest=latest_by_key_two_pass,
+        stations.withColumns({
+            "typicalrangelow": _with_gaps("typicalrangelow", "sequence", 5),
+            "typicalrangehigh": _with_gaps("typicalrangehigh", "sequence", 7)}),
+        measurements.withColumn("value", _with_gaps("value", "sequence", 4)),
     )
 
 
+def _with_gaps(column, number, every):
+    """NULL in every n-th row, NaN in the row after."""
+    place = F.col(number) % every
+    return F.when(place == 1, float("nan")).when(place != 0, F.col(column))
+
+
 def documents_to_status(spark, sf_dir):
     """Documents to messages to history rows to status, without a topic between."""
     stations = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
@@ -114,22 +134,54 @@ def documents_to_status(spark, sf_dir):
     )
 
 
-def status_from_snapshot(spark, sf_dir):
-    """Status from a snapshot of the earlier half of the history and the dates since."""
-    base = work_path(spark, "snapshot")
+def _history_sinks(spark, sf_dir, base):
+    """Sinks of both topics, with all stations written."""
     sinks = {topic: HistorySink(f"{base}/{topic}", topic) for topic in (STATIONS, MEASUREMENTS)}
-    documents = measurement_documents(spark, sf_dir)
-    since = F.to_timestamp_ntz(F.lit(REFRESH_FROM))
-    earlier = documents.where(F.col("fetched_at") < since)
-    later = documents.where(F.col("fetched_at") >= since)
     stations = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
     sinks[STATIONS](stations, "load", 0)
-    sinks[MEASUREMENTS](measurement_messages(earlier), "load", 0)
+    return sinks
+
+
+def _measurement_batches(spark, sf_dir):
+    """Measurement messages in three batches. Every fifth document comes late, in the last batch,
+    whenever it was fetched."""
+    documents = measurement_documents(spark, sf_dir)
+    since = F.to_timestamp_ntz(F.lit(REFRESH_FROM))
+    late = F.pmod(F.hash("fetched_at"), F.lit(5)) == 0
+    early = F.col("fetched_at") < since
+    for wanted in (early & ~late, ~early & ~late, late):
+        yield measurement_messages(documents.where(wanted))
+
+
+def status_from_snapshot(spark, sf_dir):
+    """Status from a snapshot of a part of the history and the epochs since, which hold rows
+    stamped before the snapshot's."""
+    base = work_path(spark, "snapshot")
+    sinks = _history_sinks(spark, sf_dir, base)
+    first, *later = _measurement_batches(spark, sf_dir)
+    sinks[MEASUREMENTS](first, "load", 0)
+    for topic, sink in sinks.items():
+        write_snapshot(spark, sink.path, topic, f"{base}/snapshot/{topic}")
+    for epoch, messages in enumerate(later, 1):
+        sinks[MEASUREMENTS](messages, "load", epoch)
+    return map_rows(join_current(*[
+        current_rows(spark, sink.path, topic, f"{base}/snapshot/{topic}", two_pass_by_date)
+        for topic, sink in sinks.items()
+    ]))
+
+
+def history_compacted(spark, sf_dir):
+    """Status from a compacted generation and two epochs written after it."""
+    base = work_path(spark, "compacted")
+    sinks = _history_sinks(spark, sf_dir, base)
+    first, *later = _measurement_batches(spark, sf_dir)
+    sinks[MEASUREMENTS](first, "load", 0)
     for topic, sink in sinks.items():
-        write_snapshot(current_rows(spark, sink.path, topic), f"{base}/snapshot/{topic}")
-    sinks[MEASUREMENTS](measurement_messages(later), "load", 1)
+        compact_history(spark, sink.path, topic)
+    for epoch, messages in enumerate(later, 1):
+        sinks[MEASUREMENTS](messages, "load", epoch)
     return map_rows(join_current(*[
-        current_rows(spark, sink.path, topic, f"{base}/snapshot/{topic}", REFRESH_FROM[:10])
+        current_rows(spark, sink.path, topic, latest=two_pass_by_date)
         for topic, sink in sinks.items()
     ]))
 
@@ -156,6 +208,27 @@ def document_rejects(spark, sf_dir):
     return measurement_output(parse_documents(good.unionByName(prose), on_bad="keep"))
 
 
+def item_rejects(spark, sf_dir):
+    """Items that cannot be read, among good ones: text, a number, NULL, a reading of another
+    type, and a broken line of an items file."""
+    readings = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(
+        F.concat(F.lit("m"), "event_id").alias("@id"),
+        F.struct(F.col("value")).alias("latestReading"))).alias("good"))
+    bad = ['"junk"', F.col("event_id").cast("string"), "null", '{"@id":"odd","latestReading":"oops"}']
+    texts = readings.select(
+        F.concat(F.lit('{"items":['), F.col("good"), *[
+            part for item in bad for part in (F.lit(","), F.lit(item) if isinstance(item, str) else item)
+        ], F.lit("]}")).alias("document"),
+        F.lit(None).cast("timestamp_ntz").alias("fetched_at"))
+    path = work_path(spark, "item-lines")
+    readings.select(F.concat(F.lit("{broken "), "event_id")).write.text(path)
+    documents = measurement_output(parse_documents(texts, on_bad="keep"))
+    lines = measurement_output(read_items(spark, path, on_bad="keep"))
+    return documents.unionByName(lines).withColumn(
+        "value", F.when(F.col("topic") == MEASUREMENTS, F.get_json_object("value", "$.id"))
+        .otherwise(F.col("value")))
+
+
 def landed_items(spark, sf_dir):
     """Items written one per line and read back; files split between any two lines."""
     path = work_path(spark, "items")
@@ -293,7 +366,13 @@ def surrogate_id_by_offset(spark, sf_dir):
 
 
 def surrogate_id_random(spark, sf_dir):
-    return accepted(decode(_messages(spark, sf_dir), MEASUREMENTS, WIDE_COLUMN, ids="random"))
+    """Rows with whether their random id is a version 4 UUID, and no other row's."""
+    rows = accepted(decode(_messages(spark, sf_dir), MEASUREMENTS, WIDE_COLUMN, ids="random"))
+    form = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return rows.withColumns({
+        "well_formed": F.col("uuid").rlike(form),
+        "only_one": F.count(F.lit(1)).over(Window.partitionBy("uuid")) == 1,
+    }).drop("uuid")
 
 
 # Aggregates, latest rows, views ----------------------------------------------------------
@@ -376,8 +455,8 @@ def sql_views(spark, sf_dir):
     database = path.rsplit("/", 1)[1].replace("-", "_")
     create_tables(spark, database, path)
     stations = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
-    TableSink(database, STATIONS)(stations, "load", 0)
-    TableSink(database, MEASUREMENTS)(
+    TableSink(database, STATIONS, f"{path}-rejects/stations")(stations, "load", 0)
+    TableSink(database, MEASUREMENTS, f"{path}-rejects/measurements")(
         measurement_messages(measurement_documents(spark, sf_dir)), "load", 0
     )
     create_views(spark, database)
@@ -408,6 +487,15 @@ def range_class(spark, sf_dir):
     return classify(round_columns(_with_range(spark, sf_dir))).drop("last_update", "unit")
 
 
+def range_class_missing(spark, sf_dir):
+    """Readings and bounds that are NULL or NaN."""
+    rows = _with_range(spark, sf_dir)
+    gaps = {"value": 4, "typical_range_low": 5, "typical_range_high": 7}
+    return classify(round_columns(rows.withColumns({
+        c: _with_gaps(c, "sequence", every) for c, every in gaps.items()
+    }))).drop("last_update", "unit")
+
+
 def range_class_rgb(spark, sf_dir):
     colour = range_colour(
         F.col("value"), F.col("typical_range_low"), F.col("typical_range_high")
@@ -434,12 +522,16 @@ def view_map_rows(spark, sf_dir):
 
 QUERIES = {
     "station_status": status,
-    "station_status_two_pass": status_two_pass,
+    "station_status_one_pass": status_one_pass,
+    "station_status_two_pass": status,
+    "station_status_missing": status_missing,
     "documents_to_status": documents_to_status,
     "status_from_snapshot": status_from_snapshot,
+    "history_compacted": history_compacted,
     "landed_documents": landed_documents,
     "document_rejects": document_rejects,
     "landed_items": landed_items,
+    "item_rejects": item_rejects,
     "document_explode": measurement_items_flat,
     "not_null_filter": not_null_filter,
     "matching_items": matching_items,
@@ -479,6 +571,7 @@ QUERIES = {
     "round_half_even": rounded,
     "range_class": range_class,
     "range_class_rgb": range_class_rgb,
+    "range_class_missing": range_class_missing,
     "position": position,
     "tooltip": tooltip,
     "table_rows": table_rows,

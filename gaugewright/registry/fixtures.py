@@ -87,12 +87,18 @@ def measurement_document_texts(spark, sf_dir):
     )
 
 
-def land_measurement_documents(spark, sf_dir, path):
-    """Write the documents as files, one per line, each with the time of its fetch."""
-    measurement_document_texts(spark, sf_dir).select(F.concat(
+def _with_fetch_time(fetched_at):
+    """The document's text with the time of its fetch as one more field."""
+    return F.concat(
         F.expr("left(document, length(document) - 1)"),
-        F.lit(',"fetched":"'), F.col("fetched_at").cast("string"), F.lit('"}'),
-    ).alias("value")).write.text(path)
+        F.lit(',"fetched":"'), fetched_at.cast("string"), F.lit('"}'),
+    ).alias("value")
+
+
+def land_measurement_documents(spark, sf_dir, path, files=None):
+    """Write the documents as files, one per line, each with the time of its fetch."""
+    lines = measurement_document_texts(spark, sf_dir).select(_with_fetch_time(F.col("fetched_at")))
+    (lines.repartition(files, F.xxhash64("value")) if files else lines).write.text(path)
 
 
 def measurement_documents(spark, sf_dir):
@@ -128,12 +134,19 @@ def station_document_texts(spark, sf_dir):
     )
 
 
+def station_lines(spark, sf_dir):
+    """``nation, value``: station documents one per line, with the time of their fetch."""
+    nation = F.get_json_object("document", "$.items[0].stageScale")
+    return station_document_texts(spark, sf_dir).select(
+        F.regexp_extract(nation, "([0-9]+)$", 1).cast("int").alias("nation"),
+        _with_fetch_time(F.col("fetched_at")))
+
+
 def station_documents(spark, sf_dir):
     return parse_documents(station_document_texts(spark, sf_dir))
 
 
-def stage_scale_documents(spark, sf_dir):
-    """One document per supplier; the suppliers of a nation are fetches of one URL."""
+def _stage_scale_texts(spark, sf_dir):
     supplier = table(spark, sf_dir, "supplier")
     scale = F.struct(
         F.concat(F.lit("stageScale/"), "s_nationkey").alias("url"),
@@ -142,9 +155,21 @@ def stage_scale_documents(spark, sf_dir):
             (F.col("s_nationkey") + 0.5).alias("typicalRangeLow"),
         ).alias("items"),
     )
-    return parse_stage_scales(supplier.select(
-        F.to_json(scale).alias("document"), F.col("s_suppkey").alias("fetched_at")
-    ))
+    return supplier.select(
+        F.to_json(scale).alias("document"), F.col("s_suppkey").alias("fetched_at"),
+        F.col("s_nationkey").alias("nation"),
+    )
+
+
+def stage_scale_lines(spark, sf_dir):
+    """``nation, value``: stage-scale documents one per line, with the time of their fetch."""
+    fetched = F.timestamp_seconds(F.col("fetched_at"))
+    return _stage_scale_texts(spark, sf_dir).select("nation", _with_fetch_time(fetched))
+
+
+def stage_scale_documents(spark, sf_dir):
+    """One document per supplier; the suppliers of a nation are fetches of one URL."""
+    return parse_stage_scales(_stage_scale_texts(spark, sf_dir).drop("nation"))
 
 
 def stage_scales(spark, sf_dir):

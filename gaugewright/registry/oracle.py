@@ -76,6 +76,11 @@ coloured AS (SELECT *, {_COLOUR} AS hex FROM rounded),
 presented AS (SELECT * EXCLUDE (hex), {_rgb('hex')} AS color FROM coloured)"""
 
 
+def _gaps(column, number, every):
+    """NULL where the test data has NULL or NaN."""
+    return f"CASE WHEN {number} % {every} > 1 THEN {column} END"
+
+
 def _shown(column):
     return f"coalesce({column}, 'null')"
 
@@ -101,6 +106,14 @@ _MAP_ROWS = f"SELECT *, [longitude, latitude] AS position, {_TOOLTIP} AS tooltip
 
 _STATUS = f"WITH {_VIEWS}, {_PRESENTED} {_MAP_ROWS}"
 
+_STATUS_MISSING = f"""WITH {_MEASUREMENT_HISTORY}, {_STATION_HISTORY},
+{_LATEST_MEASUREMENTS.replace('datetime, value, unit', "datetime, "
+                              + _gaps('value', 'sequence', 4) + " AS value, unit")},
+{_LATEST_STATIONS.replace('SELECT * EXCLUDE (sequence)', "SELECT * EXCLUDE (sequence) REPLACE ("
+                          + _gaps('typicalrangelow', 'sequence', 5) + " AS typicalrangelow, "
+                          + _gaps('typicalrangehigh', 'sequence', 7) + " AS typicalrangehigh)")},
+{_JOINED}, {_PRESENTED} {_MAP_ROWS}"""
+
 # Documents -------------------------------------------------------------------------------
 
 _READINGS = f"""readings AS (
@@ -217,7 +230,9 @@ _LATEST_ORDER = """SELECT * FROM orders
 
 ORACLES = {
     "station_status": _STATUS,
+    "station_status_one_pass": _STATUS,
     "station_status_two_pass": _STATUS,
+    "station_status_missing": _STATUS_MISSING,
     "view_map_rows": _STATUS,
     "documents_to_status": _DOCUMENT_STATUS,
     "landed_documents": f"""WITH {_READINGS} SELECT id, stationreference, datetime, value, unit,
@@ -252,6 +267,9 @@ ORACLES = {
     "document_rejects": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
         SELECT 'measurements' AS topic, key, message AS value FROM measurement_messages
         UNION ALL SELECT 'measurements-rejects', 'malformed document', text FROM documents""",
+    "station_ingest_stream": f"""WITH {_STATION_CTES}
+        SELECT 'stations' AS topic, key, value FROM station_messages UNION ALL
+        SELECT 'stations-rejects', reject_reason, raw FROM station_rejects""",
     "ingest_stream": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
         SELECT key, message AS value FROM measurement_messages""",
     "stage_scale_latest": f"WITH {_SCALES} SELECT * FROM scales",
@@ -273,6 +291,9 @@ ORACLES = {
     "surrogate_id_by_offset": f"""SELECT
           {_hashed_id("'measurements|' || user_id || '|' || event_id")} AS pk_id,
           event_id AS sequence, event_type AS unit FROM events""",
+    "surrogate_id_random": f"""WITH {_READINGS}, {_MEASUREMENT_MESSAGES}
+        SELECT id, stationreference, datetime, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value, unit,
+          true AS well_formed, true AS only_one FROM measurement_messages""",
     "max_last_update": "SELECT user_id, max(ts) AS max_last_update FROM events GROUP BY user_id",
     "latest_self_join": """SELECT * FROM orders
         WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL QUALIFY
@@ -308,6 +329,15 @@ ORACLES = {
     "range_class_rgb": f"""WITH {_RANGES}, coloured AS (
           SELECT sequence, {_COLOUR} AS hex FROM ranges)
         SELECT sequence, {_rgb('hex')} AS color FROM coloured""",
+    "range_class_missing": f"""WITH {_RANGES}, gaps AS (SELECT sequence,
+            {_gaps('value', 'sequence', 4)} AS value,
+            {_gaps('typical_range_low', 'sequence', 5)} AS typical_range_low,
+            {_gaps('typical_range_high', 'sequence', 7)} AS typical_range_high FROM ranges),
+          rounded AS (
+          SELECT sequence, {_round('value')} AS value,
+            {_round('typical_range_low')} AS typical_range_low,
+            {_round('typical_range_high')} AS typical_range_high FROM gaps)
+        SELECT *, {_COLOUR} AS color FROM rounded""",
     "position": f"""WITH {_VIEWS} SELECT station_id, [longitude, latitude] AS position
         FROM joined""",
     "tooltip": f"""WITH {_VIEWS}, {_PRESENTED}
@@ -322,6 +352,13 @@ ORACLES = {
     "status_stream": _DOCUMENT_STATUS,
     "status_from_state": _DOCUMENT_STATUS,
     "status_from_snapshot": _DOCUMENT_STATUS,
+    "history_compacted": _DOCUMENT_STATUS,
+    "item_rejects": """SELECT 'measurements' AS topic,
+          '{"@id":"m' || event_id || '","latestReading":{"value":' || value || '}}' AS key,
+          'm' || event_id AS value FROM events
+        UNION ALL SELECT 'measurements-rejects', 'malformed item', unnest(['junk',
+          CAST(event_id AS VARCHAR), NULL, '{"@id":"odd","latestReading":"oops"}',
+          '{broken ' || event_id]) FROM events""",
     "landed_items": f"""WITH {_READINGS} SELECT raw, id, stationreference, datetime, value, unit
         FROM readings WHERE event_type <> 'error'""",
     "rejects_stream": """SELECT

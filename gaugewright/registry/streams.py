@@ -3,14 +3,23 @@
 from pyspark.sql import functions as F
 
 from gaugewright.functions.times import utc_wall_clock
-from gaugewright.plans.ingest import measurement_messages, measurement_output, station_messages
+from gaugewright.plans.ingest import (
+    REJECTS_SUFFIX,
+    measurement_messages,
+    measurement_output,
+    station_messages,
+    station_output,
+)
+from gaugewright.plans.scales import StageScales
 from gaugewright.plans.status import map_rows, station_status
 from gaugewright.plans.views import join_current, latest_measurements
 from gaugewright.registry.fixtures import (
     land_measurement_documents,
     measurement_documents,
+    stage_scale_lines,
     stage_scales,
     station_documents,
+    station_lines,
     table,
 )
 from gaugewright.schemas import MEASUREMENTS, STATIONS
@@ -22,8 +31,8 @@ from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, start_topics, to_topics
 from gaugewright.streaming.state import read_state, start_latest_state
 
-# Bound of a micro-batch; the test tables fit in one.
-BATCH_BYTES = 64 * 1024**3
+# Each topic is written as this many files, and a micro-batch takes one.
+BATCHES = 5
 
 
 def _zone_less(df, *columns):
@@ -31,14 +40,14 @@ def _zone_less(df, *columns):
 
 
 def _topics(spark, sf_dir, base, *wanted):
-    topics = FileTopics(f"{base}/topics", max_bytes=BATCH_BYTES)
+    """Topics whose messages come in several batches, in no order of time."""
+    topics = FileTopics(f"{base}/topics", max_files=1)
     if MEASUREMENTS in wanted:
-        topics.write(measurement_messages(measurement_documents(spark, sf_dir)), MEASUREMENTS)
+        messages = measurement_messages(measurement_documents(spark, sf_dir))
+        topics.write(messages.repartition(BATCHES, F.xxhash64("value")), MEASUREMENTS)
     if STATIONS in wanted:
-        topics.write(
-            station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir)),
-            STATIONS,
-        )
+        messages = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
+        topics.write(messages.repartition(BATCHES, F.xxhash64("value")), STATIONS)
     return topics
 
 
@@ -49,11 +58,12 @@ def _consume(spark, topics, base, *wanted):
 
 
 def ingest_stream(spark, sf_dir):
-    """A landing folder followed as a stream: documents in, messages out."""
+    """A landing folder followed as a stream, a file per batch: documents in, messages out."""
     base = work_path(spark, "ingest-stream")
-    land_measurement_documents(spark, sf_dir, f"{base}/landing")
+    land_measurement_documents(spark, sf_dir, f"{base}/landing", BATCHES)
     documents = read_documents(
-        spark, f"{base}/landing", stream=True, multi_line=False, fetched_at="fetched"
+        spark, f"{base}/landing", stream=True, multi_line=False, fetched_at="fetched",
+        options={"maxFilesPerTrigger": "1"},
     )
     topics = FileTopics(f"{base}/topics")
     await_all([consume(documents, "ingest", to_topics(topics, measurement_output),
@@ -61,6 +71,28 @@ def ingest_stream(spark, sf_dir):
     return topics.read(spark, MEASUREMENTS)
 
 
+def station_ingest_stream(spark, sf_dir):
+    """Station documents and their stage scales land between batches; a batch is joined with the
+    scales that are there, of which only the new files are read."""
+    base = work_path(spark, "station-ingest")
+    topics = FileTopics(f"{base}/topics")
+    scales = StageScales(spark, f"{base}/scales", f"{base}/table", multi_line=False, fetched_at="fetched")
+    sink = to_topics(topics, lambda batch: station_output(batch, scales.current()))
+    for part in range(3):
+        nation = F.col("nation") % 3 == part
+        stage_scale_lines(spark, sf_dir).where(nation).select("value").write.mode("append").text(
+            f"{base}/scales")
+        station_lines(spark, sf_dir).where(nation).select("value").write.mode("append").text(
+            f"{base}/landing")
+        documents = read_documents(
+            spark, f"{base}/landing", stream=True, multi_line=False, fetched_at="fetched")
+        await_all([consume(documents, "station-ingest", sink, f"{base}/checkpoint",
+                           available_now=True)])
+    return topics.read(spark, STATIONS).withColumn("topic", F.lit(STATIONS)).unionByName(
+        topics.read(spark, STATIONS + REJECTS_SUFFIX).withColumn(
+            "topic", F.lit(STATIONS + REJECTS_SUFFIX)))
+
+
 def history_stream(spark, sf_dir):
     """The history a stream leaves behind."""
     base = work_path(spark, "history-stream")
@@ -80,7 +112,8 @@ def latest_state_stream(spark, sf_dir):
     base = work_path(spark, "state-stream")
     topics = _topics(spark, sf_dir, base, MEASUREMENTS)
     query = start_latest_state(
-        spark, topics, MEASUREMENTS, f"{base}/state", f"{base}/checkpoint", available_now=True
+        spark, topics, MEASUREMENTS, f"{base}/state", f"{base}/checkpoint", available_now=True,
+        compact_every=2,
     )
     await_all([query])
     current = latest_measurements(read_state(spark, f"{base}/state", MEASUREMENTS))
@@ -94,7 +127,7 @@ def status_from_state(spark, sf_dir):
     wanted = (STATIONS, MEASUREMENTS)
     await_all([
         start_latest_state(spark, topics, topic, f"{base}/state/{topic}",
-                           f"{base}/checkpoints/{topic}", available_now=True)
+                           f"{base}/checkpoints/{topic}", available_now=True, compact_every=2)
         for topic in wanted
     ])
     return map_rows(join_current(*[
@@ -127,6 +160,7 @@ def rejects_stream(spark, sf_dir):
 
 QUERIES = {
     "ingest_stream": ingest_stream,
+    "station_ingest_stream": station_ingest_stream,
     "history_stream": history_stream,
     "latest_measurements_stream": latest_measurements_stream,
     "latest_state_stream": latest_state_stream,

@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from gaugewright.operators.decode import accepted, decode
 from gaugewright.schemas import RELATIONAL
+from gaugewright.sinks.history import RejectSink, save_with_rejects
 
 # Columns the database fills itself or does not have.
 NOT_SENT = ("pk_id", "sequence")
@@ -45,20 +46,26 @@ class JdbcTarget:
 
 @dataclass(frozen=True)
 class JdbcSink:
-    """Append accepted rows to ``schema.topic``.
+    """Append accepted rows to ``schema.topic``; rejects go to the folder ``rejects``.
 
-    Each task commits by itself, so a replayed batch can add rows twice; the latest-row
+    The batch is decoded by all its tasks, and dealt out to the target's connections after that.
+    Each connection commits by itself, so a batch that failed midway can add rows twice; the latest-row
     views hide them, since a row's stamp travels in its message.
     """
 
     target: JdbcTarget
     topic: str
+    rejects: str
 
     def rows(self, messages):
         return accepted(decode(messages, self.topic, RELATIONAL)).drop(*NOT_SENT)
 
-    def __call__(self, messages, run, epoch):
+    def _append(self, messages):
         (
-            self.rows(messages).write.format("jdbc").mode("append")
+            self.rows(messages).repartition(self.target.connections)
+            .write.format("jdbc").mode("append")
             .options(**self.target.write_options(self.topic)).save()
         )
+
+    def __call__(self, messages, run, epoch):
+        save_with_rejects(self._append, RejectSink(self.rejects, self.topic), messages, run, epoch)

@@ -43,22 +43,29 @@ def read_documents(spark, path, stream=False, multi_line=True, on_bad="fail", fe
     return _read(spark, path, DOCUMENT, stream, multi_line, on_bad, fetched_at, options)
 
 
-def read_items(spark, path, stream=False, options=None):
+def read_items(spark, path, stream=False, on_bad="fail", fetched_at=None, options=None):
     """Landed items, one raw item per line, as documents of one item each.
 
     A document is parsed by one task; items that come in bulk should land like this, since
-    such files split anywhere between lines.
+    such files split anywhere between lines. Blank lines are no items. A line that is not an
+    item fails the job, or with ``on_bad="keep"`` ends up among the rejects. ``fetched_at``
+    names a field of the item with the fetch time, as for documents.
     """
+    _parsing(DOCUMENT, on_bad)
     reader = (spark.readStream if stream else spark.read).options(**(options or {}))
-    return reader.text(path).select(
-        F.array("value").alias("items"),
-        F.col("_metadata.file_modification_time").alias("fetched_at"),
-    )
+    lines = reader.text(path).where(F.trim("value") != "")
+    stamped = F.col("_metadata.file_modification_time")
+    if fetched_at:
+        named = F.from_json("value", f"`{fetched_at}` TIMESTAMP", {"timeZone": "UTC"})[fetched_at]
+        stamped = F.coalesce(named, stamped)
+    kept = [F.lit(None).cast("string").alias(CORRUPT)] if on_bad == "keep" else []
+    return lines.select(F.array("value").alias("items"), stamped.alias("fetched_at"), *kept)
 
 
-def read_stage_scales(spark, path, multi_line=True, on_bad="fail", options=None):
-    """Stage-scale documents, landed with their ``url``."""
-    return _read(spark, path, STAGE_SCALE_DOCUMENT, False, multi_line, on_bad, None, options)
+def read_stage_scales(spark, path, multi_line=True, on_bad="fail", fetched_at=None, options=None):
+    """Stage-scale documents, landed with their ``url``; ``path`` may be a list of files.
+    ``fetched_at`` is as for documents."""
+    return _read(spark, path, STAGE_SCALE_DOCUMENT, False, multi_line, on_bad, fetched_at, options)
 
 
 def parse_documents(texts, column="document", on_bad="fail"):

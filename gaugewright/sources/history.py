@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gaugewright.schemas import RELATIONAL, table_schema
+from gaugewright.sources.epochs import open_log, read_log
 
 ACCEPTED = "accepted"
 REJECTED = "rejected"
@@ -17,14 +18,16 @@ def _stored_schema(topic, layout):
     return StructType(table_schema(topic, layout).fields + added.fields)
 
 
-def read_stored(spark, path, topic, layout=RELATIONAL):
-    """Everything a history sink wrote, accepted and rejected, with its run and epoch."""
-    return spark.read.schema(_stored_schema(topic, layout)).parquet(path)
+def read_stored(spark, path, topic, layout=RELATIONAL, log=None, without=frozenset()):
+    """Everything a history sink wrote, accepted and rejected, with its run and epoch: the last
+    compacted generation and the finished epochs beside it, but for those in ``without``."""
+    log = log or open_log(spark, path)
+    return read_log(spark, log, _stored_schema(topic, layout), without)
 
 
-def read_history(spark, path, topic, layout=RELATIONAL, since=None):
+def read_history(spark, path, topic, layout=RELATIONAL, since=None, log=None, without=frozenset()):
     """Accepted rows of a topic with ``ingest_date``; ``since`` reads only later dates' files."""
-    stored = read_stored(spark, path, topic, layout).where(F.col("kind") == ACCEPTED)
+    stored = read_stored(spark, path, topic, layout, log, without).where(F.col("kind") == ACCEPTED)
     if since is not None:
         stored = stored.where(F.col("ingest_date") >= F.lit(since).cast("date"))
     return stored.select(*table_schema(topic, layout).names, "ingest_date")

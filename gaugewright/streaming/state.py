@@ -5,9 +5,12 @@ from gaugewright.operators.latest import latest_by_key
 from gaugewright.schemas import TOPIC_KEYS, table_schema
 from gaugewright.session import STATE_STORE
 from gaugewright.sinks.history import write_epoch
+from gaugewright.sources.epochs import drop_held, open_log, read_log, write_generation
 from gaugewright.streaming.consume import TRIGGER, run_id
 
 ORDER = ["sequence", "pk_id"]
+# Epochs between two compactions of the change log.
+COMPACT_EVERY = 100
 
 
 def latest_state(messages, topic):
@@ -16,13 +19,17 @@ def latest_state(messages, topic):
 
 
 def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
-                       available_now=False, partitions=None):
+                       available_now=False, partitions=None, compact_every=COMPACT_EVERY):
     """Write the keys that changed in each batch to a replay-safe change log.
 
     The query runs in a session of its own, whose state is kept on disk by RocksDB. The
-    number of state ``partitions``, by default one per core, is fixed at the first start: name
-    it where executors are added later.
+    number of state ``partitions`` is fixed at the first start; on a cluster, where executors
+    come and go, it must be named, on a local master it is one per core. After every
+    ``compact_every`` epochs the log is replaced by its current rows, so a reader meets each key
+    at most that many times and once more.
     """
+    if not partitions and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name the number of state partitions: it is fixed at the first start")
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.shuffle.partitions",
@@ -32,6 +39,9 @@ def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
 
     def save(batch, epoch):
         write_epoch(batch, path, run_id(batch), epoch)
+        if compact_every and (epoch + 1) % compact_every == 0:
+            # A replay of this epoch finds nothing added, or compacts what it wrote again.
+            compact_state(batch.sparkSession, path, topic)
 
     writer = (
         latest_state(topics.read_stream(session, topic), topic)
@@ -45,14 +55,25 @@ def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
     return writer.trigger(processingTime=trigger).start()
 
 
-def read_state(spark, path, topic):
+def read_changes(spark, path, topic, log=None):
+    """The change log: its last generation and the epochs since."""
+    return read_log(spark, log or open_log(spark, path), table_schema(topic))
+
+
+def read_state(spark, path, topic, log=None):
     """The current row per key, from the change log."""
-    schema = table_schema(topic)
-    changes = spark.read.schema(schema).parquet(path)
-    return latest_by_key(changes, TOPIC_KEYS[topic], "last_update", ORDER, schema.names)
+    changes = read_changes(spark, path, topic, log)
+    return latest_by_key(changes, TOPIC_KEYS[topic], "last_update", ORDER, table_schema(topic).names)
 
 
-def compact_state(spark, path, topic, target):
-    """The current rows as a new, short change log in ``target``. Stop the query first, and
-    start it again on its checkpoint with ``target`` as its path."""
-    write_epoch(read_state(spark, path, topic), target, "compacted", 0)
+def compact_state(spark, path, topic):
+    """Store the current rows as the log's next generation, and delete what is two generations old.
+
+    The query may run on; its later epochs are read beside the generation.
+    """
+    log = open_log(spark, path)
+    if not log.added:
+        return None
+    target = write_generation(spark, log, read_state(spark, path, topic, log))
+    drop_held(spark, path)
+    return target

@@ -11,6 +11,7 @@ from gaugewright.operators.unnest import matching, measurement_items
 from gaugewright.plans.ingest import (
     measurement_messages,
     measurement_output,
+    measurement_rejects,
     measurement_rows,
     station_messages,
     station_output,
@@ -210,6 +211,44 @@ def test_landed_items_one_per_line(spark, tmp_path):
     assert {r["raw"] for r in rows} == set(lines)
 
 
+GOOD = {"@id": "a", "latestReading": {"value": 1.0}}
+BAD_ITEMS = ['"junk"', "5", "null", '{"@id":"b","latestReading":"oops"}',
+             '{"@id":"b","latestReading":{"value":"high"}}', "[1]"]
+
+
+@pytest.mark.parametrize("item", BAD_ITEMS)
+def test_items_that_cannot_be_read_are_rejects_or_fail(spark, scales, item):
+    text = f'{{"items":[{json.dumps(GOOD)},{item},{{"@id":"silent"}}]}}'
+    texts = spark.createDataFrame([(text,)], "document string").withColumn("fetched_at", F.current_timestamp())
+    kept = parse_documents(texts, on_bad="keep")
+    for wanted in (None, {"@id": "a"}):
+        rows = measurement_output(kept, wanted).collect()
+        assert sorted(r["topic"] for r in rows) == ["measurements", "measurements-rejects"]
+        [bad] = [r for r in rows if r["topic"] == "measurements-rejects"]
+        assert bad["key"] == "malformed item" and bad["value"] == {"null": None, '"junk"': "junk"}.get(item, item)
+    assert measurement_rejects(kept).count() == 1 and measurement_rows(kept).count() == 1
+    with pytest.raises(JOB_ERRORS, match="malformed item"):
+        measurement_rows(parse_documents(texts)).collect()
+
+
+def test_station_items_that_cannot_be_read(spark, scales):
+    text = json.dumps({"items": [TWO, "junk", {"RLOIid": "x", "measures": "none"}]})
+    texts = spark.createDataFrame([(text,)], "document string").withColumn("fetched_at", F.current_timestamp())
+    rejected = station_rejects(parse_documents(texts, on_bad="keep"), scales).collect()
+    assert [r["reject_reason"] for r in rejected] == ["malformed item"] * 2
+    with pytest.raises(JOB_ERRORS, match="malformed item"):
+        station_output(parse_documents(texts), scales).collect()
+
+
+def test_a_broken_line_of_items(spark, tmp_path):
+    (tmp_path / "items.json").write_text(json.dumps(GOOD) + "\n\n{broken\n")
+    rows = measurement_output(read_items(spark, str(tmp_path), on_bad="keep")).collect()
+    assert sorted((r["topic"], r["value"]) for r in rows)[1] == ("measurements-rejects", "{broken")
+    assert len(rows) == 2
+    with pytest.raises(JOB_ERRORS, match="broken"):
+        measurement_rows(read_items(spark, str(tmp_path))).collect()
+
+
 def test_stage_scale_documents(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(
         {"url": "u1", "items": {"typicalRangeHigh": 2.0, "typicalRangeLow": 1.0}}))

@@ -1,8 +1,11 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
-from gaugewright.jobs import main
+from gaugewright.jobs import _arguments, main
+from gaugewright.plans.scales import StageScales
+from gaugewright.sources.epochs import files_below
 from gaugewright.sources.topics import FileTopics
 
 
@@ -37,11 +40,16 @@ def test_documents_to_status_by_jobs(spark, tmp_path):
     run("state", "--topics", topics, "--checkpoint", tmp_path / "c4", "--state",
         tmp_path / "state", "--available-now")
     run("snapshot", "--history", tmp_path / "history", "--output", tmp_path / "snapshot")
+    run("consume", "--topics", topics, "--checkpoint", tmp_path / "c5", "--database", "jobs_levels",
+        "--rejects", tmp_path / "rejects", "--available-now")
+    run("views", "--database", "jobs_levels")
+    assert spark.table("jobs_levels.stationsmeasurements").count() == 1
+    run("compact", "--history", tmp_path / "history", "--drop")
+    run("compact", "--state", tmp_path / "state")
     for source in (["--history", tmp_path / "history"],
-                   ["--history", tmp_path / "history", "--two-pass"],
-                   ["--history", tmp_path / "history", "--snapshot", tmp_path / "snapshot",
-                    "--since", "2020-01-01"],
-                   ["--state", tmp_path / "state"]):
+                   ["--history", tmp_path / "history", "--one-pass"],
+                   ["--history", tmp_path / "history", "--snapshot", tmp_path / "snapshot"],
+                   ["--state", tmp_path / "state"], ["--database", "jobs_levels"]):
         run("status", *source, "--output", tmp_path / "out")
         [row] = spark.read.parquet(str(tmp_path / "out")).collect()
         assert row["station_name"] == "One" and row["color"] == [0, 51, 255]
@@ -61,10 +69,103 @@ def test_bad_documents_are_kept_on_request(spark, tmp_path):
     assert bad["value"] == "<html>no service</html>"
 
 
-def test_wrong_arguments(spark, tmp_path):
-    for words in (["consume", "--topics", "nowhere", "--checkpoint", "c"],
-                  ["consume", "--topics", "file:x", "--checkpoint", "c"],
-                  ["ingest", "stations", "--documents", str(tmp_path), "--topics", "file:x",
-                   "--checkpoint", "c"], ["sail"]):
-        with pytest.raises(SystemExit):
-            main(words, spark)
+def test_items_fetch_times_keys_and_bounds(spark, tmp_path):
+    folder = tmp_path / "items"
+    folder.mkdir()
+    for n in (1, 2, 3):
+        item = {"@id": f"m{n}", "fetched": f"2024-01-0{n} 00:00:00",
+                "latestReading": {"dateTime": "2024-07-01T12:00:00Z", "value": n}}
+        (folder / f"{n}.json").write_text(json.dumps(item) + "\n" + ("" if n < 3 else "junk\n"))
+    words = ["ingest", "measurements", "--documents", f"{folder}", "--items", "--topics",
+             f"file:{tmp_path}/topics", "--checkpoint", f"{tmp_path}/c", "--available-now",
+             "--fetched-at", "fetched", "--key", "id", "--max-files", "1", "--keep-bad"]
+    main(words, spark)
+    topics = FileTopics(f"{tmp_path}/topics")
+    rows = sorted((r["key"], json.loads(r["value"])["last_update"][:10])
+                  for r in topics.read(spark, "measurements").collect())
+    assert rows == [("m1", "2024-01-01"), ("m2", "2024-01-02"), ("m3", "2024-01-03")]
+    [bad] = topics.read(spark, "measurements-rejects").collect()
+    assert (bad["key"], bad["value"]) == ("malformed item", "junk")
+    # One batch per file, and a batch fails on a bad item unless it is to be kept.
+    assert len(list((tmp_path / "c" / "offsets").glob("[0-9]*"))) == 3
+    with pytest.raises(StreamingQueryException, match="junk"):
+        main([*words[:-1], "--checkpoint", f"{tmp_path}/c2"], spark)
+
+
+def test_stage_scales_arrive_between_batches(spark, tmp_path):
+    def station(n):
+        land(tmp_path / "stations", f"{n}.json", {"items": [
+            {"RLOIid": f"s{n}", "stageScale": "u", "measures": [{"@id": "a"}]}], "at": f"2024-01-0{n} 00:00:00"})
+
+    def scale(n, high, fetched):
+        land(tmp_path / "scales", f"{n}.json",
+             {"url": "u", "items": {"typicalRangeHigh": high, "typicalRangeLow": 0.0}, "at": fetched})
+
+    words = ["ingest", "stations", "--documents", f"{tmp_path}/stations", "--stage-scales",
+             f"{tmp_path}/scales", "--topics", f"file:{tmp_path}/topics", "--checkpoint", f"{tmp_path}/c",
+             "--available-now", "--fetched-at", "at", "--scales-fetched-at", "at"]
+
+    def highs():
+        rows = FileTopics(f"{tmp_path}/topics").read(spark, "stations").collect()
+        values = [json.loads(r["value"]) for r in rows]
+        return {v["rloiid"]: v["typicalrangehigh"] for v in values}
+
+    station(1)
+    scale(1, 5.0, "2024-01-02 00:00:00")
+    main(words, spark)
+    station(2)
+    scale(2, 9.0, "2024-01-01 00:00:00")  # copied later, but fetched earlier
+    main(words, spark)
+    station(3)
+    scale(3, 7.0, "2024-01-03 00:00:00")
+    main(words, spark)
+    assert highs() == {"s1": 5.0, "s2": 5.0, "s3": 7.0}
+    land(tmp_path / "stations", "4.json", {"items": [{"RLOIid": "s4", "stageScale": "gone", "measures": []}],
+                                           "at": "2024-01-04 00:00:00"})
+    with pytest.raises(StreamingQueryException, match="gone"):
+        main([*words, "--strict"], spark)
+
+
+def test_only_new_scale_files_are_read(spark, tmp_path):
+    land(tmp_path / "scales", "1.json", {"url": "u", "items": {"typicalRangeHigh": 1.0}})
+    scales = StageScales(spark, str(tmp_path / "scales"), str(tmp_path / "table"))
+    assert [r["high"] for r in scales.current().collect()] == [1.0]
+    assert scales.version == 1
+    (tmp_path / "scales" / "1.json").write_text("broken")
+    files, scales.seen = dict(scales.seen), files_below(spark, str(tmp_path / "scales"))
+    assert [r["high"] for r in scales.current().collect()] == [1.0] and scales.version == 1
+    for n in (2, 3, 4):
+        land(tmp_path / "scales", f"{n}.json", {"url": f"u{n}", "items": {"typicalRangeHigh": float(n)}})
+        assert sorted(r["high"] for r in scales.current().collect()) == [1.0, *map(float, range(2, n + 1))]
+    assert len(list((tmp_path / "table").iterdir())) == 2 and files
+    empty = StageScales(spark, str(tmp_path / "nothing"), str(tmp_path / "none"))
+    assert empty.current().collect() == []
+
+
+WRONG = [
+    "consume --topics nowhere --checkpoint c", "consume --topics file:x --checkpoint c",
+    "ingest stations --documents d --topics file:x --checkpoint c", "sail",
+    "consume --topics file:x --checkpoint c --jdbc-url u",
+    "consume --topics file:x --checkpoint c --history h --rejects r",
+    "consume --topics file:x --checkpoint c --history h --max-offsets 5",
+    "consume --topics kafka:b:1 --checkpoint c --history h --max-files 5",
+    "status --output o", "status --state s --snapshot x --output o", "status --state s --history h --output o",
+    "status --database d --snapshot x --output o", "status --state s --one-pass --output o",
+    "ingest measurements --documents d --topics file:x --checkpoint c --strict",
+    "ingest measurements --documents d --topics file:x --checkpoint c --lines --items",
+    "compact --state s --drop", "compact",
+]
+
+
+@pytest.mark.parametrize("words", WRONG)
+def test_wrong_arguments(spark, words):
+    with pytest.raises(SystemExit):
+        main(words.split(), spark)
+
+
+def test_broker_options():
+    args = _arguments("consume --topics kafka:b:9092 --checkpoint c --history h --max-offsets 500 "
+                      "--min-partitions 64 --topic-option kafka.security.protocol=SASL_SSL".split())
+    options = args.topics.options("stations")
+    assert options["maxOffsetsPerTrigger"] == "500" and options["minPartitions"] == "64"
+    assert options["kafka.security.protocol"] == "SASL_SSL"

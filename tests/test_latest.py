@@ -114,8 +114,37 @@ def test_grouped_max_and_self_join(spark):
     assert joined.columns == df.columns and found(joined) == [("a", 2), ("a", 3)]
 
 
-def test_broadcast_bound_counts_key_text(spark, monkeypatch):
+def test_broadcast_bound_counts_key_text_twice(spark, monkeypatch):
     monkeypatch.setattr(module, "ROW_BYTES", 0)
     df = frame(spark, [("x" * 50, 1, D1, 1)])
-    assert "Broadcast" not in plan(latest_by_key_two_pass(df, "k", "t", broadcast_bytes=49))
-    assert "Broadcast" in plan(latest_by_key_two_pass(df, "k", "t", broadcast_bytes=50))
+    assert "Broadcast" not in plan(latest_by_key_two_pass(df, "k", "t", broadcast_bytes=99))
+    assert "Broadcast" in plan(latest_by_key_two_pass(df, "k", "t", broadcast_bytes=100))
+
+
+def test_broadcast_estimate_is_near_what_spark_measures(spark):
+    keys = spark.range(150_000).select(
+        F.concat(F.sha2(F.col("id").cast("string"), 224).substr(1, 40), F.lit("abc")).alias("k"),
+        F.lit(1).alias("v"), F.lit(D1).alias("t"), F.col("id").alias("s"))
+    result = latest_by_key_two_pass(keys, "k", "t", ["s"])
+    assert result.count() == 150_000
+    executed = result._jdf.queryExecution().executedPlan()
+    result.collect()
+    text = executed.toString()
+    assert "BroadcastHashJoin" in text
+    sizes = []
+
+    def walk(node):
+        if "BroadcastExchange" in node.nodeName():
+            sizes.append(node.longMetric("dataSize").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            walk(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            walk(node.plan())
+
+    walk(executed)
+    estimate = module.broadcast_estimate(150_000, 150_000 * 43)
+    assert sizes and all(0.6 <= estimate / size <= 1.7 for size in sizes), (sizes, estimate)

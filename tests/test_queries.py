@@ -6,7 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as driver
-from gaugewright.registry import batch
+from gaugewright.registry import batch, oracle, streams
 from tests.compare import differences, duck, write_skewed
 from tests.conftest import plan
 
@@ -18,10 +18,13 @@ def duckdb_tables():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+QUERIES = {**batch.QUERIES, **streams.QUERIES}
+
+
+@pytest.mark.parametrize("name", sorted(oracle.ORACLES))
 def test_query_equals_sql(spark, duckdb_tables, name):
-    result = driver.queries()[name](spark, SF_DIR)
-    assert differences(result, duckdb_tables, driver.oracle_sql()[name]) is None
+    result = QUERIES[name](spark, SF_DIR)
+    assert differences(result, duckdb_tables, oracle.ORACLES[name]) is None
 
 
 @pytest.fixture(scope="module")
@@ -31,16 +34,22 @@ def skewed_dir(tmp_path_factory):
     return target
 
 
-@pytest.mark.parametrize("name", sorted(set(batch.QUERIES) & set(driver.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(batch.QUERIES))
 def test_query_equals_sql_on_hot_keys_copies_and_nulls(spark, skewed_dir, name):
     result = batch.QUERIES[name](spark, skewed_dir)
-    assert differences(result, duck(skewed_dir), driver.oracle_sql()[name]) is None
+    assert differences(result, duck(skewed_dir), oracle.ORACLES[name]) is None
+
 
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(oracle.ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(oracle.ORACLES) <= set(driver.oracle_sql())
 
-def test_only_the_random_id_has_no_sql(spark):
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"surrogate_id_random"}
-    rows = batch.surrogate_id_random(spark, SF_DIR).collect()
-    assert len({r["uuid"] for r in rows}) == len(rows) > 0
+
+def test_random_ids_differ_each_time(spark):
+    from gaugewright.functions.text import random_id
+
+    ids = [{r["id"] for r in spark.range(100).select(random_id().alias("id")).collect()} for _ in "ab"]
+    assert len(ids[0]) == len(ids[1]) == 100 and not ids[0] & ids[1]
 
 
 def test_entry(spark):
@@ -55,6 +64,18 @@ def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
         assert unwanted not in text
 
 
+def test_status_sorts_only_what_is_latest(spark):
+    """Two hash-aggregated maxima first; what is sorted has met the semi join."""
+    text = plan(batch.status(spark, SF_DIR))
+    for node in re.split(r"\n\n+", text[:text.index("\n\n\n")] if "\n\n\n" in text else text):
+        lines = node.split("\n")
+        for at, line in enumerate(lines):
+            if "SortAggregate" in line and "Exchange" not in lines[at - 1]:
+                below = "\n".join(lines[at + 1:at + 5])
+                assert "BroadcastHashJoin LeftSemi" in below or "Exchange" in below, below
+    assert "BroadcastHashJoin LeftSemi" in text
+
+
 def test_scans_read_only_the_needed_columns(spark):
     text = plan(batch.latest_joined(spark, SF_DIR))
     events = next(s for s in re.findall(r"ReadSchema: struct<(.*?)>", text) if "ts:" in s)

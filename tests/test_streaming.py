@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 from gaugewright.functions.times import utc_date
 from gaugewright.operators.decode import decode
-from gaugewright.operators.latest import latest_by_key_two_pass
-from gaugewright.plans.current import current_rows, write_snapshot
+from gaugewright.operators.latest import latest_by_key, latest_by_key_two_pass
+from gaugewright.plans.current import current_rows, two_pass_by_date, write_snapshot
 from gaugewright.plans.views import latest_measurements, stations_measurements
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, table_schema
-from gaugewright.sinks.history import HistorySink, rewrite_by_date
+from gaugewright.sinks.history import HistorySink, compact_history, rewrite_by_date, write_epoch
+from gaugewright.sources.epochs import delete_folder, generations, open_log
 from gaugewright.sources.history import read_dated, read_history, read_rejects, read_stored
 from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, fan_out, start_topics
 from gaugewright.streaming.progress import BatchLog
-from gaugewright.streaming.state import compact_state, read_state, start_latest_state
+from gaugewright.streaming.state import compact_state, read_changes, read_state, start_latest_state
 
 
 def message(key, value, minute=0):
@@ -166,7 +167,7 @@ def test_fan_out_hands_a_batch_to_every_sink(spark, place):
 def test_state_follows_out_of_order_and_tied_messages_over_restarts(spark, place):
     state, checkpoint = str(place.path / "state"), str(place.path / "state-checkpoint")
 
-    def run(state=state):
+    def run():
         await_all([start_latest_state(spark, place.topics, MEASUREMENTS, state, checkpoint,
                                       available_now=True)])
         rows = read_state(spark, state, MEASUREMENTS).collect()
@@ -179,16 +180,41 @@ def test_state_follows_out_of_order_and_tied_messages_over_restarts(spark, place
     assert run() == [("a", 3.0), ("b", 1.0)]
     place.run(spark)
     assert place.latest(spark) == [("a", 3.0), ("b", 1.0)]
-    short = str(place.path / "short")
-    compact_state(spark, state, MEASUREMENTS, short)
-    current = read_state(spark, short, MEASUREMENTS)
+    compact_state(spark, state, MEASUREMENTS)
+    current = read_state(spark, state, MEASUREMENTS)
     assert current.columns == table_schema(MEASUREMENTS).names
     rows = current.collect()
     assert sorted((r["id"], r["value"]) for r in rows) == [("a", 3.0), ("b", 1.0)]
 
-    # The query goes on with the short log.
+    # The query goes on beside the compacted log.
     send(spark, place.topics, message("b", 5.0, 9))
-    assert run(short) == [("a", 3.0), ("b", 5.0)]
+    assert run() == [("a", 3.0), ("b", 5.0)]
+
+
+def test_the_state_log_stays_as_short_as_its_keys(spark, place):
+    state, checkpoint = str(place.path / "state"), str(place.path / "state-checkpoint")
+    for minute in range(12):
+        send(spark, place.topics, *[message(key, float(minute), minute) for key in "abcd"])
+    await_all([start_latest_state(spark, place.topics, MEASUREMENTS, state, checkpoint,
+                                  available_now=True, compact_every=3)])
+    log = open_log(spark, state)
+    assert len(log.epochs) == 12 and len(log.added) == 0
+    assert read_changes(spark, state, MEASUREMENTS).count() == 4
+    assert {r["value"] for r in read_state(spark, state, MEASUREMENTS).collect()} == {11.0}
+    assert len(generations(spark, state)) == 1 and len(log.folders) == 3
+    # A replayed epoch is known already.
+    rows = read_changes(spark, state, MEASUREMENTS)
+    run, epoch = max(log.epochs)
+    write_epoch(rows, state, run, epoch)
+    assert open_log(spark, state).added == frozenset()
+
+
+def test_a_cluster_must_name_its_state_partitions(spark, place, monkeypatch):
+    class Session:
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError, match="partitions"):
+        start_latest_state(Session(), place.topics, MEASUREMENTS, "s", "c")
 
 
 def test_a_large_date_is_rewritten_by_several_tasks(spark, tmp_path):
@@ -245,19 +271,83 @@ def test_batches_are_logged(spark, place, caplog):
     assert "epoch 0: saved messages of topic measurements" in caplog.text
 
 
-def test_snapshot_and_later_dates_equal_the_whole_history(spark, place):
-    day2 = message("a", 2.0).replace("2024-01-01 00", "2024-01-02 00")
-    send(spark, place.topics, message("a", 1.0), message("b", 1.5, 3))
+def test_a_snapshot_takes_in_rows_that_came_late(spark, place):
+    """``late`` is stamped before everything in the snapshot, but consumed after it."""
+    day = message("a", 2.0).replace("2024-01-01 00", "2024-01-05 00")
+    send(spark, place.topics, message("a", 1.0, 9), message("b", 1.5, 3))
     place.run(spark)
+    first, second = str(place.path / "first"), str(place.path / "second")
+    write_snapshot(spark, place.history, MEASUREMENTS, first)
+    send(spark, place.topics, day, message("late", 7.0, 0).replace("2024-01-01 00", "2023-12-01 00"))
+    place.run(spark)
+    expected = [("a", 2.0), ("b", 1.5), ("late", 7.0)]
+    for form in (latest_by_key, two_pass_by_date):
+        rows = current_rows(spark, place.history, MEASUREMENTS, first, form)
+        assert sorted((r["id"], r["value"]) for r in rows.collect()) == place.latest(spark) == expected
+    write_snapshot(spark, place.history, MEASUREMENTS, second, first)
+    compact_history(spark, place.history, MEASUREMENTS)
+    send(spark, place.topics, message("b", 8.0, 30))
+    place.run(spark)
+    for snapshot in (first, second):
+        rows = current_rows(spark, place.history, MEASUREMENTS, snapshot)
+        assert sorted((r["id"], r["value"]) for r in rows.collect()) == [
+            ("a", 2.0), ("b", 8.0), ("late", 7.0)]
+
+
+def test_a_snapshot_older_than_a_generation_whose_epochs_are_gone(spark, place):
     snapshot = str(place.path / "snapshot")
-    write_snapshot(current_rows(spark, place.history, MEASUREMENTS), snapshot)
-    send(spark, place.topics, day2)
+    send(spark, place.topics, message("a", 1.0))
+    place.run(spark)
+    write_snapshot(spark, place.history, MEASUREMENTS, snapshot)
+    for minute in (1, 2):
+        send(spark, place.topics, message("b", float(minute), minute), "broken")
+        place.run(spark)
+        compact_history(spark, place.history, MEASUREMENTS, drop=True)
+    assert len(open_log(spark, place.history).folders) == 1
+    rows = current_rows(spark, place.history, MEASUREMENTS, snapshot).collect()
+    assert sorted((r["id"], r["value"]) for r in rows) == [("a", 1.0), ("b", 2.0)]
+    assert read_stored(spark, place.history, MEASUREMENTS).count() == 5
+    assert read_rejects(spark, place.history, MEASUREMENTS).count() == 2
+
+
+def test_readers_take_generations_and_only_finished_epochs(spark, place):
+    send(spark, place.topics, message("a", 1.0), "broken")
+    send(spark, place.topics, message("b", 2.0))
     place.run(spark)
-    rows = current_rows(spark, place.history, MEASUREMENTS, snapshot, "2024-01-02")
-    assert sorted((r["id"], r["value"]) for r in rows.collect()) == place.latest(spark) == [
-        ("a", 2.0), ("b", 1.5)]
-    with pytest.raises(ValueError):
-        current_rows(spark, place.history, MEASUREMENTS, snapshot)
+    before = sorted(map(str, read_stored(spark, place.history, MEASUREMENTS).collect()))
+    assert compact_history(spark, place.history, MEASUREMENTS)
+    assert compact_history(spark, place.history, MEASUREMENTS) is None
+    assert sorted(map(str, read_stored(spark, place.history, MEASUREMENTS).collect())) == before
+    send(spark, place.topics, message("c", 3.0))
+    place.run(spark)
+    assert place.values(spark) == [1.0, 2.0, 3.0]
+    log = open_log(spark, place.history)
+    assert len(log.held) == 2 and len(log.added) == 1
+    files = read_stored(spark, place.history, MEASUREMENTS).inputFiles()
+    assert {f.split("epoch=")[1][0] for f in files if "run=" in f} == {"2"}
+    # An epoch that is being written again, and a generation without its list, are not there yet.
+    [(run, epoch)] = log.added
+    delete_folder(spark, f"{place.history}/run={run}/epoch={epoch}/_SUCCESS")
+    delete_folder(spark, f"{place.history}/generation=0/epochs")
+    assert place.values(spark) == [1.0, 2.0]
+
+
+def test_a_folder_that_is_no_history_is_an_error(spark, place):
+    send(spark, place.topics, message("a", 1.0))
+    place.run(spark)
+    target = str(place.path / "dates")
+    rewrite_by_date(read_history(spark, place.history, MEASUREMENTS), target)
+    with pytest.raises(ValueError, match="ingest_date"):
+        read_history(spark, target, MEASUREMENTS)
+    assert read_dated(spark, target, MEASUREMENTS).count() == 1
+    assert read_history(spark, str(place.path / "nothing"), MEASUREMENTS).count() == 0
+
+
+def test_a_batch_is_written_as_one_file_per_date(spark, tmp_path):
+    texts = [(message(str(i), 1.0).replace("2024-01-01 00", f"2024-01-0{1 + i % 3} 00"),) for i in range(90)]
+    messages = spark.createDataFrame(texts, "value string").repartition(8)
+    HistorySink(str(tmp_path / "h"), MEASUREMENTS)(messages, "r", 0)
+    assert len(list((tmp_path / "h").glob("**/part-*.parquet"))) == 3
 
 
 def test_two_pass_reads_only_dates_of_latest_rows(spark, place):

@@ -2,10 +2,11 @@
 
 import pytest
 
-from gaugewright.plans.views import create_views
+from gaugewright.plans.views import create_views, latest_measurements
 from gaugewright.schemas import (
     LATEST_STATIONS_COLUMNS,
     MEASUREMENTS,
+    RELATIONAL,
     STATIONS,
     WIDE_COLUMN,
     create_tables,
@@ -15,7 +16,7 @@ from gaugewright.session import shared_folder, work_path
 from gaugewright.sinks.history import TableSink
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
-from gaugewright.sources.history import read_jdbc
+from gaugewright.sources.history import read_jdbc, read_rejects
 from gaugewright.sources.topics import FileTopics, KafkaTopics
 
 TEXT = '{"id":"a","value":0.5,"last_update":"2024-01-01 00:00:00.000000"}'
@@ -41,7 +42,7 @@ def test_jdbc_options_and_rows(spark):
     assert target.read_options("stationsmeasurements")["dbtable"] == (
         "monitoring.stationsmeasurements")
     messages = spark.createDataFrame([(TEXT,), ("broken",)], "value string")
-    rows = JdbcSink(target, MEASUREMENTS).rows(messages)
+    rows = JdbcSink(target, MEASUREMENTS, "rejects").rows(messages)
     assert rows.columns == ["id", "stationreference", "datetime", "value", "unit", "last_update"]
     assert rows.count() == 1 and dict(rows.dtypes)["value"] == "double"
 
@@ -71,7 +72,7 @@ def test_wide_column_options_and_rows(spark):
     target = KeyspaceTarget("monitoring", {"spark.cassandra.connection.host": "db"})
     assert target.options("stations") == {
         "keyspace": "monitoring", "table": "stations", "spark.cassandra.connection.host": "db"}
-    rows = WideColumnSink(target, MEASUREMENTS).rows(
+    rows = WideColumnSink(target, MEASUREMENTS, "rejects").rows(
         spark.createDataFrame([(TEXT,)], "value string"))
     assert rows.columns == ["uuid", "id", "stationreference", "datetime", "value", "unit"]
 
@@ -100,14 +101,45 @@ def test_table_sink_and_sql_views(spark, tmp_path):
     for topic, text in ((STATIONS, station), (MEASUREMENTS, TEXT)):
         messages = spark.createDataFrame([(text,), ("broken",)], "value string")
         for _ in range(2):
-            TableSink("gauges", topic)(messages, "run", 0)
+            TableSink("gauges", topic, f"{tmp_path}/rejects/{topic}")(messages, "run", 0)
+        [bad] = read_rejects(spark, f"{tmp_path}/rejects/{topic}", topic).collect()
+        assert bad["reject_value"] == "broken"
     create_views(spark, "gauges")
-    assert spark.table("gauges.measurements").where("ingest_date = '2024-01-01'").count() == 2
+    # The second call was a replay.
+    assert spark.table("gauges.measurements").where("ingest_date = '2024-01-01'").count() == 1
     rows = spark.sql("SELECT * FROM gauges.stationsmeasurements").collect()
     assert [(r["station_id"], r["value"]) for r in rows] == [("s", 0.5)]
     assert spark.table("gauges.latest_stations").columns == LATEST_STATIONS_COLUMNS
 
 
+@pytest.mark.parametrize("kind", [JdbcSink, WideColumnSink])
+def test_sinks_keep_what_the_target_cannot_hold(spark, tmp_path, monkeypatch, kind):
+    """Without a database: what would be sent is counted."""
+    sent = []
+    monkeypatch.setattr(kind, "_append", lambda self, messages: sent.append(self.rows(messages).count()))
+    sink = kind(None, MEASUREMENTS, str(tmp_path / "rejects"))
+    messages = spark.createDataFrame([(TEXT,), ("broken",), ("",)], "value string")
+    for epoch in (0, 0, 1):
+        sink(messages, "run", epoch)
+    assert sent == [1, 1]
+    kept = read_rejects(spark, str(tmp_path / "rejects"), MEASUREMENTS, sink_layout(kind)).collect()
+    assert sorted((r["reject_value"], r["epoch"]) for r in kept) == [
+        ("", 0), ("", 1), ("broken", 0), ("broken", 1)]
+
+
+def sink_layout(kind):
+    return WIDE_COLUMN if kind is WideColumnSink else RELATIONAL
+
+
+def test_database_names_still_break_ties(spark):
+    """PK_ID as the tables are declared in a database."""
+    rows = spark.createDataFrame(
+        [("1", "a", "2024-01-01", 1.0), ("2", "a", "2024-01-01", 2.0)],
+        "PK_ID string, id string, last_update string, value double").repartition(2)
+    [row] = latest_measurements(rows, columns=["id", "value"]).collect()
+    assert row["value"] == 2.0
+
+
 def test_unknown_table_is_an_error(spark):
     with pytest.raises(ValueError, match="tides"):
         table_schema("tides")
