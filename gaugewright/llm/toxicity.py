@@ -34,8 +34,8 @@ from gaugewright.llm.language import held_out
 TRAIN_DOCUMENTS = 20_000
 LEXICON = 5_000
 STEMS = (4, 5, 6, 7, 8)  # lengths of word beginnings that may be learned
-LEAST_DOCUMENTS = 4
-LEAST_PRECISION = 0.7
+LEAST_DOCUMENTS = 4      # and as many different neighbourhoods
+LEAST_PRECISION = 0.9
 LEAST_RATIO = 14.0       # natural logarithm of the likelihood ratio
 THRESHOLD = 0.3
 NEGATION_REACH = 3
@@ -236,18 +236,55 @@ def sample(docs, labels, most=TRAIN_DOCUMENTS):
         .select("text", "toxic", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")), "sample")
 
 
+def _ratio(toxic, clean, rate):
+    """Log-likelihood ratio of a gram's counts against the share ``rate`` of toxic texts; and its precision."""
+    share = F.col(toxic) / (F.col(toxic) + F.col(clean))
+    ratio = F.col(toxic) * F.log(share / rate) + F.when(
+        F.col(clean) > 0, F.col(clean) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    return ratio, share
+
+
+def _by_part(counted, rate):
+    """Grams that pass in one half or in both, with counts for each: part, gram, ratio."""
+    parts = []
+    for part, halves in ((0, (0,)), (1, (1,)), (2, (0, 1))):
+        sums = {t: sum((F.col(f"n{h}{t}") for h in halves), F.lit(0)) for t in (0, 1)}
+        found = counted.select(
+            F.lit(part).alias("part"), "gram", sums[1].alias("toxic"), sums[0].alias("clean")
+        ).where(f"toxic >= {LEAST_DOCUMENTS}")
+        ratio, share = _ratio("toxic", "clean", rate)
+        parts.append(found.withColumn("ratio", ratio).where(
+            (share >= LEAST_PRECISION) & (F.col("ratio") >= LEAST_RATIO)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _pivoted(rows, value):
+    return rows.groupBy("gram").agg(*[
+        value(F.when((F.col("half") == h) & (F.col("toxic") == t), F.col("n"))).alias(f"n{h}{t}")
+        for h in (0, 1) for t in (0, 1)]).na.fill(0)
+
+
 def learned_words(rows, most=LEXICON):
-    """{half, or None for all: grams of toxic texts} from the sampled rows.
+    """{0, 1 or None for a half or all of the sample: grams of toxic texts}.
 
-    Counted in the tasks and summed; only grams that pass come to the driver.
+    First by texts that have the gram, counted in the tasks and summed; of what passes, at most ``2 * most``
+    grams, the neighbouring words are counted: copies of one toxic text repeat all its words, but always
+    between the same neighbours.
     """
+    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = {0: [], 1: [], None: []}
+    if len(sizes) < 2:
+        return out
+    rate = sizes[1] / (sizes[0] + sizes[1])
+
+    def words_of(text):
+        return [w for w in _WORD.findall(text.lower()) if w[0].isalpha()]
 
     def count(batches):
         counts = Counter()
         for batch in batches:
             for text, toxic, half in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = {w for w in _WORD.findall(text.lower()) if w[0].isalpha()}
-                for gram in {g for w in words for g in grams(w)}:
+                for gram in {g for w in set(words_of(text)) for g in grams(w)}:
                     counts[gram, half, toxic] += 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
@@ -255,30 +292,37 @@ def learned_words(rows, most=LEXICON):
              pa.array([k[2] for k in keys], pa.int32()), pa.array(list(counts.values()), pa.int64())],
             ["gram", "half", "toxic", "n"])
 
-    def of(half, toxic):
-        return F.sum(F.when((F.col("half") == half) & (F.col("toxic") == toxic), F.col("n")).otherwise(0))
-
-    table = stage(
-        map_batches(rows, count, "gram string, half int, toxic int, n long").groupBy("gram").agg(
-            *[of(h, t).alias(f"n{h}{t}") for h in (0, 1) for t in (0, 1)])
-        .where(F.col("n01") + F.col("n11") >= LEAST_DOCUMENTS), "grams")
-    sizes = {(r["half"], r["toxic"]): r["n"] for r in rows.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = {}
-    for part, halves in ((0, (0,)), (1, (1,)), (None, (0, 1))):
-        toxic = sum((F.col(f"n{h}1") for h in halves), F.lit(0))
-        clean = sum((F.col(f"n{h}0") for h in halves), F.lit(0))
-        n_toxic = sum(sizes.get((h, 1), 0) for h in halves)
-        n_clean = sum(sizes.get((h, 0), 0) for h in halves)
-        if not n_toxic or not n_clean:
-            out[part] = []
-            continue
-        rate, found = n_toxic / (n_toxic + n_clean), table.select("gram", toxic.alias("a"), clean.alias("b"))
-        share = F.col("a") / (F.col("a") + F.col("b"))
-        ratio = F.col("a") * F.log(share / rate) + F.when(
-            F.col("b") > 0, F.col("b") * F.log((1 - share) / (1 - rate))).otherwise(0.0)
-        found = found.where(f"a >= {LEAST_DOCUMENTS}").withColumn("ratio", ratio).where(
-            (share >= LEAST_PRECISION) & (F.col("ratio") >= LEAST_RATIO))
-        out[part] = [r["gram"] for r in found.orderBy(F.desc("ratio"), "gram").limit(most).collect()]
+    texts = _pivoted(map_batches(rows, count, "gram string, half int, toxic int, n long"), F.sum)
+    named = _by_part(texts, rate).groupBy("gram").agg(F.max("ratio").alias("ratio"))
+    candidates = frozenset(
+        r["gram"] for r in named.orderBy(F.desc("ratio"), "gram").limit(2 * most).collect())
+    shared = rows.sparkSession.sparkContext.broadcast(candidates)
+
+    def neighbours(batches):
+        import xxhash
+
+        wanted, known = shared.value, {}
+        for batch in batches:
+            found = set()
+            known.clear()
+            for text, toxic, half in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words = ["", *words_of(text), ""]
+                for before, word, after in zip(words, words[1:], words[2:]):
+                    having = known.get(word)
+                    if having is None:
+                        known[word] = having = tuple(wanted.intersection(grams(word)))
+                    for gram in having:
+                        found.add((gram, half, toxic, xxhash.xxh3_64_intdigest(f"{before} {after}") >> 1))
+            columns = list(zip(*found)) or [(), (), (), ()]
+            kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["gram", "half", "toxic", "n"])
+
+    places = map_batches(rows, neighbours, "gram string, half int, toxic int, n long").distinct()
+    passed = stage(_by_part(_pivoted(places, F.count), rate), "grams")
+    for part in (0, 1, 2):
+        best = passed.where(F.col("part") == part).orderBy(F.desc("ratio"), "gram").limit(most)
+        out[None if part == 2 else part] = [r["gram"] for r in best.collect()]
     return out
 
 
