@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+# Fixed value.
 MESSAGE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 # Fixed value: whole unit text and its short form.
 UNIT_LABELS = {"http://qudt.org/1.1/vocab/unit#Meter": "m"}

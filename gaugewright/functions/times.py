@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
+# Fixed values.
 LOCAL_ZONE = "Europe/Vienna"
 DISPLAY_FORMAT = "yyyy-MM-dd HH:mm"
 

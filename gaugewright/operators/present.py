@@ -51,6 +51,7 @@ def add_tooltip(df, null_text="null"):
         return F.coalesce(text, F.lit(null_text))
 
     unit = shown("unit")
+    # The labels.
     return df.withColumn("tooltip", F.concat(
         F.lit("<b>Station:</b> "), shown("station_name"),
         F.lit(" (id: "), shown("station_notation"), F.lit(")<br>"),

@@ -64,7 +64,7 @@ from gaugewright.registry.fixtures import (
     table,
 )
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, create_tables
-from gaugewright.session import work_path
+from gaugewright.session import work_database, work_path
 from gaugewright.sinks.history import HistorySink, TableSink, compact_history, rewrite_by_date
 from gaugewright.sources.documents import parse_documents, read_documents, read_items
 from gaugewright.sources.history import read_dated, read_history
@@ -433,9 +433,19 @@ def latest_joined(spark, sf_dir):
     return _joined(spark, sf_dir)
 
 
-def view_read(spark, sf_dir):
+def _from_views(spark, sf_dir, read):
+    """What ``read`` makes of the registered views, which are removed again: its plan holds them."""
     register_views(station_history(spark, sf_dir), measurement_history(spark, sf_dir))
-    return spark.sql("SELECT * FROM stationsmeasurements")
+    try:
+        return read()
+    finally:
+        for view in ("latest_stations", "latest_measurements", "stationsmeasurements"):
+            spark.catalog.dropTempView(view)
+
+
+def view_read(spark, sf_dir):
+    return _from_views(
+        spark, sf_dir, lambda: spark.sql("SELECT * FROM stationsmeasurements"))
 
 
 def history_by_date(spark, sf_dir):
@@ -452,7 +462,7 @@ def history_by_date(spark, sf_dir):
 def sql_views(spark, sf_dir):
     """History tables and lasting views in a database of the catalog."""
     path = work_path(spark, "gauges")
-    database = path.rsplit("/", 1)[1].replace("-", "_")
+    database = work_database(path.rsplit("/", 1)[1].replace("-", "_"))
     create_tables(spark, database, path)
     stations = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
     TableSink(database, STATIONS, f"{path}-rejects/stations")(stations, "load", 0)
@@ -516,8 +526,7 @@ def table_rows(spark, sf_dir):
 
 
 def view_map_rows(spark, sf_dir):
-    register_views(station_history(spark, sf_dir), measurement_history(spark, sf_dir))
-    return map_rows(spark.table("stationsmeasurements"))
+    return _from_views(spark, sf_dir, lambda: map_rows(spark.table("stationsmeasurements")))
 
 
 QUERIES = {

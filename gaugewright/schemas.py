@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import StructType
 
 # Landed documents. Items are read as text first, so a message key can hold the whole raw
-# item, with fields the item schemas below do not name.
+# item, with fields the item schemas below do not name. The providers' field names.
 DOCUMENT = "items ARRAY<STRING>"
 CORRUPT = "_corrupt_record"
 STATION_ITEM = (
@@ -69,6 +69,7 @@ _TABLES = {
     ),
 }
 
+# The views' columns.
 LATEST_MEASUREMENTS_COLUMNS = ["id", "last_update", "stationreference", "datetime", "value", "unit"]
 LATEST_STATIONS_COLUMNS = [
     "pk_id", "rloiid", "label", "measures_id", "notation", "rivername",

@@ -55,6 +55,31 @@ def shared_folder(spark) -> str:
     return named.rstrip("/")
 
 
+# What this process made in the shared folder and the catalog, for ``clean_work``.
+_made = {"paths": [], "databases": []}
+
+
 def work_path(spark, purpose) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder; ``clean_work`` deletes it."""
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _made["paths"].append(path)
+    return path
+
+
+def work_database(name) -> str:
+    """Remember a catalog database, made for one result, for ``clean_work``."""
+    _made["databases"].append(name)
+    return name
+
+
+def clean_work(spark):
+    """Delete all intermediate tables of this process. Results that were not stored are lost, since
+    they read them; call it between jobs, or at the end."""
+    for name in _made["databases"]:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    configuration = spark._jsc.hadoopConfiguration()
+    for name in _made["paths"]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(configuration).delete(path, True)
+    for made in _made.values():
+        made.clear()

@@ -4,6 +4,7 @@ import logging
 
 log = logging.getLogger("gaugewright.streaming")
 
+# Fixed value.
 TRIGGER = "15 seconds"
 
 

@@ -12,7 +12,7 @@ from gaugewright.schemas import (
     create_tables,
     table_schema,
 )
-from gaugewright.session import shared_folder, work_path
+from gaugewright.session import clean_work, shared_folder, work_database, work_path
 from gaugewright.sinks.history import TableSink
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
@@ -150,3 +150,14 @@ def test_work_paths_lie_in_the_named_folder(spark):
     assert shared_folder(spark) == folder.rstrip("/")
     one, two = work_path(spark, "x"), work_path(spark, "x")
     assert one != two and one.startswith(folder)
+
+
+def test_work_is_cleaned_up(spark):
+    import os
+
+    path = work_path(spark, "kept")
+    spark.range(3).write.parquet(path)
+    spark.sql(f"CREATE DATABASE {work_database('once_only')}")
+    clean_work(spark)
+    assert not os.path.exists(path)
+    assert "once_only" not in [d.name for d in spark.catalog.listDatabases()]
