@@ -1,0 +1,109 @@
+"""Each stage against a brute-force version of it on the stage's own input."""
+
+import re
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from gaugewright.llm.byte_bpe import read_ranks
+from gaugewright.llm.common import stage
+from gaugewright.llm.quality import measure
+from tests.llm.rows import AWKWARD, LINE, documents
+from tests.llm.test_mixing import plain_targets
+from tests.llm.test_quality import PROSE
+from tests.llm.test_simhash import plain_components, plain_fingerprint
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def key(row):
+    return -1 if row["doc_id"] is None else row["doc_id"]
+
+
+def smallest(rows, group_of):
+    groups = defaultdict(list)
+    for row in rows:
+        groups[group_of(row)].append(row)
+    return Counter(min(map(key, (r for r in g if r["doc_id"] is not None)), default=-1) for g in groups.values())
+
+
+def check_quality(before, after):
+    assert Counter(map(key, after)) == Counter(key(r) for r in before if measure(r["text"])["kept"])
+
+
+def check_exact(before, after):
+    assert Counter(map(key, after)) == smallest(
+        before, lambda r: re.sub(r"[\x20\x09-\x0D]+", " ", r["text"] or ""))
+
+
+def check_near(before, after):
+    roots = plain_components([plain_fingerprint(r["text"]) for r in before])
+    assert Counter(map(key, after)) == smallest(before, lambda r: roots[plain_fingerprint(r["text"])])
+
+
+def check_mixing(before, after):
+    sizes, taken, largest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in before:
+        size = len((r["text"] or "").encode().split())
+        sizes[r["source"]] += size
+        largest[r["source"]] = max(largest[r["source"]], size)
+    for r in after:
+        taken[r["source"]] += len((r["text"] or "").encode().split())
+    copies, there = Counter(map(tuple, after)), Counter(map(tuple, before))
+    assert all(copies[r] <= 3 * there[r] for r in copies)
+    for source, target in plain_targets(sizes).items():
+        assert abs(taken[source] - target) <= 1.1 * largest[source] + 1
+
+
+def check_tokens(before, after):
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert Counter((key(r), tuple(r["ids"])) for r in after) == Counter(
+        (key(r), tuple(library.encode_ordinary(r["text"] or ""))) for r in before)
+    assert all(r["n_tokens"] == len(r["ids"]) for r in after)
+
+
+CHECKS = [check_quality, check_exact, check_near, check_mixing, check_tokens]
+ODD = AWKWARD + [(80 + i, PROSE.replace("bridge", f"ford {i // 2} bridge"), "ab"[i % 2]) for i in range(6)] + [(30 + i, f"{LINE} number {i} of a few " * (1 + i % 4), "abc"[i % 3]) for i in range(30)] + [
+    (70, "some words " * 30, None), (70, "some words " * 30, None), (71, "some  words " * 30, "a")]
+
+
+@pytest.mark.parametrize("table", ["sf0.001", "odd", "empty"])
+def test_stages_equal_brute_force(spark, table):
+    if table == "sf0.001":
+        docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    else:
+        docs = documents(spark, ODD if table == "odd" else [])
+    columns = docs.columns
+    for n, ((name, function), check) in enumerate(zip(corpus_pipeline.STAGES, CHECKS, strict=True)):
+        result = stage(function(spark, docs, SF_DIR), name)
+        check(docs.collect(), result.collect())
+        if n < len(CHECKS) - 1:
+            assert result.columns == columns
+            docs = result
+    if table != "empty":
+        assert result.count() > 0
+
+
+@pytest.mark.parametrize("n", range(1, 4))
+def test_stages_on_rows_that_earlier_stages_would_drop(spark, n):
+    """A stage is whole on any input: copies, NULLs and empty texts."""
+    docs = documents(spark, ODD)
+    name, function = corpus_pipeline.STAGES[n]
+    CHECKS[n](docs.collect(), function(spark, docs, SF_DIR).collect())
+
+
+def test_run_is_registered(spark):
+    assert driver.queries()["pipeline"] is corpus_pipeline.run
+    assert "pipeline" not in driver.oracle_sql()
+    rows = corpus_pipeline.run(spark, SF_DIR)
+    assert rows.columns == ["doc_id", "n_tokens", "ids"] and rows.count() > 0
+
+
+def test_each_operator_has_one_query():
+    numbers = [int(re.match(r"op(\d+)_", q)[1]) for q in driver.queries() if q.startswith("op")]
+    assert sorted(numbers) == list(range(1, 11))
