@@ -81,3 +81,15 @@ def test_scans_read_only_the_needed_columns(spark):
     events = next(s for s in re.findall(r"ReadSchema: struct<(.*?)>", text) if "ts:" in s)
     assert "props" not in events and "event_type" in events
     assert "IsNotNull(ts)" in text
+
+
+def test_entry_without_the_training_data_operators():
+    """The driver's file imports, and has all other queries, where those were left out."""
+    import subprocess
+    import sys
+
+    code = ("import sys; sys.modules['gaugewright.llm'] = sys.modules['corpus_pipeline'] = None\n"
+            "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))")
+    root = os.path.dirname(os.path.abspath(driver.__file__))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(oracle.ORACLES))]
