@@ -8,7 +8,7 @@ mean size. Newton steps on the dual run for all sources at once on the counts of
 
 Rates become copies by systematic rounding in order of size: a document gets the whole numbers that the
 running sum of rates passes. Since sizes rise along the order, a source misses its target by about its
-largest document at most. The running sum is taken over cells (source, size class, hash class): sums
+largest document at most; where that is still far, a few single copies close the gap. The running sum is taken over cells (source, size class, hash class): sums
 of cells first, then within each cell, so that a hot source is spread over many tasks.
 
 Everything that decides is summed in whole numbers, so reruns agree. DataFrame functions only.
@@ -32,6 +32,8 @@ UNIT = 1 << 24       # a rate of one, as a whole number
 HASH_CLASSES = 256
 CLOSE = 1e-7         # relative distance to the target at which Newton stops
 STEPS = 60
+CORRECTIONS = 4      # single copies, for each source, that close what rounding leaves
+CLOSE_WORDS = 0.001  # relative distance to the target from which they are needed
 
 _EXACT = "decimal(38,0)"
 
@@ -147,12 +149,18 @@ def _newton(counts, state, most):
 
 
 def with_copies(docs, doc_id="doc_id", text="text", source="source", weights=WEIGHTS, most=MOST):
-    """``docs`` with a struct column of size, source_size, target and copies; returns it and its name."""
+    """``docs`` with a struct column of size, source_size, target and copies; returns it and its name.
+
+    The texts are read twice: once for their sizes, and once for the result.
+    """
     return _copied(docs, doc_id, words_of(F.col(text)), source_key(F.col(source)), weights, most)
 
 
 def _copied(docs, doc_id, size, key, weights, most):
-    sizes = stage(docs.select(key.alias("key"), size.alias("size")), "sizes")
+    figures = {"size": size, "key": key, "hash": F.xxhash64(F.col(doc_id))}
+    bare = stage(docs.select(
+        F.col(f"`{doc_id}`").alias("id"), *[value.alias(name) for name, value in figures.items()]), "sizes")
+    sizes = bare.select("key", "size")
     solved = tilts(sizes, source_targets(sizes, weights, most), most)
 
     mix = free_name(docs, "mix")
@@ -170,31 +178,84 @@ def _copied(docs, doc_id, size, key, weights, most):
             F.when(F.col("at.size") > 0, rate(F.col("tilt"), F.col("at.size"), F.col("mean"), most))
             .otherwise(F.lit(0)).alias("rate")).alias("at"))
 
-    figures = {"size": size, "key": key, "hash": F.xxhash64(F.col(doc_id))}
-    whole = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        *[value.alias(name) for name, value in figures.items()])
     cell = ["at.key", "at.size_class", "at.hash_class"]
-    bare = docs.select(*[value.alias(name) for name, value in figures.items()])
+
+    def drawn(rows, columns, order):
+        """``rows`` with the running sum of their rates in the cell, and their copies."""
+        within = (Window.partitionBy(*cell).orderBy("at.size", "at.hash", order)
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        summed = placed(rows, columns).withColumn("sum", F.sum("at.rate").over(within))
+        passed = summed.join(
+            cells, (F.col("at.key") == F.col("cell.key"))
+            & (F.col("at.size_class") == F.col("cell.size_class"))
+            & (F.col("at.hash_class") == F.col("cell.hash_class")))
+        to = F.col("before") + F.col("sum") + UNIT // 2
+        copies = F.shiftright(to, 24) - F.shiftright(to - F.col("at.rate"), 24)
+        return passed.select(*columns, "at", "sum", copies.alias("copies"))
+
     sums = placed(bare, []).groupBy(*cell).agg(F.sum("at.rate").alias("rate"))
     before = (Window.partitionBy("key").orderBy("size_class", "hash_class")
               .rowsBetween(Window.unboundedPreceding, -1))
     cells = stage(sums.select(
         F.struct("key", "size_class", "hash_class").alias("cell"),
         F.coalesce(F.sum("rate").over(before), F.lit(0)).alias("before")), "cells")
+    first = stage(drawn(bare, ["id"], F.col("id")).where("at.rate > 0").select(
+        "at.key", "at.size_class", "at.hash_class", "sum", "at.size", "copies"), "drawn")
+    changes = _corrections(first, solved, most)
 
-    within = (Window.partitionBy(*cell).orderBy("at.size", "at.hash", F.col(f"row.`{doc_id}`"))
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    summed = placed(whole, ["row"]).withColumn("sum", F.sum("at.rate").over(within))
-    passed = summed.join(
-        cells, (F.col("at.key") == F.col("cell.key")) & (F.col("at.size_class") == F.col("cell.size_class"))
-        & (F.col("at.hash_class") == F.col("cell.hash_class")))
-    to = F.col("before") + F.col("sum") + UNIT // 2
-    copies = F.shiftright(to, 24) - F.shiftright(to - F.col("at.rate"), 24)
-    return passed.select(
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        *[value.alias(name) for name, value in figures.items()])
+    rows = drawn(whole, ["row"], F.col(f"row.`{doc_id}`"))
+    joined = rows.join(
+        changes, (F.col("at.key") == F.col("c_key")) & (F.col("at.size_class") == F.col("c_size_class"))
+        & (F.col("at.hash_class") == F.col("c_hash_class")) & (F.col("sum") == F.col("c_sum"))
+        & (F.col("at.rate") > 0), "left")
+    copies = F.col("copies") + F.coalesce("change", F.lit(0))
+    return joined.select(
         "row.*", F.struct("at.size", "at.source_size", "at.target", copies.alias("copies")).alias(mix)), mix
 
 
+def _corrections(drawn, solved, most, rounds=CORRECTIONS, close=CLOSE_WORDS):
+    """A staged table of single copies to add or take away, at most ``rounds`` for each source.
+
+    Each round takes, for every source that is not yet near its target, the one document whose size is nearest to
+    what is missing or too much. Only sources of few documents need it. A document is known by its cell and its
+    running sum, which rises with every document that has a rate.
+    """
+    place = ["key", "size_class", "hash_class", "sum"]
+    changes = drawn.sparkSession.createDataFrame(
+        [], "c_key string, c_size_class int, c_hash_class int, c_sum long, change long, c_size long")
+    got = drawn.groupBy("key").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+    got = stage(solved.select("key", "target").join(got, "key", "left").select(
+        "key", "target", F.coalesce("got", F.lit(0)).alias("got")), "got")
+    for _ in range(rounds):
+        added = changes.groupBy(F.col("c_key").alias("key")).agg(
+            F.sum(F.col("change") * F.col("c_size")).alias("added"))
+        off = got.join(added, "key", "left").select(
+            "key", (F.col("target") - F.col("got") - F.coalesce("added", F.lit(0))).alias("gap"), "target")
+        off = off.where(F.abs("gap") > F.lit(close) * F.col("target"))
+        now = drawn.join(off, "key").join(
+            changes.groupBy("c_key", "c_size_class", "c_hash_class", "c_sum").agg(F.sum("change").alias("change")),
+            (F.col("key") == F.col("c_key")) & (F.col("size_class") == F.col("c_size_class"))
+            & (F.col("hash_class") == F.col("c_hash_class")) & (F.col("sum") == F.col("c_sum")), "left")
+        copies = F.col("copies") + F.coalesce("change", F.lit(0))
+        able = F.when(F.col("gap") > 0, copies < most).otherwise(copies > 0)
+        left = F.abs(F.abs("gap") - F.col("size"))
+        best = now.where(able & (left < F.abs("gap"))).groupBy("key").agg(F.min(F.struct(
+            left.alias("left"), "size_class", "hash_class", "sum", "size",
+            F.signum("gap").cast("long").alias("sign"))).alias("best"))
+        new = best.select(
+            F.col("key").alias("c_key"), F.col("best.size_class").alias("c_size_class"),
+            F.col("best.hash_class").alias("c_hash_class"), F.col("best.sum").alias("c_sum"),
+            F.col("best.sign").alias("change"), F.col("best.size").alias("c_size"))
+        size = changes.count()
+        changes = stage(changes.unionByName(new), "changes")
+        if changes.count() == size:
+            break
+    return changes.groupBy("c_key", "c_size_class", "c_hash_class", "c_sum").agg(F.sum("change").alias("change"))
+
+
 def mix_report(docs, doc_id="doc_id", text="text", source="source", weights=WEIGHTS, most=MOST):
     """One row per document: doc_id, size, source_size, target, taken, copies."""
     slim = stage(docs.select(
