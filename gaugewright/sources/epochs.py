@@ -94,7 +94,10 @@ def generations(spark, path):
 
 
 def open_log(spark, path):
-    """The log's present state. A folder that holds something else is an error, not empty."""
+    """The log's present state. A folder that is missing, or holds something else, is an error."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        raise FileNotFoundError(f"there is no log of epochs at {path}")
     names = [n for n in folder_names(spark, path) if not n.startswith(("_", "."))]
     odd = [n for n in names if not n.startswith(("run=", "generation="))]
     if odd:

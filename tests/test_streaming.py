@@ -340,7 +340,8 @@ def test_a_folder_that_is_no_history_is_an_error(spark, place):
     with pytest.raises(ValueError, match="ingest_date"):
         read_history(spark, target, MEASUREMENTS)
     assert read_dated(spark, target, MEASUREMENTS).count() == 1
-    assert read_history(spark, str(place.path / "nothing"), MEASUREMENTS).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_history(spark, str(place.path / "nothing"), MEASUREMENTS)
 
 
 def test_a_batch_is_written_as_one_file_per_date(spark, tmp_path):
