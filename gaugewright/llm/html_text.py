@@ -19,6 +19,7 @@ allowed. Repeated rows are extracted alike, each by itself. No page is cut short
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -116,35 +117,34 @@ def blocks(html):
 
     digest = xxhash.xxh3_64_intdigest
     stack = [("", 0, UNKNOWN, False)]  # tag, node, weight, soft
-    counts = {}
+    open_tags, in_link = Counter(), 0
     out, parts, links = [], [], 0
-    in_link = 0
+    owner = None  # node and weight of the block that the parts belong to
     at, n = 0, len(html)
 
     def flush():
-        nonlocal links
-        if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                out.append((stack[-1][1] if not owner else owner[0], stack[-1][2] if not owner else owner[1], text, links))
-            parts.clear()
-            owner.clear()
-        links = 0
-
-    owner = []  # node and weight of the block that the parts belong to
-
-    def add(text, joined=False):
-        nonlocal links
-        if not joined:
-            text = unescape(text) if "&" in text else text
+        nonlocal links, owner
+        text = " ".join("".join(parts).split())
+        if text:
+            out.append((*owner, text, links))
+        parts.clear()
+        links, owner = 0, None
+
+    def add(text):
+        nonlocal links, owner
         weight = stack[-1][2]
         if owner and owner[1] != weight:  # an inline element of another weight is a branch of its own
             flush()
         if not owner:
-            for tag, node, w, _ in reversed(stack):
-                if w != weight or tag in BLOCKS or not tag:
+            # The innermost block; or, within it, the outermost inline element of this weight.
+            node = stack[-1][1]
+            for tag, outer, outer_weight, _ in reversed(stack):
+                if outer_weight != weight:
                     break
-            owner.extend((stack[-1][1] if w != weight else node, weight))
+                node = outer
+                if tag in BLOCKS:
+                    break
+            owner = (node, weight)
         parts.append(text)
         if in_link:
             links += len(text)
@@ -153,11 +153,11 @@ def blocks(html):
         nonlocal in_link
         while len(stack) > depth:
             tag = stack.pop()[0]
-            counts[tag] -= 1
-            if tag == "a":
-                in_link -= 1
+            open_tags[tag] -= 1
+            in_link -= tag == "a"
 
-    def close(tags, barriers):
+    def close(tags, barriers=frozenset()):
+        """Close the innermost of ``tags`` and all in it, unless a barrier is nearer."""
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth][0] in tags:
                 pop_to(depth)
@@ -167,55 +167,39 @@ def blocks(html):
 
     while at < n:
         found = _TAG.search(html, at)
+        text = html[at:found.start() if found else n]
+        if text:
+            add(unescape(text) if "&" in text else text)
         if not found:
-            add(html[at:])
             break
-        if found.start() > at:
-            add(html[at:found.start()])
         at = found.end()
-        tag = found[2] or found[5]
-        if not tag:
-            if found[0].startswith("<![CDATA["):
-                continue
+        tag = (found[2] or found[5] or "").lower()
+        if not tag:  # a comment, CDATA, or a declaration
             continue
-        tag = tag.lower()
         if tag in BLOCKS:
             flush()
         if found[1] or found[4]:
-            if counts.get(tag):
-                if tag not in BLOCKS:  # an inline end tag closes nothing beyond its block
-                    close({tag}, BLOCKS)
-                else:
-                    for depth in range(len(stack) - 1, 0, -1):
-                        if stack[depth][0] == tag:
-                            pop_to(depth)
-                            break
-            continue
-        if tag == "br" or tag == "wbr":
-            if tag == "br" and parts:
-                add(" ", True)
-            continue
-        if tag in VOID:
-            continue
-        if tag in RAW:
+            if open_tags[tag]:
+                # An inline end tag closes nothing beyond its block.
+                close({tag}, frozenset() if tag in BLOCKS else BLOCKS)
+        elif tag == "br":
+            if parts:
+                parts.append(" ")
+        elif tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
-            if not end:
-                at = n
-                continue
-            close_at = html.find(">", end.end())
+            close_at = html.find(">", end.end()) if end else -1
             at = close_at + 1 if close_at >= 0 else n
-            continue
-        if tag in CLOSES:
-            close(*CLOSES[tag])
-        elif tag in BLOCKS and counts.get("p"):
-            close({"p"}, HOLDS_P)
-        _, node, weight, soft = stack[-1]
-        signature, words, hidden = _presentation(tag, found[3] or found[6])
-        weight, soft = _judged(tag, words, hidden, weight, soft)
-        stack.append((tag, digest(f"{node:x}/{signature}") >> 1, weight, soft))
-        counts[tag] = counts.get(tag, 0) + 1
-        if tag == "a":
-            in_link += 1
+        elif tag not in VOID:
+            if tag in CLOSES:
+                close(*CLOSES[tag])
+            elif tag in BLOCKS and open_tags["p"]:
+                close({"p"}, HOLDS_P)
+            _, node, weight, soft = stack[-1]
+            signature, words, hidden = _presentation(tag, found[3] or found[6])
+            weight, soft = _judged(tag, words, hidden, weight, soft)
+            stack.append((tag, digest(f"{node:x}/{signature}") >> 1, weight, soft))
+            open_tags[tag] += 1
+            in_link += tag == "a"
     flush()
     return out
 
