@@ -1,10 +1,9 @@
 """SimHash near-dedup by covering locality-sensitive hashing.
 
-Each bit of a fingerprint gets a vector of radius + 1 bits. For every non-zero vector v there is a
-table. The vectors of at most
-``radius`` differing bits do not span the space, so some v is orthogonal to all of them; the mask
-of the table keeps the bits whose vector is not orthogonal to v, hence none of those that differ, and
-the pair meets there. No pair is missed.
+Each bit of a fingerprint gets a vector of radius + 1 bits, and each non-zero vector v of that length a table. The
+table's mask keeps the bits whose vector is not orthogonal to v (mod 2). The vectors of at most ``radius`` differing bits
+do not span the space, so some v is orthogonal to all of them; its mask keeps none of these bits, and the pair meets
+in its table. No pair is missed.
 
 Only distinct fingerprints enter the tables. Within a bucket a breadth-first search compares
 fingerprints in blocks and gives one link for each fingerprint it reaches, so a bucket of n gives
