@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gaugewright.llm.common import free_name, stage, words_of
+from gaugewright.operators.joins import same_key
 
 WEIGHTS = (1, 2, 3)  # repeated over the sources in order
 MOST = 3             # copies of a document, and target over size of a source
@@ -193,12 +194,22 @@ def _copied(docs, doc_id, size, key, weights, most):
         copies = F.shiftright(to, 24) - F.shiftright(to - F.col("at.rate"), 24)
         return passed.select(*columns, "at", "sum", copies.alias("copies"))
 
-    sums = placed(bare, []).groupBy(*cell).agg(F.sum("at.rate").alias("rate"))
-    before = (Window.partitionBy("key").orderBy("size_class", "hash_class")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    cells = stage(sums.select(
+    sums = stage(placed(bare, []).groupBy(*cell).agg(F.sum("at.rate").alias("rate")), "cell_rates")
+
+    def rising(*keys, by):
+        return Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+
+    # Before a cell come the smaller size classes of its source, and the hash classes before it in its own:
+    # some hundred rows to a window, however large the source.
+    sizes_before = sums.groupBy("key", "size_class").agg(F.sum("rate").alias("rate")).select(
+        F.col("key").alias("s_key"), F.col("size_class").alias("s_size_class"),
+        F.coalesce(F.sum("rate").over(rising("key", by="size_class")), F.lit(0)).alias("smaller"))
+    in_class = F.coalesce(F.sum("rate").over(rising("key", "size_class", by="hash_class")), F.lit(0))
+    cells = stage(sums.withColumn("before", in_class).join(
+        sizes_before, (F.col("key") == F.col("s_key")) & (F.col("size_class") == F.col("s_size_class"))
+    ).select(
         F.struct("key", "size_class", "hash_class").alias("cell"),
-        F.coalesce(F.sum("rate").over(before), F.lit(0)).alias("before")), "cells")
+        (F.col("before") + F.col("smaller")).alias("before")), "cells")
     first = stage(drawn(bare, ["id"], F.col("id")).where("at.rate > 0").select(
         "at.key", "at.size_class", "at.hash_class", "sum", "at.size", "copies"), "drawn")
     changes = _corrections(first, solved, most)
@@ -223,9 +234,10 @@ def _corrections(drawn, solved, most, rounds=CORRECTIONS, close=CLOSE_WORDS):
     what is missing or too much. Only sources of few documents need it. A document is known by its cell and its
     running sum, which rises with every document that has a rate.
     """
-    place = ["key", "size_class", "hash_class", "sum"]
-    changes = drawn.sparkSession.createDataFrame(
-        [], "c_key string, c_size_class int, c_hash_class int, c_sum long, change long, c_size long")
+    changes = drawn.where("false").select(
+        F.col("key").alias("c_key"), F.col("size_class").alias("c_size_class"),
+        F.col("hash_class").alias("c_hash_class"), F.col("sum").alias("c_sum"),
+        F.col("copies").alias("change"), F.col("size").alias("c_size"))
     got = drawn.groupBy("key").agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
     got = stage(solved.select("key", "target").join(got, "key", "left").select(
         "key", "target", F.coalesce("got", F.lit(0)).alias("got")), "got")
@@ -234,8 +246,11 @@ def _corrections(drawn, solved, most, rounds=CORRECTIONS, close=CLOSE_WORDS):
             F.sum(F.col("change") * F.col("c_size")).alias("added"))
         off = got.join(added, "key", "left").select(
             "key", (F.col("target") - F.col("got") - F.coalesce("added", F.lit(0))).alias("gap"), "target")
-        off = off.where(F.abs("gap") > F.lit(close) * F.col("target"))
-        now = drawn.join(off, "key").join(
+        # Stored, it is broadcast where it is small; else a hot source is split, as both sides are dealt out anew.
+        off = stage(off.where(F.abs("gap") > F.lit(close) * F.col("target")).withColumnRenamed("key", "off_key"), "off")
+        if off.isEmpty():
+            break
+        now = drawn.join(off, same_key(F.col("key"), F.col("off_key"))).join(
             changes.groupBy("c_key", "c_size_class", "c_hash_class", "c_sum").agg(F.sum("change").alias("change")),
             (F.col("key") == F.col("c_key")) & (F.col("size_class") == F.col("c_size_class"))
             & (F.col("hash_class") == F.col("c_hash_class")) & (F.col("sum") == F.col("c_sum")), "left")
