@@ -381,10 +381,14 @@ def repeated_spans(texts, length=LENGTH, gram=GRAM, large=LARGE):
     """A staged table (t1, t2, spans) of the repeated byte ranges of ``texts`` (t1, t2, text)."""
     anchors = stage(map_batches(texts.select("t1", "t2", "text"), _anchors(length, gram), ANCHORS), "anchors")
     twice = anchors.groupBy(F.col("hash").alias("again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stage(anchors.join(twice, same_key(F.col("hash"), F.col("again")), "left_semi"), "shared")
+    # Copies of a text give the same runs: one row with their number, summed in the tasks first. Dealt out by
+    # text and place, the runs of a frequent class come from all files, and its join can be split.
+    shared = stage(
+        anchors.join(twice, same_key(F.col("hash"), F.col("again")), "left_semi")
+        .groupBy("t1", "t2", "s", "e", "off", "hash", "c1", "c2").agg(F.count(F.lit(1)).alias("copies")), "shared")
     classes = stage(
         shared.groupBy("hash", "c1", "c2").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("t1", "t2", "s", "e", "off")).alias("run")), "classes")
+            F.sum("copies").alias("n"), F.min(F.struct("t1", "t2", "s", "e", "off")).alias("run")), "classes")
     whole = shared.join(classes.where("n > 1").select("hash", "c1", "c2"), ["hash", "c1", "c2"], "left_semi")
     whole = whole.select("t1", "t2", F.col("s").alias("a"), (F.col("e") + length).cast("int").alias("b"))
 
