@@ -11,9 +11,12 @@ The tree is made in one pass over all pages, counted with partial sums per (host
 with a third of the pages is spread over all tasks. Only nodes that deviate from what their
 presentation says come back to the pages, as one row per host.
 
+A host's pages count once for each different content: pages that show the same blocks outside named furniture are
+copies, whatever their scripts and adverts, and make nothing a template.
+
 Defined cases: NULL html gives an empty text. A NULL or odd url has no host, and its page is judged by
 presentation alone, as are nodes of fewer than ``MIN_PAGES`` pages. Unclosed, crossed and unknown tags are
-allowed. Repeated rows are extracted alike, each by itself. No page is cut short.
+allowed. Repeated rows are extracted alike, each by itself, and are one page of their host. No page is cut short.
 """
 
 from __future__ import annotations
@@ -215,7 +218,7 @@ def page_text(html, low=frozenset(), high=frozenset()):
     kept = []
     for node, weight, text, links in blocks(html or ""):
         alone = importance(weight, 1.0, links / max(1, len(text)) if weight == UNKNOWN else 0.0)
-        if node in high or node not in low and alone >= LEAST_IMPORTANCE:
+        if weight == UNKNOWN and node in high or node not in low and alone >= LEAST_IMPORTANCE:
             kept.append(text)
     return "\n".join(kept)
 
@@ -226,39 +229,53 @@ def host_of(url):
     return F.coalesce(found, F.lit(""))
 
 
+def _page_digest(found):
+    """Equal for pages that have the same blocks, named furniture aside."""
+    import xxhash
+
+    seen = xxhash.xxh3_64()
+    for node, weight, text, links in found:
+        if weight != FURNITURE:
+            seen.update(f"{node:x} {links} {text}\n")
+    return seen.intdigest() >> 1
+
+
 def style_nodes(pages, url="url", html="html"):
-    """One row per host and node of at least ``MIN_PAGES`` pages: host, node, weight, entropy, link_share, importance."""
+    """One row per host and node of at least ``MIN_PAGES`` different pages: host, node, pages, weight, entropy,
+    link_share, importance."""
     import xxhash
 
     def rows(batches):
         for batch in batches:
-            hosts, out = batch.column(0).to_pylist(), [[], [], [], [], [], []]
-            for host, page in zip(hosts, batch.column(1).to_pylist()):
+            hosts, out = batch.column(0).to_pylist(), [[], [], [], [], [], [], []]
+            for host, html in zip(hosts, batch.column(1).to_pylist()):
+                found = blocks(html or "")
+                page = _page_digest(found)
                 nodes = {}
-                for node, weight, text, links in blocks(page or ""):
+                for node, weight, text, links in found:
                     seen = nodes.setdefault(node, [weight, xxhash.xxh3_64(), 0, 0])
                     seen[1].update(text)
                     seen[1].update("\n")
                     seen[2] += len(text)
                     seen[3] += links
                 for node, (weight, content, chars, links) in nodes.items():
-                    row = (host, node, weight, content.intdigest() >> 1, chars, links)
+                    row = (host, page, node, weight, content.intdigest() >> 1, chars, links)
                     for column, value in zip(out, row):
                         column.append(value)
-            kinds = [pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)], ["host", "node", "weight", "content", "chars", "links"])
+                [pa.array(c, k) for c, k in zip(out, kinds)],
+                ["host", "page", "node", "weight", "content", "chars", "links"])
 
     found = map_batches(
         pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("host <> ''"), rows,
-        "host string, node long, weight double, content long, chars long, links long")
-    contents = found.groupBy("host", "node", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.first("weight").alias("weight"),
-        F.sum("chars").alias("chars"), F.sum("links").alias("links"))
+        "host string, page long, node long, weight double, content long, chars long, links long").distinct()
+    # The weight is a key, so that a filter on it comes before the shuffles.
+    contents = found.groupBy("host", "node", "weight", "content").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
     n = F.sum("n")
-    nodes = contents.groupBy("host", "node").agg(
-        n.alias("pages"), F.first("weight").alias("weight"),
-        (F.sum("links") / F.greatest(F.sum("chars"), F.lit(1))).alias("link_share"),
+    nodes = contents.groupBy("host", "node", "weight").agg(
+        n.alias("pages"), (F.sum("links") / F.greatest(F.sum("chars"), F.lit(1))).alias("link_share"),
         (F.log(n) - F.sum(F.col("n") * F.log("n")) / n).alias("nats")).where(F.col("pages") >= MIN_PAGES)
     entropy = F.greatest(F.col("nats") / F.log("pages"), F.lit(0.0))
     presented = F.when(F.col("weight") == UNKNOWN, F.col("weight") * (1 - F.col("link_share"))).otherwise(F.col("weight"))

@@ -81,6 +81,23 @@ def test_copies_on_one_host_keep_their_article(spark):
     assert {r["text"] for r in main_text(frame(spark, rows)).collect()} == {"The same article."}
 
 
+@pytest.mark.parametrize("copies, unique", [(5, 0), (50, 0), (70, 30), (50, 4), (4, 0)])
+def test_copies_without_telling_names_are_one_page(spark, copies, unique):
+    def page(i, nonce=0):
+        return (f"<body><nav>menu {nonce}</nav><script>n={nonce}</script><div class=alpha>Welcome to the site</div>"
+                f"<div class=beta><p>Story {i} tells of {i * 7}.</p></div></body>")
+
+    url = "http://copies.example.org/"
+    rows = [(i, f"{url}{i}", page(0, i % 3)) for i in range(copies)]
+    rows += [(1000 + i, f"{url}{i}", page(i)) for i in range(1, unique + 1)]
+    df = frame(spark, rows).repartition(3)
+    got = {r["page_id"]: r["text"] for r in main_text(df).collect()}
+    welcome = "" if unique >= 4 else "Welcome to the site\n"
+    assert got == {p: f"{welcome}Story {max(0, p - 1000)} tells of {max(0, p - 1000) * 7}." for p, _, _ in rows}
+    pages = {r["pages"] for r in style_nodes(df).where("weight = 0.5").collect()}
+    assert pages == ({unique + 1} if unique >= 4 else set())
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_query_equals_the_articles(spark, sf):
     """The pages of the test tables have one article element each, of h1 and p blocks."""
