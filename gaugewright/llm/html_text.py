@@ -7,6 +7,11 @@ furniture by name (menus, footers, adverts, comments, ...) stays low, an article
 name is kept if its content differs from page to page and dropped if it is the host's template.
 Branches of low importance leave each page; the blocks that remain are its text.
 
+The tree judges named nodes too. An article in an element that is furniture by its class or id only (a wrapper such
+as ``content-sidebar-wrap``) is kept if it differs from page to page, has few links, and is longer than what else its
+page has for an article; where no tree judges it, if it is most of its page's text. A block in an article that is
+the same on ``MANY_PAGES`` or more different articles of a host is removed, unless most of a page's article would go.
+
 The tree is made in one pass over all pages, counted with partial sums per (host, node, content), so one host
 with a third of the pages is spread over all tasks. Only nodes that deviate from what their
 presentation says come back to the pages, as one row per host.
@@ -33,7 +38,9 @@ from gaugewright.llm.common import map_batches, stage
 MIN_PAGES = 5
 PRESENTATION_WEIGHT = 0.7
 LEAST_IMPORTANCE = 0.5
-FURNITURE, UNKNOWN, CONTENT = 0.0, 0.5, 1.0
+MANY_PAGES = 20      # different articles of a host before a block in them can be template
+LEAST_ENTROPY = 0.1  # below it, it is
+FURNITURE, WRAPPED, UNKNOWN, CONTENT = 0.0, 0.4, 0.5, 1.0
 
 # Names of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,6 +73,9 @@ FURNITURE_WORDS = frozenset(
 HEADER_WORDS = frozenset("header masthead".split())
 CONTENT_WORDS = frozenset("article content main post entry story text body prose richtext".split())
 COMMENT_WORDS = frozenset("comment comments reply replies".split())
+# An article within these is another's: a reader's, or a teaser. Within other furniture words it may be the page's.
+FOREIGN_WORDS = COMMENT_WORDS | frozenset(
+    "commentlist discussion disqus replies respond related recommended recommendations outbrain taboola".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
@@ -91,22 +101,29 @@ def _presentation(tag, attributes):
 
 
 def _judged(tag, words, hidden, weight, soft):
-    """The presentation's weight of an element in a parent of ``weight``; and whether furniture is soft."""
+    """The presentation's weight of an element in a parent of ``weight``; and what kind of article could still be in
+    furniture: CONTENT in soft tags, WRAPPED in an element that is furniture by its words only, or False."""
     if tag in ("html", "body"):
         return weight, soft
     if hidden:
         return FURNITURE, False
+    if weight == FURNITURE and soft == WRAPPED:
+        if words & FOREIGN_WORDS or tag in FURNITURE_TAGS - SOFT_TAGS:
+            return FURNITURE, False
+        return (WRAPPED, False) if tag in ("main", "article") else (FURNITURE, WRAPPED)
     if weight == FURNITURE and not (soft and (tag in ("main", "article") or "main" in words)):
         return FURNITURE, soft
     if tag in ("main", "article"):
-        return (FURNITURE, False) if words & COMMENT_WORDS else (CONTENT, False)
-    inside = weight == CONTENT
+        if words & COMMENT_WORDS:
+            return FURNITURE, False
+        return (WRAPPED if weight == WRAPPED else CONTENT), False
+    inside = weight in (CONTENT, WRAPPED)
     if tag in FURNITURE_TAGS and not (inside and tag == "header"):
-        return FURNITURE, tag in SOFT_TAGS
+        return FURNITURE, CONTENT if tag in SOFT_TAGS else False
     furniture = words & FURNITURE_WORDS
     if furniture and not (inside and furniture <= HEADER_WORDS):
-        return FURNITURE, False
-    if words & CONTENT_WORDS and weight != FURNITURE:
+        return FURNITURE, False if inside or weight == FURNITURE or words & FOREIGN_WORDS else WRAPPED
+    if words & CONTENT_WORDS and weight != FURNITURE and not inside:
         return CONTENT, False
     return weight, soft
 
@@ -209,16 +226,26 @@ def blocks(html):
 
 def importance(weight, entropy, link_share):
     """Importance of a node from its presentation, the entropy of its contents (0 to 1) and its links."""
-    presented = weight * (1 - link_share) if weight == UNKNOWN else weight
+    presented = weight * (1 - link_share) if weight in (WRAPPED, UNKNOWN) else weight
     return PRESENTATION_WEIGHT * presented + (1 - PRESENTATION_WEIGHT) * entropy
 
 
 def page_text(html, low=frozenset(), high=frozenset()):
     """The main text: ``low`` and ``high`` are the nodes that the host's tree judges otherwise than alone."""
-    kept = []
-    for node, weight, text, links in blocks(html or ""):
-        alone = importance(weight, 1.0, links / max(1, len(text)) if weight == UNKNOWN else 0.0)
-        if weight == UNKNOWN and node in high or node not in low and alone >= LEAST_IMPORTANCE:
+    found, chars, kept = blocks(html or ""), Counter(), []
+    for _, weight, text, _ in found:
+        chars[weight] += len(text)
+    template = sum(len(text) for node, weight, text, _ in found if weight == CONTENT and node in low)
+    for node, weight, text, links in found:
+        alone = importance(weight, 1.0, links / len(text)) >= LEAST_IMPORTANCE
+        if weight == CONTENT:
+            keep = node not in low or 2 * template > chars[CONTENT]
+        elif weight == WRAPPED:
+            alone = alone and chars[WRAPPED] > chars[CONTENT] + chars[UNKNOWN]
+            keep = chars[WRAPPED] > chars[CONTENT] and (node in high or node not in low and alone)
+        else:
+            keep = weight == UNKNOWN and (node in high or node not in low and alone)
+        if keep:
             kept.append(text)
     return "\n".join(kept)
 
@@ -229,15 +256,20 @@ def host_of(url):
     return F.coalesce(found, F.lit(""))
 
 
-def _page_digest(found):
-    """Equal for pages that have the same blocks, named furniture aside."""
+def _page_digests(found):
+    """For each weight a digest that is equal for pages alike in what matters to it: articles go by their own
+    blocks, so that what changes around one makes no other article of it; the rest by all blocks but furniture."""
     import xxhash
 
-    seen = xxhash.xxh3_64()
+    page, article = xxhash.xxh3_64(), xxhash.xxh3_64()
     for node, weight, text, links in found:
         if weight != FURNITURE:
-            seen.update(f"{node:x} {links} {text}\n")
-    return seen.intdigest() >> 1
+            block = f"{node:x} {links} {text}\n"
+            page.update(block)
+            if weight == CONTENT:
+                article.update(block)
+    page, article = page.intdigest() >> 1, article.intdigest() >> 1
+    return {FURNITURE: page, UNKNOWN: page, WRAPPED: page, CONTENT: article}
 
 
 def style_nodes(pages, url="url", html="html"):
@@ -250,7 +282,7 @@ def style_nodes(pages, url="url", html="html"):
             hosts, out = batch.column(0).to_pylist(), [[], [], [], [], [], [], []]
             for host, html in zip(hosts, batch.column(1).to_pylist()):
                 found = blocks(html or "")
-                page = _page_digest(found)
+                pages = _page_digests(found)
                 nodes = {}
                 for node, weight, text, links in found:
                     seen = nodes.setdefault(node, [weight, xxhash.xxh3_64(), 0, 0])
@@ -259,7 +291,7 @@ def style_nodes(pages, url="url", html="html"):
                     seen[2] += len(text)
                     seen[3] += links
                 for node, (weight, content, chars, links) in nodes.items():
-                    row = (host, page, node, weight, content.intdigest() >> 1, chars, links)
+                    row = (host, pages[weight], node, weight, content.intdigest() >> 1, chars, links)
                     for column, value in zip(out, row):
                         column.append(value)
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
@@ -278,16 +310,20 @@ def style_nodes(pages, url="url", html="html"):
         n.alias("pages"), (F.sum("links") / F.greatest(F.sum("chars"), F.lit(1))).alias("link_share"),
         (F.log(n) - F.sum(F.col("n") * F.log("n")) / n).alias("nats")).where(F.col("pages") >= MIN_PAGES)
     entropy = F.greatest(F.col("nats") / F.log("pages"), F.lit(0.0))
-    presented = F.when(F.col("weight") == UNKNOWN, F.col("weight") * (1 - F.col("link_share"))).otherwise(F.col("weight"))
+    presented = F.when(F.col("weight").isin(WRAPPED, UNKNOWN), F.col("weight") * (1 - F.col("link_share"))).otherwise(F.col("weight"))
     return nodes.select("host", "node", "pages", "weight", "link_share", entropy.alias("entropy")).withColumn(
         "importance", PRESENTATION_WEIGHT * presented + (1 - PRESENTATION_WEIGHT) * F.col("entropy"))
 
 
 def site_trees(pages, url="url", html="html"):
     """A staged table (tree_host, low, high): for each host the nodes whose verdict is not that of their presentation
-    alone, to be removed and to be kept. Named furniture and articles never are, so most rows are short."""
-    nodes = style_nodes(pages, url, html).where(F.col("weight") == UNKNOWN)
-    node, keeps = F.col("node"), F.col("importance") >= LEAST_IMPORTANCE
+    alone, to be removed and to be kept. Named furniture outside an article never is, and of articles only blocks
+    that are the same nearly everywhere, so most rows are short."""
+    nodes = style_nodes(pages, url, html).where(F.col("weight") != FURNITURE)
+    template = (F.col("pages") >= MANY_PAGES) & (F.col("entropy") < LEAST_ENTROPY)
+    node, named = F.col("node"), F.col("weight") == CONTENT
+    nodes = nodes.where(~named | template)
+    keeps = ~named & (F.col("importance") >= LEAST_IMPORTANCE)
     return stage(nodes.groupBy(F.col("host").alias("tree_host")).agg(
         F.collect_list(F.when(~keeps, node)).alias("low"), F.collect_list(F.when(keeps, node)).alias("high")), "trees")
 

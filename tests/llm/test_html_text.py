@@ -98,6 +98,45 @@ def test_copies_without_telling_names_are_one_page(spark, copies, unique):
     assert pages == ({unique + 1} if unique >= 4 else set())
 
 
+def test_the_host_rescues_articles_in_wrappers_named_like_furniture(spark):
+    def page(i, wrapper):
+        return (f"<body><div {wrapper}><div class=toc>Contents of this site</div><article><p>Story {i} tells of {i * 7}."
+                f"</p><div class=ad>Buy {i}</div></article><aside><article>Teaser {i}</article></aside>"
+                f"<div class=comments><article>Rude {i}, and at some length, as they are</article></div></div></body>")
+
+    wrappers = ["class=content-sidebar-wrap", "id='page-with-sidebar'", "class='has-menu x'"]
+    rows = [(100 * w + i, f"http://h{w}.example.org/{i}", page(i, wrapper))
+            for w, wrapper in enumerate(wrappers) for i in range(8)]
+    rows += [(900, "http://lone.example.org/", page(0, wrappers[0]))]
+    # The article of these pages is elsewhere, or what is in the wrapper is the same everywhere, or links.
+    rows += [(1000 + i, f"http://main.example.org/{i}", f"<main>Story number {i}</main><div class=promo><article>Buy {i}</article></div>")
+             for i in range(8)]
+    rows += [(2000 + i, f"http://same.example.org/{i}", f"<p>Story {i}</p><div class=sidebar><article>Our most read story</article></div>")
+             for i in range(8)]
+    rows += [(3000 + i, f"http://link.example.org/{i}", f"<p>Story {i}</p><div class=sidebar><article><a href=x>Read now {i}</a></article></div>")
+             for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in main_text(frame(spark, rows)).collect()}
+    for p, text in got.items():
+        i = p % 100
+        assert text == (f"Story {i} tells of {i * 7}." if p < 1000 else f"Story number {i}" if p < 2000 else f"Story {i}")
+
+
+def test_what_is_the_same_in_many_articles_of_a_host_is_removed(spark):
+    def page(i, views=0, side=0):
+        return (f"<body><article><div class=box>Support this site</div><h1>Story {i}</h1><p>It tells of {i * 7}, and of "
+                f"{i * 11}.</p><span class=views>{views}</span></article><div class=beta>{side}</div></body>")
+
+    rows = [(i, f"http://many.example.org/{i}", page(i)) for i in range(30)]
+    rows += [(100 + i, f"http://few.example.org/{i}", page(i)) for i in range(8)]
+    rows += [(200 + i, f"http://copies.example.org/{i}", page(0, 0, i)) for i in range(30)]    # one article
+    rows += [(300 + i, f"http://counted.example.org/{i}", page(0, i)) for i in range(30)]      # all but one
+    got = {r["page_id"]: r["text"].split("\n") for r in main_text(frame(spark, rows)).collect()}
+    for p, lines in got.items():
+        i = p % 100 if p < 200 else 0
+        story = [f"Story {i}", f"It tells of {i * 7}, and of {i * 11}."]
+        assert lines[:3] == ["Support this site", *story] if p >= 100 else lines[:2] == story
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_query_equals_the_articles(spark, sf):
     """The pages of the test tables have one article element each, of h1 and p blocks."""
