@@ -6,8 +6,9 @@ likelihood of spliced sequences (stretches of documents of different languages)
 forward-backward gradients. Prediction runs forward-backward over all words of a text; the text's
 language is the one with the largest sum of word posteriors, the score its mean posterior.
 
-The model is fitted on the driver on a bounded sample: about ``TRAIN_DOCUMENTS`` labelled texts, of each at most
-``TRAIN_CHARS`` characters from the middle. Its size is bounded by ``MOST_FEATURES`` times the number of languages, and it
+The model is fitted on the driver on a bounded sample: ``TRAIN_DOCUMENTS`` different labelled texts in even shares by
+language, or ``LEAST_OF_LANGUAGE`` of each if that is more, of each at most ``TRAIN_CHARS`` characters from the middle.
+So a rare language is learned as well as its texts allow. The model's size is bounded by ``MOST_FEATURES`` times the number of languages, and it
 is broadcast. Prediction is one pass without a shuffle over whole texts.
 
 Defined cases: a text that is NULL or has no letter is ``und`` with score 0, as are all texts if there is nothing to
@@ -31,6 +32,8 @@ from gaugewright.llm.common import map_batches
 
 TRAIN_DOCUMENTS = 3000
 TRAIN_CHARS = 1200
+LEAST_OF_LANGUAGE = 200  # texts of each language, if it has them, however many languages there are
+RANGE = 1 << 40          # of the hashes that draw them
 MOST_FEATURES = 60_000
 LEXICON = 20_000        # words of the training sample that are features of their own
 LEAST_COUNT = 3         # times a feature must occur in it
@@ -276,16 +279,44 @@ class Tagger:
         return out
 
 
-def training_sample(docs, text="text", lang="lang", most=TRAIN_DOCUMENTS, chars=TRAIN_CHARS):
-    """At most ``1.5 * most`` (text, language) pairs, chosen by a hash of the text."""
-    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(
-        F.col("text").isNotNull() & F.col("lang").isNotNull())
-    share = min(1.0, most / max(1, labelled.count()))
+def quotas(counts, most, least):
+    """How many of each language's ``counts`` texts to take: even shares of ``most``, what a language lacks going to the
+    others, and at least ``least``."""
+    out, left, open_ = {}, most, len(counts)
+    for lang, n in sorted(counts.items(), key=lambda x: (x[1], x[0])):
+        out[lang] = min(n, max(least, left // open_))
+        left, open_ = max(0, left - out[lang]), open_ - 1
+    return out
+
+
+def training_sample(docs, text="text", lang="lang", most=TRAIN_DOCUMENTS, chars=TRAIN_CHARS, least=LEAST_OF_LANGUAGE):
+    """(text, language) pairs: of each language the different texts of smallest hash, by ``quotas``.
+
+    At most ``max(most, least * languages)`` pairs. A text's copies count once, so neither they nor the order of
+    files change the sample. Only hashes are shuffled, and the texts that are drawn.
+    """
+    digest = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(RANGE))
     half = F.greatest(F.lit(0), ((F.length("text") - chars) / 2).cast("int"))
-    chosen = labelled.where(
-        F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
-    return [tuple(r) for r in chosen.select(F.substring("text", half + 1, F.lit(chars)), "lang")
-            .limit(int(1.5 * most)).collect()]
+    labelled = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(
+        F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
+        "lang", digest.alias("digest"), F.substring("text", half + 1, F.lit(chars)).alias("part"))
+    counts = {r["lang"]: r["count"] for r in labelled.select("lang", "digest").distinct().groupBy("lang").count().collect()}
+    if not counts:
+        return []
+    takes = quotas(counts, most, least)
+    # Hashes spread evenly: below this bound are the quota's smallest, and a few more that the driver drops.
+    bounds = [(name, RANGE if n == counts[name] else min(RANGE, int((n + 6 * n ** 0.5 + 6) / counts[name] * RANGE)))
+              for name, n in takes.items()]
+    bounds = docs.sparkSession.createDataFrame(bounds, "bound_lang string, bound long")
+    drawn = (
+        labelled.join(F.broadcast(bounds), (F.col("lang") == F.col("bound_lang")) & (F.col("digest") < F.col("bound")))
+        .groupBy("lang", "digest").agg(F.min("part").alias("part")).collect())
+    out, taken = [], Counter()
+    for row in sorted(drawn):
+        if taken[row["lang"]] < takes[row["lang"]]:
+            taken[row["lang"]] += 1
+            out.append((row["part"], row["lang"]))
+    return out
 
 
 _taggers = {}

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from gaugewright.llm.language import Tagger, fit, forward_backward, languages, predict, spliced
+from gaugewright.llm.language import Tagger, fit, forward_backward, languages, predict, quotas, spliced, training_sample
 from gaugewright.llm.queries import op6_language
 from tests.llm.rows import AWKWARD, documents
 
@@ -96,6 +96,28 @@ def test_awkward_rows(spark, model):
     assert fit([("12 34", "en")]) is None
 
 
+def test_quotas():
+    assert quotas({"a": 5000, "b": 7, "c": 5000}, 3000, 200) == {"a": 1496, "b": 7, "c": 1497}
+    assert quotas({str(i): 1000 for i in range(50)}, 3000, 200) == {str(i): 200 for i in range(50)}
+    assert quotas({"a": 3}, 3000, 200) == {"a": 3} and quotas({}, 3000, 200) == {}
+
+
+def test_copies_and_rare_languages_in_the_sample(spark):
+    chance = random.Random(8)
+    rows = [(i, some_text(chance, "en"), "en") for i in range(3000)]
+    rows += [(i, some_text(chance, "de"), "de") for i in range(20)]
+    copies = [(9000 + i, some_text(chance, "fr"), "fr") for i in range(3)] * 700
+    schema = "doc_id long, text string, lang string"
+    once = sorted(training_sample(spark.createDataFrame(rows + copies[:3], schema), most=100, least=10))
+    counts = {lang: sum(x == lang for _, x in once) for lang in SYLLABLES}
+    assert counts == {"en": 77, "de": 20, "fr": 3} and len(set(once)) == 100
+    for order in (copies + rows, rows[::-1] + copies):  # neither copies nor the order of rows change it
+        assert sorted(training_sample(spark.createDataFrame(order, schema).repartition(3), most=100, least=10)) == once
+    got = languages(spark.createDataFrame(copies + rows, schema)).collect()
+    assert {r["lang_pred"] for r in got if r["doc_id"] >= 9000} == {"fr"}
+    assert len(got) == len(copies + rows)
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     import zlib
