@@ -3,7 +3,7 @@
 Archives: one gzip member per record, written by each task to files of its own in the shared folder; what counts
 is the staged manifest of a finished write, so files of lost attempts are never read.
 
-Index: captures sorted by reversed-host URL key and page id, over the whole table by range. Each task packs its
+Index: captures sorted by reversed-host URL key, page id, payload digest and kind, over the whole table by range. Each task packs its
 lines into compressed blocks and ends its file with the sparse directory of its blocks' first lines. A look-up
 binary-searches the files' first lines, then the file's directory, then the block, and range-reads the record. Tasks
 hold one directory and one block at a time.
@@ -56,21 +56,28 @@ def open_folder(uri):
 
 
 def url_key(url):
-    """The sort key of a URL: host labels reversed, then port, path and query; lower-case host, no scheme."""
+    """The sort key of a URL: host labels reversed, then port, path and query; lower-case host, no scheme.
+
+    That of the URL as records have it: urlsplit would drop tabs and line ends that it escapes.
+    """
+    url = _safe(url)
     try:
-        parts = urlsplit(url or "")
+        parts = urlsplit(url)
         host, port = parts.hostname or "", parts.port
     except ValueError:
-        return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", url)
+        return url
     labels = ",".join(reversed(host.split("."))) if host else ""
     place = f":{port}" if port and port not in (80, 443) else ""
     tail = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
-    return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", f"{labels}{place}){tail}")
+    return _safe(f"{labels}{place}){tail}")
 
 
-def line_key(key, page_id):
-    """The index's order: URL key, then page id as text of fixed width; NULL first."""
-    return f"{key} " + ("-" if page_id is None else f"{page_id + (1 << 63):020d}")
+def line_key(key, page_id, *more):
+    """The index's order: URL key, then page id as text of fixed width, NULL first; then digest and kind.
+
+    A space, which sorts before all else in them, ends each part but the last.
+    """
+    return " ".join((key, "-" if page_id is None else f"{page_id + (1 << 63):020d}", *more))
 
 
 def record(kind, url, page_id, payload, digest, refers_to=None, refers_url=None):
@@ -129,7 +136,7 @@ def _writer(folder, file_bytes):
         filesystem, base = open_folder(folder)
         out, name, at = None, None, 0
         for batch in batches:
-            columns = [[] for _ in range(7)]
+            columns = [[] for _ in range(8)]
             names = ("row", "page_id", "url", "html", "kind", "refers_to", "refers_url")
             for row, page_id, url, html, kind, refers_to, refers_url in zip(
                     *(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names)):
@@ -139,17 +146,19 @@ def _writer(folder, file_bytes):
                     name, at = f"part-{uuid.uuid4().hex}.warc.gz", 0
                     out = filesystem.open_output_stream(f"{base}/{name}", compression=None)
                 payload, kind = (html or "").encode(), kind or "response"
+                digest = hashlib.sha1(payload)
                 data = gzip.compress(
-                    record(kind, _safe(url), page_id, payload, hashlib.sha1(payload).digest(), refers_to,
-                           _safe(refers_url)), LEVEL, mtime=0)
+                    record(kind, _safe(url), page_id, payload, digest.digest(), refers_to, _safe(refers_url)),
+                    LEVEL, mtime=0)
                 out.write(data)
-                for column, value in zip(columns, (url_key(url), page_id, row, name, at, len(data), kind)):
+                for column, value in zip(
+                        columns, (url_key(url), page_id, row, name, at, len(data), kind, digest.hexdigest())):
                     column.append(value)
                 at += len(data)
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["key", "page_id", "row", "file", "offset", "length", "kind"])
+                ["key", "page_id", "row", "file", "offset", "length", "kind", "digest"])
         if out is not None:
             out.close()
 
@@ -157,7 +166,7 @@ def _writer(folder, file_bytes):
 
 
 def write_archive(pages, folder=None, page_id="page_id", url="url", html="html", file_bytes=FILE_BYTES):
-    """Write a record per row; returns (folder, staged manifest: key, page_id, row, file, offset, length, kind)."""
+    """Write a record per row; returns (folder, staged manifest: key, page_id, row, file, offset, length, kind, digest)."""
     folder = folder or work_path(pages.sparkSession, "warc")
     filesystem, base = open_folder(folder)
     filesystem.create_dir(base, recursive=True)
@@ -166,7 +175,7 @@ def write_archive(pages, folder=None, page_id="page_id", url="url", html="html",
         F.col(url).alias("url"), F.col(html).alias("html")), "pages")
     manifest = map_batches(
         decided(slim), _writer(folder, file_bytes),
-        "key string, page_id long, row long, file string, offset long, length long, kind string")
+        "key string, page_id long, row long, file string, offset long, length long, kind string, digest string")
     return folder, stage(manifest, "manifest")
 
 
@@ -186,11 +195,11 @@ def _index_writer(folder, block_lines):
             lines.clear()
 
         for batch in batches:
-            for key, page_id, file, offset, length, kind in zip(*(
+            for key, page_id, digest, kind, file, offset, length in zip(*(
                     batch.column(batch.schema.get_field_index(c)).to_pylist()
-                    for c in ("key", "page_id", "file", "offset", "length", "kind"))):
+                    for c in ("key", "page_id", "digest", "kind", "file", "offset", "length"))):
                 out = out or filesystem.open_output_stream(f"{base}/{name}", compression=None)
-                lines.append("\t".join((line_key(key, page_id), file, str(offset), str(length), kind)))
+                lines.append("\t".join((line_key(key, page_id, digest, kind), file, str(offset), str(length), kind)))
                 if len(lines) == block_lines:
                     pack()
         if out is None:
@@ -212,8 +221,8 @@ def build_index(folder, manifest, block_lines=BLOCK_LINES):
 
     The root grows with the number of tasks, one per shuffle partition, not with the captures.
     """
-    lines = manifest.repartitionByRange("key", F.col("page_id").asc_nulls_first(), "row").sortWithinPartitions(
-        "key", F.col("page_id").asc_nulls_first(), "row")
+    order = ("key", F.col("page_id").asc_nulls_first(), "digest", "kind", "row")
+    lines = manifest.repartitionByRange(*order).sortWithinPartitions(*order)
     root = stage(map_batches(
         lines, _index_writer(folder, block_lines), "first string, file string, offset long, length long"), "index")
     return sorted(tuple(r) for r in root.collect())
@@ -251,18 +260,22 @@ class Captures:
             self.block = (place, [line.split("\t", 1)[0] for line in lines], lines)
         return self.block
 
-    def find(self, key, page_id):
-        """The index lines of a URL key and page id: (archive file, offset, length, kind)."""
-        wanted = line_key(key, page_id)
-        # Equal lines may begin in the block, or the file, before the first one that starts with them.
+    def find(self, key, page_id, *more):
+        """The index lines of a URL key and page id, or of a digest under them: (archive file, offset, length, kind).
+
+        The responses of a digest come before its revisits.
+        """
+        wanted = line_key(key, page_id, *more) + " "  # digest or kind follow
+        beyond = wanted[:-1] + "!"                    # the character after the space
+        # Lines that start with it may begin in the block, or the file, before the first one that does.
         number = max(0, bisect.bisect_left(self.firsts, wanted) - 1)
-        while number < len(self.root) and self.firsts[number] <= wanted:
+        while number < len(self.root) and self.firsts[number] < beyond:
             file, firsts, entries = self._directory(number)
             at = max(0, bisect.bisect_left(firsts, wanted) - 1)
-            while at < len(entries) and firsts[at] <= wanted:
+            while at < len(entries) and firsts[at] < beyond:
                 _, keys, lines = self._block(file, entries[at])
                 i = bisect.bisect_left(keys, wanted)
-                while i < len(keys) and keys[i] == wanted:
+                while i < len(keys) and keys[i] < beyond:
                     _, archive, offset, length, kind = lines[i].split("\t")
                     yield archive, int(offset), int(length), kind
                     i += 1
@@ -276,20 +289,21 @@ class Captures:
         archive, offset, length, _ = capture
         return parse_record(gzip.decompress(self.read(archive, offset, length)))
 
-    def measured(self, key, page_id):
-        """Bytes and SHA-1 of the payload of the response under a key; the last few are remembered."""
-        known = self.payloads.get((key, page_id))
+    def measured(self, key, page_id, digest):
+        """Bytes and SHA-1 of the payload of the response with a digest under a key; the last few are remembered.
+
+        A page id may be NULL or repeated, so its key may have responses of other payloads.
+        """
+        known = self.payloads.get((key, page_id, digest))
         if known is None:
-            for capture in list(self.find(key, page_id)):
-                if capture[3] == "response":
-                    payload = self.load(capture)[1]
-                    known = (len(payload), hashlib.sha1(payload).hexdigest())
-                    break
-            else:
-                raise KeyError(f"no response for {key} {page_id}")
+            capture = next(self.find(key, page_id, digest), None)
+            if capture is None or capture[3] != "response":
+                raise KeyError(f"no response for {key} {page_id} {digest}")
+            payload = self.load(capture)[1]
+            known = (len(payload), hashlib.sha1(payload).hexdigest())
             if len(self.payloads) >= REMEMBERED:
                 self.payloads.clear()
-            self.payloads[key, page_id] = known
+            self.payloads[key, page_id, digest] = known
         return known
 
 
@@ -305,13 +319,13 @@ def _captures(folder, root):
             for capture in sorted(c for found in places for c in found):  # archives are read forward
                 headers, payload = captures.load(capture)
                 page_id, refers_to = headers["WARC-Page-ID"], None
+                stated = base64.b32decode(headers["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                 if headers["WARC-Type"] == "revisit":
                     of = headers["WARC-Refers-To-Page-ID"]
                     refers_to = int(of) if of else None
-                    measured = captures.measured(url_key(headers["WARC-Refers-To-Target-URI"]), refers_to)
+                    measured = captures.measured(url_key(headers["WARC-Refers-To-Target-URI"]), refers_to, stated)
                 else:
                     measured = (len(payload), hashlib.sha1(payload).hexdigest())
-                stated = base64.b32decode(headers["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
                 if stated != measured[1]:
                     raise ValueError(f"payload digest of page {page_id} does not hold")
                 row = (int(page_id) if page_id else None, headers["WARC-Target-URI"], *measured,

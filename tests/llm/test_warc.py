@@ -64,6 +64,25 @@ def test_awkward_rows(spark):
     assert archive_and_read_back(pages(spark, [])).count() == 0
 
 
+A, B, C = (f"<p>{c} " + "and so on it went. " * 80 for c in "ABC")
+U = "http://example.org/u"
+
+
+@pytest.mark.parametrize("rows", [
+    [(None, U, B), (None, U, A), (None, U, A)],
+    [(None, U, A), (None, U, B), (None, U, C), (None, U, B), (None, U, A), (None, U, C)],
+    [(7, U, c) for c in (A, B, C)] * 3 + [(3, U, A), (9, U, B)],
+    [(i, f"http://example.org/{url}", A) for i, url in enumerate(["plain", "a\tb"])],
+    [(i, f"http://example.org/{url}", A) for i, url in enumerate(["plain", "a\nb\r"])],
+    [(1, U, A), (2, " http://example.org/lead", A)], [(1, U, A), (2, "http://example.org/trail \x00", A)],
+    [(1, U, A), (2, "\n", A)], [(1, U, A), (2, "http://[bad/\t", A)],
+])
+def test_revisits_of_shared_ids_and_odd_urls(spark, rows):
+    rows_back = archive_and_read_back(pages(spark, rows).repartition(2)).collect()
+    got = Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in rows_back)
+    assert got == expected(rows)
+
+
 def test_look_ups_over_many_blocks_and_files(spark, tmp_path):
     rows = [(i, f"http://h{i % 5}.example.org/{i % 37}", f"page {i} " * (200 if i % 3 else 1)) for i in range(400)]
     rows += [(77, "http://hot.example.org/", "same")] * 300
