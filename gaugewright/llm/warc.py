@@ -3,15 +3,16 @@
 Archives: one gzip member per record, written by each task to files of its own in the shared folder; what counts
 is the staged manifest of a finished write, so files of lost attempts are never read.
 
-Index: captures sorted by reversed-host URL key, page id, payload digest and kind, over the whole table by range. Each task packs its
+Index: captures sorted by reversed-host URL key, page id, payload digest, kind and row, over the whole table by range. Each task packs its
 lines into compressed blocks and ends its file with the sparse directory of its blocks' first lines. A look-up
 binary-searches the files' first lines, then the file's directory, then the block, and range-reads the record. Tasks
 hold one directory and one block at a time.
 
 Defined cases: a NULL html is an empty payload, a NULL url an empty one. Equal payloads of at least
 ``MIN_REVISIT`` bytes are stored once, in the record of the largest page id (a NULL id only if there is no
-other); of repeated rows one is the response. Repeated rows are records each, found by one look-up. An empty
-table gives an archive without records.
+other); of repeated rows one is the response. Repeated rows are records each, and the look-ups of a manifest find
+each by its row, so that a row repeated over a third of the table is spread over all tasks. An empty table gives an
+archive without records.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ import json
 import re
 import uuid
 import zlib
+from itertools import islice
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gaugewright.llm.common import map_batches, stage
+from gaugewright.llm.common import BATCH_ROWS, map_batches, stage
 from gaugewright.llm.exact_dedup import group_rows
 from gaugewright.session import work_path
 
@@ -73,7 +75,7 @@ def url_key(url):
 
 
 def line_key(key, page_id, *more):
-    """The index's order: URL key, then page id as text of fixed width, NULL first; then digest and kind.
+    """The index's order: URL key, then page id as text of fixed width, NULL first; then digest, kind and row.
 
     A space, which sorts before all else in them, ends each part but the last.
     """
@@ -195,11 +197,11 @@ def _index_writer(folder, block_lines):
             lines.clear()
 
         for batch in batches:
-            for key, page_id, digest, kind, file, offset, length in zip(*(
+            for key, page_id, digest, kind, row, file, offset, length in zip(*(
                     batch.column(batch.schema.get_field_index(c)).to_pylist()
-                    for c in ("key", "page_id", "digest", "kind", "file", "offset", "length"))):
+                    for c in ("key", "page_id", "digest", "kind", "row", "file", "offset", "length"))):
                 out = out or filesystem.open_output_stream(f"{base}/{name}", compression=None)
-                lines.append("\t".join((line_key(key, page_id, digest, kind), file, str(offset), str(length), kind)))
+                lines.append("\t".join((line_key(key, page_id, digest, kind, f"{row:020d} "), file, str(offset), str(length), kind)))
                 if len(lines) == block_lines:
                     pack()
         if out is None:
@@ -261,11 +263,10 @@ class Captures:
         return self.block
 
     def find(self, key, page_id, *more):
-        """The index lines of a URL key and page id, or of a digest under them: (archive file, offset, length, kind).
-
-        The responses of a digest come before its revisits.
+        """The index lines of a URL key and page id, or of a digest, a kind and a row under them: (archive file, offset,
+        length, kind). The responses of a digest come before its revisits.
         """
-        wanted = line_key(key, page_id, *more) + " "  # digest or kind follow
+        wanted = line_key(key, page_id, *more) + " "
         beyond = wanted[:-1] + "!"                    # the character after the space
         # Lines that start with it may begin in the block, or the file, before the first one that does.
         number = max(0, bisect.bisect_left(self.firsts, wanted) - 1)
@@ -313,38 +314,45 @@ def _captures(folder, root):
     def look_up(batches):
         captures = Captures(folder, root)
         for batch in batches:
-            out = [[] for _ in range(6)]
-            places = [list(captures.find(key, page_id)) for key, page_id in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            for capture in sorted(c for found in places for c in found):  # archives are read forward
-                headers, payload = captures.load(capture)
-                page_id, refers_to = headers["WARC-Page-ID"], None
-                stated = base64.b32decode(headers["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-                if headers["WARC-Type"] == "revisit":
-                    of = headers["WARC-Refers-To-Page-ID"]
-                    refers_to = int(of) if of else None
-                    measured = captures.measured(url_key(headers["WARC-Refers-To-Target-URI"]), refers_to, stated)
-                else:
-                    measured = (len(payload), hashlib.sha1(payload).hexdigest())
-                if stated != measured[1]:
-                    raise ValueError(f"payload digest of page {page_id} does not hold")
-                row = (int(page_id) if page_id else None, headers["WARC-Target-URI"], *measured,
-                       headers["WARC-Type"], refers_to)
-                for column, value in zip(out, row):
-                    column.append(value)
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)],
-                ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+            wanted = zip(*(column.to_pylist() for column in batch.columns))
+            found = (capture for key, page_id, *more in wanted for capture in captures.find(
+                key, page_id, *(f"{m:020d}" if isinstance(m, int) else m for m in more)))
+            while places := list(islice(found, BATCH_ROWS)):
+                yield read_back(captures, places)
+
+    def read_back(captures, places):
+        out = [[] for _ in range(6)]
+        for capture in sorted(places):  # archives are read forward
+            headers, payload = captures.load(capture)
+            page_id, refers_to = headers["WARC-Page-ID"], None
+            stated = base64.b32decode(headers["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+            if headers["WARC-Type"] == "revisit":
+                of = headers["WARC-Refers-To-Page-ID"]
+                refers_to = int(of) if of else None
+                measured = captures.measured(url_key(headers["WARC-Refers-To-Target-URI"]), refers_to, stated)
+            else:
+                measured = (len(payload), hashlib.sha1(payload).hexdigest())
+            if stated != measured[1]:
+                raise ValueError(f"payload digest of page {page_id} does not hold")
+            row = (int(page_id) if page_id else None, headers["WARC-Target-URI"], *measured,
+                   headers["WARC-Type"], refers_to)
+            for column, value in zip(out, row):
+                column.append(value)
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(out, kinds)],
+            ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     return look_up
 
 
 def look_up(keys, folder, root):
-    """All captures of the rows (key, page_id) of ``keys``, read back and verified. Sorted keys share blocks."""
+    """All captures of the rows (key, page_id) of ``keys``, or, if ``keys`` are rows of a manifest, the capture of each,
+    read back and verified. Sorted keys share blocks."""
+    more = ["digest", "kind", "row"] if {"digest", "kind", "row"} <= set(keys.columns) else []
+    order = ["key", F.col("page_id").asc_nulls_first(), *more]
     sorted_keys = (
-        keys.select("key", "page_id").distinct().repartitionByRange("key", F.col("page_id").asc_nulls_first())
-        .sortWithinPartitions("key", F.col("page_id").asc_nulls_first()))
+        keys.select("key", "page_id", *more).distinct().repartitionByRange(*order).sortWithinPartitions(*order))
     return map_batches(
         sorted_keys, _captures(folder, root),
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")

@@ -5,10 +5,11 @@ from collections import Counter
 
 import pytest
 
+from gaugewright.llm.common import BATCH_ROWS
 from gaugewright.llm.oracle import ORACLES
 from gaugewright.llm.queries import QUERIES
 from gaugewright.llm.warc import (
-    Captures, archive_and_read_back, build_index, line_key, look_up, parse_record, record, url_key, write_archive,
+    Captures, _captures, archive_and_read_back, build_index, line_key, look_up, parse_record, record, url_key, write_archive,
 )
 from tests.compare import differences, duck
 
@@ -106,6 +107,24 @@ def test_look_ups_over_many_blocks_and_files(spark, tmp_path):
     assert total == len(rows)
 
 
+def test_a_row_repeated_over_and_over_is_read_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"http://example.org/{i}", "short") for i in range(50)] + [(77, U, A)] * 3000
+    folder, manifest = write_archive(pages(spark, rows).repartition(4), str(tmp_path / "warc"))
+    root = build_index(folder, manifest)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = look_up(manifest, folder, root).where("page_id = 77").select(F.spark_partition_id().alias("task"), "record_type").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert Counter(r["record_type"] for r in found) == {"response": 1, "revisit": 2999}
+    assert max(Counter(r["task"] for r in found).values()) < 2000
+    # Without the manifest's rows, one key gives them all, in small batches.
+    batches = list(_captures(folder, root)(manifest.where("page_id = 77").select("key", "page_id").distinct().toArrow().to_batches()))
+    assert sum(b.num_rows for b in batches) == 3000 and max(b.num_rows for b in batches) <= BATCH_ROWS
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_query_equals_sql(spark, sf):
     sf_dir = f"/root/testdata/{sf}"
