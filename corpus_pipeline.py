@@ -15,7 +15,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules, without the lines that fail them; n_chars stays that of the raw text."""
     return good_documents(docs)
 
 

@@ -141,11 +141,16 @@ def quality_report(docs, doc_id="doc_id", text="text"):
 
 
 def good_documents(docs, text="text"):
-    """The rows of ``docs`` whose text passes, all columns unchanged."""
+    """The rows of ``docs`` whose text passes, without its failing lines; all other columns unchanged."""
 
     def passing(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            yield batch.filter(pa.array([measure(t)["kept"] for t in texts], pa.bool_()))
+            at = batch.schema.get_field_index(text)
+            texts = batch.column(at).to_pylist()
+            found = [measure(t) for t in texts]
+            cleaned = [clean_text(t) if f["n_removed_lines"] else t for t, f in zip(texts, found) if f["kept"]]
+            kept = batch.filter(pa.array([f["kept"] for f in found], pa.bool_()))
+            columns = [*kept.columns[:at], pa.array(cleaned, batch.schema.field(at).type), *kept.columns[at + 1:]]
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return map_batches(docs, passing, docs.schema)

@@ -58,6 +58,16 @@ def test_awkward_rows(spark):
     assert quality_report(docs.limit(0)).count() == 0 and good_documents(docs.limit(0)).count() == 0
 
 
+def test_kept_documents_lose_their_failing_lines(spark):
+    menu = "Home | News | Sport | Weather | Contact | About | Help"
+    rows = [(1, f"{menu}\n{PROSE}\n\nAll Rights Reserved 2020", "a"), (2, PROSE + "\n\n", "b"), (3, menu, "a"), (4, None, "a")]
+    docs = documents(spark, rows)
+    got = {r["doc_id"]: r for r in good_documents(docs).collect()}
+    assert {i: r["text"] for i, r in got.items()} == {1: PROSE + "\n", 2: PROSE + "\n\n"}
+    want = {r["doc_id"]: r for r in docs.collect()}
+    assert all(got[i][c] == want[i][c] for i in got for c in docs.columns if c != "text")
+
+
 def test_sql_on_awkward_rows(spark, tmp_path):
     rows = AWKWARD + [(50, PROSE, "a"), (52, "a | b | c | d\n" + LINE, "a"), (53, "é!! x?? y!!\n\x0b\n" * 30, "a")]
     documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
