@@ -108,7 +108,9 @@ def near_links(fingerprints, radius=RADIUS):
 
     ``fingerprints`` has one signed 64-bit column ``fingerprint`` without repeats. Every bucket is
     searched whole by one task. The fingerprints of a bucket differ from each other, so copies
-    of a text do not enlarge it, and the ball of radius 4 around a text holds 679,121 at most.
+    of a text do not enlarge it; but it holds all that agree on its mask's bits, about 32, near each other or not,
+    and has no bound. Texts that share most of a template can make a large one, whose search is quadratic where few
+    are within ``radius``. No link is lost by that, only time and memory.
     """
     masks = covering_masks(radius)
     tables = F.explode(F.array(*[
