@@ -9,8 +9,11 @@ from gaugewright.llm.exact_dedup import exact_groups
 from gaugewright.llm.html_text import main_text
 from gaugewright.llm.language import languages
 from gaugewright.llm.mixing import mix_report
+from gaugewright.llm.passage_quality import passage_quality
 from gaugewright.llm.quality import quality_report
+from gaugewright.llm.ranked_search import ranked
 from gaugewright.llm.simhash import near_groups
+from gaugewright.llm.spelling import spelling_variants
 from gaugewright.llm.suffix_dedup import without_repeats
 from gaugewright.llm.toxicity import toxicity
 from gaugewright.llm.warc import archive_and_read_back
@@ -67,6 +70,20 @@ def op10_mixing(spark, sf_dir):
     return mix_report(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op11_quality_model(spark, sf_dir):
+    return passage_quality(
+        table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op12_ranked_search(spark, sf_dir):
+    return ranked(
+        table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -78,4 +95,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_warc_index": op9_warc_index,
     "op10_mixing": op10_mixing,
+    "op11_quality_model": op11_quality_model,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
