@@ -6,7 +6,7 @@ lists. For an item, a shard's short lists are summed term-at-a-time into accumul
 list among the long ones, with a bound for each block of documents, and all are read document-at-a-time:
 a block whose bounds do not add up to the score an entry needs is skipped, within a window of live blocks lists are read from the
 highest bound down, and as soon as no document outside the candidates can make it, the lists are only probed for these.
-The needed score is the last of the item's best so far, which a task carries from shard to shard. A skipped document scores
+The needed score is the last of the item's best so far, which a task carries from shard to shard, or of as many accumulators. A skipped document scores
 strictly less than 50 others, so results are exact.
 
 A task passes on its best for every item; these meet in two windows, the first one salted. Items come in blocks of at most
@@ -169,7 +169,7 @@ class Best:
             self.entries + [(-s, i is None, i) for i, s in zip(ids, scores.tolist())],
             key=lambda e: (e[0], e[1], 0 if e[2] is None else e[2]))[:self.most]
         if len(self.entries) == self.most:
-            self.needed = -self.entries[-1][0]
+            self.needed = max(self.needed, -self.entries[-1][0])
 
 
 def search(shard, ids, terms, best):
@@ -182,6 +182,10 @@ def search(shard, ids, terms, best):
     short = max(1, int(np.searchsorted(sizes, shard.size // SHORT_SHARE, "right")))
     lists = [summed(lists[:short]), *lists[short:]]
     read = int(sizes[short - 1])
+    sums = lists[0][1]
+    if len(sums) >= best.most:
+        # So many documents score at least their accumulator, and all of them are still to be offered.
+        best.needed = max(best.needed, int(np.partition(sums, len(sums) - best.most)[-best.most]))
     bounds = np.zeros((shard.size >> BLOCK_BITS) + 1, np.int64)
     for _, _, blocks, highest in lists:
         bounds[blocks] += highest
