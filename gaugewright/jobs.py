@@ -8,6 +8,7 @@
     consume --topics kafka:HOST:9092 --checkpoint DIR --rejects DIR --database NAME
     state --topics kafka:HOST:9092 --checkpoint DIR --state DIR --partitions N
     compact --history DIR | --state DIR
+    metrics --history DIR | --state DIR --output DIR
     snapshot --history DIR --output DIR [--snapshot DIR]
     status --history DIR --output DIR [--snapshot DIR]
     status --state DIR --output DIR
@@ -35,6 +36,7 @@ from gaugewright.sinks.history import HistorySink, TableSink, compact_history
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
 from gaugewright.sources.documents import read_documents, read_items
+from gaugewright.sources.epochs import read_metrics
 from gaugewright.sources.history import read_jdbc
 from gaugewright.sources.topics import FileTopics, KafkaTopics
 from gaugewright.streaming.consume import (
@@ -121,8 +123,14 @@ def _arguments(argv):
     stored = compact.add_mutually_exclusive_group(required=True)
     stored.add_argument("--history")
     stored.add_argument("--state")
-    compact.add_argument("--drop", action="store_true",
-                         help="delete history epochs that an older generation holds")
+    compact.add_argument("--keep", action="store_true",
+                         help="do not delete the history epochs that an older generation holds")
+
+    metrics = jobs.add_parser("metrics", help="a row for every batch that was stored")
+    logs = metrics.add_mutually_exclusive_group(required=True)
+    logs.add_argument("--history")
+    logs.add_argument("--state")
+    metrics.add_argument("--output", required=True)
 
     snapshot = jobs.add_parser("snapshot")
     snapshot.add_argument("--history", required=True)
@@ -154,8 +162,8 @@ def _check(parser, args):
             parser.error("--snapshot goes with --history")
         if args.one_pass and args.state:
             parser.error("--state is read in one pass already")
-    if args.job == "compact" and args.drop and args.state:
-        parser.error("--state drops what is old by itself")
+    if args.job == "compact" and args.keep and args.state:
+        parser.error("--state always drops what is old")
     if args.job == "ingest":
         if args.topic == STATIONS and not args.stage_scales:
             parser.error("stations need --stage-scales")
@@ -248,7 +256,12 @@ def run_compact(spark, args):
         if args.state:
             compact_state(spark, f"{args.state}/{topic}", topic)
         else:
-            compact_history(spark, f"{args.history}/{topic}", topic, drop=args.drop)
+            compact_history(spark, f"{args.history}/{topic}", topic, drop=not args.keep)
+
+
+def run_metrics(spark, args):
+    both = [read_metrics(spark, f"{args.history or args.state}/{topic}") for topic in (STATIONS, MEASUREMENTS)]
+    both[0].unionByName(both[1]).write.mode("overwrite").parquet(args.output)
 
 
 def _form(args):
@@ -290,6 +303,7 @@ JOBS = {
     "consume": run_consume,
     "state": run_state,
     "compact": run_compact,
+    "metrics": run_metrics,
     "snapshot": run_snapshot,
     "status": run_status,
     "views": run_views,

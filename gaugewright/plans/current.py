@@ -5,6 +5,7 @@ from gaugewright.plans.views import refresh_latest
 from gaugewright.schemas import TOPIC_KEYS, table_schema
 from gaugewright.sources.epochs import open_log, read_epochs, write_epochs
 from gaugewright.sources.history import read_history
+from gaugewright.sources.ranges import Epochs
 
 ORDER = ["sequence", "pk_id"]
 
@@ -32,7 +33,7 @@ def write_snapshot(spark, history, topic, path, snapshot=None, latest=latest_by_
     log = open_log(spark, history)
     rows = current_rows(spark, history, topic, snapshot, latest, log)
     rows.write.mode("errorifexists").parquet(f"{path}/rows")
-    seen = read_epochs(spark, f"{snapshot}/epochs") if snapshot else frozenset()
+    seen = read_epochs(spark, f"{snapshot}/epochs") if snapshot else Epochs()
     write_epochs(spark, seen | log.epochs, f"{path}/epochs")
 
 

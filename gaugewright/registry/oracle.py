@@ -361,6 +361,13 @@ ORACLES = {
           '{broken ' || event_id]) FROM events""",
     "landed_items": f"""WITH {_READINGS} SELECT raw, id, stationreference, datetime, value, unit
         FROM readings WHERE event_type <> 'error'""",
+    "batch_metrics": f"""WITH {_READINGS}, parts AS (SELECT unnest(range(5)) AS epoch),
+        accepted AS (SELECT day(last_update) % 5 AS epoch, count(*) AS n, min(last_update) AS first_stamp,
+            max(last_update) AS last_stamp FROM readings WHERE event_type <> 'error' GROUP BY 1),
+        rejected AS (SELECT doc_id % 5 AS epoch, count(*) AS n FROM documents GROUP BY 1)
+        SELECT 'measurements' AS topic, epoch, coalesce(accepted.n, 0) AS accepted,
+          coalesce(rejected.n, 0) AS rejected, first_stamp, last_stamp
+        FROM parts LEFT JOIN accepted USING (epoch) LEFT JOIN rejected USING (epoch)""",
     "rejects_stream": """SELECT
           CASE WHEN trim(text) = '' THEN 'empty message' ELSE 'malformed message' END
             AS reject_reason, text AS reject_value FROM documents""",

@@ -26,6 +26,7 @@ from gaugewright.schemas import MEASUREMENTS, STATIONS
 from gaugewright.session import work_path
 from gaugewright.sinks.history import HistorySink
 from gaugewright.sources.documents import read_documents
+from gaugewright.sources.epochs import read_metrics
 from gaugewright.sources.history import read_history, read_rejects
 from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, start_topics, to_topics
@@ -142,6 +143,24 @@ def status_stream(spark, sf_dir):
     return station_status(*_consume(spark, topics, base, STATIONS, MEASUREMENTS))
 
 
+def batch_metrics(spark, sf_dir):
+    """What the sink noted of each batch as it wrote it; readings come with prose that is rejected."""
+    base = work_path(spark, "batch-metrics")
+    topics = FileTopics(f"{base}/topics")
+    sink = HistorySink(f"{base}/history", MEASUREMENTS)
+    prose = table(spark, sf_dir, "documents")
+    documents = measurement_documents(spark, sf_dir)
+    for part in range(BATCHES):
+        messages = measurement_messages(documents.where(F.dayofmonth("fetched_at") % BATCHES == part))
+        topics.write(messages, MEASUREMENTS)
+        topics.write(prose.where(F.col("doc_id") % BATCHES == part).select(
+            F.lit("k").alias("key"), F.col("text").alias("value")), MEASUREMENTS)
+        await_all([consume(topics.read_stream(spark, MEASUREMENTS), MEASUREMENTS, sink, f"{base}/checkpoint",
+                           available_now=True)])
+    rows = _zone_less(read_metrics(spark, sink.path), "first_stamp", "last_stamp")
+    return rows.drop("run", "attempt", "written_at")
+
+
 def rejects_stream(spark, sf_dir):
     """Prose sent to a topic: kept aside by the sink, whole."""
     base = work_path(spark, "rejects-stream")
@@ -167,4 +186,5 @@ QUERIES = {
     "status_from_state": status_from_state,
     "status_stream": status_stream,
     "rejects_stream": rejects_stream,
+    "batch_metrics": batch_metrics,
 }

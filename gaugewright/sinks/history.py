@@ -7,25 +7,19 @@ from pyspark.sql import functions as F
 from gaugewright.functions.times import utc_date
 from gaugewright.operators.decode import accepted, decode, rejects
 from gaugewright.schemas import RELATIONAL, table_schema
-from gaugewright.sources.epochs import drop_held, is_finished, open_log, write_generation
+from gaugewright.sources.epochs import (
+    drop_held,
+    is_recorded,
+    measured,
+    open_log,
+    write_epoch,
+    write_generation,
+)
 from gaugewright.sources.history import ACCEPTED, REJECTED, read_stored
 
 PARTITIONS = ("kind", "ingest_date")
 
 
-def write_epoch(rows, path, run, epoch, partitions=()):
-    """Write a batch to its own folder, replacing what an earlier attempt left there.
-
-    The run is the query's id, which outlives restarts on one checkpoint. Epochs alone
-    start at 0 again with a new checkpoint, and would overwrite an earlier run's data. Readers
-    take an epoch once it is finished (see ``sources.epochs``).
-    """
-    (
-        rows.write.mode("overwrite").partitionBy(*partitions)
-        .parquet(f"{path}/run={run}/epoch={epoch}")
-    )
-
-
 @dataclass(frozen=True)
 class HistorySink:
     """Accepted and rejected rows of a topic in one write, split by folder."""
@@ -42,7 +36,7 @@ class HistorySink:
         rows = rows.withColumn("kind", kind).withColumn("ingest_date", dated)
         # One file per date, more only where a date is large.
         rows = rows.hint("rebalance", "kind", "ingest_date")
-        write_epoch(rows, self.path, run, epoch, PARTITIONS)
+        write_epoch(rows, self.path, run, epoch, PARTITIONS, self.topic)
 
 
 def compact_history(spark, path, topic, layout=RELATIONAL, drop=False):
@@ -65,7 +59,7 @@ def compact_history(spark, path, topic, layout=RELATIONAL, drop=False):
 class RejectSink:
     """Rejected messages alone, beside a target that cannot hold them: see ``read_rejects``.
 
-    Written after the target, its epoch folder also says that the target has the batch.
+    Written after the target, its epoch's record also says that the target has the batch.
     """
 
     path: str
@@ -73,12 +67,15 @@ class RejectSink:
     layout: str = RELATIONAL
 
     def __call__(self, messages, run, epoch):
-        rows = rejects(decode(messages, self.topic, self.layout)).withColumns({
-            "kind": F.lit(REJECTED), "ingest_date": F.lit(None).cast("date")})
-        write_epoch(rows, self.path, run, epoch, PARTITIONS)
+        rows = decode(messages, self.topic, self.layout)
+        kind = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
+        # Both kinds are counted, the target's rows as well.
+        rows, seen = measured(rows.withColumn("kind", kind))
+        rows = rejects(rows).withColumns({"kind": F.lit(REJECTED), "ingest_date": F.lit(None).cast("date")})
+        write_epoch(rows, self.path, run, epoch, PARTITIONS, self.topic, seen)
 
     def has(self, messages, run, epoch):
-        return is_finished(messages.sparkSession, f"{self.path}/run={run}/epoch={epoch}")
+        return is_recorded(messages.sparkSession, self.path, run, epoch)
 
 
 def save_with_rejects(save, rejected, messages, run, epoch):

@@ -5,6 +5,7 @@ from pyspark.sql.types import StructType
 
 from gaugewright.schemas import RELATIONAL, table_schema
 from gaugewright.sources.epochs import open_log, read_log
+from gaugewright.sources.ranges import Epochs
 
 ACCEPTED = "accepted"
 REJECTED = "rejected"
@@ -18,14 +19,14 @@ def _stored_schema(topic, layout):
     return StructType(table_schema(topic, layout).fields + added.fields)
 
 
-def read_stored(spark, path, topic, layout=RELATIONAL, log=None, without=frozenset()):
+def read_stored(spark, path, topic, layout=RELATIONAL, log=None, without=Epochs()):
     """Everything a history sink wrote, accepted and rejected, with its run and epoch: the last
-    compacted generation and the finished epochs beside it, but for those in ``without``."""
+    compacted generation and the recorded epochs beside it, but for those in ``without``."""
     log = log or open_log(spark, path)
     return read_log(spark, log, _stored_schema(topic, layout), without)
 
 
-def read_history(spark, path, topic, layout=RELATIONAL, since=None, log=None, without=frozenset()):
+def read_history(spark, path, topic, layout=RELATIONAL, since=None, log=None, without=Epochs()):
     """Accepted rows of a topic with ``ingest_date``; ``since`` reads only later dates' files."""
     stored = read_stored(spark, path, topic, layout, log, without).where(F.col("kind") == ACCEPTED)
     if since is not None:

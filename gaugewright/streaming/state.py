@@ -4,8 +4,7 @@ from gaugewright.operators.decode import accepted, decode
 from gaugewright.operators.latest import latest_by_key
 from gaugewright.schemas import TOPIC_KEYS, table_schema
 from gaugewright.session import STATE_STORE
-from gaugewright.sinks.history import write_epoch
-from gaugewright.sources.epochs import drop_held, open_log, read_log, write_generation
+from gaugewright.sources.epochs import drop_held, open_log, read_log, write_epoch, write_generation
 from gaugewright.streaming.consume import TRIGGER, run_id
 
 ORDER = ["sequence", "pk_id"]
@@ -38,7 +37,7 @@ def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
         session.conf.set(name, value)
 
     def save(batch, epoch):
-        write_epoch(batch, path, run_id(batch), epoch)
+        write_epoch(batch, path, run_id(batch), epoch, topic=topic)
         if compact_every and (epoch + 1) % compact_every == 0:
             # A replay of this epoch finds nothing added, or compacts what it wrote again.
             compact_state(batch.sparkSession, path, topic)

@@ -44,7 +44,8 @@ def test_documents_to_status_by_jobs(spark, tmp_path):
         "--rejects", tmp_path / "rejects", "--available-now")
     run("views", "--database", "jobs_levels")
     assert spark.table("jobs_levels.stationsmeasurements").count() == 1
-    run("compact", "--history", tmp_path / "history", "--drop")
+    run("compact", "--history", tmp_path / "history")
+    run("metrics", "--history", tmp_path / "history", "--output", tmp_path / "metrics")
     run("compact", "--state", tmp_path / "state")
     for source in (["--history", tmp_path / "history"],
                    ["--history", tmp_path / "history", "--one-pass"],
@@ -153,7 +154,7 @@ WRONG = [
     "status --database d --snapshot x --output o", "status --state s --one-pass --output o",
     "ingest measurements --documents d --topics file:x --checkpoint c --strict",
     "ingest measurements --documents d --topics file:x --checkpoint c --lines --items",
-    "compact --state s --drop", "compact",
+    "compact --state s --keep", "compact", "metrics --history h",
 ]
 
 

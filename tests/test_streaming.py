@@ -13,8 +13,8 @@ from gaugewright.operators.latest import latest_by_key, latest_by_key_two_pass
 from gaugewright.plans.current import current_rows, two_pass_by_date, write_snapshot
 from gaugewright.plans.views import latest_measurements, stations_measurements
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, table_schema
-from gaugewright.sinks.history import HistorySink, compact_history, rewrite_by_date, write_epoch
-from gaugewright.sources.epochs import delete_folder, generations, open_log
+from gaugewright.sinks.history import HistorySink, compact_history, rewrite_by_date
+from gaugewright.sources.epochs import delete_folder, generations, open_log, record_path, write_epoch
 from gaugewright.sources.history import read_dated, read_history, read_rejects, read_stored
 from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, fan_out, start_topics
@@ -201,12 +201,12 @@ def test_the_state_log_stays_as_short_as_its_keys(spark, place):
     assert len(log.epochs) == 12 and len(log.added) == 0
     assert read_changes(spark, state, MEASUREMENTS).count() == 4
     assert {r["value"] for r in read_state(spark, state, MEASUREMENTS).collect()} == {11.0}
-    assert len(generations(spark, state)) == 1 and len(log.folders) == 3
+    assert len(generations(spark, state)) == 1 and len(log.recorded) == 3
     # A replayed epoch is known already.
     rows = read_changes(spark, state, MEASUREMENTS)
-    run, epoch = max(log.epochs)
+    run, epoch = max(log.recorded)
     write_epoch(rows, state, run, epoch)
-    assert open_log(spark, state).added == frozenset()
+    assert open_log(spark, state).added == {}
 
 
 def test_a_cluster_must_name_its_state_partitions(spark, place, monkeypatch):
@@ -303,7 +303,7 @@ def test_a_snapshot_older_than_a_generation_whose_epochs_are_gone(spark, place):
         send(spark, place.topics, message("b", float(minute), minute), "broken")
         place.run(spark)
         compact_history(spark, place.history, MEASUREMENTS, drop=True)
-    assert len(open_log(spark, place.history).folders) == 1
+    assert len(open_log(spark, place.history).recorded) == 1
     rows = current_rows(spark, place.history, MEASUREMENTS, snapshot).collect()
     assert sorted((r["id"], r["value"]) for r in rows) == [("a", 1.0), ("b", 2.0)]
     assert read_stored(spark, place.history, MEASUREMENTS).count() == 5
@@ -325,10 +325,10 @@ def test_readers_take_generations_and_only_finished_epochs(spark, place):
     assert len(log.held) == 2 and len(log.added) == 1
     files = read_stored(spark, place.history, MEASUREMENTS).inputFiles()
     assert {f.split("epoch=")[1][0] for f in files if "run=" in f} == {"2"}
-    # An epoch that is being written again, and a generation without its list, are not there yet.
+    # The last epoch, and a generation, without a record are not there yet.
     [(run, epoch)] = log.added
-    delete_folder(spark, f"{place.history}/run={run}/epoch={epoch}/_SUCCESS")
-    delete_folder(spark, f"{place.history}/generation=0/epochs")
+    delete_folder(spark, record_path(place.history, run, epoch))
+    delete_folder(spark, f"{place.history}/_records/generation=0.json")
     assert place.values(spark) == [1.0, 2.0]
 
 
