@@ -6,20 +6,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gaugewright.functions.text import hashed_id, random_id
-from gaugewright.schemas import RELATIONAL, message_schema, table_schema
+from gaugewright.functions.variants import has_field, is_object, parse_variant
+from gaugewright.schemas import CORRUPT, RELATIONAL, message_schema, table_schema
 
 # A time without a zone in a message is UTC, whatever the session says.
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "timeZone": "UTC"}
 
 
-def parse(messages, schema, column="value"):
+def parse(messages, schema, column="value", marked=False):
     """Adds the fields of the message; an unreadable field becomes NULL, an unreadable message
     gives NULL in all fields.
 
     The struct is expanded by a generator over one element. Spark pushes a filter on a parsed
     field through a projection by parsing again in the filter, but not through a generator.
+    ``marked`` adds the text of a message in which anything could not be read, as ``_corrupt_record``.
     """
-    parsed = F.from_json(F.col(column), schema, _JSON_OPTIONS)
+    options = _JSON_OPTIONS
+    if marked:
+        schema = StructType(schema.fields + [StructField(CORRUPT, StringType())])
+        options = {**options, "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json(F.col(column), schema, options)
     return messages.select("*", F.inline(F.array(parsed)))
 
 
@@ -30,20 +36,35 @@ def expand(messages, column):
 
 def _reject_reason(value, schema):
     usable = reduce(lambda a, b: a | b, [F.col(name).isNotNull() for name in schema.names])
-    # The second parse tells broken text from text without a known field; a CASE branch is
-    # evaluated only for the messages it applies to.
-    marked = StructType(schema.fields + [StructField("_corrupt_record", StringType())])
-    broken = F.from_json(
-        value, marked, {**_JSON_OPTIONS, "columnNameOfCorruptRecord": "_corrupt_record"}
-    )["_corrupt_record"].isNotNull()
     return (
         F.when(usable, F.lit(None).cast("string"))
         .when(value.isNull() | (F.trim(value) == ""), F.lit("empty message"))
-        .when(broken, F.lit("malformed message"))
-        .otherwise(F.lit("no known field"))
+        .when(F.col(CORRUPT).isNull(), F.lit("no known field"))
+        # Only messages with an unreadable field and no readable one come here.
+        .when(is_object(parse_variant(value)), F.lit("no readable field"))
+        .otherwise(F.lit("malformed message"))
     )
 
 
+def message_errors(messages, topic, layout=RELATIONAL):
+    """Fields of messages that could not be read and are NULL in their row: row id, ``field``, ``message``.
+
+    Only messages that the typed parse marks are looked at again, as VARIANT.
+    """
+    schema = message_schema(topic, layout)
+    id_column = table_schema(topic, layout).names[0]
+    position = [c for c in ("partition", "offset") if c in messages.columns]
+    texts = messages.select(F.col("value").cast("string").alias("_text"), *position)
+    value = F.col("parsed")
+    rows = parse(texts, schema, "_text", marked=True).where(F.col(CORRUPT).isNotNull())
+    rows = rows.select("*", F.inline(F.array(F.struct(parse_variant(F.col("_text")).alias("parsed")))))
+    lost = F.array(*[
+        F.when(F.col(n).isNull() & has_field(value, n), F.lit(n)) for n in schema.names])
+    return rows.where(is_object(value)).select(
+        message_id(messages.columns, topic, "_text").alias(id_column),
+        F.explode(F.array_compact(lost)).alias("field"), F.col("_text").alias("message"))
+
+
 def message_id(columns, topic, text="value"):
     """Deterministic row id: from topic position where known, else from the whole text, in
     which case identical messages share an id."""
@@ -67,7 +88,7 @@ def decode(messages, topic, layout=RELATIONAL, ids="hashed"):
     position = [c for c in ("partition", "offset") if c in messages.columns]
     texts = messages.select(F.col("value").cast("string").alias("_text"), *position)
     columns = {f.name: f.dataType for f in table.fields}
-    rows = parse(texts, schema, "_text").select(
+    rows = parse(texts, schema, "_text", marked=True).select(
         row_id.alias(id_column),
         *[F.col(n).cast(columns[n]).alias(n) for n in schema.names],
         *([sequence.cast("bigint").alias("sequence")] if "sequence" in columns else []),

@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from gaugewright.functions.colours import hex_to_rgb, range_colour
 from gaugewright.functions.numbers import round_half_even
 from gaugewright.functions.times import utc_date, utc_instant, utc_wall_clock
-from gaugewright.operators.decode import accepted, decode, expand, parse, rejects
+from gaugewright.operators.decode import accepted, decode, expand, message_errors, parse, rejects
 from gaugewright.operators.enrich import enrich_stage_scale
 from gaugewright.operators.latest import (
     distinct_on,
@@ -229,6 +229,36 @@ def item_rejects(spark, sf_dir):
         .otherwise(F.col("value")))
 
 
+def _odd_items(spark, sf_dir):
+    """Documents in which the reading's value, the unit or the id has another type, by the event's number."""
+    kind = F.col("event_id") % 6
+    value = (
+        F.when(kind == 0, F.concat(F.lit("["), "value", F.lit(",1]")))
+        .when(kind == 1, F.concat(F.lit('"'), "value", F.lit('"')))
+        .when(kind == 2, F.concat(F.lit('{"x":'), "value", F.lit("}")))
+        .when(kind == 3, F.lit("true")).otherwise(F.col("value").cast("string")))
+    unit = F.when(kind == 0, F.lit('["m","n"]')).when(kind == 4, F.lit("null")).otherwise(F.lit('"m"'))
+    name = F.when(kind == 2, F.col("event_id").cast("string")).otherwise(F.concat(F.lit('"m'), "event_id", F.lit('"')))
+    return parse_documents(table(spark, sf_dir, "events").select(
+        F.concat(F.lit('{"items":[{"@id":'), name, F.lit(',"unit":'), unit, F.lit(',"latestReading":{"value":'), value,
+                 F.lit("}}]}")).alias("document"), F.col("ts").alias("fetched_at")))
+
+
+def item_field_nulls(spark, sf_dir):
+    """Items with a list, a text, an object or a truth value for a number: all go on, without that field."""
+    rows = flat_measurement(with_reading(measurement_items(_odd_items(spark, sf_dir)).withColumn(
+        "fields", F.array_join("odd", " "))))
+    return rows.select("id", "value", "unit", "fields")
+
+
+def message_field_nulls(spark, sf_dir):
+    """The same items as messages: what a consumer's row lacks, by field."""
+    messages = measurement_messages(_odd_items(spark, sf_dir)).select(
+        F.regexp_replace("value", '"value":null', '"value":[0.5]').alias("value"))
+    return message_errors(messages, MEASUREMENTS).select(
+        "field", F.get_json_object("message", "$.id").alias("id"))
+
+
 def landed_items(spark, sf_dir):
     """Items written one per line and read back; files split between any two lines."""
     path = work_path(spark, "items")
@@ -541,6 +571,8 @@ QUERIES = {
     "document_rejects": document_rejects,
     "landed_items": landed_items,
     "item_rejects": item_rejects,
+    "item_field_nulls": item_field_nulls,
+    "message_field_nulls": message_field_nulls,
     "document_explode": measurement_items_flat,
     "not_null_filter": not_null_filter,
     "matching_items": matching_items,

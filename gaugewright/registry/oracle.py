@@ -359,6 +359,13 @@ ORACLES = {
         UNION ALL SELECT 'measurements-rejects', 'malformed item', unnest(['junk',
           CAST(event_id AS VARCHAR), NULL, '{"@id":"odd","latestReading":"oops"}',
           '{broken ' || event_id]) FROM events""",
+    "item_field_nulls": """SELECT CASE WHEN event_id % 6 = 2 THEN '' ELSE 'm' END || event_id AS id,
+          CASE WHEN event_id % 6 > 3 THEN value END AS value,
+          CASE event_id % 6 WHEN 0 THEN '["m","n"]' WHEN 4 THEN NULL ELSE 'm' END AS unit,
+          concat_ws(' ', CASE WHEN event_id % 6 = 2 THEN '@id' END, CASE WHEN event_id % 6 = 0 THEN 'unit' END,
+            CASE WHEN event_id % 6 < 4 THEN 'latestReading.value' END) AS fields FROM events""",
+    "message_field_nulls": """SELECT 'value' AS field,
+          CASE WHEN event_id % 6 = 2 THEN '' ELSE 'm' END || event_id AS id FROM events WHERE event_id % 6 < 4""",
     "landed_items": f"""WITH {_READINGS} SELECT raw, id, stationreference, datetime, value, unit
         FROM readings WHERE event_type <> 'error'""",
     "batch_metrics": f"""WITH {_READINGS}, parts AS (SELECT unnest(range(5)) AS epoch),

@@ -19,6 +19,8 @@ MEASUREMENT_ITEM = (
 STAGE_SCALE_DOCUMENT = (
     "url STRING, items STRUCT<typicalRangeHigh: DOUBLE, typicalRangeLow: DOUBLE>"
 )
+# The same before its numbers are read, each by itself.
+STAGE_SCALE_TEXT = "url STRING, items STRING"
 
 STATIONS = "stations"
 MEASUREMENTS = "measurements"

@@ -1,8 +1,10 @@
 """Landed JSON documents, as a batch or a stream of files."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from gaugewright.schemas import CORRUPT, DOCUMENT, STAGE_SCALE_DOCUMENT
+from gaugewright.functions.variants import is_object, parse_variant, typed_fields
+from gaugewright.schemas import CORRUPT, DOCUMENT, STAGE_SCALE_DOCUMENT, STAGE_SCALE_TEXT
 
 
 def _parsing(fields, on_bad):
@@ -65,7 +67,21 @@ def read_items(spark, path, stream=False, on_bad="fail", fetched_at=None, option
 def read_stage_scales(spark, path, multi_line=True, on_bad="fail", fetched_at=None, options=None):
     """Stage-scale documents, landed with their ``url``; ``path`` may be a list of files.
     ``fetched_at`` is as for documents."""
-    return _read(spark, path, STAGE_SCALE_DOCUMENT, False, multi_line, on_bad, fetched_at, options)
+    documents = _read(spark, path, STAGE_SCALE_TEXT, False, multi_line, on_bad, fetched_at, options)
+    return _with_scale(documents, on_bad)
+
+
+def _with_scale(documents, on_bad="fail"):
+    """The scale's numbers out of the text of ``items``; what is no number is NULL. Items that are no object
+    fail the job, or where bad documents are kept count as missing."""
+    schema = StructType.fromDDL(STAGE_SCALE_DOCUMENT)["items"].dataType
+    value = F.col("scale_value")
+    read = documents.select("*", F.inline(F.array(F.struct(parse_variant(F.col("items")).alias("scale_value")))))
+    scale = F.when(is_object(value), F.struct(*typed_fields(value, schema)))
+    if on_bad == "fail":
+        text = F.concat(F.lit("malformed stage scale: "), F.col("items"))
+        scale = F.when(F.col("items").isNotNull() & ~is_object(value), F.raise_error(text)).otherwise(scale)
+    return read.select(*[scale.alias("items") if c == "items" else F.col(f"`{c}`") for c in documents.columns])
 
 
 def parse_documents(texts, column="document", on_bad="fail"):
@@ -84,6 +100,6 @@ def parse_stage_scales(texts, column="document"):
     """Stage-scale documents held as text in a column; other columns stay. A text that is
     not JSON fails the job."""
     kept = [c for c in texts.columns if c != column]
-    schema, parsing = _parsing(STAGE_SCALE_DOCUMENT, "fail")
+    schema, parsing = _parsing(STAGE_SCALE_TEXT, "fail")
     # Expanded by a generator, so that filters on the fields do not parse again.
-    return texts.select(*kept, F.inline(F.array(F.from_json(column, schema, parsing))))
+    return _with_scale(texts.select(*kept, F.inline(F.array(F.from_json(column, schema, parsing)))))

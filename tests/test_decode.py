@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from gaugewright.operators.decode import accepted, decode, rejects
+from gaugewright.operators.decode import accepted, decode, message_errors, rejects
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, message_schema
 from tests.conftest import plan
 
@@ -50,6 +50,8 @@ def test_unreadable_time_becomes_null(spark):
     ('[{"id":"z1"},{"id":"z2"}]', "malformed message"),
     ("{}", "no known field"),
     ('{"ID":"A","Value":3}', "no known field"),
+    ('{"value":[1,2]}', "no readable field"),
+    ('5', "malformed message"),
     (None, "empty message"),
     ("", "empty message"),
 ])
@@ -105,7 +107,16 @@ def test_messages_are_parsed_once(spark):
     text = plan(accepted(decode(messages(spark, FULL), STATIONS)))
     generators = [line for line in text.splitlines() if "inline(array(from_json" in line]
     assert generators
-    filters = [line for line in text.splitlines() if line.startswith("Condition")]
-    # The only parse in a filter is the one for texts without a usable field.
-    assert all(f.count("from_json") <= f.count("_corrupt_record") for f in filters)
+    assert text.count("from_json") == len(generators)
     assert "PythonUDF" not in text
+    # A filter parses only what has an unreadable field and no readable one, as its last resort.
+    filters = [line for line in text.splitlines() if line.startswith("Condition") and "parse_json" in line]
+    assert all(f.index("isnull(_corrupt_record") < f.index("parse_json") for f in filters)
+
+
+def test_fields_that_were_lost_are_named(spark):
+    found = message_errors(messages(
+        spark, FULL, '{"id":"a","value":"0.5","datetime":"nope","unit":null}', '{"id":["a"],"value":[1]}', "broken", "{}"),
+        MEASUREMENTS).select("field", "message").collect()
+    assert sorted((r["field"], r["message"][:10]) for r in found) == [
+        ("datetime", '{"id":"a",'), ("value", '{"id":"a",'), ("value", '{"id":["a"')]

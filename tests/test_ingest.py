@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugewright.operators.decode import accepted, decode
 from gaugewright.operators.enrich import stage_scale_table
-from gaugewright.operators.unnest import matching, measurement_items
+from gaugewright.operators.unnest import field_errors, matching, measurement_items
 from gaugewright.plans.ingest import (
     measurement_messages,
     measurement_output,
@@ -22,6 +22,7 @@ from gaugewright.plans.views import latest_stations
 from gaugewright.schemas import STATIONS
 from gaugewright.sources.documents import (
     parse_documents,
+    parse_stage_scales,
     read_documents,
     read_items,
     read_stage_scales,
@@ -37,6 +38,7 @@ NO_SCALE = {"RLOIid": "3", "stageScale": "nope", "measures": [{"@id": "q"}]}
 NO_LIST = {"RLOIid": "4", "stageScale": "u1"}
 NO_LINK = {"RLOIid": "5", "measures": [{"@id": "q"}]}
 AGAIN = {"RLOIid": "1", "stageScale": "u2", "measures": [{"@id": "m9"}]}
+from tests.conftest import plan
 
 
 def documents(spark, *documents):
@@ -209,11 +211,15 @@ def test_landed_items_one_per_line(spark, tmp_path):
     rows = measurement_rows(read_items(spark, str(tmp_path))).collect()
     assert sorted(r["id"] for r in rows) == ["a", "b", "c"]
     assert {r["raw"] for r in rows} == set(lines)
+    (tmp_path / "items.json").write_text('{"@id":"a","latestReading":{"value":NaN,"x":[-Infinity]}}\n')
+    items = measurement_items(read_items(spark, str(tmp_path)))
+    assert [r["value"] for r in measurement_rows(read_items(spark, str(tmp_path))).collect()] == [None]
+    assert field_errors(items).count() == 0
 
 
 GOOD = {"@id": "a", "latestReading": {"value": 1.0}}
 BAD_ITEMS = ['"junk"', "5", "null", '{"@id":"b","latestReading":"oops"}',
-             '{"@id":"b","latestReading":{"value":"high"}}', "[1]"]
+             '{"@id":"b","latestReading":[1]}', "[1]"]
 
 
 @pytest.mark.parametrize("item", BAD_ITEMS)
@@ -264,3 +270,58 @@ def test_latest_fetch_of_a_scale_counts(spark):
         "url string, items struct<typicalRangeHigh double, typicalRangeLow double>, "
         "fetched_at int")
     assert [tuple(r) for r in stage_scale_table(docs).collect()] == [("u1", 9.0, 8.0)]
+
+
+ODD_ITEMS = {
+    '{"@id":"b","latestReading":{"value":[0.1,0.2],"dateTime":"2024-01-01T00:00:00Z"},"unit":"m"}': ("b", None, "m", ["latestReading.value"]),
+    '{"@id":"b","latestReading":{"value":"0.5"},"unit":["m","n"]}': ("b", None, '["m","n"]', ["unit", "latestReading.value"]),
+    '{"@id":7,"latestReading":{"value":{"x":1}},"unit":{"a":1}}': ("7", None, '{"a":1}', ["@id", "unit", "latestReading.value"]),
+    '{"@id":"b","latestReading":{"value":true},"unit":null}': ("b", None, None, ["latestReading.value"]),
+    # Taking the items apart puts the word in quotes.
+    '{"@id":"b","latestReading":{"value":NaN}}': ("b", None, None, ["latestReading.value"]),
+    '{"@id":"b","latestReading":{"value":2},"unit":1.5}': ("b", 2.0, "1.5", ["unit"]),
+    '{"@id":"b","latestReading":{},"extra":[1]}': ("b", None, None, []),
+    '{"@id":"b","latestReading":{"value":1e-7}}': ("b", 1e-7, None, []),
+}
+
+
+@pytest.mark.parametrize("item", ODD_ITEMS)
+@pytest.mark.parametrize("on_bad", ["fail", "keep"])
+def test_a_field_of_another_type_costs_that_field_only(spark, item, on_bad):
+    """As a provider's ``.get`` passes it on, and the typed message makes it NULL or its text."""
+    text = f'{{"items":[{json.dumps(GOOD)},{item}]}}'
+    texts = spark.createDataFrame([(text,)], "document string").withColumn("fetched_at", F.current_timestamp())
+    documents = parse_documents(texts, on_bad=on_bad)
+    name, value, unit, odd = ODD_ITEMS[item]
+    rows = measurement_rows(documents).where("id <> 'a'").collect()
+    assert [(r["id"], r["value"], r["unit"]) for r in rows] == [(name, value, unit)]
+    assert {r["topic"] for r in measurement_output(documents).collect()} == {"measurements"}
+    found = field_errors(measurement_items(documents)).collect()
+    assert sorted(r["field"] for r in found) == sorted(odd) and all(r["item_pos"] == 1 for r in found)
+
+
+def test_odd_station_fields_and_scales(spark):
+    station = {"RLOIid": 12, "label": ["River", "Town"], "lat": "50.1", "long": -1.5, "stageScale": "u",
+               "measures": [{"@id": 5}, {"@id": "m"}, {}]}
+    texts = spark.createDataFrame([(json.dumps({"items": [station]}),)], "document string").withColumn(
+        "fetched_at", F.current_timestamp())
+    scale_texts = spark.createDataFrame(
+        [('{"url":"u","items":{"typicalRangeHigh":[3.1],"typicalRangeLow":0.25}}', 1),
+         ('{"url":"v","items":{"typicalRangeHigh":"3.1"}}', 1)], "document string, fetched_at int")
+    scales = stage_scale_table(parse_stage_scales(scale_texts))
+    assert sorted(map(tuple, scales.collect())) == [("u", None, 0.25), ("v", None, None)]
+    rows = station_rows(parse_documents(texts), scales).collect()
+    assert [(r["rloiid"], r["label"], r["lat"], r["long"], r["measures_id"], r["typicalrangehigh"], r["typicalrangelow"])
+            for r in sorted(rows, key=lambda r: r["measure_pos"])] == [
+        ("12", '["River","Town"]', None, -1.5, m, None, 0.25) for m in ("5", "m", None)]
+    odd = spark.createDataFrame([('{"url":"u","items":[1]}', 1)], "document string, fetched_at int")
+    with pytest.raises(JOB_ERRORS, match="malformed stage scale"):
+        parse_stage_scales(odd).collect()
+
+
+def test_items_are_parsed_once(spark):
+    """Only a generator parses; fields and filters read its value."""
+    texts = spark.createDataFrame([('{"items":[]}',)], "document string").withColumn("fetched_at", F.current_timestamp())
+    for rows in (measurement_rows(parse_documents(texts)), measurement_output(parse_documents(texts, on_bad="keep"))):
+        lines = [line for line in plan(rows).splitlines() if "parse_json" in line.lower() or "parsejson" in line.lower()]
+        assert lines and all(line.startswith("Arguments: inline(") or line.startswith("+- ") for line in lines), lines
