@@ -41,6 +41,7 @@ def _reject_reason(value, schema):
         .when(value.isNull() | (F.trim(value) == ""), F.lit("empty message"))
         .when(F.col(CORRUPT).isNull(), F.lit("no known field"))
         # Only messages with an unreadable field and no readable one come here.
+        .when(~F.ltrim(value).startswith("{"), F.lit("malformed message"))
         .when(is_object(parse_variant(value)), F.lit("no readable field"))
         .otherwise(F.lit("malformed message"))
     )
