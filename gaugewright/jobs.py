@@ -11,7 +11,9 @@
     metrics --history DIR | --state DIR --output DIR
     snapshot --history DIR --output DIR [--snapshot DIR]
     status --history DIR --output DIR [--snapshot DIR]
+    refresh --history DIR --view DIR
     status --state DIR --output DIR
+    status --view DIR --output DIR
     status --database NAME --output DIR
     status --jdbc-url URL --jdbc-driver CLASS --output DIR
     views --database NAME
@@ -27,6 +29,7 @@ import os
 from gaugewright.operators.latest import latest_by_key
 from gaugewright.plans.current import current_rows, two_pass_by_date, write_snapshot
 from gaugewright.plans.ingest import measurement_output, station_output
+from gaugewright.plans.maintained import BUCKETS, COMPACT_EVERY as COMPACT_REFRESHES, JoinedView
 from gaugewright.plans.scales import StageScales
 from gaugewright.plans.status import map_rows
 from gaugewright.plans.views import create_views, join_current, stations_measurements
@@ -132,11 +135,18 @@ def _arguments(argv):
     logs.add_argument("--state")
     metrics.add_argument("--output", required=True)
 
+    refresh = jobs.add_parser("refresh", help="keep the joined view up to date")
+    refresh.add_argument("--history", required=True)
+    refresh.add_argument("--view", required=True)
+    refresh.add_argument("--buckets", type=int, default=BUCKETS, help="fixed at the first refresh")
+    refresh.add_argument("--compact-every", type=int, default=COMPACT_REFRESHES, metavar="REFRESHES")
+
     snapshot = jobs.add_parser("snapshot")
     snapshot.add_argument("--history", required=True)
     status = jobs.add_parser("status")
     status.add_argument("--history")
     status.add_argument("--state")
+    status.add_argument("--view", help="folder that the refresh job keeps")
     _database_arguments(status)
     for batch in (snapshot, status):
         batch.add_argument("--output", required=True)
@@ -155,13 +165,13 @@ def _arguments(argv):
 def _check(parser, args):
     """Refuse combinations in which an option would have no effect."""
     if args.job == "status":
-        sources = [s for s in ("history", "state", "database", "jdbc_url") if getattr(args, s)]
+        sources = [s for s in ("history", "state", "view", "database", "jdbc_url") if getattr(args, s)]
         if len(sources) != 1:
-            parser.error("name one of --history, --state, --database, --jdbc-url")
+            parser.error("name one of --history, --state, --view, --database, --jdbc-url")
         if args.snapshot and not args.history:
             parser.error("--snapshot goes with --history")
-        if args.one_pass and args.state:
-            parser.error("--state is read in one pass already")
+        if args.one_pass and (args.state or args.view):
+            parser.error("--state and --view are read in one pass already")
     if args.job == "compact" and args.keep and args.state:
         parser.error("--state always drops what is old")
     if args.job == "ingest":
@@ -264,6 +274,11 @@ def run_metrics(spark, args):
     both[0].unionByName(both[1]).write.mode("overwrite").parquet(args.output)
 
 
+def run_refresh(spark, args):
+    histories = {topic: f"{args.history}/{topic}" for topic in (STATIONS, MEASUREMENTS)}
+    JoinedView(spark, histories, args.view, args.buckets, args.compact_every).refresh()
+
+
 def _form(args):
     return latest_by_key if args.one_pass else two_pass_by_date
 
@@ -276,6 +291,8 @@ def run_snapshot(spark, args):
 
 def _joined(spark, args):
     topics = (STATIONS, MEASUREMENTS)
+    if args.view:
+        return JoinedView(spark, {}, args.view).read()
     if args.state:
         return join_current(*[read_state(spark, f"{args.state}/{t}", t) for t in topics])
     if args.history:
@@ -304,6 +321,7 @@ JOBS = {
     "state": run_state,
     "compact": run_compact,
     "metrics": run_metrics,
+    "refresh": run_refresh,
     "snapshot": run_snapshot,
     "status": run_status,
     "views": run_views,

@@ -43,6 +43,7 @@ from gaugewright.plans.ingest import (
     station_rejects,
     station_rows,
 )
+from gaugewright.plans.maintained import JoinedView
 from gaugewright.plans.status import map_rows, present, station_status
 from gaugewright.plans.views import (
     create_views,
@@ -170,6 +171,29 @@ def status_from_snapshot(spark, sf_dir):
     ]))
 
 
+def status_incremental(spark, sf_dir):
+    """Status from the joined view after four refreshes, with a base between. Stations and measures change in each: a
+    third of the stations come with every refresh, and with the second a third of them under another measure for a time."""
+    base = work_path(spark, "incremental")
+    histories = {topic: f"{base}/{topic}" for topic in (STATIONS, MEASUREMENTS)}
+    sinks = {topic: HistorySink(path, topic) for topic, path in histories.items()}
+    view = JoinedView(spark, histories, f"{base}/view", buckets=8, compact_every=3)
+    stations = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
+    part = F.pmod(F.xxhash64(F.get_json_object("value", "$.rloiid")), F.lit(3))
+    # Stamped long before the rest, whatever epoch it comes in.
+    elsewhere = stations.select("key", F.regexp_replace(
+        F.regexp_replace("value", '"last_update":"2024', '"last_update":"2020'),
+        '"measures_id":"measure/[^"]*"', '"measures_id":"measure/1"').alias("value"))
+    for epoch, messages in enumerate(_measurement_batches(spark, sf_dir)):
+        moved = elsewhere.where(part == (epoch + 1) % 3) if epoch < 2 else elsewhere.where(part < 0)
+        sinks[STATIONS](stations.where(part == epoch).unionByName(moved), "load", epoch)
+        sinks[MEASUREMENTS](messages, "load", epoch)
+        view.refresh()
+    sinks[STATIONS](elsewhere, "load", 3)
+    view.refresh()
+    return map_rows(view.read())
+
+
 def history_compacted(spark, sf_dir):
     """Status from a compacted generation and two epochs written after it."""
     base = work_path(spark, "compacted")
@@ -567,6 +591,7 @@ QUERIES = {
     "documents_to_status": documents_to_status,
     "status_from_snapshot": status_from_snapshot,
     "history_compacted": history_compacted,
+    "status_incremental": status_incremental,
     "landed_documents": landed_documents,
     "document_rejects": document_rejects,
     "landed_items": landed_items,

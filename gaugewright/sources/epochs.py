@@ -51,6 +51,11 @@ def folder_names(spark, path):
     return _names(spark, path, True)
 
 
+def file_names(spark, path):
+    """Names of the files in ``path``; none where it does not exist."""
+    return _names(spark, path, False)
+
+
 def files_below(spark, path):
     """{file: (size, modification time)} of all files in a folder; none where it does not exist."""
     files, target = _file_system(spark, path)
@@ -214,7 +219,7 @@ def write_epochs(spark, epochs, path):
 
 def generations(spark, path):
     """Numbers of the whole generations, in order."""
-    names = _names(spark, f"{path}/{RECORDS}", False)
+    names = file_names(spark, f"{path}/{RECORDS}")
     return sorted(int(n[len("generation="):-len(".json")]) for n in names if n.startswith("generation="))
 
 
@@ -230,7 +235,7 @@ def _recorded(spark, path):
     """All (run, epoch) pairs with a record."""
     found = set()
     for run in (n.partition("=")[2] for n in folder_names(spark, f"{path}/{RECORDS}") if n.startswith("run=")):
-        for name in _names(spark, f"{path}/{RECORDS}/run={run}", False):
+        for name in file_names(spark, f"{path}/{RECORDS}/run={run}"):
             if name.startswith("epoch="):
                 found.add((run, int(name[len("epoch="):-len(".json")])))
     return found

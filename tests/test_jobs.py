@@ -45,12 +45,13 @@ def test_documents_to_status_by_jobs(spark, tmp_path):
     run("views", "--database", "jobs_levels")
     assert spark.table("jobs_levels.stationsmeasurements").count() == 1
     run("compact", "--history", tmp_path / "history")
+    run("refresh", "--history", tmp_path / "history", "--view", tmp_path / "view")
     run("metrics", "--history", tmp_path / "history", "--output", tmp_path / "metrics")
     run("compact", "--state", tmp_path / "state")
     for source in (["--history", tmp_path / "history"],
                    ["--history", tmp_path / "history", "--one-pass"],
                    ["--history", tmp_path / "history", "--snapshot", tmp_path / "snapshot"],
-                   ["--state", tmp_path / "state"], ["--database", "jobs_levels"]):
+                   ["--state", tmp_path / "state"], ["--view", tmp_path / "view"], ["--database", "jobs_levels"]):
         run("status", *source, "--output", tmp_path / "out")
         [row] = spark.read.parquet(str(tmp_path / "out")).collect()
         assert row["station_name"] == "One" and row["color"] == [0, 51, 255]
