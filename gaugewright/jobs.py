@@ -6,7 +6,7 @@
     consume --topics kafka:HOST:9092 --checkpoint DIR --rejects DIR --jdbc-url URL --jdbc-driver CLASS
     consume --topics kafka:HOST:9092 --checkpoint DIR --rejects DIR --keyspace NAME
     consume --topics kafka:HOST:9092 --checkpoint DIR --rejects DIR --database NAME
-    state --topics kafka:HOST:9092 --checkpoint DIR --state DIR --partitions N
+    state --topics kafka:HOST:9092 --checkpoint DIR [--state DIR] --partitions N
     compact --history DIR | --state DIR
     metrics --history DIR | --state DIR --output DIR
     snapshot --history DIR --output DIR [--snapshot DIR]
@@ -14,6 +14,7 @@
     refresh --history DIR --view DIR
     status --state DIR --output DIR
     status --view DIR --output DIR
+    status --checkpoint DIR --output DIR
     status --database NAME --output DIR
     status --jdbc-url URL --jdbc-driver CLASS --output DIR
     views --database NAME
@@ -51,7 +52,13 @@ from gaugewright.streaming.consume import (
     to_topics,
 )
 from gaugewright.streaming.progress import BatchLog
-from gaugewright.streaming.state import COMPACT_EVERY, compact_state, read_state, start_latest_state
+from gaugewright.streaming.state import (
+    COMPACT_EVERY,
+    compact_state,
+    read_checkpoint,
+    read_state,
+    start_latest_state,
+)
 
 
 def _topics(text):
@@ -106,9 +113,9 @@ def _arguments(argv):
     _database_arguments(consumer)
 
     state = jobs.add_parser("state")
-    state.add_argument("--state", required=True)
+    state.add_argument("--state", help="folder of a change log; without it the checkpoint alone holds the state")
     state.add_argument("--partitions", type=int, help="fixed at the first start")
-    state.add_argument("--compact-every", type=int, default=COMPACT_EVERY, metavar="EPOCHS")
+    state.add_argument("--compact-every", type=int, metavar="EPOCHS", help=f"of the change log; {COMPACT_EVERY}")
 
     for streaming in (ingest, consumer, state):
         streaming.add_argument("--topics", type=_topics, required=True)
@@ -146,6 +153,7 @@ def _arguments(argv):
     status = jobs.add_parser("status")
     status.add_argument("--history")
     status.add_argument("--state")
+    status.add_argument("--checkpoint", help="of the state job")
     status.add_argument("--view", help="folder that the refresh job keeps")
     _database_arguments(status)
     for batch in (snapshot, status):
@@ -165,13 +173,16 @@ def _arguments(argv):
 def _check(parser, args):
     """Refuse combinations in which an option would have no effect."""
     if args.job == "status":
-        sources = [s for s in ("history", "state", "view", "database", "jdbc_url") if getattr(args, s)]
+        sources = [s for s in ("history", "state", "view", "checkpoint", "database", "jdbc_url")
+                   if getattr(args, s)]
         if len(sources) != 1:
-            parser.error("name one of --history, --state, --view, --database, --jdbc-url")
+            parser.error("name one of --history, --state, --view, --checkpoint, --database, --jdbc-url")
         if args.snapshot and not args.history:
             parser.error("--snapshot goes with --history")
-        if args.one_pass and (args.state or args.view):
-            parser.error("--state and --view are read in one pass already")
+        if args.one_pass and (args.state or args.view or args.checkpoint):
+            parser.error("--state, --view and --checkpoint are read in one pass already")
+    if args.job == "state" and args.compact_every and not args.state:
+        parser.error("--compact-every is for the change log of --state")
     if args.job == "compact" and args.keep and args.state:
         parser.error("--state always drops what is old")
     if args.job == "ingest":
@@ -254,9 +265,9 @@ def run_consume(spark, args):
 
 def run_state(spark, args):
     await_all([
-        start_latest_state(spark, args.topics, topic, f"{args.state}/{topic}",
+        start_latest_state(spark, args.topics, topic, args.state and f"{args.state}/{topic}",
                            f"{args.checkpoint}/{topic}", args.trigger, args.available_now,
-                           args.partitions, args.compact_every)
+                           args.partitions, args.compact_every or COMPACT_EVERY)
         for topic in (STATIONS, MEASUREMENTS)
     ])
 
@@ -293,6 +304,8 @@ def _joined(spark, args):
     topics = (STATIONS, MEASUREMENTS)
     if args.view:
         return JoinedView(spark, {}, args.view).read()
+    if args.checkpoint:
+        return join_current(*[read_checkpoint(spark, f"{args.checkpoint}/{t}", t) for t in topics])
     if args.state:
         return join_current(*[read_state(spark, f"{args.state}/{t}", t) for t in topics])
     if args.history:

@@ -351,6 +351,7 @@ ORACLES = {
     "latest_state_stream": _DOCUMENT_LATEST,
     "status_stream": _DOCUMENT_STATUS,
     "status_from_state": _DOCUMENT_STATUS,
+    "status_from_checkpoint": _DOCUMENT_STATUS,
     "status_from_snapshot": _DOCUMENT_STATUS,
     "history_compacted": _DOCUMENT_STATUS,
     "status_incremental": _DOCUMENT_STATUS,

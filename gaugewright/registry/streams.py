@@ -30,7 +30,7 @@ from gaugewright.sources.epochs import read_metrics
 from gaugewright.sources.history import read_history, read_rejects
 from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, start_topics, to_topics
-from gaugewright.streaming.state import read_state, start_latest_state
+from gaugewright.streaming.state import read_checkpoint, read_state, start_latest_state
 
 # Each topic is written as this many files, and a micro-batch takes one.
 BATCHES = 5
@@ -136,6 +136,20 @@ def status_from_state(spark, sf_dir):
     ]))
 
 
+def status_from_checkpoint(spark, sf_dir):
+    """The same without a change log: both topics' rows are read out of the queries' state."""
+    base = work_path(spark, "checkpoint-status")
+    topics = _topics(spark, sf_dir, base, STATIONS, MEASUREMENTS)
+    wanted = (STATIONS, MEASUREMENTS)
+    await_all([
+        start_latest_state(spark, topics, topic, None, f"{base}/checkpoints/{topic}", available_now=True)
+        for topic in wanted
+    ])
+    return map_rows(join_current(*[
+        read_checkpoint(spark, f"{base}/checkpoints/{topic}", topic) for topic in wanted
+    ]))
+
+
 def status_stream(spark, sf_dir):
     """Both topics consumed side by side, then the status of every station."""
     base = work_path(spark, "status-stream")
@@ -184,6 +198,7 @@ QUERIES = {
     "latest_measurements_stream": latest_measurements_stream,
     "latest_state_stream": latest_state_stream,
     "status_from_state": status_from_state,
+    "status_from_checkpoint": status_from_checkpoint,
     "status_stream": status_stream,
     "rejects_stream": rejects_stream,
     "batch_metrics": batch_metrics,

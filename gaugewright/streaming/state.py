@@ -1,5 +1,7 @@
 """Current state kept by a stream, so that a reader need not scan the history."""
 
+from pyspark.sql import functions as F
+
 from gaugewright.operators.decode import accepted, decode
 from gaugewright.operators.latest import latest_by_key
 from gaugewright.schemas import TOPIC_KEYS, table_schema
@@ -19,7 +21,8 @@ def latest_state(messages, topic):
 
 def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
                        available_now=False, partitions=None, compact_every=COMPACT_EVERY):
-    """Write the keys that changed in each batch to a replay-safe change log.
+    """Write the keys that changed in each batch to a replay-safe change log. Without a ``path`` the state itself is all
+    there is, to be read by ``read_checkpoint``.
 
     The query runs in a session of its own, whose state is kept on disk by RocksDB. The
     number of state ``partitions`` is fixed at the first start; on a cluster, where executors
@@ -47,13 +50,32 @@ def start_latest_state(spark, topics, topic, path, checkpoint, trigger=TRIGGER,
         .writeStream.queryName(f"{topic}_state")
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(save)
     )
+    writer = writer.foreachBatch(save) if path else writer.format("noop")
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=trigger).start()
 
 
+def read_checkpoint(spark, checkpoint, topic, batch=None):
+    """The current row per key straight out of a query's state, as its last finished batch, or ``batch``, left it.
+
+    Each of the state's partitions is read by a task of its own; nothing is sorted or shuffled, and the query may
+    run on. A checkpoint that holds no state of this topic is an error.
+    """
+    reader = spark.read.format("statestore")
+    if batch is not None:
+        reader = reader.option("batchId", str(batch))
+    state = reader.load(checkpoint)
+    key, names = TOPIC_KEYS[topic], table_schema(topic).names
+    # The aggregate keeps the row, then what it is ordered by.
+    held = state.schema["value"].dataType.fields[0]
+    found = {*state.schema["key"].dataType.names, *getattr(held.dataType, "names", ())}
+    if found != set(names):
+        raise ValueError(f"{checkpoint} holds no current rows of {topic}: its state has {sorted(found)}")
+    return state.select(*[F.col(f"key.{n}") if n == key else F.col(f"value.{held.name}.{n}") for n in names])
+
+
 def read_changes(spark, path, topic, log=None):
     """The change log: its last generation and the epochs since."""
     return read_log(spark, log or open_log(spark, path), table_schema(topic))

@@ -51,7 +51,7 @@ def test_documents_to_status_by_jobs(spark, tmp_path):
     for source in (["--history", tmp_path / "history"],
                    ["--history", tmp_path / "history", "--one-pass"],
                    ["--history", tmp_path / "history", "--snapshot", tmp_path / "snapshot"],
-                   ["--state", tmp_path / "state"], ["--view", tmp_path / "view"], ["--database", "jobs_levels"]):
+                   ["--state", tmp_path / "state"], ["--checkpoint", tmp_path / "c4"], ["--view", tmp_path / "view"], ["--database", "jobs_levels"]):
         run("status", *source, "--output", tmp_path / "out")
         [row] = spark.read.parquet(str(tmp_path / "out")).collect()
         assert row["station_name"] == "One" and row["color"] == [0, 51, 255]

@@ -19,7 +19,10 @@ from gaugewright.sources.history import read_dated, read_history, read_rejects,
 from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, fan_out, start_topics
 from gaugewright.streaming.progress import BatchLog
-from gaugewright.streaming.state import compact_state, read_changes, read_state, start_latest_state
+from gaugewright.streaming.state import (
+    compact_state, read_changes, read_checkpoint, read_state, start_latest_state,
+)
+from tests.conftest import plan
 
 
 def message(key, value, minute=0):
@@ -191,6 +194,32 @@ def test_state_follows_out_of_order_and_tied_messages_over_restarts(spark, place
     assert run() == [("a", 3.0), ("b", 5.0)]
 
 
+def test_state_is_read_out_of_the_checkpoint(spark, place):
+    checkpoint = str(place.path / "state-checkpoint")
+
+    def run():
+        await_all([start_latest_state(spark, place.topics, MEASUREMENTS, None, checkpoint, available_now=True)])
+        return sorted((r["id"], r["value"]) for r in read_checkpoint(spark, checkpoint, MEASUREMENTS).collect())
+
+    send(spark, place.topics, message("a", 1.0, 5), message("b", 1.0, 5))
+    send(spark, place.topics, message("a", 2.0, 3))
+    assert run() == [("a", 1.0), ("b", 1.0)]
+    send(spark, place.topics, message("a", 3.0, 7), message("c", 1.0, 5), "broken")
+    assert run() == [("a", 3.0), ("b", 1.0), ("c", 1.0)]
+    rows = read_checkpoint(spark, checkpoint, MEASUREMENTS)
+    assert rows.schema.names == table_schema(MEASUREMENTS).names
+    assert [f.dataType for f in rows.schema] == [f.dataType for f in table_schema(MEASUREMENTS)]
+    place.run(spark)
+    whole = latest_by_key(read_history(spark, place.history, MEASUREMENTS), "id", "last_update", ["sequence", "pk_id"], rows.columns)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, whole.collect()))
+    earlier = read_checkpoint(spark, checkpoint, MEASUREMENTS, batch=0)
+    assert sorted((r["id"], r["value"]) for r in earlier.collect()) == [("a", 1.0), ("b", 1.0)]
+    text = plan(rows)
+    assert "Exchange" not in text and "Sort" not in text
+    with pytest.raises(ValueError, match="no current rows of stations"):
+        read_checkpoint(spark, checkpoint, STATIONS)
+
+
 def test_the_state_log_stays_as_short_as_its_keys(spark, place):
     state, checkpoint = str(place.path / "state"), str(place.path / "state-checkpoint")
     for minute in range(12):
