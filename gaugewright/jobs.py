@@ -60,6 +60,10 @@ from gaugewright.streaming.state import (
     start_latest_state,
 )
 
+# What a batch of ingest takes at most, unless told otherwise: the first one meets the whole landing folder.
+MAX_BATCH = "100g"
+UNITS = {"k": 10, "m": 20, "g": 30, "t": 40}
+
 
 def _topics(text):
     kind, _, place = text.partition(":")
@@ -68,6 +72,16 @@ def _topics(text):
     raise argparse.ArgumentTypeError("topics are kafka:SERVERS or file:FOLDER")
 
 
+def _bytes(text):
+    """Spark takes a plain number here."""
+    number, unit = text[:-1], text[-1:].lower()
+    if unit in UNITS and number.isdigit():
+        return int(number) << UNITS[unit]
+    if text.isdigit():
+        return int(text)
+    raise argparse.ArgumentTypeError("sizes are numbers, with k, m, g or t behind them or not")
+
+
 def _pair(text):
     name, sign, value = text.partition("=")
     if not sign or not name:
@@ -104,7 +118,7 @@ def _arguments(argv):
                         help="send bad documents and items to the rejects topic instead of failing")
     bound = ingest.add_mutually_exclusive_group()
     bound.add_argument("--max-files", type=int, help="of a batch")
-    bound.add_argument("--max-bytes", help="of a batch, such as 10g")
+    bound.add_argument("--max-bytes", type=_bytes, help=f"of a batch, such as 10g; {MAX_BATCH} if no bound is given")
 
     consumer = jobs.add_parser("consume")
     consumer.add_argument("--history")
@@ -232,6 +246,8 @@ def _sink(args, topic):
 
 def _documents(spark, args):
     on_bad = "keep" if args.keep_bad else "fail"
+    if not args.max_files and not args.max_bytes:
+        args.max_bytes = _bytes(MAX_BATCH)
     bounds = {"maxFilesPerTrigger": args.max_files, "maxBytesPerTrigger": args.max_bytes}
     options = {name: str(value) for name, value in bounds.items() if value}
     if args.items:
@@ -246,12 +262,12 @@ def run_ingest(spark, args):
         scales = StageScales(spark, args.stage_scales, f"{args.checkpoint}/stage-scales",
                              multi_line=not (args.lines or args.items), fetched_at=args.scales_fetched_at)
 
-    def output(batch):
+    def output(batch, found=None):
         if args.topic == MEASUREMENTS:
             return measurement_output(batch, wanted, args.key)
-        return station_output(batch, scales.current(), wanted, args.key, args.strict)
+        return station_output(batch, found, wanted, args.key, args.strict)
 
-    await_all([consume(_documents(spark, args), args.topic, to_topics(args.topics, output),
+    await_all([consume(_documents(spark, args), args.topic, to_topics(args.topics, output, scales),
                        args.checkpoint, args.trigger, args.available_now)])
 
 

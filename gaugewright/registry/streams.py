@@ -77,8 +77,6 @@ def station_ingest_stream(spark, sf_dir):
     scales that are there, of which only the new files are read."""
     base = work_path(spark, "station-ingest")
     topics = FileTopics(f"{base}/topics")
-    scales = StageScales(spark, f"{base}/scales", f"{base}/table", multi_line=False, fetched_at="fetched")
-    sink = to_topics(topics, lambda batch: station_output(batch, scales.current()))
     for part in range(3):
         nation = F.col("nation") % 3 == part
         stage_scale_lines(spark, sf_dir).where(nation).select("value").write.mode("append").text(
@@ -87,6 +85,9 @@ def station_ingest_stream(spark, sf_dir):
             f"{base}/landing")
         documents = read_documents(
             spark, f"{base}/landing", stream=True, multi_line=False, fetched_at="fetched")
+        # As a new process would: what it has seen is in the table's folder.
+        scales = StageScales(spark, f"{base}/scales", f"{base}/table", multi_line=False, fetched_at="fetched")
+        sink = to_topics(topics, station_output, scales)
         await_all([consume(documents, "station-ingest", sink, f"{base}/checkpoint",
                            available_now=True)])
     return topics.read(spark, STATIONS).withColumn("topic", F.lit(STATIONS)).unionByName(

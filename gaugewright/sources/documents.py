@@ -64,10 +64,10 @@ def read_items(spark, path, stream=False, on_bad="fail", fetched_at=None, option
     return lines.select(F.array("value").alias("items"), stamped.alias("fetched_at"), *kept)
 
 
-def read_stage_scales(spark, path, multi_line=True, on_bad="fail", fetched_at=None, options=None):
+def read_stage_scales(spark, path, multi_line=True, on_bad="fail", fetched_at=None, options=None, stream=False):
     """Stage-scale documents, landed with their ``url``; ``path`` may be a list of files.
     ``fetched_at`` is as for documents."""
-    documents = _read(spark, path, STAGE_SCALE_TEXT, False, multi_line, on_bad, fetched_at, options)
+    documents = _read(spark, path, STAGE_SCALE_TEXT, stream, multi_line, on_bad, fetched_at, options)
     return _with_scale(documents, on_bad)
 
 

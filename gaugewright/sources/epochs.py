@@ -80,6 +80,18 @@ def delete_folder(spark, path):
     files.delete(target, True)
 
 
+def move_file(spark, source, target):
+    """Rename a file; nothing to do if that was done before."""
+    files, old = _file_system(spark, source)
+    new = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if files.exists(old):
+        files.mkdirs(new.getParent())
+        if not files.rename(old, new) and not files.exists(new):
+            raise OSError(f"could not move {source} to {target}")
+    elif not files.exists(new):
+        raise FileNotFoundError(f"neither {source} nor {target} is there")
+
+
 # Records -----------------------------------------------------------------------------------
 
 def publish(spark, path, content):

@@ -4,6 +4,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
 
+from gaugewright.sources.epochs import delete_folder, move_file, read_json, record_path, write_epoch
+
 KAFKA_STARTING_OFFSETS = "earliest"
 
 
@@ -52,10 +54,22 @@ class KafkaTopics:
             .options(**self.write_options()).save()
         )
 
+    def write_epoch(self, messages, run, epoch):
+        """A broker takes a replayed batch again; the views hide what it repeats."""
+        self.write_all(messages)
+
 
 @dataclass(frozen=True)
 class FileTopics:
-    """Topics as folders of Parquet files under ``path``; each write adds files."""
+    """Topics as folders of Parquet files under ``path``; each write adds files.
+
+    A batch is written aside and recorded, then its files are renamed into their topics under names that come from
+    the batch. So a replayed batch only moves what is left to move, and readers meet each message once:
+
+        path/topic=<t>/<run>-<epoch>-<n>.parquet             what readers see
+        path/_batches/run=<query>/epoch=<n>/attempt=<id>/    files of attempts, before they are moved
+        path/_batches/_records/run=<query>/epoch=<n>.json    the attempt that counts, and its files
+    """
 
     path: str
     max_files: int | None = None
@@ -84,3 +98,15 @@ class FileTopics:
             messages.select("topic", "key", "value").write.mode("append")
             .partitionBy("topic").parquet(self.path)
         )
+
+    def write_epoch(self, messages, run, epoch):
+        """Each message of a batch goes to the topic it names, once, however often the batch is replayed."""
+        spark, batches = messages.sparkSession, f"{self.path}/_batches"
+        write_epoch(messages.select("topic", "key", "value"), batches, run, epoch, ("topic",))
+        for number, (name, _) in enumerate(read_json(spark, record_path(batches, run, epoch))["files"]):
+            [topic] = [part for part in name.split("/") if part.startswith("topic=")]
+            move_file(spark, f"{batches}/{name}", f"{self.path}/{topic}/{run}-{epoch}-{number:05d}.parquet")
+        # The record stays; of the batch before, which is done, nothing is needed any more.
+        if epoch > 0:
+            delete_folder(spark, f"{batches}/run={run}/epoch={epoch - 1}")
+            delete_folder(spark, record_path(batches, run, epoch - 1))

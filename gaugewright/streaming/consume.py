@@ -26,10 +26,15 @@ def fan_out(*sinks):
     return save
 
 
-def to_topics(topics, output):
+def to_topics(topics, output, scales=None):
     """Sink for a stream of documents: ``output`` turns a batch of them into messages that
-    name their topic. A replayed batch sends its messages again, with the same stamps."""
-    return lambda documents, run, epoch: topics.write_all(output(documents))
+    name their topic, with the stage scales that the batch is joined with, if there are any. A replayed batch has
+    the same stamps and the same scales; file topics take it once, a broker again."""
+    def save(documents, run, epoch):
+        messages = output(documents, scales.current(run, epoch)) if scales else output(documents)
+        topics.write_epoch(messages, run, epoch)
+
+    return save
 
 
 def consume(messages, topic, sink, checkpoint, trigger=TRIGGER, available_now=False, name=None):

@@ -5,7 +5,7 @@ from pyspark.errors import StreamingQueryException
 
 from gaugewright.jobs import _arguments, main
 from gaugewright.plans.scales import StageScales
-from gaugewright.sources.epochs import files_below
+from gaugewright.sources import topics as topics_module
 from gaugewright.sources.topics import FileTopics
 
 
@@ -128,23 +128,112 @@ def test_stage_scales_arrive_between_batches(spark, tmp_path):
         main([*words, "--strict"], spark)
 
 
-def test_only_new_scale_files_are_read(spark, tmp_path):
+def highs_of(rows):
+    return sorted(r["high"] for r in rows.collect())
+
+
+def test_only_new_scale_files_are_read_also_by_a_new_process(spark, tmp_path):
+    def scales():
+        return StageScales(spark, str(tmp_path / "scales"), str(tmp_path / "table"))
+
     land(tmp_path / "scales", "1.json", {"url": "u", "items": {"typicalRangeHigh": 1.0}})
-    scales = StageScales(spark, str(tmp_path / "scales"), str(tmp_path / "table"))
-    assert [r["high"] for r in scales.current().collect()] == [1.0]
-    assert scales.version == 1
+    assert highs_of(scales().current()) == [1.0]
     (tmp_path / "scales" / "1.json").write_text("broken")
-    files, scales.seen = dict(scales.seen), files_below(spark, str(tmp_path / "scales"))
-    assert [r["high"] for r in scales.current().collect()] == [1.0] and scales.version == 1
+    assert highs_of(scales().current()) == [1.0] and scales().last()["number"] == 0
     for n in (2, 3, 4):
         land(tmp_path / "scales", f"{n}.json", {"url": f"u{n}", "items": {"typicalRangeHigh": float(n)}})
-        assert sorted(r["high"] for r in scales.current().collect()) == [1.0, *map(float, range(2, n + 1))]
-    assert len(list((tmp_path / "table").iterdir())) == 2 and files
+        assert highs_of(scales().current()) == [1.0, *map(float, range(2, n + 1))]
+    assert len(list((tmp_path / "table").glob("version=*"))) == 2
+    assert len(list((tmp_path / "table").glob("log/run=*/epoch=*"))) <= 3
     empty = StageScales(spark, str(tmp_path / "nothing"), str(tmp_path / "none"))
-    assert empty.current().collect() == []
+    assert empty.current().collect() == [] and empty.current("r", 0).collect() == []
+
+
+def test_a_replayed_batch_is_joined_with_the_scales_it_saw(spark, tmp_path):
+    def scales():
+        return StageScales(spark, str(tmp_path / "scales"), str(tmp_path / "table"), fetched_at="at")
+
+    def land_scale(n):
+        land(tmp_path / "scales", f"{n}.json",
+             {"url": "u", "items": {"typicalRangeHigh": float(n)}, "at": f"2024-01-0{n} 00:00:00"})
+
+    land_scale(1)
+    assert highs_of(scales().current("r", 0)) == [1.0]
+    land_scale(2)
+    assert highs_of(scales().current("r", 0)) == [1.0]
+    assert highs_of(scales().current("r", 1)) == [2.0]
+    land_scale(3)
+    assert highs_of(scales().current("other", 0)) == [3.0]
+    assert highs_of(scales().current("r", 1)) == [2.0]
+    land_scale(4)
+    assert highs_of(scales().current("r", 2)) == [4.0]
+
+
+def test_a_crash_anywhere_in_ingest_leaves_no_message_twice(spark, tmp_path, monkeypatch):
+    """Between the files and their record, between the record and the move, within the move, and before the commit."""
+    for n in (1, 2):
+        land(tmp_path / "stations", f"{n}.json", {"items": [
+            {"RLOIid": f"s{n}", "stageScale": "u", "measures": [{"@id": "a"}]}, {"RLOIid": "bad", "stageScale": "u"}],
+            "at": "2024-01-01 00:00:00"})
+    land(tmp_path / "scales", "1.json",
+         {"url": "u", "items": {"typicalRangeHigh": 1.0}, "at": "2024-01-01 00:00:00"})
+    words = ["ingest", "stations", "--documents", f"{tmp_path}/stations", "--stage-scales", f"{tmp_path}/scales",
+             "--topics", f"file:{tmp_path}/topics", "--checkpoint", f"{tmp_path}/c", "--available-now",
+             "--fetched-at", "at", "--scales-fetched-at", "at"]
+    topics = FileTopics(f"{tmp_path}/topics")
+
+    def rows():
+        names = [t for t in ("stations", "stations-rejects") if (tmp_path / "topics" / f"topic={t}").exists()]
+        return sorted(json.loads(r["value"]).get("rloiid", "bad") for t in names for r in topics.read(spark, t).collect())
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    def lost_before_record(rows, path, run, epoch, partitions):
+        rows.write.partitionBy(*partitions).parquet(f"{path}/run={run}/epoch={epoch}/attempt=dead")
+        raise RuntimeError("lost")
+
+    real_move, moved = topics_module.move_file, []
+
+    def lost_after_one(*args):
+        if moved:
+            raise RuntimeError("lost")
+        moved.append(real_move(*args))
+
+    real_write = FileTopics.write_epoch
+
+    def lost_after_all(*args):
+        real_write(*args)
+        raise RuntimeError("lost")
+
+    for place, name, crash, seen in (
+            (topics_module, "write_epoch", lost_before_record, 0), (topics_module, "move_file", lost, 0),
+            (topics_module, "move_file", lost_after_one, 1), (FileTopics, "write_epoch", lost_after_all, 4)):
+        monkeypatch.setattr(place, name, crash)
+        with pytest.raises(StreamingQueryException, match="lost"):
+            main(words, spark)
+        monkeypatch.undo()
+        assert len(rows()) == seen
+        # A scale that comes before the replay does not change what it sends.
+        land(tmp_path / "scales", f"{seen}-{name}.json",
+             {"url": "u", "items": {"typicalRangeHigh": 9.0}, "at": "2024-01-09 00:00:00"})
+    main(words, spark)
+    assert rows() == ["bad", "bad", "s1", "s2"]
+    assert {json.loads(r["value"])["typicalrangehigh"] for r in topics.read(spark, "stations").collect()} == {1.0}
+    stream = topics.read_stream(spark, "stations").writeStream.format("memory").queryName("seen").option(
+        "checkpointLocation", f"{tmp_path}/c3").trigger(availableNow=True).start()
+    stream.awaitTermination()
+    assert spark.table("seen").count() == 2
+
+
+def test_sizes():
+    words = ["ingest", "measurements", "--documents", "d", "--topics", "file:x", "--checkpoint", "c", "--max-bytes"]
+    assert [_arguments([*words, size]).max_bytes for size in ("10g", "5K", "77")] == [10 << 30, 5 << 10, 77]
+    assert _arguments(words[:-1]).max_bytes is None
 
 
 WRONG = [
+    "ingest measurements --documents d --topics file:x --checkpoint c --max-bytes 1.5g",
     "consume --topics nowhere --checkpoint c", "consume --topics file:x --checkpoint c",
     "ingest stations --documents d --topics file:x --checkpoint c", "sail",
     "consume --topics file:x --checkpoint c --jdbc-url u",
