@@ -16,7 +16,7 @@
     status --view DIR --output DIR
     status --checkpoint DIR --output DIR
     status --database NAME --output DIR
-    status --jdbc-url URL --jdbc-driver CLASS --output DIR
+    status --jdbc-url URL --jdbc-driver CLASS [--jdbc-view NAME | --jdbc-key-hash SQL] --output DIR
     views --database NAME
 
 A database's user and password are read from JDBC_USER and JDBC_PASSWORD; settings of a
@@ -33,7 +33,7 @@ from gaugewright.plans.ingest import measurement_output, station_output
 from gaugewright.plans.maintained import BUCKETS, COMPACT_EVERY as COMPACT_REFRESHES, JoinedView
 from gaugewright.plans.scales import StageScales
 from gaugewright.plans.status import map_rows
-from gaugewright.plans.views import create_views, join_current, stations_measurements
+from gaugewright.plans.views import JOINED_COLUMNS, create_views, join_current, stations_measurements
 from gaugewright.schemas import MEASUREMENTS, STATIONS, create_tables
 from gaugewright.session import build_session
 from gaugewright.sinks.history import HistorySink, TableSink, compact_history
@@ -41,7 +41,7 @@ from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
 from gaugewright.sources.documents import read_documents, read_items
 from gaugewright.sources.epochs import read_metrics
-from gaugewright.sources.history import read_jdbc
+from gaugewright.sources.history import read_jdbc, read_jdbc_history
 from gaugewright.sources.topics import FileTopics, KafkaTopics
 from gaugewright.streaming.consume import (
     TRIGGER,
@@ -170,6 +170,10 @@ def _arguments(argv):
     status.add_argument("--checkpoint", help="of the state job")
     status.add_argument("--view", help="folder that the refresh job keeps")
     _database_arguments(status)
+    reading = status.add_mutually_exclusive_group()
+    reading.add_argument("--jdbc-view", help="the database's own joined view, read as it is")
+    reading.add_argument("--jdbc-key-hash", metavar="SQL",
+                         help="hash of a text column {key}, to read histories by in parallel; known for PostgreSQL and MySQL")
     for batch in (snapshot, status):
         batch.add_argument("--output", required=True)
         batch.add_argument("--snapshot", help="folder of an earlier snapshot")
@@ -193,8 +197,10 @@ def _check(parser, args):
             parser.error("name one of --history, --state, --view, --checkpoint, --database, --jdbc-url")
         if args.snapshot and not args.history:
             parser.error("--snapshot goes with --history")
-        if args.one_pass and (args.state or args.view or args.checkpoint):
-            parser.error("--state, --view and --checkpoint are read in one pass already")
+        if args.one_pass and not (args.history or args.database):
+            parser.error("only --history and --database can be read in two passes")
+        if (args.jdbc_view or args.jdbc_key_hash) and not args.jdbc_url:
+            parser.error("--jdbc-view and --jdbc-key-hash go with --jdbc-url")
     if args.job == "state" and args.compact_every and not args.state:
         parser.error("--compact-every is for the change log of --state")
     if args.job == "compact" and args.keep and args.state:
@@ -331,7 +337,11 @@ def _joined(spark, args):
     if args.database:
         histories = [spark.table(f"{args.database}.{t}") for t in topics]
     else:
-        histories = [read_jdbc(spark, _jdbc(args), t) for t in topics]
+        if args.jdbc_view:
+            return read_jdbc(spark, _jdbc(args), args.jdbc_view).select(*JOINED_COLUMNS)
+        # One pass: a second one would have the database send its histories again.
+        return stations_measurements(*[
+            read_jdbc_history(spark, _jdbc(args), t, key_hash=args.jdbc_key_hash) for t in topics])
     return stations_measurements(*histories, latest=_form(args))
 
 

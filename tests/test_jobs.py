@@ -244,7 +244,9 @@ WRONG = [
     "status --database d --snapshot x --output o", "status --state s --one-pass --output o",
     "ingest measurements --documents d --topics file:x --checkpoint c --strict",
     "ingest measurements --documents d --topics file:x --checkpoint c --lines --items",
-    "compact --state s --keep", "compact", "metrics --history h",
+    "status --view v --one-pass --output o", "status --history h --jdbc-view x --output o",
+    "status --jdbc-url u --jdbc-view x --jdbc-key-hash h --output o",
+    "state --topics file:x --checkpoint c --compact-every 5", "compact --state s --keep", "compact", "metrics --history h",
 ]
 
 

@@ -16,7 +16,7 @@ from gaugewright.session import clean_work, shared_folder, work_database, work_p
 from gaugewright.sinks.history import TableSink
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
-from gaugewright.sources.history import read_jdbc, read_rejects
+from gaugewright.sources.history import key_conditions, read_jdbc, read_jdbc_history, read_rejects
 from gaugewright.sources.topics import FileTopics, KafkaTopics
 
 TEXT = '{"id":"a","value":0.5,"last_update":"2024-01-01 00:00:00.000000"}'
@@ -47,7 +47,7 @@ def test_jdbc_options_and_rows(spark):
     assert rows.count() == 1 and dict(rows.dtypes)["value"] == "double"
 
 
-def test_jdbc_read_is_split_by_a_column():
+def test_jdbc_reads_are_split():
     class Reader:
         def __init__(self):
             self.read, self.given = self, None
@@ -62,10 +62,23 @@ def test_jdbc_read_is_split_by_a_column():
         def load(self):
             return self.given
 
+        def jdbc(self, url, table, predicates, properties):
+            return {"url": url, "table": table, "predicates": predicates, **properties}
+
     target = JdbcTarget("jdbc:postgresql://db/levels", "org.postgresql.Driver")
     given = read_jdbc(Reader(), target, "measurements", ("PK_ID", 1, 10**9, 64))
     assert given["partitionColumn"] == "PK_ID" and given["numPartitions"] == "64"
     assert "partitionColumn" not in read_jdbc(Reader(), target, "measurements")
+    # A history is split by its key's hash, and never read whole by one task.
+    given = read_jdbc_history(Reader(), target, "measurements", 3)
+    assert given == {
+        "url": target.url, "table": "measurements", "driver": target.driver, "fetchsize": "10000",
+        "predicates": [f'(hashtext("ID") & 2147483647) % 3 = {part}' for part in range(3)]}
+    assert len(read_jdbc_history(Reader(), target, "stations")["predicates"]) == target.connections
+    assert key_conditions("jdbc:mysql://db/x", "id", 1) == ["crc32(`ID`) % 1 = 0"]
+    assert key_conditions("jdbc:other:x", "id", 2, "h({key})") == ["h(ID) % 2 = 0", "h(ID) % 2 = 1"]
+    with pytest.raises(ValueError, match="one task"):
+        key_conditions("jdbc:other:x", "id", 2)
 
 
 def test_wide_column_options_and_rows(spark):
