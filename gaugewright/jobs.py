@@ -28,7 +28,7 @@ import argparse
 import os
 
 from gaugewright.operators.latest import latest_by_key
-from gaugewright.plans.current import current_rows, two_pass_by_date, write_snapshot
+from gaugewright.plans.current import compact_current, current_rows, two_pass_by_date, write_snapshot
 from gaugewright.plans.ingest import measurement_output, station_output
 from gaugewright.plans.maintained import BUCKETS, COMPACT_EVERY as COMPACT_REFRESHES, JoinedView
 from gaugewright.plans.scales import StageScales
@@ -36,7 +36,7 @@ from gaugewright.plans.status import map_rows
 from gaugewright.plans.views import JOINED_COLUMNS, create_views, join_current, stations_measurements
 from gaugewright.schemas import MEASUREMENTS, STATIONS, create_tables
 from gaugewright.session import build_session
-from gaugewright.sinks.history import HistorySink, TableSink, compact_history
+from gaugewright.sinks.history import HistorySink, TableSink
 from gaugewright.sinks.relational import JdbcSink, JdbcTarget
 from gaugewright.sinks.wide_column import KeyspaceTarget, WideColumnSink
 from gaugewright.sources.documents import read_documents, read_items
@@ -147,6 +147,7 @@ def _arguments(argv):
     stored = compact.add_mutually_exclusive_group(required=True)
     stored.add_argument("--history")
     stored.add_argument("--state")
+    compact.add_argument("--buckets", type=int, help="of a history's latest rows; by default as many as shuffle partitions")
     compact.add_argument("--keep", action="store_true",
                          help="do not delete the history epochs that an older generation holds")
 
@@ -203,8 +204,8 @@ def _check(parser, args):
             parser.error("--jdbc-view and --jdbc-key-hash go with --jdbc-url")
     if args.job == "state" and args.compact_every and not args.state:
         parser.error("--compact-every is for the change log of --state")
-    if args.job == "compact" and args.keep and args.state:
-        parser.error("--state always drops what is old")
+    if args.job == "compact" and (args.keep or args.buckets) and args.state:
+        parser.error("--state always drops what is old, and has no buckets")
     if args.job == "ingest":
         if args.topic == STATIONS and not args.stage_scales:
             parser.error("stations need --stage-scales")
@@ -299,7 +300,7 @@ def run_compact(spark, args):
         if args.state:
             compact_state(spark, f"{args.state}/{topic}", topic)
         else:
-            compact_history(spark, f"{args.history}/{topic}", topic, drop=not args.keep)
+            compact_current(spark, f"{args.history}/{topic}", topic, args.buckets, two_pass_by_date, not args.keep)
 
 
 def run_metrics(spark, args):

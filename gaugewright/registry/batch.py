@@ -32,7 +32,7 @@ from gaugewright.operators.unnest import (
     unnest_measures,
     with_reading,
 )
-from gaugewright.plans.current import current_rows, two_pass_by_date, write_snapshot
+from gaugewright.plans.current import compact_current, current_rows, two_pass_by_date, write_snapshot
 from gaugewright.plans.ingest import (
     REJECTS_SUFFIX,
     measurement_messages,
@@ -210,6 +210,19 @@ def history_compacted(spark, sf_dir):
     ]))
 
 
+def status_clustered(spark, sf_dir):
+    """Status from two compactions that keep the latest rows in buckets, and an epoch written after them. The last epochs
+    hold rows stamped before the kept ones."""
+    base = work_path(spark, "clustered")
+    sinks = _history_sinks(spark, sf_dir, base)
+    for epoch, messages in enumerate(_measurement_batches(spark, sf_dir)):
+        sinks[MEASUREMENTS](messages, "load", epoch)
+        if epoch < 2:
+            for topic, sink in sinks.items():
+                compact_current(spark, sink.path, topic, buckets=8, drop=True)
+    return map_rows(join_current(*[current_rows(spark, sink.path, topic) for topic, sink in sinks.items()]))
+
+
 # Sources and ingest --------------------------------------------------------------------
 
 def landed_documents(spark, sf_dir):
@@ -591,6 +604,7 @@ QUERIES = {
     "documents_to_status": documents_to_status,
     "status_from_snapshot": status_from_snapshot,
     "history_compacted": history_compacted,
+    "status_clustered": status_clustered,
     "status_incremental": status_incremental,
     "landed_documents": landed_documents,
     "document_rejects": document_rejects,

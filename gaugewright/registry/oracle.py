@@ -355,6 +355,7 @@ ORACLES = {
     "status_from_snapshot": _DOCUMENT_STATUS,
     "history_compacted": _DOCUMENT_STATUS,
     "status_incremental": _DOCUMENT_STATUS,
+    "status_clustered": _DOCUMENT_STATUS,
     "item_rejects": """SELECT 'measurements' AS topic,
           '{"@id":"m' || event_id || '","latestReading":{"value":' || value || '}}' AS key,
           'm' || event_id AS value FROM events

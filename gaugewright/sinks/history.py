@@ -39,17 +39,17 @@ class HistorySink:
         write_epoch(rows, self.path, run, epoch, PARTITIONS, self.topic)
 
 
-def compact_history(spark, path, topic, layout=RELATIONAL, drop=False):
+def compact_history(spark, path, topic, layout=RELATIONAL, drop=False, latest=None, log=None):
     """Store all epochs so far as one generation: few large files per date instead of many small.
 
     Readers use it at once; nothing is lost, rejects included. ``drop`` deletes what older
-    generations held (see ``drop_held``).
+    generations held (see ``drop_held``). ``latest`` is stored beside it (see ``compact_current``).
     """
-    log = open_log(spark, path)
+    log = log or open_log(spark, path)
     if not log.added:
         return None
     rows = read_stored(spark, path, topic, layout, log).hint("rebalance", "kind", "ingest_date")
-    target = write_generation(spark, log, rows, PARTITIONS)
+    target = write_generation(spark, log, rows, PARTITIONS, latest)
     if drop:
         drop_held(spark, path)
     return target

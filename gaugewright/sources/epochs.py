@@ -4,6 +4,7 @@
     path/_records/run=<query>/epoch=<n>.json         says that the batch is stored: attempt, files, counts
     path/generation=<n>/rows/...                     the rows of many epochs
     path/generation=<n>/records/                     their records, without the files
+    path/generation=<n>/latest/                      the latest row per key of a history, in buckets by key
     path/_records/generation=<n>.json                which epochs, as ranges; makes the generation whole
 
 A record is renamed into place when all files of its attempt are there, so it is whole or absent, and the first one
@@ -22,6 +23,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Observation, functions as F
 
+from gaugewright.sources.clustered import forget_clustered, read_clustered, write_clustered
 from gaugewright.sources.ranges import Epochs
 
 log = logging.getLogger("gaugewright.epochs")
@@ -348,8 +350,11 @@ def read_metrics(spark, path):
 
 # Generations -------------------------------------------------------------------------------
 
-def write_generation(spark, log, rows, partitions=()):
-    """Store ``rows``, made of all of the log, as its next generation."""
+def write_generation(spark, log, rows, partitions=(), latest=None):
+    """Store ``rows``, made of all of the log, as its next generation.
+
+    ``latest`` (rows with one row per key, the key, a number of buckets) is stored beside them, in buckets by key.
+    """
     numbers = [int(n.partition("=")[2]) for n in folder_names(spark, log.path)
                if n.startswith("generation=")]
     number = max(numbers, default=-1) + 1
@@ -361,10 +366,26 @@ def write_generation(spark, log, rows, partitions=()):
     if log.generation:
         records = records.unionByName(spark.read.schema(METRICS).parquet(f"{log.generation}/records"))
     records.coalesce(1).write.mode("errorifexists").parquet(f"{target}/records")
-    publish(spark, _generation_record(log.path, number), {"epochs": log.epochs.to_json(), **dict(seen.get)})
+    content = {"epochs": log.epochs.to_json(), **dict(seen.get)}
+    if latest:
+        current, key, buckets = latest
+        write_clustered(current, f"{target}/latest", key, buckets)
+        content["latest"] = {"key": key, "buckets": buckets}
+    publish(spark, _generation_record(log.path, number), content)
     return target
 
 
+def read_generation_latest(spark, log, schema):
+    """The latest row per key of the log's generation, in buckets; None if it holds none."""
+    if not log.generation:
+        return None
+    number = log.generation.rpartition("=")[2]
+    held = read_json(spark, _generation_record(log.path, number)).get("latest")
+    if not held:
+        return None
+    return read_clustered(spark, f"{log.generation}/latest", schema, held["key"], held["buckets"])
+
+
 def drop_held(spark, path):
     """Delete the generations before the last one, and the epochs that they hold.
 
@@ -377,5 +398,6 @@ def drop_held(spark, path):
         for run, epoch in sorted(p for p in recorded if p in held):
             delete_folder(spark, f"{path}/run={run}/epoch={epoch}")
             delete_folder(spark, record_path(path, run, epoch))
+        forget_clustered(spark, f"{path}/generation={number}/latest")
         delete_folder(spark, f"{path}/generation={number}")
         delete_folder(spark, _generation_record(path, number))

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from gaugewright.functions.times import utc_date
 from gaugewright.operators.decode import decode
 from gaugewright.operators.latest import latest_by_key, latest_by_key_two_pass
-from gaugewright.plans.current import current_rows, two_pass_by_date, write_snapshot
+from gaugewright.plans.current import compact_current, current_rows, two_pass_by_date, write_snapshot
 from gaugewright.plans.views import latest_measurements, stations_measurements
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, table_schema
 from gaugewright.sinks.history import HistorySink, compact_history, rewrite_by_date
+from gaugewright.sources.clustered import forget_clustered
 from gaugewright.sources.epochs import delete_folder, generations, open_log, record_path, write_epoch
 from gaugewright.sources.history import read_dated, read_history, read_rejects, read_stored
 from gaugewright.sources.topics import FileTopics
@@ -339,6 +340,33 @@ def test_a_snapshot_older_than_a_generation_whose_epochs_are_gone(spark, place):
     assert read_rejects(spark, place.history, MEASUREMENTS).count() == 2
 
 
+def test_latest_rows_are_kept_in_buckets(spark, place):
+    """Only the epochs since are moved; the history is not read, and its hot keys are one row each."""
+    for minutes in ((0, 1, 2), (5, 9)):
+        send(spark, place.topics, *[message(k, float(m), m) for m in minutes for k in "abc"], "broken")
+        place.run(spark)
+        compact_current(spark, place.history, MEASUREMENTS, drop=True)
+    send(spark, place.topics, message("a", 1.5, 7), message("b", 11.0, 11), message("d", 4.0, 4))
+    place.run(spark)
+    rows = current_rows(spark, place.history, MEASUREMENTS)
+    assert rows.columns == table_schema(MEASUREMENTS).names
+    want = [("a", 9.0), ("b", 11.0), ("c", 9.0), ("d", 4.0)]
+    assert sorted((r["id"], r["value"]) for r in rows.collect()) == place.latest(spark) == want
+    text = plan(current_rows(spark, place.history, MEASUREMENTS))
+    assert "SelectedBucketsCount: 4 out of 4" in text and "generation=1/rows" not in text
+    # Between the kept rows and the join there is neither an exchange nor an aggregate; the epochs since have both.
+    lines = text[:text.index("\n\n")].splitlines()
+    [kept] = [n for n, line in enumerate(lines) if "gaugewright_clustered" in line]
+    [since] = [n for n, line in enumerate(lines) if "Scan parquet" in line and n != kept]
+    [join] = [n for n, line in enumerate(lines) if "Join" in line]
+    assert join < kept < since
+    assert not any(word in line for line in lines[join:kept] for word in ("Exchange", "Aggregate"))
+    assert all(any(word in line for line in lines[kept:since]) for word in ("Exchange", "Aggregate"))
+    # A reader that does not have the table yet declares it; one that drops it leaves the files.
+    forget_clustered(spark, f"{open_log(spark, place.history).generation}/latest")
+    assert sorted((r["id"], r["value"]) for r in current_rows(spark, place.history, MEASUREMENTS).collect()) == want
+
+
 def test_readers_take_generations_and_only_finished_epochs(spark, place):
     send(spark, place.topics, message("a", 1.0), "broken")
     send(spark, place.topics, message("b", 2.0))
