@@ -7,12 +7,12 @@ in its table. No pair is missed.
 
 Only distinct fingerprints enter the tables. Within a bucket a breadth-first search compares
 fingerprints in blocks and gives one link for each fingerprint it reaches, so a bucket of n gives
-at most n - 1 links, never all pairs. Components come from alternating large-star and
+at most n - 1 links, never all pairs. Crowded buckets are covered again over their free bits. Components come from alternating large-star and
 small-star rounds, each written to the shared folder.
 
 Defined cases: a NULL text counts as empty; texts without a word have fingerprint zero, and link
 like any other. Documents with fewer words than a shingle have one, of all their words.
-Repeated rows share a fingerprint. The component's id is its smallest document id; NULL ids count only
+Long texts are read whole. Repeated rows share a fingerprint. An empty table gives no rows. The component's id is its smallest document id; NULL ids count only
 where a component has no other.
 """
 
@@ -31,6 +31,7 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 BLOCK = 1 << 20  # fingerprint pairs compared at once
+LARGEST_BUCKET = 20_000  # fingerprints that are searched together; more are dealt out over finer tables
 LONG = 1 << 14   # shingles of a text whose bits are counted at once
 
 
@@ -61,15 +62,33 @@ def covering_masks(radius=RADIUS, bits=64, seed=SEED):
 
     Every non-zero vector of radius + 1 bits is dealt out about equally often over the bit positions.
     """
-    vectors = [1 + i % (2 ** (radius + 1) - 1) for i in range(bits)]
+    return _covering(range(bits), radius, seed)
+
+
+def _covering(positions, radius, seed):
+    positions = list(positions)
+    vectors = [1 + i % (2 ** (radius + 1) - 1) for i in range(len(positions))]
     random.Random(seed).shuffle(vectors)
     masks = []
     for v in range(1, 2 ** (radius + 1)):
-        mask = sum(1 << i for i, m in enumerate(vectors) if (m & v).bit_count() % 2)
+        mask = sum(1 << at for at, m in zip(positions, vectors) if (m & v).bit_count() % 2)
         masks.append(mask - (1 << 64) if mask >> 63 else mask)
     return masks
 
 
+def finer_masks(radius=RADIUS, bits=64, seed=SEED):
+    """For every table its finer ones: (table, number, mask). The mask keeps the table's bits and covers its free ones.
+
+    Fingerprints of one bucket that are within the radius differ in free bits only, so they meet in some finer bucket.
+    """
+    out = []
+    for table, mask in enumerate(covering_masks(radius, bits, seed)):
+        free = [i for i in range(bits) if not mask >> i & 1]
+        for finer in _covering(free, radius, seed):
+            out.append((table, len(out), mask | finer))
+    return out
+
+
 def bucket_links(values, radius):
     """Links that connect all fingerprints of a bucket that reach each other, as two arrays.
 
@@ -103,55 +122,90 @@ def bucket_links(values, radius):
     return np.concatenate(sources), np.concatenate(targets)
 
 
-def near_links(fingerprints, radius=RADIUS):
+def near_links(fingerprints, radius=RADIUS, largest=LARGEST_BUCKET):
     """Links (a, b), a > b, that connect all distinct fingerprints within ``radius`` bits.
 
-    ``fingerprints`` has one signed 64-bit column ``fingerprint`` without repeats. Every bucket is
-    searched whole by one task. The fingerprints of a bucket differ from each other, so copies
-    of a text do not enlarge it; but it holds all that agree on its mask's bits, about 32, near each other or not,
-    and has no bound. Texts that share most of a template can make a large one, whose search is quadratic where few
-    are within ``radius``. No link is lost by that, only time and memory.
+    ``fingerprints`` has one signed 64-bit column ``fingerprint`` without repeats. A bucket holds all that agree on its
+    mask's bits, about 32, near each other or not. One of more than ``largest`` is not searched, which would be quadratic,
+    but dealt out again over the finer tables of its free bits, where only those that agree on about 48 bits meet:
+    65,536 at most or so. No link is lost, since the finer tables cover the radius too.
     """
     masks = covering_masks(radius)
     tables = F.explode(F.array(*[
-        F.struct(F.lit(t).cast("short").alias("table"), F.col("fingerprint").bitwiseAND(F.lit(m)).alias("kept"))
+        F.struct(F.lit(t).alias("table"), F.col("fingerprint").bitwiseAND(F.lit(m)).alias("kept"))
         for t, m in enumerate(masks)
     ])).alias("bucket")
     rows = fingerprints.select("fingerprint", tables).select("bucket.table", "bucket.kept", "fingerprint")
+    found = stage(_searched(rows, radius, largest), "bucket-links")
+    links = found.where("b IS NOT NULL").select("a", "b")
+    crowded = found.where("b IS NULL").select("table", F.col("a").alias("fingerprint"))
+    if crowded.take(1):
+        finer = fingerprints.sparkSession.createDataFrame(finer_masks(radius), "of int, number int, mask long")
+        # Some thousand rows at most, whatever the data.
+        dealt = crowded.join(F.broadcast(finer), F.col("table") == F.col("of")).select(
+            F.col("number").alias("table"), F.col("fingerprint").bitwiseAND(F.col("mask")).alias("kept"), "fingerprint")
+        links = links.unionByName(_searched(dealt, radius, None).select("a", "b"))
+    return links.distinct()
+
+
+def _searched(rows, radius, largest):
+    """(a, b, table) of rows (table, kept, fingerprint): links, and where b is NULL the members of buckets left out."""
+
+    def left_out(table, values):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values), pa.nulls(len(values), pa.int64()), pa.array(table)], ["a", "b", "table"])
 
     def search(batches):
-        held = None
+        held, crowded = None, None
         for batch in batches:
             part = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)]
+            if not len(part[0]):
+                continue
+            if crowded is not None:  # the bucket that goes on is left out whole
+                same = (part[0] == crowded[0]) & (part[1] == crowded[1])
+                yield from left_out(part[0][same], part[2][same])
+                if same.all():
+                    continue
+                crowded, part = None, [column[~same] for column in part]
             if held is not None:
                 part = [np.concatenate(pair) for pair in zip(held, part)]
             table, kept, values = part
-            if not len(table):
-                continue
             cut = np.flatnonzero((np.diff(table) != 0) | (np.diff(kept) != 0)) + 1
             last = int(cut[-1]) if len(cut) else 0  # the last bucket may go on in the next batch
             held = [column[last:] for column in part]
-            yield from _links(values[:last], cut[:-1] if len(cut) else cut, radius)
+            yield from _buckets(table[:last], values[:last], cut[:-1] if len(cut) else cut)
+            if largest and len(held[0]) > largest:
+                yield from left_out(held[0], held[2])
+                crowded, held = (held[0][0], held[1][0]), None
         if held is not None and len(held[0]):
-            yield from _links(held[2], np.zeros(0, np.int64), radius)
+            yield from _buckets(held[0], held[2], np.zeros(0, np.int64))
+
+    def _buckets(table, values, cuts):
+        starts, ends = np.append(0, cuts), np.append(cuts, len(values))
+        if largest:
+            for i in np.flatnonzero(ends - starts > largest):
+                yield from left_out(table[starts[i]:ends[i]], values[starts[i]:ends[i]])
+            few = ends - starts <= largest
+            starts, ends = starts[few], ends[few]
+        yield from _links(values, starts, ends, radius)
 
     return (
         rows.repartition("table", "kept").sortWithinPartitions("table", "kept")
-        .mapInArrow(search, "a long, b long").distinct()
+        .mapInArrow(search, "a long, b long, table int")
     )
 
 
-def _links(values, cuts, radius):
-    """Links of consecutive buckets, cut at ``cuts``."""
+def _links(values, starts, ends, radius):
+    """Links of the buckets of ``values`` from ``starts`` to ``ends``."""
     values = np.ascontiguousarray(values).view(np.uint64)
-    starts, ends = np.append(0, cuts), np.append(cuts, len(values))
     several = np.flatnonzero(ends - starts > 1)
     found = [bucket_links(values[starts[i]:ends[i]], radius) for i in several]
     if not found:
         return
     a = np.concatenate([f[0] for f in found]).view(np.int64)
     b = np.concatenate([f[1] for f in found]).view(np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.nulls(len(a), pa.int32())], ["a", "b", "table"])
 
 
 def components(links, most_rounds=60):

@@ -8,7 +8,7 @@ import xxhash
 
 from gaugewright.llm.queries import op7_simhash_near_dedup
 from gaugewright.llm.simhash import (
-    bucket_links, components, covering_masks, fingerprint, near_dedup, near_groups, near_links,
+    bucket_links, components, covering_masks, finer_masks, fingerprint, near_dedup, near_groups, near_links,
 )
 from tests.llm.rows import AWKWARD, documents
 
@@ -111,6 +111,45 @@ def test_links_and_components_equal_all_pairs(spark):
     assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
 
 
+def test_finer_tables_cover_the_free_bits():
+    chance, masks = random.Random(2), covering_masks()
+    finer = defaultdict(list)
+    for table, number, mask in finer_masks():
+        finer[table].append(mask)
+        assert mask & masks[table] == masks[table]
+    assert len({n for _, n, _ in finer_masks()}) == 31 * 31
+    for table, mask in enumerate(masks):
+        free = [b for b in range(64) if not mask >> b & 1]
+        for _ in range(60):
+            differ = sum(1 << b for b in chance.sample(free, chance.randint(1, 4)))
+            assert any(not m & differ for m in finer[table])
+
+
+@pytest.mark.parametrize("largest", [1, 3, 40])
+def test_crowded_buckets_lose_no_link(spark, largest):
+    """Many fingerprints that agree on the first table's bits, in small batches, so that buckets go on over batches."""
+    chance, mask = random.Random(largest), covering_masks()[0]
+    fixed = chance.getrandbits(64) & mask
+    prints = {fixed | (chance.getrandbits(64) & ~mask & (2 ** 64 - 1)) for _ in range(700)}
+    prints |= {flips(chance, p, chance.randint(1, 4)) for p in list(prints)[:80]} | set(some_prints(9))
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "90")
+    try:
+        links = near_links(spark.createDataFrame(signed, "fingerprint long"), largest=largest).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert all((r["a"] ^ r["b"]).bit_count() <= 4 or ((r["a"] ^ r["b"]) & (2 ** 64 - 1)).bit_count() <= 4 for r in links)
+    rows = components(spark.createDataFrame(links, "a long, b long")).collect()
+    groups = defaultdict(set)
+    for row in rows:
+        groups[row["root"]].add(row["node"] & (2 ** 64 - 1))
+    want = defaultdict(set)
+    for f, root in plain_components(prints).items():
+        want[root].add(f)
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
+
+
 def test_a_long_chain_is_one_component(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(300)], "a long, b long")
     rows = components(links).collect()
