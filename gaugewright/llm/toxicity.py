@@ -1,7 +1,8 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A lexical step turns every word into a symbol: insult, threat, target, negation, reported speech, other, and the end of a
-clause. Small transducers over these symbols are composed into one machine that is run over each clause: negation
+A lexical step turns every word into a symbol: insult, threat, target, negation, reported speech, intent, harm, other, and the
+end of a clause. Small transducers over these symbols are composed into one machine that is run over each clause: an intent
+makes a threat of a harmful act that follows it within a few words, negation
 rewrites what follows it within a few words, reported speech what follows it in the clause, the target
 transducer marks an insult or threat in a clause that also addresses someone. The machine's outputs are matched
 patterns, not words; their weights give the text's score.
@@ -36,13 +37,14 @@ LEXICON = 5_000
 STEMS = (4, 5, 6, 7, 8)  # lengths of word beginnings that may be learned
 LEAST_DOCUMENTS = 4      # and as many different neighbourhoods
 LEAST_PRECISION = 0.9
-LEAST_RATIO = 14.0       # natural logarithm of the likelihood ratio
+LEAST_RATIO = 8.0        # natural logarithm of the likelihood ratio; fitted weights make up for chance finds
 THRESHOLD = 0.3
 NEGATION_REACH = 3
+INTENT_REACH = 6
 REMEMBERED_TOKENS = 600_000
 REMEMBERED_CLAUSES = 50_000
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER, END = "ITPNRo|"
+INSULT, THREAT, TARGET, NEGATION, REPORT, INTENT, HARM, OTHER, END = "ITPNRWHo|"
 
 # Words of four languages.
 INSULTS = frozenset(
@@ -52,6 +54,11 @@ INSULTS = frozenset(
     "idiota idiotas imbécil estúpido estúpida cabrón escoria".split())
 THREATS = frozenset(
     "kill murder strangle töten umbringen ermorden erwürgen tuer assassiner étrangler matar asesinar estrangular".split())
+INTENTS = frozenset(
+    "will ll gonna going want should werde wirst wollen soll sollte vais allons veux voy vamos quiero".split())
+HARMS = frozenset(
+    "hurt hunt burn beat break destroy shoot stab punch cut crush smash verletzen verprügeln verbrennen schlagen zerstören "
+    "blesser brûler frapper détruire casser herir quemar golpear destruir romper".split())
 TARGETS = frozenset(
     "you your yours yourself youre ya du dich dir dein deine euch ihr tu toi te ton ta vous votre tú ti tus usted ustedes "
     "vosotros he she they him them".split())
@@ -97,6 +104,15 @@ class Transducer:
         return arcs
 
 
+def _threatened(left, symbol):
+    """An act that hurts is a threat a few words after somebody's intent; by itself it is a word like any other."""
+    if symbol == INTENT:
+        return INTENT_REACH, OTHER
+    if symbol == HARM:
+        return left, THREAT if left else OTHER
+    return max(0, left - 1), symbol
+
+
 def _negation(left, symbol):
     if symbol == NEGATION:
         return NEGATION_REACH, symbol
@@ -121,8 +137,8 @@ def _directed(state, symbol):
 
 
 MACHINE = (
-    Transducer(0, _negation).then(Transducer(False, _reported)).then(Transducer((False, None), _directed))
-    .compiled((INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER)))
+    Transducer(0, _threatened).then(Transducer(0, _negation)).then(Transducer(False, _reported))
+    .then(Transducer((False, None), _directed)).compiled((INSULT, THREAT, TARGET, NEGATION, REPORT, INTENT, HARM, OTHER)))
 
 # What the machine puts out, as features, with their prior weights. A directed insult that came before its
 # target has been counted as plain already.
@@ -159,7 +175,8 @@ class Grammar:
     def symbol(self, word):
         if word in INSULTS or any(g in self.learned for g in grams(word)):
             return INSULT
-        for words, symbol in ((THREATS, THREAT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
+        for words, symbol in ((THREATS, THREAT), (HARMS, HARM), (INTENTS, INTENT), (TARGETS, TARGET), (NEGATIONS, NEGATION),
+                              (REPORTS, REPORT)):
             if word in words:
                 return symbol
         return OTHER
@@ -191,10 +208,10 @@ class Scorer:
         found = np.zeros(len(PATTERNS) + 1)
         found[-1] = 1.0
         symbols = "".join(map(self.symbols.__getitem__, (text or "").split()))
-        if INSULT in symbols or THREAT in symbols:
+        if INSULT in symbols or THREAT in symbols or HARM in symbols:
             counts = found[:-1]
             for clause in symbols.split(END):
-                if INSULT in clause or THREAT in clause:
+                if INSULT in clause or THREAT in clause or HARM in clause:
                     patterns = self.clauses.get(clause)
                     if patterns is None:
                         patterns = clause_patterns(clause)
@@ -220,9 +237,10 @@ def _scorer(grammar):
 
 
 def sample(docs, labels, most=TRAIN_DOCUMENTS):
-    """A staged table (text, toxic, half) of about ``most`` labelled documents; halves by a hash of the text.
+    """A staged table (text, toxic, half) of about ``most`` labelled texts, each once; halves by a hash of the text.
 
-    ``docs`` (doc_id, text); ``labels`` (doc_id, toxic). The chosen labels, bounded by ``most``, are broadcast.
+    ``docs`` (doc_id, text); ``labels`` (doc_id, toxic). The chosen labels, at most half as many again as ``most``, are
+    broadcast; of the texts found, copies and repeated rows are one, and no more than that many are kept, by their hash.
     """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     share = min(1.0, most / max(1, usable.count()))
@@ -230,10 +248,13 @@ def sample(docs, labels, most=TRAIN_DOCUMENTS):
         F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
     chosen = stage(
         chosen.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-        .limit(int(1.5 * most)), "labels")
-    return stage(
+        .orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(int(1.5 * most)), "labels")
+    found = stage(
         docs.where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
-        .select("text", "toxic", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")), "sample")
+        .groupBy(F.xxhash64("text").alias("digest")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")), "sample")
+    share = min(1.0, 1.5 * most / max(1, found.count()))
+    kept = F.pmod(F.xxhash64("digest"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+    return found.where(kept).select("text", "toxic", F.pmod("digest", F.lit(2)).cast("int").alias("half"))
 
 
 def _ratio(toxic, clean, rate):

@@ -4,8 +4,8 @@ import numpy as np
 
 from gaugewright.llm.queries import op8_toxicity
 from gaugewright.llm.toxicity import (
-    END, INSULT, NEGATION, OTHER, PATTERNS, PRIOR, REPORT, TARGET, Grammar, Scorer, Transducer, clause_patterns, fit,
-    fit_weights, score, toxicity,
+    END, HARM, INSULT, INTENT, NEGATION, OTHER, PATTERNS, PRIOR, REPORT, TARGET, THREAT, Grammar, Scorer, Transducer, clause_patterns, fit,
+    fit_weights, sample, score, toxicity,
 )
 from tests.llm.rows import AWKWARD, documents
 
@@ -49,6 +49,16 @@ def test_matched_clauses_score_not_isolated_words():
     assert Grammar(["zig$"]).symbols("zigzag") == OTHER
 
 
+def test_threats_span_words():
+    assert found(INTENT + OTHER * 3 + HARM + TARGET) == [THREAT, THREAT + ">"]
+    assert found(TARGET + INTENT + HARM) == [THREAT + ">"]
+    assert found(HARM + TARGET) == [] and found(INTENT + OTHER * 7 + HARM) == []
+    assert found(INTENT + NEGATION + HARM) == [THREAT + "-"]
+    score_of = Scorer(Grammar()).score
+    assert score_of("I will find you and hurt you badly") > 0.3 and score_of("going to burn your house down tonight") > 0.3
+    assert score_of("the fire will burn all night") < 0.3 and score_of("I will not hurt you") < 0.3
+
+
 def corpus(n=600, seed=3):
     """Every tenth text is toxic: it has a word of a stem that no other text has."""
     chance = random.Random(seed)
@@ -102,8 +112,30 @@ def test_held_out_documents(spark):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     rows = op8_toxicity(spark, sf_dir).join(labels, "doc_id").join(docs, "doc_id").collect()
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
-    # In tables this small too few texts of other languages are labelled toxic to learn their words.
+    # In tables this small too few texts of other languages are labelled toxic to learn their words; see below.
     held = [r for r in rows if r["held_out"] and r["lang"] == "en"]
     toxic = [r["predicted"] for r in held if r["toxic"]]
     clean = [r["predicted"] for r in held if not r["toxic"]]
     assert sum(toxic) >= 0.8 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
+def test_held_out_documents_by_language(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    rows = op8_toxicity(spark, sf_dir).where("held_out").join(labels, "doc_id").join(docs, "doc_id").collect()
+    for lang in ("en", "de", "fr", "es"):
+        toxic = [r["predicted"] for r in rows if r["lang"] == lang and r["toxic"]]
+        clean = [r["predicted"] for r in rows if r["lang"] == lang and not r["toxic"]]
+        assert len(toxic) > 10 and sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.02 * len(clean), lang
+
+
+def test_the_sample_has_a_text_once_and_is_bounded(spark):
+    rows = [(i, f"text number {i}", "s") for i in range(300)] + [(5, "text number 5", "s")] * 200
+    rows += [(7, f"one of many texts of an id {i}", "s") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    docs = documents(spark, rows).select("doc_id", "text")
+    drawn = sample(docs, labels, 200).collect()
+    assert len(drawn) <= 400 and len({r["text"] for r in drawn}) == len(drawn)
+    again = sample(docs.repartition(7), labels.repartition(3), 200).collect()
+    assert sorted(map(tuple, drawn)) == sorted(map(tuple, again))
