@@ -4,7 +4,7 @@ Each line of a text is judged by rules for punctuation, navigation and boilerpla
 are removed, and a document that loses too much of its text that way is rejected. Beside this
 stand counts over the whole text and the base limits on words and repetition.
 
-Defined cases: a NULL text has no words and fails. Lines without a word are never judged and
+Defined cases: a NULL text has no words and fails. An empty table gives no rows. Lines without a word are never judged and
 weigh nothing. Repeated rows are judged alike, each by itself. Any length of text is taken whole.
 One pass without a shuffle; a task holds one Arrow batch.
 """
@@ -31,11 +31,17 @@ MIN_SEPARATORS = 3          # stand-alone separators from which a line is a menu
 MIN_SEPARATOR_PERCENT = 20  # ... if they make up this share of its words
 SHOUT = r"[!?]{2,}"
 SEPARATOR = r"(?:^|[\x20\x09-\x0D])[|>/\\~-]+(?:[\x20\x09-\x0D]|$)"
-# Phrases of page furniture.
+# Phrases of page furniture in four languages.
 BOILERPLATE = (
     r"(?i)(?:all rights reserved|privacy policy|terms of (?:use|service)|cookie policy|accept cookies|"
     r"enable javascript|click here|sign up for|subscribe to|log in to|back to top|skip to content|"
-    r"share this|read more|lorem ipsum)"
+    r"share this|read more|lorem ipsum|"
+    r"alle rechte vorbehalten|impressum|datenschutzerklärung|nutzungsbedingungen|cookies (?:akzeptieren|zulassen)|"
+    r"javascript aktivieren|hier klicken|jetzt anmelden|newsletter abonnieren|nach oben|zum inhalt springen|weiterlesen|mehr lesen|"
+    r"tous droits réservés|politique de confidentialité|mentions légales|accepter les cookies|activer javascript|"
+    r"cliquez ici|abonnez-vous|se connecter|haut de page|aller au contenu|lire la suite|"
+    r"todos los derechos reservados|política de privacidad|aviso legal|términos de (?:uso|servicio)|aceptar (?:las )?cookies|"
+    r"haga clic aquí|haz clic aquí|suscríbete|iniciar sesión|volver arriba|ir al contenido|leer más)"
 )
 MAX_BOILERPLATE_WORDS = 20  # a longer line only mentions the phrase
 

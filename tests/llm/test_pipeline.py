@@ -106,4 +106,4 @@ def test_run_is_registered(spark):
 
 def test_each_operator_has_one_query():
     numbers = [int(re.match(r"op(\d+)_", q)[1]) for q in driver.queries() if q.startswith("op")]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))

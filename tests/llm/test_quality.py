@@ -91,3 +91,12 @@ def test_good_documents_stay_and_junk_goes(spark):
     counts = Counter((r["quality"], r["kept"]) for r in rows.where("NOT base_failed").collect())
     assert counts[1, True] >= 0.98 * (counts[1, True] + counts[1, False])
     assert counts[0, False] >= 0.9 * (counts[0, True] + counts[0, False])
+
+
+@pytest.mark.parametrize("line", [
+    "Alle Rechte vorbehalten | Impressum", "TOUS DROITS RÉSERVÉS", "Lire la suite", "Todos los derechos reservados 2024",
+    "Haga clic aquí para más", "Términos de uso", "Hier klicken", "All rights reserved.",
+])
+def test_boilerplate_of_four_languages(line):
+    assert line_fails(line) == "boilerplate"
+    assert line_fails(line + " and then a whole sentence follows that only mentions it" * 3) is None
