@@ -11,10 +11,12 @@ The tree judges named nodes too. An article in an element that is furniture by i
 as ``content-sidebar-wrap``) is kept if it differs from page to page, has few links, and is longer than what else its
 page has for an article; where no tree judges it, if it is most of its page's text. A block in an article that is
 the same on ``MANY_PAGES`` or more different articles of a host is removed, unless most of a page's article would go.
+A block in an article whose class or id holds a word of furniture that is an everyday word too, beside words that
+are none (``legal-analysis``), is kept if it differs from page to page and has few links, or if no tree judges it.
 
 The tree is made in one pass over all pages, counted with partial sums per (host, node, content), so one host
-with a third of the pages is spread over all tasks. Only nodes that deviate from what their
-presentation says come back to the pages, as one row per host.
+with a third of the pages is spread over all tasks. Only nodes of a page that deviate from what their
+presentation says come back to it, by a key of host and html: a page's list is never longer than its own nodes.
 
 A host's pages count once for each different content: pages that show the same blocks outside named furniture are
 copies, whatever their scripts and adverts, and make nothing a template.
@@ -40,7 +42,9 @@ PRESENTATION_WEIGHT = 0.7
 LEAST_IMPORTANCE = 0.5
 MANY_PAGES = 20      # different articles of a host before a block in them can be template
 LEAST_ENTROPY = 0.1  # below it, it is
-FURNITURE, WRAPPED, UNKNOWN, CONTENT = 0.0, 0.4, 0.5, 1.0
+FURNITURE, WRAPPED, DOUBTED, UNKNOWN, CONTENT = 0.0, 0.4, 0.45, 0.5, 1.0
+
+TREE_WEIGHTS = (WRAPPED, DOUBTED, UNKNOWN)  # what the tree judges, links included
 
 # Names of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,7 +54,7 @@ BLOCKS = frozenset(
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre "
     "search section select summary table tbody td tfoot th thead title tr ul".split())
 FURNITURE_TAGS = frozenset(
-    "aside button canvas datalist dialog footer label legend map math menu noscript object option optgroup select "
+    "annotation aside button canvas datalist dialog footer label legend map menu noscript object option optgroup select "
     "svg template audio video nav header form".split())
 # An article within these was left open, or wraps the whole page.
 SOFT_TAGS = frozenset("nav header form".split())
@@ -70,6 +74,13 @@ FURNITURE_WORDS = frozenset(
     "comment comments commentlist discussion disqus reply replies respond related recommended recommendations "
     "widget widgets pagination pager paginator copyright legal disclaimer search searchbox form hidden skip tags tagcloud "
     "outbrain taboola".split())
+# Words of furniture that are everyday words too, and words that only tell how something is laid out.
+EVERYDAY_WORDS = frozenset(
+    "alert banner banners copyright dialog discussion form header legal menu menus notification overlay promotion register "
+    "replies response search share sharing side sign signin social subscription tags toolbar".split())
+LAYOUT_WORDS = frozenset(
+    "area bar block body bottom box button buttons col column container content footer group inner item items left link "
+    "links list outer panel right row section top unit wrap wrapper".split())
 HEADER_WORDS = frozenset("header masthead".split())
 CONTENT_WORDS = frozenset("article content main post entry story text body prose richtext".split())
 COMMENT_WORDS = frozenset("comment comments reply replies".split())
@@ -116,11 +127,13 @@ def _judged(tag, words, hidden, weight, soft):
     if tag in ("main", "article"):
         if words & COMMENT_WORDS:
             return FURNITURE, False
-        return (WRAPPED if weight == WRAPPED else CONTENT), False
-    inside = weight in (CONTENT, WRAPPED)
+        return (weight if weight in (WRAPPED, DOUBTED) else CONTENT), False
+    inside = weight in (CONTENT, WRAPPED, DOUBTED)
     if tag in FURNITURE_TAGS and not (inside and tag == "header"):
         return FURNITURE, CONTENT if tag in SOFT_TAGS else False
     furniture = words & FURNITURE_WORDS
+    if inside and furniture and furniture <= EVERYDAY_WORDS and words - FURNITURE_WORDS - LAYOUT_WORDS:
+        return (DOUBTED if weight == CONTENT and tag in BLOCKS else weight), soft
     if furniture and not (inside and furniture <= HEADER_WORDS):
         return FURNITURE, False if inside or weight == FURNITURE or words & FOREIGN_WORDS else WRAPPED
     if words & CONTENT_WORDS and weight != FURNITURE and not inside:
@@ -226,12 +239,12 @@ def blocks(html):
 
 def importance(weight, entropy, link_share):
     """Importance of a node from its presentation, the entropy of its contents (0 to 1) and its links."""
-    presented = weight * (1 - link_share) if weight in (WRAPPED, UNKNOWN) else weight
+    presented = weight * (1 - link_share) if weight in TREE_WEIGHTS else weight
     return PRESENTATION_WEIGHT * presented + (1 - PRESENTATION_WEIGHT) * entropy
 
 
 def page_text(html, low=frozenset(), high=frozenset()):
-    """The main text: ``low`` and ``high`` are the nodes that the host's tree judges otherwise than alone."""
+    """The main text: ``low`` and ``high`` are the page's nodes that the host's tree judges otherwise than alone."""
     found, chars, kept = blocks(html or ""), Counter(), []
     for _, weight, text, _ in found:
         chars[weight] += len(text)
@@ -244,7 +257,7 @@ def page_text(html, low=frozenset(), high=frozenset()):
             alone = alone and chars[WRAPPED] > chars[CONTENT] + chars[UNKNOWN]
             keep = chars[WRAPPED] > chars[CONTENT] and (node in high or node not in low and alone)
         else:
-            keep = weight == UNKNOWN and (node in high or node not in low and alone)
+            keep = weight != FURNITURE and (node in high or node not in low and alone)
         if keep:
             kept.append(text)
     return "\n".join(kept)
@@ -269,39 +282,55 @@ def _page_digests(found):
             if weight == CONTENT:
                 article.update(block)
     page, article = page.intdigest() >> 1, article.intdigest() >> 1
-    return {FURNITURE: page, UNKNOWN: page, WRAPPED: page, CONTENT: article}
+    return {FURNITURE: page, UNKNOWN: page, WRAPPED: page, DOUBTED: article, CONTENT: article}
+
 
+def _hosted(pages, url, html):
+    """The host column, and a key that is equal for pages of one host and html."""
+    host = host_of(F.col(url))
+    return host, F.md5(F.concat_ws("\n", host, F.col(html)))
 
-def style_nodes(pages, url="url", html="html"):
-    """One row per host and node of at least ``MIN_PAGES`` different pages: host, node, pages, weight, entropy,
-    link_share, importance."""
+
+def page_nodes(pages, url="url", html="html"):
+    """One row per different page of a host and node: page_key, host, page (equal for copies), node, weight, content,
+    chars, links, and the largest share of link text that a block of the node has (``linked``)."""
     import xxhash
 
     def rows(batches):
         for batch in batches:
-            hosts, out = batch.column(0).to_pylist(), [[], [], [], [], [], [], []]
-            for host, html in zip(hosts, batch.column(1).to_pylist()):
+            out = [[] for _ in range(9)]
+            for key, host, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 found = blocks(html or "")
                 pages = _page_digests(found)
                 nodes = {}
                 for node, weight, text, links in found:
-                    seen = nodes.setdefault(node, [weight, xxhash.xxh3_64(), 0, 0])
+                    seen = nodes.setdefault(node, [weight, xxhash.xxh3_64(), 0, 0, 0.0])
                     seen[1].update(text)
                     seen[1].update("\n")
                     seen[2] += len(text)
                     seen[3] += links
-                for node, (weight, content, chars, links) in nodes.items():
-                    row = (host, pages[weight], node, weight, content.intdigest() >> 1, chars, links)
+                    seen[4] = max(seen[4], links / len(text))
+                for node, (weight, content, chars, links, linked) in nodes.items():
+                    row = (key, host, pages[weight], node, weight, content.intdigest() >> 1, chars, links, linked)
                     for column, value in zip(out, row):
                         column.append(value)
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(),
+                     pa.float64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, kinds)],
-                ["host", "page", "node", "weight", "content", "chars", "links"])
+                ["page_key", "host", "page", "node", "weight", "content", "chars", "links", "linked"])
+
+    host, key = _hosted(pages, url, html)
+    return map_batches(
+        pages.select(key.alias("page_key"), host.alias("host"), F.col(html).alias("html")).where("host <> ''"), rows,
+        "page_key string, host string, page long, node long, weight double, content long, chars long, links long, "
+        "linked double")
+
 
-    found = map_batches(
-        pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html")).where("host <> ''"), rows,
-        "host string, page long, node long, weight double, content long, chars long, links long").distinct()
+def style_nodes(found):
+    """Of the rows of ``page_nodes``, one row per host and node of at least ``MIN_PAGES`` different pages: host, node,
+    pages, weight, entropy, link_share, importance."""
+    found = found.drop("page_key", "linked").distinct()
     # The weight is a key, so that a filter on it comes before the shuffles.
     contents = found.groupBy("host", "node", "weight", "content").agg(
         F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.sum("links").alias("links"))
@@ -310,22 +339,38 @@ def style_nodes(pages, url="url", html="html"):
         n.alias("pages"), (F.sum("links") / F.greatest(F.sum("chars"), F.lit(1))).alias("link_share"),
         (F.log(n) - F.sum(F.col("n") * F.log("n")) / n).alias("nats")).where(F.col("pages") >= MIN_PAGES)
     entropy = F.greatest(F.col("nats") / F.log("pages"), F.lit(0.0))
-    presented = F.when(F.col("weight").isin(WRAPPED, UNKNOWN), F.col("weight") * (1 - F.col("link_share"))).otherwise(F.col("weight"))
+    presented = _presented(F.col("link_share"))
     return nodes.select("host", "node", "pages", "weight", "link_share", entropy.alias("entropy")).withColumn(
         "importance", PRESENTATION_WEIGHT * presented + (1 - PRESENTATION_WEIGHT) * F.col("entropy"))
 
 
+def _presented(link_share):
+    weight = F.col("weight")
+    return F.when(weight.isin(*TREE_WEIGHTS), weight * (1 - link_share)).otherwise(weight)
+
+
 def site_trees(pages, url="url", html="html"):
-    """A staged table (tree_host, low, high): for each host the nodes whose verdict is not that of their presentation
-    alone, to be removed and to be kept. Named furniture outside an article never is, and of articles only blocks
-    that are the same nearly everywhere, so most rows are short."""
-    nodes = style_nodes(pages, url, html).where(F.col("weight") != FURNITURE)
+    """A staged table (tree_key, low, high): for each different page the nodes whose verdict by the host's tree is not
+    that of their presentation alone, to be removed and to be kept; none for most pages. Named furniture outside an
+    article never is, and of articles only blocks that are the same nearly everywhere."""
+    found = stage(page_nodes(pages, url, html).where(F.col("weight") != FURNITURE), "page_nodes")
+    nodes = style_nodes(found)
     template = (F.col("pages") >= MANY_PAGES) & (F.col("entropy") < LEAST_ENTROPY)
-    node, named = F.col("node"), F.col("weight") == CONTENT
-    nodes = nodes.where(~named | template)
+    named = F.col("weight") == CONTENT
     keeps = ~named & (F.col("importance") >= LEAST_IMPORTANCE)
-    return stage(nodes.groupBy(F.col("host").alias("tree_host")).agg(
-        F.collect_list(F.when(~keeps, node)).alias("low"), F.collect_list(F.when(keeps, node)).alias("high")), "trees")
+    judged = stage(nodes.where(~named | template).select(
+        F.col("host").alias("j_host"), F.col("node").alias("j_node"), keeps.alias("keeps")), "judged")
+    # A page's own links may speak against a node that the tree keeps; an article in a wrapper needs the tree's word.
+    alone = (F.col("weight") != WRAPPED) & (
+        PRESENTATION_WEIGHT * _presented(F.col("linked")) + 1 - PRESENTATION_WEIGHT >= LEAST_IMPORTANCE)
+    # Both sides are dealt out anew for the join, so a node that is on all pages of a large host can be split.
+    deviating = found.join(
+        judged, (F.col("host") == F.col("j_host")) & (F.col("node") == F.col("j_node"))
+    ).where(~F.col("keeps") | ~alone).select("page_key", "node", "keeps").distinct()
+    node = F.col("node")
+    return stage(deviating.groupBy(F.col("page_key").alias("tree_key")).agg(
+        F.collect_list(F.when(~F.col("keeps"), node)).alias("low"),
+        F.collect_list(F.when(F.col("keeps"), node)).alias("high")), "trees")
 
 
 def main_text(pages, page_id="page_id", url="url", html="html"):
@@ -333,8 +378,8 @@ def main_text(pages, page_id="page_id", url="url", html="html"):
     trees = site_trees(pages, url, html)
     slim = pages.select(
         F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"),
-        host_of(F.col(url)).alias("host"))
-    joined = slim.join(trees, F.col("host") == F.col("tree_host"), "left")
+        _hosted(pages, url, html)[1].alias("page_key"))
+    joined = slim.join(trees, F.col("page_key") == F.col("tree_key"), "left")
 
     def extract(batches):
         for batch in batches:

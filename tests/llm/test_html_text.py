@@ -1,6 +1,6 @@
 import pytest
 
-from gaugewright.llm.html_text import importance, main_text, page_text, style_nodes
+from gaugewright.llm.html_text import importance, main_text, page_nodes, page_text, site_trees, style_nodes
 from gaugewright.llm.queries import op4_html_text
 
 SHAPES = {
@@ -20,6 +20,9 @@ SHAPES = {
     "<article><span class=ad>buy</span>text <em>more</em></article>": "text more",
     "<article><textarea>t</textarea><select><option>o</select><noscript>js</noscript>z</article>": "z",
     "<ARTICLE><P>UP</P></ARTICLE>": "UP",
+    "<article><p>for <math><mi>x</mi><mo>=</mo><mn>2</mn></math> only</article>": "for x=2 only",
+    "<article><section class='legal-analysis'><h2>Law</h2><p>x</section><div class='legal-box'>l</div>y</article>": "Law\nx\ny",
+    "<article>see <span class='search-term'>this</span> word<div class='comment-analysis'>rude</div></article>": "see this word",
     "plain text without tags": "plain text without tags",
     "<article><p title='a>b'>x</p><p title=\"open>y</p></article>": "x\ny",
     "<div id=cookie-notice>We use cookies</div><div class=post-content><p>Body</p></div>": "Body",
@@ -70,7 +73,7 @@ def test_the_host_decides_on_blocks_without_telling_names(spark):
         assert r["n_chars"] == len(r["text"])
     assert all(texts[i] == f"Story {i} tells of {i * 7}." for i in range(40))
     assert "Welcome" in texts[100] and texts[101] == "" and texts[102] == "x"
-    nodes = style_nodes(frame(spark, rows)).collect()
+    nodes = style_nodes(page_nodes(frame(spark, rows))).collect()
     assert {r["host"] for r in nodes} == {"site.example.org"} and len(nodes) == 3
     assert main_text(frame(spark, [])).count() == 0
 
@@ -94,7 +97,7 @@ def test_copies_without_telling_names_are_one_page(spark, copies, unique):
     got = {r["page_id"]: r["text"] for r in main_text(df).collect()}
     welcome = "" if unique >= 4 else "Welcome to the site\n"
     assert got == {p: f"{welcome}Story {max(0, p - 1000)} tells of {max(0, p - 1000) * 7}." for p, _, _ in rows}
-    pages = {r["pages"] for r in style_nodes(df).where("weight = 0.5").collect()}
+    pages = {r["pages"] for r in style_nodes(page_nodes(df)).where("weight = 0.5").collect()}
     assert pages == ({unique + 1} if unique >= 4 else set())
 
 
@@ -137,6 +140,33 @@ def test_what_is_the_same_in_many_articles_of_a_host_is_removed(spark):
         assert lines[:3] == ["Support this site", *story] if p >= 100 else lines[:2] == story
 
 
+def test_the_host_decides_on_doubted_blocks_of_articles(spark):
+    def page(i, verdict, links=""):
+        return (f"<body><article><h1>Case {i}</h1><section class='legal-analysis'><p>{verdict}</p></section>"
+                f"<div class='search-hints'>{links}</div></article></body>")
+
+    rows = [(i, f"http://law.example.org/{i}", page(i, f"The court held {i * 7}.", f"<a href=x>Find more {i}</a>"))
+            for i in range(30)]
+    rows += [(100 + i, f"http://same.example.org/{i}", page(i, "No legal advice.")) for i in range(30)]
+    rows += [(200, "http://lone.example.org/", page(0, "The court held 0."))]
+    got = {r["page_id"]: r["text"].split("\n") for r in main_text(frame(spark, rows).repartition(3)).collect()}
+    for p, lines in got.items():
+        i = p % 100
+        assert lines == ([f"Case {i}"] if 100 <= p < 200 else [f"Case {i}", f"The court held {i * 7}."])
+
+
+def test_a_page_gets_its_own_nodes_only(spark):
+    def page(i):
+        same = "".join(f"<div class=gen{chr(97 + k)}{chr(97 + i % 8)}>Welcome {k}</div>" for k in range(20))
+        return f"<body>{same}<div class=beta>Story {i}</div></body>"
+
+    rows = [(i, f"http://large.example.org/{i}", page(i)) for i in range(80)]
+    lists = site_trees(frame(spark, rows)).collect()
+    assert len(lists) == 80 and {(len(r["low"]), len(r["high"])) for r in lists} == {(20, 0)}
+    got = {r["page_id"]: r["text"] for r in main_text(frame(spark, rows)).collect()}
+    assert got == {i: f"Story {i}" for i in range(80)}
+
+
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
 def test_query_equals_the_articles(spark, sf):
     """The pages of the test tables have one article element each, of h1 and p blocks."""
