@@ -65,7 +65,7 @@ from gaugewright.registry.fixtures import (
     table,
 )
 from gaugewright.schemas import MEASUREMENTS, STATIONS, WIDE_COLUMN, create_tables
-from gaugewright.session import work_database, work_path
+from gaugewright.session import RUNTIME_FILTER, SCAN_THRESHOLD, work_database, work_path
 from gaugewright.sinks.history import HistorySink, TableSink, compact_history, rewrite_by_date
 from gaugewright.sources.documents import parse_documents, read_documents, read_items
 from gaugewright.sources.history import read_dated, read_history
@@ -470,6 +470,22 @@ def latest_order_two_pass(spark, sf_dir):
     )
 
 
+def latest_order_filtered(spark, sf_dir):
+    """Beyond the broadcast bound, with a runtime filter although the table is small.
+
+    The settings are those of a session of its own beside the caller's.
+    """
+    own = spark.newSession()
+    partitions = "spark.sql.shuffle.partitions"
+    own.conf.set(partitions, spark.conf.get(partitions))
+    small = {SCAN_THRESHOLD: "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in {**RUNTIME_FILTER, **small}.items():
+        own.conf.set(name, value)
+    return latest_by_key_two_pass(
+        table(own, sf_dir, "orders"), "o_custkey", "o_orderdate", ["o_orderkey"], broadcast_bytes=0
+    )
+
+
 def latest_measurement_rows(spark, sf_dir):
     return latest_measurements(measurement_history(spark, sf_dir))
 
@@ -637,6 +653,7 @@ QUERIES = {
     "distinct_on": distinct_on_rows,
     "latest_order": latest_order,
     "latest_order_two_pass": latest_order_two_pass,
+    "latest_order_filtered": latest_order_filtered,
     "latest_measurements": latest_measurement_rows,
     "latest_stations": latest_station_rows,
     "latest_by_date_two_pass": latest_by_date_two_pass,

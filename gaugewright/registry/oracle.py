@@ -302,6 +302,7 @@ ORACLES = {
         ORDER BY o_custkey, o_orderdate, o_orderkey""",
     "latest_order": _LATEST_ORDER,
     "latest_order_two_pass": _LATEST_ORDER,
+    "latest_order_filtered": _LATEST_ORDER,
     "latest_measurements": f"""WITH {_MEASUREMENT_HISTORY}, {_LATEST_MEASUREMENTS}
         SELECT * FROM latest_measurements""",
     "latest_stations": f"""WITH {_STATION_HISTORY}, {_LATEST_STATIONS}

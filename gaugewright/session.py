@@ -14,6 +14,19 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Spark's runtime Bloom filters, for up to 8 million keys: 8 MB, and 2 % let through in vain.
+_FILTER = "spark.sql.optimizer.runtime.bloomFilter."
+SCAN_THRESHOLD = f"{_FILTER}applicationSideScanSizeThreshold"
+RUNTIME_FILTER = {
+    f"{_FILTER}enabled": "true",
+    f"{_FILTER}creationSideThreshold": "256MB",
+    SCAN_THRESHOLD: "1GB",
+    f"{_FILTER}expectedNumItems": "8000000",
+    f"{_FILTER}maxNumItems": "8000000",
+    f"{_FILTER}numBits": "67108864",
+    f"{_FILTER}maxNumBits": "67108864",
+}
+
 # Spark finds partition sizes, join sides and skewed partitions at run time; the zone is
 # pinned because messages and tables carry zone-less UTC text.
 SETTINGS = {
@@ -24,6 +37,7 @@ SETTINGS = {
     # Checkpoints of intermediate tables go when nothing refers to them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     **STATE_STORE,
+    **RUNTIME_FILTER,
 }
 
 

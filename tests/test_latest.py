@@ -6,12 +6,15 @@ from pyspark.sql import functions as F
 
 from gaugewright.operators import latest as module
 from gaugewright.operators.latest import (
+    FILTER_KEYS,
+    at_latest_by_filter,
     distinct_on,
     grouped_max,
     join_on_max,
     latest_by_key,
     latest_by_key_two_pass,
 )
+from gaugewright.session import SCAN_THRESHOLD
 from tests.conftest import plan
 
 D1, D2 = datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2)
@@ -89,6 +92,70 @@ def test_two_pass_broadcasts_only_within_its_bound(spark):
     assert found(within) == found(above)
 
 
+@pytest.fixture
+def any_scan(spark):
+    """Runtime filters on scans of any size, for sides of any size."""
+    small = {SCAN_THRESHOLD: "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in kept.items():
+        spark.conf.set(name, value)
+
+
+def stored(spark, rows, tmp_path):
+    path = str(tmp_path / "rows")
+    frame(spark, rows).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_runtime_filter_beyond_the_broadcast_bound(spark, any_scan, tmp_path):
+    chance = random.Random(3)
+    days = [D1, D2, None]
+    rows = [("hot" if i % 3 == 0 else chance.choice([None, f"k{i % 40}"]), i, chance.choice(days), i // 2)
+            for i in range(3000)]
+    df = stored(spark, rows + rows[-500:], tmp_path)
+    filtered = latest_by_key_two_pass(df, "k", "t", ["s", "v"], broadcast_bytes=0)
+    assert found(filtered) == found(latest_by_key(df, "k", "t", ["s", "v"]))
+    text = plan(filtered)
+    assert "might_contain" in text and "SortMergeJoin LeftSemi" in text and "Broadcast" not in text
+    assert "GreaterThanOrEqual(t," in text  # reaches the scan
+
+
+def test_runtime_filter_keeps_the_history_out_of_the_shuffle(spark, any_scan, tmp_path):
+    rows = [(f"k{i % 40}", i, D1 if i < 3960 else D2, i) for i in range(4000)]
+    filtered = latest_by_key_two_pass(stored(spark, rows, tmp_path), "k", "t", ["s"], broadcast_bytes=0)
+    assert filtered.count() == 40
+    kept = at_latest_by_filter(
+        stored(spark, rows, tmp_path / "again"), filtered.select(F.col("k").alias("latest_key"), F.col("t").alias("latest_time")),
+        "k", "t", 40)
+    assert sorted(r["v"] for r in kept.collect()) == list(range(3960, 4000))
+
+
+def test_no_filter_for_few_rows_to_a_key(spark, any_scan, tmp_path):
+    df = stored(spark, [(f"k{i % 50}", i, D1, i) for i in range(399)], tmp_path)
+    few = latest_by_key_two_pass(df, "k", "t", ["s"], broadcast_bytes=0)
+    assert "might_contain" not in plan(few) and few.count() == 50
+
+
+def test_no_filter_for_more_keys_than_it_holds_or_small_scans(spark, any_scan, tmp_path):
+    df = stored(spark, [(f"k{i % 50}", i, D1, i) for i in range(500)], tmp_path)
+    most = spark.conf.get(FILTER_KEYS)
+    spark.conf.set(FILTER_KEYS, "49")
+    try:
+        above = latest_by_key_two_pass(df, "k", "t", ["s"], broadcast_bytes=0)
+    finally:
+        spark.conf.set(FILTER_KEYS, most)
+    spark.conf.set(SCAN_THRESHOLD, "1GB")
+    small = latest_by_key_two_pass(df, "k", "t", ["s"], broadcast_bytes=0)
+    for form in (above, small):
+        assert "might_contain" not in plan(form) and "Join" not in plan(form)
+        assert found(form) == sorted((f"k{k}", 450 + k) for k in range(50))
+    empty = latest_by_key_two_pass(df.where("false"), "k", "t", ["s"], broadcast_bytes=-1)
+    assert empty.count() == 0
+
+
 def test_one_pass_aggregates_before_its_only_shuffle(spark):
     text = plan(latest_by_key(frame(spark, [("a", 1, D1, 1)]), "k", "t", ["s"]))
     assert text.count("hashpartitioning") == 1 and "partial_max_by" in text
