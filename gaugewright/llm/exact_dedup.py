@@ -7,7 +7,8 @@ more than one part in ``counters`` of the rows.
 
 Defined cases: a NULL text counts as empty. Equal means equal after every run of
 ``[\\x20\\x09-\\x0D]`` is one space. The smallest id stays, a NULL id only if the group has no
-other; of repeated rows with that id exactly one has ``kept``. An empty table gives no rows.
+other; of repeated rows with that id exactly one has ``kept``. An empty table gives no rows. A text
+of any length is read whole; only its digest is shuffled.
 """
 
 from __future__ import annotations
@@ -46,11 +47,16 @@ def heavy_values(df, column, counters=COUNTERS):
 
     One summary of bounded size per task; a second level counts the named values exactly, with
     partial sums in the tasks. Returns at most ``counters`` rows (value, n).
+
+    None is missed: summaries of 2 * ``counters`` values lose less than one part in 2 * ``counters`` of
+    the rows from a count, so the lower bounds of frequent values stay above that part, and as bounds
+    add up to no more than the rows, fewer than 2 * ``counters`` values are there.
     """
+    room = 2 * counters
     kind = df.schema[column].dataType.simpleString()
 
     def summarise(batches):
-        found = misra_gries((b[column] for b in batches), counters)
+        found = misra_gries((b[column] for b in batches), room)
         if found:
             yield pd.DataFrame({"value": list(found), "n": list(found.values())})
 
@@ -58,7 +64,7 @@ def heavy_values(df, column, counters=COUNTERS):
         df.select(column).where(F.col(column).isNotNull())
         .mapInPandas(summarise, f"value {kind}, n long")
         .groupBy("value").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "value").limit(counters).select("value")
+        .orderBy(F.desc("n"), "value").limit(room).select("value")
     )
     total = df.count()
     exact = (

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -56,6 +57,20 @@ def test_heavy_values_are_exact(spark):
     assert {(r["value"], r["n"]) for r in rows} == {("a", 400)}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_no_value_just_over_the_threshold_is_missed(spark, seed):
+    chance = random.Random(seed)
+    counters = 4
+    # Three values hold just a quarter each, in a few tasks only, beside values that fill each task's summary.
+    rows = [v for v in "abc" for _ in range(250)] + [f"x{i}" for i in range(50) for _ in range(5)]
+    chance.shuffle(rows)
+    rows.sort(key=lambda v: (v in "abc") * chance.random())
+    df = spark.createDataFrame([(v,) for v in rows], "v string").coalesce(1).repartitionByRange(7, "v")
+    for tasks in (df, spark.createDataFrame([(v,) for v in rows], "v string")):
+        found = heavy_values(tasks, "v", counters).collect()
+        assert sorted((r["value"], r["n"]) for r in found) == [("a", 250), ("b", 250), ("c", 250)]
+
+
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_query_equals_sql(spark, sf_dir):
     from gaugewright.llm.oracle import ORACLES
