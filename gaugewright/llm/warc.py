@@ -82,12 +82,15 @@ def line_key(key, page_id, *more):
     return " ".join((key, "-" if page_id is None else f"{page_id + (1 << 63):020d}", *more))
 
 
-def record(kind, url, page_id, payload, digest, refers_to=None, refers_url=None):
-    """The bytes of a WARC record with an HTTP response for its block; a revisit has headers only."""
+def record(kind, url, page_id, payload, digest, refers_to=None, refers_url=None, row=None):
+    """The bytes of a WARC record with an HTTP response for its block; a revisit has headers only.
+
+    Its id is that of the ``row``, so repeated rows have records of different ids.
+    """
     http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
             f"Content-Length: {len(payload)}\r\n\r\n").encode()
     block = http if kind == "revisit" else http + payload
-    identity = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id} {url}")
+    identity = uuid.uuid5(uuid.NAMESPACE_URL, f"{row} {page_id} {url}")
     lines = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{identity}>", f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{base64.b32encode(digest).decode()}",
@@ -150,7 +153,7 @@ def _writer(folder, file_bytes):
                 payload, kind = (html or "").encode(), kind or "response"
                 digest = hashlib.sha1(payload)
                 data = gzip.compress(
-                    record(kind, _safe(url), page_id, payload, digest.digest(), refers_to, _safe(refers_url)),
+                    record(kind, _safe(url), page_id, payload, digest.digest(), refers_to, _safe(refers_url), row),
                     LEVEL, mtime=0)
                 out.write(data)
                 for column, value in zip(

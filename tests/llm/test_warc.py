@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import os
+import re
 from collections import Counter
 
 import pytest
@@ -100,11 +101,13 @@ def test_look_ups_over_many_blocks_and_files(spark, tmp_path):
     assert list(captures.find("org,example,h0)/nowhere", 5)) == list(captures.find("zzz)", 5)) == []
     assert len(list(captures.find(url_key("http://hot.example.org/"), 77))) == 300
     # Every archive is a chain of gzip members that can be read without the index.
-    total = 0
+    total, ids = 0, []
     for name in os.listdir(folder):
         if name.endswith(".warc.gz"):
-            total += gzip.open(os.path.join(folder, name)).read().count(b"WARC/1.1\r\nWARC-Type: ")
-    assert total == len(rows)
+            data = gzip.open(os.path.join(folder, name)).read()
+            total += data.count(b"WARC/1.1\r\nWARC-Type: ")
+            ids += re.findall(rb"WARC-Record-ID: <([^>]*)>", data)
+    assert total == len(rows) == len(set(ids))
 
 
 def test_a_row_repeated_over_and_over_is_read_by_many_tasks(spark, tmp_path):
