@@ -6,7 +6,8 @@ are point updates of logarithmic cost, so a match of any length is merged in O(n
 Merged matches are remembered up to a fixed number of bytes in each worker.
 
 Defined cases: a NULL text counts as empty and gives no ids. Special tokens are ordinary text.
-Repeated rows are encoded alike, each by itself. One pass without a shuffle.
+Repeated rows are encoded alike, each by itself, and texts of any length whole. An empty table gives no rows. One pass
+without a shuffle.
 """
 
 from __future__ import annotations

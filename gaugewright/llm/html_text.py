@@ -23,7 +23,8 @@ copies, whatever their scripts and adverts, and make nothing a template.
 
 Defined cases: NULL html gives an empty text. A NULL or odd url has no host, and its page is judged by
 presentation alone, as are nodes of fewer than ``MIN_PAGES`` pages. Unclosed, crossed and unknown tags are
-allowed. Repeated rows are extracted alike, each by itself, and are one page of their host. No page is cut short.
+allowed. Repeated rows are extracted alike, each by itself, and are one page of their host. No page is cut short. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
