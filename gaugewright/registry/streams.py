@@ -32,14 +32,21 @@ from gaugewright.sources.topics import FileTopics
 from gaugewright.streaming.consume import await_all, consume, start_topics, to_topics
 from gaugewright.streaming.state import read_checkpoint, read_state, start_latest_state
 
-# Each topic is written as this many files, and a micro-batch takes one.
+# Each topic is consumed in this many micro-batches.
 BATCHES = 5
+# Fewer tasks than this are not worth a cluster, and before its executors have come it counts none.
+LEAST_TASKS = 4
 
 
 def _zone_less(df, *columns):
     return df.withColumns({c: utc_wall_clock(df, c) for c in columns})
 
 
+def _tasks(spark):
+    """One task per core that Spark knows of. State is kept in as many partitions, named on any master."""
+    return max(LEAST_TASKS, spark.sparkContext.defaultParallelism)
+
+
 def _topics(spark, sf_dir, base, *wanted):
     """Topics whose messages come in several batches, in no order of time."""
     topics = FileTopics(f"{base}/topics", max_files=1)
@@ -115,7 +122,7 @@ def latest_state_stream(spark, sf_dir):
     topics = _topics(spark, sf_dir, base, MEASUREMENTS)
     query = start_latest_state(
         spark, topics, MEASUREMENTS, f"{base}/state", f"{base}/checkpoint", available_now=True,
-        compact_every=2,
+        partitions=_tasks(spark), compact_every=2,
     )
     await_all([query])
     current = latest_measurements(read_state(spark, f"{base}/state", MEASUREMENTS))

@@ -95,3 +95,11 @@ def test_entry_without_the_training_data_operators():
     root = os.path.dirname(os.path.abspath(driver.__file__))
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
     assert done.stdout.split() == [str(len(QUERIES)), str(len(oracle.ORACLES))]
+
+
+@pytest.mark.parametrize("name", ["latest_state_stream"])
+def test_state_queries_run_on_a_cluster(spark, duckdb_tables, monkeypatch, name):
+    """A cluster's master does not say how many state partitions there should be."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    result = QUERIES[name](spark, SF_DIR)
+    assert differences(result, duckdb_tables, oracle.ORACLES[name]) is None
