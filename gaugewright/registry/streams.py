@@ -150,7 +150,8 @@ def status_from_checkpoint(spark, sf_dir):
     topics = _topics(spark, sf_dir, base, STATIONS, MEASUREMENTS)
     wanted = (STATIONS, MEASUREMENTS)
     await_all([
-        start_latest_state(spark, topics, topic, None, f"{base}/checkpoints/{topic}", available_now=True)
+        start_latest_state(spark, topics, topic, None, f"{base}/checkpoints/{topic}", available_now=True,
+                           partitions=_tasks(spark))
         for topic in wanted
     ])
     return map_rows(join_current(*[
