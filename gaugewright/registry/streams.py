@@ -136,7 +136,8 @@ def status_from_state(spark, sf_dir):
     wanted = (STATIONS, MEASUREMENTS)
     await_all([
         start_latest_state(spark, topics, topic, f"{base}/state/{topic}",
-                           f"{base}/checkpoints/{topic}", available_now=True, compact_every=2)
+                           f"{base}/checkpoints/{topic}", available_now=True,
+                           partitions=_tasks(spark), compact_every=2)
         for topic in wanted
     ])
     return map_rows(join_current(*[

@@ -97,7 +97,7 @@ def test_entry_without_the_training_data_operators():
     assert done.stdout.split() == [str(len(QUERIES)), str(len(oracle.ORACLES))]
 
 
-@pytest.mark.parametrize("name", ["latest_state_stream", "status_from_checkpoint"])
+@pytest.mark.parametrize("name", ["latest_state_stream", "status_from_state", "status_from_checkpoint"])
 def test_state_queries_run_on_a_cluster(spark, duckdb_tables, monkeypatch, name):
     """A cluster's master does not say how many state partitions there should be."""
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
