@@ -2,7 +2,8 @@
 
 ``events`` stand for measurements, ``orders`` for the station history (with real ties),
 ``customer`` for listed stations and ``supplier`` for stage-scale documents. Every view is
-a projection: documents are built row by row, so nothing is gathered.
+a projection: documents are built row by row, so nothing is gathered. What documents are made of is dealt out first:
+a table of few row groups would otherwise be built, parsed and sent by as few tasks.
 """
 
 from pyspark.sql import functions as F
@@ -13,12 +14,26 @@ from gaugewright.sources.documents import parse_documents, parse_stage_scales
 METER = "http://qudt.org/1.1/vocab/unit#Meter"
 # A Monday, 03:00 UTC.
 STATIONS_FETCHED = "2024-01-01 03:00:00"
+# Fewer tasks than this are not worth a cluster, and before its executors have come it counts none.
+LEAST_TASKS = 4
+# Tasks per core, so that an uneven one does not hold up the rest.
+TASKS_PER_CORE = 2
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cores(spark):
+    """The cores that Spark knows of."""
+    return max(LEAST_TASKS, spark.sparkContext.defaultParallelism)
+
+
+def _dealt(spark, sf_dir, name, *columns):
+    """Columns of a table, its rows dealt out evenly to all cores, whatever files, row groups and keys they come in."""
+    return table(spark, sf_dir, name).select(*columns).repartition(TASKS_PER_CORE * cores(spark))
+
+
 def _unit():
     return (
         F.when(F.col("event_type") == "purchase", METER)
@@ -81,7 +96,8 @@ def measurement_document_texts(spark, sf_dir):
 
     nothing = F.when(F.lit(False), reading)
     items = F.array(item("measure/", reading), item("spare/", nothing))
-    return table(spark, sf_dir, "events").select(
+    events = _dealt(spark, sf_dir, "events", "ts", "user_id", "event_type", "value")
+    return events.select(
         F.to_json(F.struct(items.alias("items"))).alias("document"),
         F.col("ts").alias("fetched_at"),
     )
@@ -128,7 +144,8 @@ def station_document_texts(spark, sf_dir):
         )
 
     items = F.array(item("", measures), item("spare-", F.when(F.lit(False), measures)))
-    return table(spark, sf_dir, "customer").select(
+    customers = _dealt(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    return customers.select(
         F.to_json(F.struct(items.alias("items"))).alias("document"),
         F.to_timestamp_ntz(F.lit(STATIONS_FETCHED)).alias("fetched_at"),
     )

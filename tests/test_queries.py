@@ -4,9 +4,12 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from gaugewright.registry import batch, oracle, streams
+from gaugewright.registry import batch, fixtures, oracle, streams
+from gaugewright.schemas import MEASUREMENTS, STATIONS
+from gaugewright.sources.epochs import open_log
 from tests.compare import differences, duck, write_skewed
 from tests.conftest import plan
 
@@ -103,3 +106,34 @@ def test_state_queries_run_on_a_cluster(spark, duckdb_tables, monkeypatch, name)
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     result = QUERIES[name](spark, SF_DIR)
     assert differences(result, duckdb_tables, oracle.ORACLES[name]) is None
+
+
+@pytest.fixture(scope="module")
+def one_group_dir(spark, tmp_path_factory):
+    """Tables of one row group each."""
+    target = str(tmp_path_factory.mktemp("one-group"))
+    n = F.col("id")
+    spark.range(2000).coalesce(1).select(
+        n.alias("event_id"), F.timestamp_seconds(1704067200 + n).cast("timestamp_ntz").alias("ts"), (n % 50).alias("user_id"),
+        F.when(n % 7 > 0, "click").otherwise("error").alias("event_type"), (n / 8).alias("value"),
+    ).write.parquet(f"{target}/events.parquet")
+    spark.range(300).coalesce(1).select(
+        n.alias("c_custkey"), F.concat(F.lit("Customer "), n).alias("c_name"), (n % 25).cast("int").alias("c_nationkey"),
+        F.lit("BUILDING").alias("c_mktsegment")).write.parquet(f"{target}/customer.parquet")
+    spark.range(50).coalesce(1).select(
+        n.alias("s_suppkey"), (n % 25).cast("int").alias("s_nationkey"), (n * 3.5).alias("s_acctbal"),
+    ).write.parquet(f"{target}/supplier.parquet")
+    spark.range(40).coalesce(1).select(
+        n.alias("doc_id"), F.concat(F.lit("prose "), n).alias("text")).write.parquet(f"{target}/documents.parquet")
+    return target
+
+
+def _even(rows, tasks):
+    counts = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    return len(counts) >= tasks and max(counts) < 2 * min(counts)
+
+
+def test_documents_of_one_row_group_are_built_by_all_cores(spark, one_group_dir):
+    tasks = spark.sparkContext.defaultParallelism
+    assert _even(fixtures.measurement_document_texts(spark, one_group_dir), tasks)
+    assert _even(fixtures.station_document_texts(spark, one_group_dir), tasks)
