@@ -14,6 +14,7 @@ from gaugewright.plans.scales import StageScales
 from gaugewright.plans.status import map_rows, station_status
 from gaugewright.plans.views import join_current, latest_measurements
 from gaugewright.registry.fixtures import (
+    cores,
     land_measurement_documents,
     measurement_documents,
     stage_scale_lines,
@@ -34,28 +35,22 @@ from gaugewright.streaming.state import read_checkpoint, read_state, start_lates
 
 # Each topic is consumed in this many micro-batches.
 BATCHES = 5
-# Fewer tasks than this are not worth a cluster, and before its executors have come it counts none.
-LEAST_TASKS = 4
 
 
 def _zone_less(df, *columns):
     return df.withColumns({c: utc_wall_clock(df, c) for c in columns})
 
 
-def _tasks(spark):
-    """One task per core that Spark knows of. State is kept in as many partitions, named on any master."""
-    return max(LEAST_TASKS, spark.sparkContext.defaultParallelism)
-
-
 def _topics(spark, sf_dir, base, *wanted):
-    """Topics whose messages come in several batches, in no order of time."""
-    topics = FileTopics(f"{base}/topics", max_files=1)
+    """Topics whose messages come in several batches, in no order of time. A batch takes a file per core."""
+    topics = FileTopics(f"{base}/topics", max_files=cores(spark))
+    files = BATCHES * cores(spark)
     if MEASUREMENTS in wanted:
         messages = measurement_messages(measurement_documents(spark, sf_dir))
-        topics.write(messages.repartition(BATCHES, F.xxhash64("value")), MEASUREMENTS)
+        topics.write(messages.repartition(files, F.xxhash64("value")), MEASUREMENTS)
     if STATIONS in wanted:
         messages = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
-        topics.write(messages.repartition(BATCHES, F.xxhash64("value")), STATIONS)
+        topics.write(messages.repartition(files, F.xxhash64("value")), STATIONS)
     return topics
 
 
@@ -122,7 +117,7 @@ def latest_state_stream(spark, sf_dir):
     topics = _topics(spark, sf_dir, base, MEASUREMENTS)
     query = start_latest_state(
         spark, topics, MEASUREMENTS, f"{base}/state", f"{base}/checkpoint", available_now=True,
-        partitions=_tasks(spark), compact_every=2,
+        partitions=cores(spark), compact_every=2,
     )
     await_all([query])
     current = latest_measurements(read_state(spark, f"{base}/state", MEASUREMENTS))
@@ -137,7 +132,7 @@ def status_from_state(spark, sf_dir):
     await_all([
         start_latest_state(spark, topics, topic, f"{base}/state/{topic}",
                            f"{base}/checkpoints/{topic}", available_now=True,
-                           partitions=_tasks(spark), compact_every=2)
+                           partitions=cores(spark), compact_every=2)
         for topic in wanted
     ])
     return map_rows(join_current(*[
@@ -152,7 +147,7 @@ def status_from_checkpoint(spark, sf_dir):
     wanted = (STATIONS, MEASUREMENTS)
     await_all([
         start_latest_state(spark, topics, topic, None, f"{base}/checkpoints/{topic}", available_now=True,
-                           partitions=_tasks(spark))
+                           partitions=cores(spark))
         for topic in wanted
     ])
     return map_rows(join_current(*[

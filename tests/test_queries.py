@@ -137,3 +137,13 @@ def test_documents_of_one_row_group_are_built_by_all_cores(spark, one_group_dir)
     tasks = spark.sparkContext.defaultParallelism
     assert _even(fixtures.measurement_document_texts(spark, one_group_dir), tasks)
     assert _even(fixtures.station_document_texts(spark, one_group_dir), tasks)
+
+
+def test_a_batch_of_a_topic_is_as_many_files_as_cores(spark, one_group_dir, tmp_path):
+    topics = streams._topics(spark, one_group_dir, str(tmp_path), STATIONS, MEASUREMENTS)
+    for topic in (STATIONS, MEASUREMENTS):
+        files = len(topics.read(spark, topic).inputFiles())
+        assert topics.max_files >= spark.sparkContext.defaultParallelism
+        assert files == streams.BATCHES * topics.max_files
+    streams._consume(spark, topics, str(tmp_path), MEASUREMENTS)
+    assert len(open_log(spark, f"{tmp_path}/history/{MEASUREMENTS}").epochs) == streams.BATCHES
