@@ -187,7 +187,7 @@ def rejects_stream(spark, sf_dir):
     prose = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("key"), F.col("text").alias("value")
     )
-    topics.write(prose, MEASUREMENTS)
+    topics.write(prose.repartition(BATCHES * cores(spark)), MEASUREMENTS)
     sink = HistorySink(f"{base}/history", MEASUREMENTS)
     await_all([consume(
         topics.read_stream(spark, MEASUREMENTS), MEASUREMENTS, sink, f"{base}/checkpoint",

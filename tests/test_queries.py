@@ -147,3 +147,16 @@ def test_a_batch_of_a_topic_is_as_many_files_as_cores(spark, one_group_dir, tmp_
         assert files == streams.BATCHES * topics.max_files
     streams._consume(spark, topics, str(tmp_path), MEASUREMENTS)
     assert len(open_log(spark, f"{tmp_path}/history/{MEASUREMENTS}").epochs) == streams.BATCHES
+
+
+def test_rejects_come_in_as_many_files_as_cores(spark, one_group_dir, monkeypatch):
+    written = []
+    write = streams.FileTopics.write
+
+    def noted(topics, messages, topic):
+        written.append(messages.rdd.getNumPartitions())
+        write(topics, messages, topic)
+
+    monkeypatch.setattr(streams.FileTopics, "write", noted)
+    rows = streams.rejects_stream(spark, one_group_dir)
+    assert rows.count() == 40 and min(written) >= streams.BATCHES * spark.sparkContext.defaultParallelism
