@@ -179,6 +179,9 @@ def status_incremental(spark, sf_dir):
     sinks = {topic: HistorySink(path, topic) for topic, path in histories.items()}
     view = JoinedView(spark, histories, f"{base}/view", buckets=8, compact_every=3)
     stations = station_messages(station_documents(spark, sf_dir), stage_scales(spark, sf_dir))
+    # Written once: each epoch takes its part of them, and its part of those that are elsewhere.
+    stations.write.parquet(f"{base}/messages")
+    stations = spark.read.parquet(f"{base}/messages")
     part = F.pmod(F.xxhash64(F.get_json_object("value", "$.rloiid")), F.lit(3))
     # Stamped long before the rest, whatever epoch it comes in.
     elsewhere = stations.select("key", F.regexp_replace(

@@ -160,3 +160,17 @@ def test_rejects_come_in_as_many_files_as_cores(spark, one_group_dir, monkeypatc
     monkeypatch.setattr(streams.FileTopics, "write", noted)
     rows = streams.rejects_stream(spark, one_group_dir)
     assert rows.count() == 40 and min(written) >= streams.BATCHES * spark.sparkContext.defaultParallelism
+
+
+def test_station_documents_are_parsed_once_for_all_refreshes(spark, one_group_dir, monkeypatch):
+    sources = []
+    save = batch.HistorySink.__call__
+
+    def noted(sink, messages, run, epoch):
+        if sink.topic == STATIONS:
+            sources.extend(messages.inputFiles())
+        save(sink, messages, run, epoch)
+
+    monkeypatch.setattr(batch.HistorySink, "__call__", noted)
+    assert batch.status_incremental(spark, one_group_dir).count() > 0
+    assert sources and not [s for s in sources if "customer.parquet" in s]
