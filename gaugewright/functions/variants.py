@@ -20,17 +20,22 @@ def parse_variant(text):
     return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.regexp_replace(text, BARE_NUMBERS, "null")))
 
 
-def _part(value, name, kind):
-    return F.try_variant_get(value, f"$['{name}']", kind)
+def _at(name, path="$"):
+    return f"{path}['{name}']"
 
 
-def _kind(value):
+def _get(value, path, kind):
+    return F.try_variant_get(value, path, kind)
+
+
+def _kind(value, path):
     """The type's name; VOID for null, NULL for nothing."""
-    return F.schema_of_variant(value)
+    return F.schema_of_variant(_get(value, path, "variant"))
 
 
-def is_object(value):
-    return F.coalesce(_kind(value).startswith("OBJECT"), F.lit(False))
+def is_object(value, path="$"):
+    # A map of variants is made of any object and of nothing else; the type's name would spell out all that is in it.
+    return _get(value, path, "map<string,variant>").isNotNull()
 
 
 def _present(part):
@@ -39,40 +44,39 @@ def _present(part):
 
 def has_field(value, name):
     """Whether an object has a field that is not null."""
-    return _present(_part(value, name, "variant"))
+    return _present(_get(value, _at(name), "variant"))
 
 
 def _any(conditions):
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def typed_fields(value, schema):
-    """The columns of ``schema`` out of an object."""
-    return [_typed(value, f.name, f.dataType).alias(f.name) for f in schema.fields]
+def typed_fields(value, schema, path="$"):
+    """The columns of ``schema`` out of an object, or out of the object at a path in it."""
+    return [_typed(value, _at(f.name, path), f.dataType).alias(f.name) for f in schema.fields]
 
 
-def _typed(value, name, kind):
+def _typed(value, path, kind):
     if isinstance(kind, StringType):
-        return _part(value, name, "string")
+        return _get(value, path, "string")
     if isinstance(kind, StructType):
-        inner = _part(value, name, "variant")
-        return F.when(is_object(inner), F.struct(*typed_fields(inner, kind)))
+        return F.when(is_object(value, path), F.struct(*typed_fields(value, kind, path)))
     if isinstance(kind, ArrayType):
-        return F.transform(_part(value, name, "array<variant>"),
+        return F.transform(_get(value, path, "array<variant>"),
                            lambda entry: F.struct(*typed_fields(entry, kind.elementType)))
-    number = _kind(_part(value, name, "variant")).rlike(NUMBERS)
-    return F.when(number, _part(value, name, kind.simpleString()))
+    return F.when(_kind(value, path).rlike(NUMBERS), _get(value, path, kind.simpleString()))
 
 
-def misshapen(value, schema):
+def misshapen(value, schema, path="$"):
     """Whether an object or a list of objects is something else; NULL and missing ones are not."""
     found = []
     for f in schema.fields:
-        part = _part(value, f.name, "variant")
+        at = _at(f.name, path)
+        part = _get(value, at, "variant")
         if isinstance(f.dataType, StructType):
-            found.append(_present(part) & (~is_object(part) | misshapen(part, f.dataType)))
+            found.append(_present(part) & (~is_object(value, at) | misshapen(value, f.dataType, at)))
         elif isinstance(f.dataType, ArrayType):
-            entries = _part(value, f.name, "array<variant>")
+            entries = _get(value, at, "array<variant>")
             found.append(_present(part) & (entries.isNull() | F.exists(entries, lambda e: ~is_object(e))))
     return F.coalesce(_any(found), F.lit(False))
 
@@ -82,13 +86,14 @@ def odd_fields(value, schema, within=""):
     return F.filter(F.array(*_odd(value, schema, within)), lambda name: name.isNotNull())
 
 
-def _odd(value, schema, within):
+def _odd(value, schema, within, path="$"):
     out = []
     for f in schema.fields:
-        part = _part(value, f.name, "variant")
+        at = _at(f.name, path)
+        part = _get(value, at, "variant")
         if isinstance(f.dataType, StructType):
-            out += _odd(part, f.dataType, f"{within}{f.name}.")
+            out += _odd(value, f.dataType, f"{within}{f.name}.", at)
         elif not isinstance(f.dataType, ArrayType):
             right = "^STRING$" if isinstance(f.dataType, StringType) else NUMBERS
-            out.append(F.when(_present(part) & ~_kind(part).rlike(right), F.lit(within + f.name)))
+            out.append(F.when(_present(part) & ~_kind(value, at).rlike(right), F.lit(within + f.name)))
     return out
